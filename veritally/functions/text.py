@@ -20,9 +20,18 @@ def normalize_number(captured: Column) -> Column:
     return F.replace(captured, F.lit(","), F.lit("")).try_cast("double")
 
 
+def _first_capture(text: Column, pattern: str) -> Column:
+    """The first capture of ``pattern``, NULL without a hit.
+
+    ``regexp_extract`` gives '' instead, and either testing for that or casting it
+    costs more than the search: the test runs the search again, the cast throws.
+    """
+    return F.get(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), F.lit(0))
+
+
 def extract_gold(answer: Column) -> Column:
     """The number after the gold marker, or NULL."""
-    return normalize_number(F.regexp_extract(answer, V.GOLD_PATTERN, 1))
+    return normalize_number(_first_capture(answer, V.GOLD_PATTERN))
 
 
 def _ignore_case(pattern: str) -> str:
@@ -32,15 +41,10 @@ def _ignore_case(pattern: str) -> str:
 def extract_prediction(completion: Column) -> Column:
     """The number a completion ends up with: patterns by priority, first hit inside each.
 
-    ``coalesce`` stops at the first pattern that hits, so most rows run one or two
-    searches. ``try_cast`` already turns the empty capture of a miss into NULL.
+    ``coalesce`` stops at the first pattern that hits, so most rows run one or two searches.
     """
-    return F.coalesce(
-        *(
-            normalize_number(F.regexp_extract(completion, _ignore_case(p), 1))
-            for p in V.COMPLETION_PATTERNS
-        )
-    )
+    captures = (_first_capture(completion, _ignore_case(p)) for p in V.COMPLETION_PATTERNS)
+    return normalize_number(F.coalesce(*captures))
 
 
 def matched_pattern(completion: Column) -> Column:

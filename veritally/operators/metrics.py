@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veritally.operators.numbering import running_sums
+from veritally.workspace import materialize
 
 
 def accuracy(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -37,9 +38,10 @@ def running_reward(batch_metrics: DataFrame) -> DataFrame:
     """Mean reward over the batches of an epoch so far, as ``avg_reward``.
 
     An epoch can have any number of batches, so the sums run block by block
-    instead of in one window per epoch.
+    instead of in one window per epoch. They read the batch table several times: it
+    is stored first, so that what led to it runs once.
     """
-    counted = batch_metrics.withColumn("_one", F.lit(1))
+    counted = materialize(batch_metrics, "batch-metrics").withColumn("_one", F.lit(1))
     sums = running_sums(counted, "batch_id", ["reward", "_one"], ["epoch"])
     so_far = (F.col("reward_before") + F.col("reward")) / (F.col("_one_before") + 1)
     return sums.withColumn("avg_reward", so_far).drop("_one", "reward_before", "_one_before")

@@ -9,25 +9,48 @@ from pyspark.sql import functions as F
 
 from veritally import fixed_values as V
 from veritally.functions.surrogate import clipped_surrogate, importance_ratio
-from veritally.operators.skew import HotKey, join_unique
+from veritally.operators.skew import MAX_HOT, ROWS_PER_TASK, HotKey, join_unique
 
 
 def align_logprobs(old: DataFrame, new: DataFrame) -> DataFrame:
     """Pair old and new scores token by token.
 
-    ``old`` is (seq_id, pos, lp); ``new`` may have further columns, such as the PPO
-    epoch. Hashing on both key columns spreads even one very long sequence.
+    ``old`` and ``new`` have seq_id, pos and lp, and may have further columns, such as
+    the advantage or the PPO epoch. Hashing on both key columns spreads even one very long sequence. Both
+    sides have every token, so neither is ever worth a broadcast: the sort-merge
+    hint keeps a low size estimate from choosing one.
     """
-    return old.withColumnRenamed("lp", "old_lp").join(
-        new.withColumnRenamed("lp", "new_lp"), ["seq_id", "pos"]
+    return (
+        old.withColumnRenamed("lp", "old_lp")
+        .hint("merge")
+        .join(new.withColumnRenamed("lp", "new_lp"), ["seq_id", "pos"])
     )
 
 
+def long_sequences(tokens: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> list[HotKey]:
+    """Sequences with too many tokens for one task, longest first.
+
+    Positions count up from 0, so a long sequence shows by its positions: on a
+    stored table the filter reaches the scan and file statistics rule out nearly
+    everything. At most ``MAX_HOT`` rows reach the driver.
+    """
+    longest = (
+        tokens.where(F.col("pos") >= rows_per_task)
+        .groupBy("seq_id")
+        .agg(F.max("pos").alias("last"))
+        .orderBy(F.desc("last"), "seq_id")
+        .limit(MAX_HOT)
+    )
+    return [HotKey(r["seq_id"], r["last"] // rows_per_task + 1) for r in longest.collect()]
+
+
 def broadcast_advantage(
     tokens: DataFrame, advantages: DataFrame, hot: Sequence[HotKey] | None = None
 ) -> DataFrame:
-    """Give each token the columns of its sequence."""
-    return join_unique(tokens, advantages, "seq_id", ["pos"], hot=hot)
+    """Give each token the columns of its sequence. There are as many sequences as
+    rollouts, so they are never broadcast."""
+    hot = long_sequences(tokens) if hot is None else hot
+    return join_unique(tokens, advantages, "seq_id", ["pos"], hot=hot, small=False)
 
 
 def masked_mean(value: Column, mask: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from veritally.functions.tokens import drop_special, pad_right
 from veritally.operators.numbering import number_rows
 from veritally.operators.skew import HotKey, join_unique, with_group_stats
+from veritally.workspace import materialize
 
 FIRST_TOKEN_ID = 1  # 0 is kept for padding
 HEAD_WORDS = 65_536
@@ -53,6 +54,7 @@ def build_vocabulary(tokens: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("_md5", F.md5("word"))
     )
+    counted = materialize(counted, "word-counts")  # the texts are read once
     pieces = 16**3
     bucket = -F.col("n") * pieces + F.conv(F.substring("_md5", 1, 3), 16, 10).cast("long")
     return number_rows(counted, bucket, ["_md5", "word"], "token_id", levels=2).select(

@@ -4,7 +4,8 @@
 sketch, so nothing but a small sketch per task is shuffled and at most ``MAX_HOT``
 keys reach the driver. With no hot key (the usual case) every operator here is the
 plain Spark plan. Hot keys are spread over several tasks by a salt taken from the
-row's own columns, which stays the same when a lost task is run again.
+row's own columns and, so that equal copies part too, from the number of the input
+partition. Both stay the same when a lost task is run again.
 """
 
 from __future__ import annotations
@@ -15,8 +16,10 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROWS_PER_TASK = 2_000_000
+BROADCAST_ROWS = 200_000
 MAX_HOT = 1024
 SKETCH_ITEMS = 16_384
 SALT = "_salt"
@@ -57,7 +60,7 @@ def _hot_table(df: DataFrame, key: str, hot: Sequence[HotKey]) -> DataFrame:
 
 def add_salt(df: DataFrame, key: str, hot: Sequence[HotKey], spread: Sequence[str]) -> DataFrame:
     """Add the salt: 0 for most keys, a hash of the ``spread`` columns for hot ones."""
-    salt = F.pmod(F.xxhash64(*spread), F.col("_salts")).cast("int")
+    salt = F.pmod(F.xxhash64(*spread, F.spark_partition_id()), F.col("_salts")).cast("int")
     return (
         df.join(_hot_table(df, key, hot), key, "left")
         .withColumn(SALT, F.when(F.col("_salts").isNotNull(), salt).otherwise(F.lit(0)))
@@ -74,6 +77,16 @@ def replicate(df: DataFrame, key: str, hot: Sequence[HotKey]) -> DataFrame:
     )
 
 
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether ``df`` has fixed-size columns only and at most ``max_rows`` rows.
+
+    Looks for row ``max_rows + 1`` and stops there, so a large table is not counted.
+    """
+    fixed = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)
+    narrow = all(isinstance(f.dataType, fixed) for f in df.schema.fields)
+    return narrow and df.select(F.lit(1)).offset(max_rows).isEmpty()
+
+
 def join_unique(
     rows: DataFrame,
     lookup: DataFrame,
@@ -82,17 +95,23 @@ def join_unique(
     how: str = "inner",
     hot: Sequence[HotKey] | None = None,
     keep_salt: bool = False,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join ``rows`` to ``lookup``, which has one row per ``key``.
 
-    Spark broadcasts ``lookup`` when it is under its own size limit and shuffles
-    both sides otherwise; hot keys of ``rows`` are then salted, and only the few
-    lookup rows that belong to them are copied.
+    A lookup that ``fits_broadcast`` is broadcast; ``small`` states the answer where
+    the caller knows it. Otherwise both sides are shuffled, with hot keys of ``rows``
+    salted and only the few lookup rows that belong to them copied. The hint keeps
+    Spark from broadcasting ``rows`` on a low size estimate.
     """
+    small = fits_broadcast(lookup) if small is None else small
+    if small:
+        return rows.join(F.broadcast(lookup), key, how)
     hot = find_hot_keys(rows, key) if hot is None else hot
     if not hot:
-        return rows.join(lookup, key, how)
-    joined = add_salt(rows, key, hot, spread).join(replicate(lookup, key, hot), [key, SALT], how)
+        return rows.hint("merge").join(lookup, key, how)
+    salted = add_salt(rows, key, hot, spread).hint("merge")
+    joined = salted.join(replicate(lookup, key, hot), [key, SALT], how)
     return joined if keep_salt else joined.drop(SALT)
 
 

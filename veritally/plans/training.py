@@ -70,16 +70,17 @@ def training_metrics(
 
     ``rollouts`` carries ``seq_id``; ``old`` is (seq_id, pos, lp) and ``new`` is
     (ppo_epoch, seq_id, pos, lp). Prompt tokens are dropped before the joins: their
-    mask is 0, so they add nothing to either sum.
+    mask is 0, so they add nothing to either sum. Advantages go to the old scores
+    first: there is one per token, while the new ones repeat per PPO epoch.
     """
     scored = batched_scores(
         rollouts, problems, seed, epoch, batch_size, reward_fn, gold_precision, ["seq_id"], hot_problems
     )
     counts = in_loss(F.col("pos"), prompt_length) == 1
-    tokens = align_logprobs(old.where(counts), new.where(counts))
     sequences = scored.select("seq_id", "epoch", "batch_id", "advantage")
+    weighted = broadcast_advantage(old.where(counts), sequences, hot_sequences)
     losses = policy_loss(
-        broadcast_advantage(tokens, sequences, hot_sequences),
+        align_logprobs(weighted, new.where(counts)),
         ["epoch", "batch_id", "ppo_epoch"],
         F.lit(1.0),
         clip_eps,

@@ -14,6 +14,8 @@ def local_session(cpus: int = 8, app: str = "veritally") -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Tokens partitioned by sequence stay put when they are joined by (sequence, position).
+        .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

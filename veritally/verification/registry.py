@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from veritally import fixed_values as V
 from veritally.functions import rewards, surrogate, text, tokens
 from veritally.operators import batching, compare, metrics, policy, scoring, sequences
+from veritally.operators.skew import find_hot_keys
 from veritally.plans.compare import compare_models
 from veritally.plans.evaluate import evaluate_split
 from veritally.plans.examples import PAD_ID, prepare_examples
@@ -216,7 +217,8 @@ def _tokens(spark, d):
 
 
 def _token_losses(spark, d):
-    return policy.broadcast_advantage(_tokens(spark, d), views.sequence_advantages(spark, d))
+    weighted = policy.broadcast_advantage(views.old_logprobs(spark, d), views.sequence_advantages(spark, d))
+    return policy.align_logprobs(weighted, views.current_logprobs(spark, d))
 
 
 def align_logprobs(spark, d):
@@ -274,9 +276,9 @@ def running_reward(spark, d):
 
 
 def _losses(spark, d):
-    aligned = policy.align_logprobs(views.old_logprobs(spark, d), views.new_logprobs(spark, d))
+    weighted = policy.broadcast_advantage(views.old_logprobs(spark, d), views.sequence_advantages(spark, d))
     return policy.policy_loss(
-        policy.broadcast_advantage(aligned, views.sequence_advantages(spark, d)),
+        policy.align_logprobs(weighted, views.new_logprobs(spark, d)),
         ["batch_id", "ppo_epoch"],
         tokens.in_loss(F.col("pos"), F.lit(views.PROMPT_TOKENS)),
     )
@@ -299,7 +301,8 @@ def model_totals(spark, d):
 
 
 def group_advantage(spark, d):
-    scored = scoring.group_advantage(_rewarded(spark, d), V.GROUP_SIZE)
+    hot = find_hot_keys(views.rollouts(spark, d), "problem_id")
+    scored = scoring.group_advantage(_rewarded(spark, d), V.GROUP_SIZE, hot)
     return scored.select("problem_id", "sample_idx", "reward", "advantage")
 
 

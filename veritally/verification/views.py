@@ -12,14 +12,15 @@ from pyspark.sql import functions as F
 
 from veritally.operators.scoring import fan_out_samples
 from veritally.operators.sequences import words
+from veritally.sources.tables import read_table
 
 BATCHES_OF = 2
 PROMPT_TOKENS = 2
 PPO_STEPS = (0.0, 0.5, 1.0)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
+    return read_table(spark, f"{sf_dir}/{name}.parquet", key)
 
 
 def _whole() -> Column:
@@ -85,11 +86,11 @@ def rollouts_of(orders: DataFrame) -> DataFrame:
 
 
 def problems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return problems_of(table(spark, sf_dir, "orders"))
+    return problems_of(table(spark, sf_dir, "orders", "o_orderkey"))
 
 
 def rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollouts_of(table(spark, sf_dir, "orders"))
+    return rollouts_of(table(spark, sf_dir, "orders", "o_orderkey"))
 
 
 def model_completions(spark: SparkSession, sf_dir: str, sample_idx: int) -> DataFrame:
@@ -170,10 +171,10 @@ def turn_word_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return words(table(spark, sf_dir, "documents"), "doc_id", F.col("text"))
+    return words(table(spark, sf_dir, "documents", "doc_id"), "doc_id", F.col("text"))
 
 
 def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "embeddings").select(
+    return table(spark, sf_dir, "embeddings", "vec_id").select(
         "vec_id", F.col("embedding").alias("logits"), "label"
     )

@@ -23,10 +23,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder, so later steps neither repeat the work nor depend
-    on executors that may be lost."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint()
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    What follows neither repeats the work nor depends on executors that may be lost,
+    reads only the columns it needs, and Spark knows the true size for its joins.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
