@@ -1,0 +1,123 @@
+"""Extraction and display expressions on edge cases."""
+
+import re
+from decimal import ROUND_HALF_EVEN, Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from veritally import fixed_values as V
+from veritally.functions import rewards, text
+
+# input -> number, with the engine's ASCII digits and spaces
+EDGES = [
+    ("The answer is 42", 42.0),
+    ("#### 1,234", 1234.0),
+    ("x = 5%", None),
+    ("= 5% so = 7 eggs", 7.0),
+    ("= 48.", 48.0),
+    ("= 1,000,", 1000.0),
+    ("so 2 = 3 then #### 9", 9.0),
+    ("ANSWER IS -7.5", -7.5),
+    ("answer is $42", None),
+    ("answer is 9, but the answer is 10", 9.0),
+    ("= 12/3 = 4", 4.0),
+    ("answer is 1,,2", 12.0),
+    ("#### +8.", 8.0),
+    ("#### ,5", None),
+    ("= 7\n", 7.0),
+    ("", None),
+    (None, None),
+    ("#### " + "9" * 400, float("inf")),
+    ("#### ٤٢", None),
+    ("= 5 x", None),
+    ("= 3\x0b", 3.0),
+    ("= 5 ", 5.0),
+]
+
+
+def values(spark, column, inputs, type_="string"):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(inputs)], f"i int, x {type_}")
+    got = {r.i: r.y for r in df.select("i", column(F.col("x")).alias("y")).collect()}
+    return [got[i] for i in range(len(inputs))]
+
+
+def test_prediction_edges(spark):
+    assert values(spark, text.extract_prediction, [e[0] for e in EDGES]) == [e[1] for e in EDGES]
+
+
+def test_gold_is_case_sensitive_and_first(spark):
+    inputs = ["work\n#### 1,200.50", "#### 3 #### 4", "answer is 5", "####7", "####\n 8", None]
+    assert values(spark, text.extract_gold, inputs) == [1200.5, 3.0, None, 7.0, 8.0, None]
+
+
+def test_matched_pattern_follows_priority(spark):
+    inputs = ["= 1 #### 2 answer is 3", "= 1 #### 2", "= 1", "none", None]
+    assert values(spark, text.matched_pattern, inputs) == [1, 2, 3, None, None]
+
+
+def test_prediction_against_regular_expressions(spark, sf_dir):
+    """Whole completions of the derived rollouts against a plain loop."""
+    from veritally.verification import views
+
+    def brute(s):
+        for p in V.COMPLETION_PATTERNS:
+            hit = re.search(p, s, re.IGNORECASE | re.ASCII)
+            if hit:
+                return float(hit.group(1).replace(",", ""))
+
+    found = views.rollouts(spark, sf_dir).select(
+        "completion", text.extract_prediction(F.col("completion")).alias("pred")
+    )
+    assert all(r.pred == brute(r.completion) for r in found.collect())
+
+
+def test_prompt(spark):
+    q = ["How many?", None]
+    asked = "Question: How many?\nAnswer: Let's solve this step by step.\n"
+    assert values(spark, text.build_prompt, q) == [asked, None]
+    assert values(spark, lambda c: text.build_prompt(c, "None"), q)[1].startswith("Question: None\n")
+
+
+def test_truncate_counts_code_points(spark):
+    got = values(spark, lambda c: text.truncate_text(c, 3), ["abc", "abcd", "\U0001f600éxy", "", None])
+    assert got == ["abc", "abc...", "\U0001f600éx...", "", None]
+
+
+def test_number_text(spark):
+    inputs = [18.0, 70000.0, 1e7, 12345678.91, 0.5, -3.0, 1e15, None]
+    want = ["18.0", "70000.0", "10000000.0", "12345678.91", "0.5", "-3.0", "1000000000000000.0", None]
+    assert values(spark, text.number_text, inputs, "double") == want
+
+
+def test_fixed_decimals_like_python(spark):
+    inputs = [0.15625, 0.25625, 0.00005, 0.00015, 1.00005, -0.15625, 2.5, 0.0, 99999.99995, 0.99995, 1 / 3, 123456.78905]
+    assert values(spark, text.fixed_decimals, inputs, "double") == [f"{x:.4f}" for x in inputs]
+    assert values(spark, text.fixed_decimals, [None], "double") == [None]
+    exact = Decimal(0.25625).quantize(Decimal("0.0001"), ROUND_HALF_EVEN)
+    assert f"{0.25625:.4f}" == str(exact)
+
+
+def test_pad_keeps_long_text(spark):
+    assert values(spark, lambda c: text.pad_right(c, 3), ["a", "abcdef"]) == ["a  ", "abcdef"]
+
+
+def test_escape(spark):
+    assert values(spark, text.escape_markdown_cell, ["a|b\r\nc\nd"]) == ["a\\|b<br>c<br>d"]
+
+
+def test_match_is_strict_and_null_safe(spark):
+    df = spark.createDataFrame(
+        [(1.0, 1.0), (1.0, 1.0009), (0.0, 1e-3), (None, 1.0), (1.0, None), (float("inf"), float("inf"))],
+        "p double, g double",
+    )
+    got = [r[0] for r in df.select(rewards.tolerance_match(F.col("p"), F.col("g"))).collect()]
+    assert got == [True, True, False, False, False, False]
+
+
+def test_float_gold_can_miss(spark):
+    df = spark.createDataFrame([(40000.01,), (16777217.0,), (3.5,)], "g double")
+    rounded = rewards.with_gold_precision(F.col("g"), "float")
+    assert [r[0] for r in df.select(rewards.binary_reward(F.col("g"), rounded)).collect()] == [0.0, 0.0, 1.0]
+    with pytest.raises(ValueError):
+        rewards.with_gold_precision(F.col("g"), "half")

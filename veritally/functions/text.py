@@ -109,4 +109,4 @@ def fixed_decimals(x: Column, digits: int = 4) -> Column:
         F.lit("."),
         F.lpad((units % 10**digits).cast("string"), digits, "0"),
     )
-    return F.when(size < 1e10, text).otherwise(F.format_string(f"%.{digits}f", x))
+    return F.when(size < 1e10, text).when(x.isNotNull(), F.format_string(f"%.{digits}f", x))

@@ -67,8 +67,8 @@ def number_rows(
 ) -> DataFrame:
     """Add the 0-based position of each row in the order ``(bucket, *order)`` of its group.
 
-    ``bucket`` must be an integer that grows with the wanted order and splits the
-    rows into pieces one task can sort.
+    ``bucket`` must be an integer, never NULL, that grows with the wanted order and
+    splits the rows into pieces one task can sort.
     """
     group = list(group)
     marked = df.withColumn("_bucket", bucket.cast("long"))
@@ -87,5 +87,5 @@ def number_rows(
 def with_position(
     df: DataFrame, order_col: str, out: str = "pos", group: Sequence[str] = (), block: int = BLOCK
 ) -> DataFrame:
-    """0-based rank of a unique integer column, gaps closed."""
+    """0-based rank of a unique integer column without NULLs, gaps closed."""
     return number_rows(df, F.floor(F.col(order_col) / block), [order_col], out, group)

@@ -69,13 +69,17 @@ def _word_key(word: Column) -> Column:
     )
 
 
-def encode_words(tokens: DataFrame, vocabulary: DataFrame, key: str) -> DataFrame:
-    """(key, ids) with the ids in text order.
+def encode_words(
+    tokens: DataFrame, vocabulary: DataFrame, key: str, hot: Sequence[HotKey] | None = ()
+) -> DataFrame:
+    """(key, ids) with the ids in text order; a word outside the vocabulary gets NULL.
 
     The head of the vocabulary, at most ``HEAD_WORDS`` keys of at most
     ``KEY_CHARS`` + 1 characters, is broadcast and settles nearly all tokens where
     they are read. A word past the head owns less than one token in ``HEAD_WORDS``
-    of the corpus, so the shuffle join that settles the rest has no hot key.
+    of the corpus, so the shuffle join that settles the rest has no hot key. That
+    holds for the vocabulary of the same corpus; with another one pass ``hot=None``
+    to have hot words looked for.
     """
     no_word = F.concat(F.lit("\u0001"), F.pmod(F.xxhash64(key), F.lit(NULL_KEYS)).cast("string"))
     keyed = tokens.withColumn("_key", F.coalesce(_word_key(F.col("word")), no_word))
@@ -83,7 +87,8 @@ def encode_words(tokens: DataFrame, vocabulary: DataFrame, key: str) -> DataFram
     head = ids.where(F.col("token_id") < FIRST_TOKEN_ID + HEAD_WORDS)
     tail = ids.where(F.col("token_id") >= FIRST_TOKEN_ID + HEAD_WORDS)
     frequent = keyed.join(F.broadcast(head), "_key")
-    rest = keyed.join(F.broadcast(head.select("_key")), "_key", "left_anti").join(tail, "_key", "left")
+    others = keyed.join(F.broadcast(head.select("_key")), "_key", "left_anti")
+    rest = join_unique(others, tail, "_key", [key, "pos"], how="left", hot=hot, small=False)
     entry = F.when(F.col("pos").isNotNull(), F.struct("pos", "token_id"))
     return (
         frequent.select(key, "pos", "token_id")

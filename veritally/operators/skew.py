@@ -36,9 +36,9 @@ def find_hot_keys(
 ) -> list[HotKey]:
     """Keys with more rows than one task should hold, with the number of tasks to use.
 
-    The sketch reports every key that owns more than a small fraction of all rows;
-    what it leaves out stays below that fraction and goes the plain way. Counts
-    only decide how far a key is spread, never what a query returns.
+    The sketch reports every key that owns more than about one row in 5,000; what it
+    leaves out stays below that and goes the plain way. Counts only decide how far a
+    key is spread, never what a query returns.
     """
     top = (
         df.where(F.col(key).isNotNull())
