@@ -17,6 +17,7 @@ from veritally.plans.score import score_rollouts
 from veritally.schemas import ROLLOUTS, require_columns
 from veritally.sources import problems as source
 from veritally.sources import sinks
+from veritally.sources.tables import read_records
 from veritally.streaming import scores as streaming
 from veritally.verification import views
 
@@ -120,7 +121,8 @@ def test_split_is_pruned_to_its_folder(spark, stored, problems):
 
 
 def test_filter_and_columns_reach_the_scan(spark, stored):
-    golds = spark.read.parquet(f"{stored}/rollouts").where("sample_idx = 0").select("problem_id")
+    stored_rollouts = read_records(spark, f"{stored}/rollouts", ROLLOUTS)
+    golds = stored_rollouts.where("sample_idx = 0").select("problem_id")
     text = plan(golds, "formatted")
     assert "EqualTo(sample_idx,0)" in text and "ReadSchema: struct<problem_id:bigint,sample_idx:int>" in text
 

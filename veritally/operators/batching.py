@@ -27,7 +27,7 @@ def assign_batches(
 def seeded_shuffle(
     df: DataFrame, id_col: str, seed: int, epoch: int = 0, out: str = "shuffle_pos"
 ) -> DataFrame:
-    """Number the rows in a random order that depends on seed and epoch only.
+    """Number the rows in a random order that depends on seed, epoch and a unique id only.
 
     Rows are bucketed by the first hex digits of an md5 key, which spreads them
     evenly whatever the ids look like; at most 65,536 bucket counts are summed up.

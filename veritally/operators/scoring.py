@@ -25,6 +25,7 @@ def attach_gold(
     problem_columns: Sequence[str] = (),
     hot: Sequence[HotKey] | None = None,
     keep_salt: bool = False,
+    small: bool | None = None,
 ) -> DataFrame:
     """Pair each completion's number with its problem's gold number.
 
@@ -38,7 +39,13 @@ def attach_gold(
         "problem_id", *problem_columns, extract_gold(F.col("answer")).alias("gt")
     )
     return join_unique(
-        predictions, golds, "problem_id", ["sample_idx"], hot=hot, keep_salt=keep_salt
+        predictions,
+        golds,
+        "problem_id",
+        ["sample_idx"],
+        hot=hot,
+        keep_salt=keep_salt,
+        small=small,
     )
 
 

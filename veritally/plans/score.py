@@ -20,13 +20,17 @@ def score_rollouts(
     carry: Sequence[str] = (),
     problem_columns: Sequence[str] = (),
     hot: Sequence[HotKey] | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """(problem_id, sample_idx, *carry, pred, *problem_columns, gt, reward, advantage).
 
     The join and the group mean share one partitioning by problem, so a large
     problem table costs one exchange per side and a broadcast one costs one in all.
+    ``small`` says whether the golds can be broadcast; None has their size checked.
     """
     hot = find_hot_keys(rollouts, "problem_id") if hot is None else hot
-    paired = attach_gold(rollouts, problems, carry, problem_columns, hot, keep_salt=True)
+    paired = attach_gold(
+        rollouts, problems, carry, problem_columns, hot, keep_salt=True, small=small
+    )
     scored = add_reward(paired, reward_fn, gold_precision)
     return group_advantage(scored, group_size, hot)

@@ -18,8 +18,9 @@ from veritally.operators.policy import (
     last_ppo_epoch_loss,
     policy_loss,
 )
-from veritally.operators.skew import HotKey
+from veritally.operators.skew import HotKey, fits_broadcast
 from veritally.plans.score import score_rollouts
+from veritally.workspace import materialize
 
 
 def batched_scores(
@@ -47,6 +48,7 @@ def batched_scores(
         carry=carry,
         problem_columns=["batch_id"],
         hot=hot,
+        small=fits_broadcast(problems.select("problem_id")),
     )
     return scored.withColumn("epoch", F.lit(epoch))
 
@@ -75,7 +77,8 @@ def training_metrics(
     """
     scored = batched_scores(
         rollouts, problems, seed, epoch, batch_size, reward_fn, gold_precision, ["seq_id"], hot_problems
-    )
+    ).select("seq_id", "epoch", "batch_id", "reward", "advantage")
+    scored = materialize(scored, "scores")  # used twice below; the texts are read once
     counts = in_loss(F.col("pos"), prompt_length) == 1
     sequences = scored.select("seq_id", "epoch", "batch_id", "advantage")
     weighted = broadcast_advantage(old.where(counts), sequences, hot_sequences)

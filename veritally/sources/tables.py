@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from veritally.schemas import require_columns
 
 
 def read_table(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
@@ -14,3 +17,8 @@ def read_table(spark: SparkSession, path: str, key: str | None = None) -> DataFr
     if key is None or df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, key)
+
+
+def read_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A stored table of one of the record types in ``schemas``; fails on missing or mistyped columns."""
+    return require_columns(spark.read.parquet(path), schema)
