@@ -28,7 +28,9 @@ HEADLINE = (
     "seeded_shuffle",
     "vocab_encode",
     "policy_loss",
+    "policy_loss_from_arrays",
     "training_metrics",
+    "training_metrics_from_arrays",
     "prepare_examples",
     "log_softmax",
     "streaming_scores",

@@ -30,6 +30,13 @@ MAX_LENGTH = 512
 TRAIN_BATCH_SIZE = 2
 EVAL_BATCH_SIZE = 32
 
+# --- displayed figures -----------------------------------------------------
+DECIMALS = 4
+EPOCH_HEADING = ("Epoch ", " Summary:")
+LOSS_LABEL = "  Average Loss: "
+REWARD_LABEL = "  Average Reward: "
+ACCURACY_LABEL = "Test Accuracy: "
+
 # --- comparison report -----------------------------------------------------
 REPORT_ROWS = 10
 ELLIPSIS_LENGTH = 50

@@ -89,7 +89,7 @@ def escape_markdown_cell(text: Column) -> Column:
     return F.replace(one_line, F.lit("|"), F.lit("\\|"))
 
 
-def fixed_decimals(x: Column, digits: int = 4) -> Column:
+def fixed_decimals(x: Column, digits: int = V.DECIMALS) -> Column:
     """A number as text with ``digits`` decimals and no thousands separator.
 
     Rounds the exact binary value, ties to even, as C and Python formatting do. The

@@ -53,6 +53,22 @@ def broadcast_advantage(
     return join_unique(tokens, advantages, "seq_id", ["pos"], hot=hot, small=False)
 
 
+def align_arrays(old: DataFrame, new: DataFrame, sequences: DataFrame) -> DataFrame:
+    """The same pairing for scores stored as one array per sequence.
+
+    ``old`` is (seq_id, lps), ``new`` is (seq_id, lps, ...) and ``sequences`` has one
+    row per sequence. Rows meet whole, so each table is shuffled once by sequence, and
+    tokens become rows (pos, old_lp, new_lp) only where they are summed up.
+    """
+    weighted = old.withColumnRenamed("lps", "_old").hint("merge").join(sequences, "seq_id")
+    rows = weighted.hint("merge").join(new.withColumnRenamed("lps", "_new"), "seq_id")
+    grid = F.arrays_zip(F.col("_old").alias("old_lp"), F.col("_new").alias("new_lp"))
+    kept = [c for c in rows.columns if c not in ("_old", "_new")]
+    return rows.select(*kept, F.posexplode(grid).alias("pos", "_token")).select(
+        *kept, "pos", "_token.old_lp", "_token.new_lp"
+    )
+
+
 def masked_mean(value: Column, mask: Column) -> Column:
     """``sum(value * mask) / sum(mask)``; NULL for an empty mask."""
     return F.try_divide(F.sum(value * mask), F.sum(mask))

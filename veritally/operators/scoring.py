@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from veritally import fixed_values as V
 from veritally.functions.rewards import RewardFn, binary_reward, with_gold_precision
 from veritally.functions.text import extract_gold, extract_prediction
-from veritally.operators.skew import SALT, HotKey, join_unique, with_group_stats
+from veritally.operators.skew import SALT, HotKey, fits_broadcast, join_unique, with_group_stats
 
 
 def fan_out_samples(problems: DataFrame, k: int = V.GROUP_SIZE) -> DataFrame:
@@ -29,23 +29,29 @@ def attach_gold(
 ) -> DataFrame:
     """Pair each completion's number with its problem's gold number.
 
-    Both texts are reduced to numbers before the join, so no text is shuffled.
     ``carry`` and ``problem_columns`` name further columns to keep of either side.
+    Next to a broadcast the completion is read after the join, so completions of
+    other problems cost no search. Before a shuffle it is reduced to its number
+    first, so no text is shuffled.
     """
-    predictions = rollouts.select(
-        "problem_id", "sample_idx", *carry, extract_prediction(F.col("completion")).alias("pred")
-    )
+    kept = ["problem_id", "sample_idx", *carry]
+    prediction = extract_prediction(F.col("completion")).alias("pred")
     golds = problems.select(
         "problem_id", *problem_columns, extract_gold(F.col("answer")).alias("gt")
     )
+    small = fits_broadcast(golds) if small is None else small
+    texts = rollouts.select(*kept, "completion")
+    if small:
+        paired = join_unique(texts, golds, "problem_id", ["sample_idx"], small=True)
+        return paired.select(*kept, prediction, *problem_columns, "gt")
     return join_unique(
-        predictions,
+        texts.select(*kept, prediction),
         golds,
         "problem_id",
         ["sample_idx"],
         hot=hot,
         keep_salt=keep_salt,
-        small=small,
+        small=False,
     )
 
 

@@ -1,11 +1,12 @@
 """Joins and group statistics that hold when one key owns a large share of the rows.
 
-``find_hot_keys`` runs one column-pruned pass with a mergeable frequent-items
-sketch, so nothing but a small sketch per task is shuffled and at most ``MAX_HOT``
-keys reach the driver. With no hot key (the usual case) every operator here is the
-plain Spark plan. Hot keys are spread over several tasks by a salt taken from the
-row's own columns and, so that equal copies part too, from the number of the input
-partition. Both stay the same when a lost task is run again.
+``find_hot_keys`` counts a small sample of the key column, which is all it reads, and
+brings at most ``MAX_HOT`` keys to the driver. With no hot key (the usual case) every
+operator here is the plain Spark plan. Hot keys are spread over several tasks by a
+salt taken from the row's own columns and, so that equal copies part too, from the
+number of the input partition. Both stay the same when a lost task is run again.
+
+The sample only decides how far a key is spread. Every row goes into every result.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import types as T
 ROWS_PER_TASK = 2_000_000
 BROADCAST_ROWS = 200_000
 MAX_HOT = 1024
-SKETCH_ITEMS = 16_384
+SAMPLE_ROWS = 4_000  # sampled rows of a key that is just hot: its count is then known within 5%
 SALT = "_salt"
 
 
@@ -36,17 +37,21 @@ def find_hot_keys(
 ) -> list[HotKey]:
     """Keys with more rows than one task should hold, with the number of tasks to use.
 
-    The sketch reports every key that owns more than about one row in 5,000; what it
-    leaves out stays below that and goes the plain way. Counts only decide how far a
-    key is spread, never what a query returns.
+    There are at most ``max_hot``; a key after those owns less than one row in
+    ``max_hot`` and goes the plain way.
     """
-    top = (
-        df.where(F.col(key).isNotNull())
-        .agg(F.call_function("approx_top_k", F.col(key), F.lit(max_hot), F.lit(SKETCH_ITEMS)).alias("top"))
-        .select(F.filter("top", lambda t: t["count"] > rows_per_task).alias("top"))
-        .first()
+    fraction = min(1.0, SAMPLE_ROWS / rows_per_task)
+    keys = df.select(key).where(F.col(key).isNotNull())
+    if fraction < 1.0:
+        keys = keys.sample(fraction, seed=1)
+    counts = (
+        keys.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > rows_per_task * fraction)
+        .orderBy(F.desc("n"), key)
+        .limit(max_hot)
     )
-    return [HotKey(t["item"], ceil(t["count"] / rows_per_task)) for t in (top["top"] or [])]
+    return [HotKey(r[key], ceil(r["n"] / fraction / rows_per_task)) for r in counts.collect()]
 
 
 def _hot_table(df: DataFrame, key: str, hot: Sequence[HotKey]) -> DataFrame:

@@ -13,6 +13,7 @@ from veritally.functions.tokens import in_loss
 from veritally.operators.batching import seeded_batches
 from veritally.operators.metrics import batch_mean_reward, running_reward
 from veritally.operators.policy import (
+    align_arrays,
     align_logprobs,
     broadcast_advantage,
     last_ppo_epoch_loss,
@@ -53,42 +54,57 @@ def batched_scores(
     return scored.withColumn("epoch", F.lit(epoch))
 
 
+def _stored_scores(scored: DataFrame) -> DataFrame:
+    """The narrow result of scoring, kept because rewards and advantages are used apart:
+    the texts are read once."""
+    return materialize(
+        scored.select("seq_id", "epoch", "batch_id", "reward", "advantage"), "scores"
+    )
+
+
+def _logged_metrics(scored: DataFrame, tokens: DataFrame, mask: Column, clip_eps: float) -> DataFrame:
+    """Batch figures from scored rollouts and their weighted tokens. Every batch has a
+    reward; a batch whose loss mask is empty keeps a NULL loss."""
+    losses = policy_loss(tokens, ["epoch", "batch_id", "ppo_epoch"], mask, clip_eps)
+    logged = last_ppo_epoch_loss(losses, ["epoch", "batch_id"])
+    batches = batch_mean_reward(scored).join(logged, ["epoch", "batch_id"], "left")
+    return running_reward(batches).select("epoch", "batch_id", "loss", "reward", "avg_reward")
+
+
 def training_metrics(
-    rollouts: DataFrame,
-    problems: DataFrame,
+    scored: DataFrame,
     old: DataFrame,
     new: DataFrame,
     prompt_length: Column,
-    seed: int,
-    epoch: int = 0,
-    batch_size: int = V.TRAIN_BATCH_SIZE,
     clip_eps: float = V.CLIP_EPS,
-    reward_fn: RewardFn = binary_reward,
-    gold_precision: str = "double",
-    hot_problems: Sequence[HotKey] | None = None,
     hot_sequences: Sequence[HotKey] | None = None,
 ) -> DataFrame:
     """(epoch, batch_id, loss, reward, avg_reward) for every batch of one epoch.
 
-    ``rollouts`` carries ``seq_id``; ``old`` is (seq_id, pos, lp) and ``new`` is
-    (ppo_epoch, seq_id, pos, lp). Prompt tokens are dropped before the joins: their
-    mask is 0, so they add nothing to either sum. Advantages go to the old scores
-    first: there is one per token, while the new ones repeat per PPO epoch.
+    ``scored`` comes from ``batched_scores`` and carries ``seq_id``; ``old`` is
+    (seq_id, pos, lp) and ``new`` is (ppo_epoch, seq_id, pos, lp). Prompt tokens are
+    dropped before the joins: their mask is 0, so they add nothing to either sum.
+    Advantages go to the old scores first: there is one per token, while the new ones
+    repeat per PPO epoch.
     """
-    scored = batched_scores(
-        rollouts, problems, seed, epoch, batch_size, reward_fn, gold_precision, ["seq_id"], hot_problems
-    ).select("seq_id", "epoch", "batch_id", "reward", "advantage")
-    scored = materialize(scored, "scores")  # used twice below; the texts are read once
+    scored = _stored_scores(scored)
     counts = in_loss(F.col("pos"), prompt_length) == 1
     sequences = scored.select("seq_id", "epoch", "batch_id", "advantage")
     weighted = broadcast_advantage(old.where(counts), sequences, hot_sequences)
-    losses = policy_loss(
-        align_logprobs(weighted, new.where(counts)),
-        ["epoch", "batch_id", "ppo_epoch"],
-        F.lit(1.0),
-        clip_eps,
-    )
-    logged = last_ppo_epoch_loss(losses, ["epoch", "batch_id"])
-    # Every batch has a reward; a batch whose loss mask is empty keeps a NULL loss.
-    batches = batch_mean_reward(scored).join(logged, ["epoch", "batch_id"], "left")
-    return running_reward(batches).select("epoch", "batch_id", "loss", "reward", "avg_reward")
+    tokens = align_logprobs(weighted, new.where(counts))
+    return _logged_metrics(scored, tokens, F.lit(1.0), clip_eps)
+
+
+def training_metrics_from_arrays(
+    scored: DataFrame,
+    old: DataFrame,
+    new: DataFrame,
+    prompt_length: Column,
+    clip_eps: float = V.CLIP_EPS,
+) -> DataFrame:
+    """The same figures from scores stored as one array per sequence: ``old`` is
+    (seq_id, lps) and ``new`` is (ppo_epoch, seq_id, lps). No token is shuffled by itself."""
+    scored = _stored_scores(scored)
+    sequences = scored.select("seq_id", "epoch", "batch_id", "advantage")
+    tokens = align_arrays(old, new, sequences)
+    return _logged_metrics(scored, tokens, in_loss(F.col("pos"), prompt_length), clip_eps)

@@ -240,6 +240,17 @@ ORACLE: dict[str, str] = {
         "printf('%.4f', avg(reward) over (partition by epoch order by batch_id)) as avg_reward from epoch_batches",
         "epoch_batches",
     ),
+    "epoch_summary_lines": sql(
+        f"""select epoch, cast(unnest([0, 1, 2]) as integer) as line_no,
+unnest(['Epoch ' || (epoch + 1) || ' Summary:', {_quoted(V.LOSS_LABEL)} || printf('%.4f', loss), {_quoted(V.REWARD_LABEL)} || printf('%.4f', reward)]) as line
+from (select epoch, avg(1 - reward) as loss, avg(reward) as reward from epoch_batches group by epoch)""",
+        "epoch_batches",
+    ),
+    "accuracy_line": sql(
+        f"select {_quoted(V.ACCURACY_LABEL)} || printf('%.4f', sum(reward) / count(*)) as line "
+        "from rewarded where split = 'test' and sample_idx = 0",
+        "rewarded",
+    ),
     "build_prompt": sql(f"select problem_id, {PROMPT} as prompt from problems", "problems"),
     "example_record": sql(
         f"""select problem_id, prompt, {_padded('ids', PROMPT_LENGTH)} as input_ids,
@@ -379,6 +390,7 @@ from (select *, max(len(ids)) over (partition by batch_id) - len(ids) as room fr
     ),
     "clipped_surrogate": sql(f"select seq_id, pos, {r6('loss')} as loss from token_losses", "token_losses"),
     "policy_loss": sql(f"select batch_id, ppo_epoch, {r6('loss')} as loss from losses", "losses"),
+    "policy_loss_from_arrays": sql(f"select batch_id, ppo_epoch, {r6('loss')} as loss from losses", "losses"),
     "streaming_scores": sql(
         "select batch_id, count(*) as n, avg(reward) as reward from rewarded group by batch_id", "rewarded"
     ),
@@ -405,6 +417,10 @@ from (select *, max(len(ids)) over (partition by batch_id) - len(ids) as room fr
         f"select epoch, batch_id, {r6('loss')} as loss, {r6('reward')} as reward, {r6('avg_reward')} as avg_reward from training",
         "training",
     ),
+    "training_metrics_from_arrays": sql(
+        f"select epoch, batch_id, {r6('loss')} as loss, {r6('reward')} as reward, {r6('avg_reward')} as avg_reward from training",
+        "training",
+    ),
     "prepare_examples": sql(
         f"""select problem_id, (row_number() over (order by problem_id) - 1) // {V.TRAIN_BATCH_SIZE} as batch_id, prompt,
 {_padded('ids', PROMPT_LENGTH)} as input_ids, {_mask('ids', PROMPT_LENGTH)} as attention_mask, gt

@@ -15,9 +15,9 @@ from veritally.plans.compare import compare_models
 from veritally.plans.evaluate import evaluate_split
 from veritally.plans.examples import PAD_ID, prepare_examples
 from veritally.plans.score import score_rollouts
-from veritally.plans.training import training_metrics
+from veritally.plans.training import batched_scores, training_metrics, training_metrics_from_arrays
 from veritally.sources import problems as problem_source
-from veritally.sources.sinks import metric_lines
+from veritally.sources.sinks import accuracy_line, metric_lines, summary_lines
 from veritally.streaming import scores as streaming
 from veritally.verification import views
 from veritally.workspace import fresh_path, materialize
@@ -91,14 +91,17 @@ def report_markdown(spark, d):
     return compare.markdown_lines(_report(spark, d, None))
 
 
+def _batched_scores(spark, d):
+    train = problem_source.load_split(views.problems(spark, d), "train")
+    return batched_scores(views.rollouts(spark, d), train, SEED, carry=["seq_id"])
+
+
 def _training(spark, d):
     return training_metrics(
-        views.rollouts(spark, d),
-        problem_source.load_split(views.problems(spark, d), "train"),
+        _batched_scores(spark, d),
         views.old_logprobs(spark, d),
         views.new_logprobs(spark, d),
         F.lit(views.PROMPT_TOKENS),
-        SEED,
     )
 
 
@@ -113,6 +116,16 @@ def metrics_log(spark, d):
     return metric_lines(metrics.running_reward(batches))
 
 
+def epoch_summary_lines(spark, d):
+    """Epoch summary as text, from batch rewards."""
+    batches = _batch_rewards(spark, d).withColumn("loss", F.lit(1.0) - F.col("reward"))
+    return summary_lines(metrics.epoch_mean_of_means(batches))
+
+
+def accuracy_text(spark, d):
+    return accuracy_line(evaluate_split(views.model_completions(spark, d, 0), views.problems(spark, d)))
+
+
 # --- projections and extraction -------------------------------------------
 
 
@@ -288,6 +301,17 @@ def policy_loss(spark, d):
     return _losses(spark, d).select("batch_id", "ppo_epoch", r6("loss").alias("loss"))
 
 
+def policy_loss_from_arrays(spark, d):
+    aligned = policy.align_arrays(
+        views.old_logprob_arrays(spark, d),
+        views.new_logprob_arrays(spark, d),
+        views.sequence_advantages(spark, d),
+    )
+    mask = tokens.in_loss(F.col("pos"), F.lit(views.PROMPT_TOKENS))
+    found = policy.policy_loss(aligned, ["batch_id", "ppo_epoch"], mask)
+    return found.select("batch_id", "ppo_epoch", r6("loss").alias("loss"))
+
+
 def last_ppo_epoch_loss(spark, d):
     return policy.last_ppo_epoch_loss(_losses(spark, d)).select("batch_id", r6("loss").alias("loss"))
 
@@ -495,9 +519,22 @@ def compared_models_whole_split(spark, d):
     return _report(spark, d, None)
 
 
+def _rounded_metrics(found):
+    return found.withColumns({c: r6(c) for c in ("loss", "reward", "avg_reward")})
+
+
 def training(spark, d):
-    rounded = {c: r6(c) for c in ("loss", "reward", "avg_reward")}
-    return _training(spark, d).withColumns(rounded)
+    return _rounded_metrics(_training(spark, d))
+
+
+def training_from_arrays(spark, d):
+    found = training_metrics_from_arrays(
+        _batched_scores(spark, d),
+        views.old_logprob_arrays(spark, d),
+        views.new_logprob_arrays(spark, d),
+        F.lit(views.PROMPT_TOKENS),
+    )
+    return _rounded_metrics(found)
 
 
 def prepared_examples(spark, d):
@@ -513,6 +550,8 @@ QUERIES: dict[str, Query] = {
     "report_markdown": report_markdown,
     "epoch_metrics": epoch_metrics,
     "metrics_log": metrics_log,
+    "epoch_summary_lines": epoch_summary_lines,
+    "accuracy_line": accuracy_text,
     "build_prompt": build_prompt,
     "example_record": example_record,
     "truncate_text": truncate_text,
@@ -562,6 +601,7 @@ QUERIES: dict[str, Query] = {
     "clip_ratio": clip_ratio,
     "clipped_surrogate": clipped_surrogate,
     "policy_loss": policy_loss,
+    "policy_loss_from_arrays": policy_loss_from_arrays,
     "streaming_scores": streaming_scores,
     "streaming_advantages": streaming_advantages,
     "score_rollouts": scored_rollouts,
@@ -571,5 +611,6 @@ QUERIES: dict[str, Query] = {
     "compare_models": compared_models,
     "compare_models_whole_split": compared_models_whole_split,
     "training_metrics": training,
+    "training_metrics_from_arrays": training_from_arrays,
     "prepare_examples": prepared_examples,
 }

@@ -134,6 +134,34 @@ def new_logprobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _rollout_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scores of ``rollout_tokens`` as two arrays per rollout."""
+    words_of = F.split(F.concat(F.lit("Answer: now "), F.col("completion")), " ")
+    lp = F.transform("ws", lambda w: F.lit(0.0) - F.length(w) / F.lit(10.0))
+    delta = F.transform(
+        "ws", lambda w, i: ((F.col("problem_id") + i * 3 + F.length(w)) % 19 - 8) / F.lit(25.0)
+    )
+    rows = rollouts(spark, sf_dir).select("problem_id", "seq_id", words_of.alias("ws"))
+    return rows.select("seq_id", lp.alias("lps"), delta.alias("deltas"))
+
+
+def old_logprob_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rollout_arrays(spark, sf_dir).select("seq_id", "lps")
+
+
+def new_logprob_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    step = F.array(*(F.lit(s) for s in PPO_STEPS))
+    return (
+        _rollout_arrays(spark, sf_dir)
+        .select("seq_id", "lps", "deltas", F.posexplode(step).alias("ppo_epoch", "step"))
+        .select(
+            "ppo_epoch",
+            "seq_id",
+            F.zip_with("lps", "deltas", lambda lp, d: lp + d * F.col("step")).alias("lps"),
+        )
+    )
+
+
 def sequence_advantages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stand-in advantage and batch per rollout, for the token operators on their own."""
     return rollouts(spark, sf_dir).select(
