@@ -1,3 +1,5 @@
+import contextlib
+import io
 import os
 import sys
 
@@ -20,6 +22,13 @@ def sf_dir():
     return SF_DIR
 
 
+def plan(df, mode="simple"):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain(mode)
+    return out.getvalue()
+
+
 def rows(df, *order):
     """Rows as tuples, sorted by the given columns or by all."""
     got = [tuple(r) for r in df.collect()]

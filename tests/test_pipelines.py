@@ -1,16 +1,14 @@
 """Pipelines, reports, sinks and streams, with their plans."""
 
-import contextlib
-import io
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan, rows
 from veritally import fixed_values as V
 from veritally.functions.text import extract_prediction
-from veritally.operators import compare, metrics, scoring
+from veritally.operators import compare, metrics, policy, scoring
 from veritally.plans.compare import compare_models
 from veritally.plans.evaluate import evaluate_split
 from veritally.plans.score import score_rollouts
@@ -22,13 +20,6 @@ from veritally.streaming import scores as streaming
 from veritally.verification import views
 
 
-def plan(df, mode="simple"):
-    out = io.StringIO()
-    with contextlib.redirect_stdout(out):
-        df.explain(mode)
-    return out.getvalue()
-
-
 @pytest.fixture(scope="module")
 def problems(spark, sf_dir):
     return views.problems(spark, sf_dir)
@@ -84,6 +75,17 @@ def test_score_plan_has_one_exchange_per_side(spark, stored, problems):
     assert "Python" not in text
 
 
+def test_each_token_table_is_shuffled_once(spark):
+    """Sequence advantages, old scores and new scores meet in one partitioning."""
+    old = spark.range(100).select((F.col("id") / 10).cast("long").alias("seq_id"), (F.col("id") % 10).cast("int").alias("pos"), F.lit(-1.0).alias("lp"))
+    new = old.crossJoin(spark.range(3).select(F.col("id").cast("int").alias("ppo_epoch")))
+    adv = spark.range(10).select(F.col("id").alias("seq_id"), F.lit(0).alias("batch_id"), F.lit(0.5).alias("advantage"))
+    weighted = policy.broadcast_advantage(old, adv, ())
+    text = plan(policy.policy_loss(policy.align_logprobs(weighted, new), ["batch_id", "ppo_epoch"], F.lit(1.0)))
+    assert text.count("Exchange hashpartitioning(seq_id") == 3
+    assert text.count("SortMergeJoin") == 2
+
+
 def test_small_problem_table_is_broadcast(rollouts, problems):
     text = plan(score_rollouts(rollouts, problems, hot=()))
     assert "BroadcastHashJoin" in text and "BuildRight" in text and "SortMergeJoin" not in text
@@ -180,14 +182,14 @@ def test_report(tiny, tmp_path):
     form = "{:<5} | {:<50} | {:<10} | {:<50} | {:<10} | {:<50} | {:<10}"
     assert fixed[0] == form.format(*V.REPORT_COLUMNS) and fixed[1] == "-" * 200
     assert fixed[2:] == [form.format(*r) for r in got]
-    sinks.write_report(compare.markdown_lines(report), str(tmp_path / "md"))
+    sinks.write_report(compare.markdown_lines(report), str(tmp_path / "md"), single_file=True)
     (part,) = [f for f in os.listdir(tmp_path / "md") if f.startswith("part")]
     assert (tmp_path / "md" / part).read_text().splitlines() == lines
 
 
 def test_report_of_a_whole_split_in_parts(spark, tiny, tmp_path):
     lines = compare.markdown_lines(compare_models(*tiny, n=None))
-    sinks.write_report(lines, str(tmp_path / "md"), single_file=False)
+    sinks.write_report(lines, str(tmp_path / "md"))
     parts = sorted(f for f in os.listdir(tmp_path / "md") if f.startswith("part"))
     text = "".join((tmp_path / "md" / p).read_text() for p in parts)
     assert text.splitlines() == [r[1] for r in rows(lines)]

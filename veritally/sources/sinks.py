@@ -20,11 +20,10 @@ def append_metrics(metrics: DataFrame, path: str) -> None:
     )
 
 
-def write_report(lines: DataFrame, path: str, single_file: bool = True) -> None:
-    """Write report lines as text in ``line_no`` order.
+def write_report(lines: DataFrame, path: str, single_file: bool = False) -> None:
+    """Write report lines as text in ``line_no`` order, in files whose names sort in that order.
 
-    ``single_file`` is for reports over the first n questions. For a report over a
-    whole split pass False: it becomes several files whose names sort in line order.
+    ``single_file`` forces one file, hence one task: only for reports over the first n questions.
     """
     ordered = lines.orderBy("line_no").select("line")
     (ordered.coalesce(1) if single_file else ordered).write.mode("overwrite").text(path)
