@@ -18,8 +18,10 @@ from __future__ import annotations
 import base64
 import importlib.util
 import os
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,29 +42,6 @@ SCHEMA = (
 )
 
 
-class _Words(dict):
-    """Ids, as bytes, of words that follow ``lead``; None for one that may not be encoded by itself.
-
-    When full, the words become the old ones, from which those that come again are taken back.
-    """
-
-    def __init__(self, encoding, lead: str):
-        super().__init__()
-        self.encoding, self.lead, self.old = encoding, lead, {}
-
-    def __missing__(self, word: str) -> bytes | None:
-        if len(self) >= WORDS_KEPT:
-            self.old = dict(self)
-            self.clear()
-        found = self.old.get(word)
-        if found is None:
-            alone = word and not (word[0].isspace() or word[-1].isspace())
-            ids = self.encoding.encode_ordinary(self.lead + word) if alone else None
-            found = None if ids is None else np.array(ids, dtype="<u4").tobytes()
-        self[word] = found
-        return found
-
-
 class Encoder:
     """Byte-level BPE of a vocabulary file, with the ids of frequent words kept.
 
@@ -84,17 +63,44 @@ class Encoder:
         spec.loader.exec_module(module)
         self.end = max(ranks.values()) + 1
         self.encoding = tiktoken.Encoding("packing", pat_str=module.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.first, self.later = _Words(self.encoding, ""), _Words(self.encoding, " ")
-
-    def ids(self, text: str | None) -> np.ndarray:
-        """The ids of a text and the end mark."""
+        self.opens = np.array([t.startswith(b" ") for t, _ in sorted(ranks.items(), key=lambda x: x[1])])
+        self.known: dict[str, bytes | None] = {}
+        self.older: dict[str, bytes | None] = {}
+
+    def _learn(self, words: set[str]) -> None:
+        """Encode words in one go; a token that begins with a space begins the next word."""
+        again = words & self.older.keys()
+        self.known.update((w, self.older[w]) for w in again)
+        fresh = []
+        for w in words - again:
+            if not w or w[0].isspace() or w[-1].isspace():
+                self.known[w] = None
+            else:
+                fresh.append(w)
+        if fresh:
+            ids = self.encoding.encode_to_numpy(" " + " ".join(fresh), disallowed_special=())
+            cuts = np.append(np.flatnonzero(self.opens[ids]), len(ids)) * 4
+            line = ids.astype(np.uint32).tobytes()
+            self.known.update((w, line[i:j]) for w, i, j in zip(fresh, cuts, cuts[1:]))
+
+    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """For each text its ids and the end mark."""
         mark = np.uint32(self.end).tobytes()
-        words = (text or "").split(" ")
-        try:
-            found = b"".join([self.first[words[0]], *map(self.later.__getitem__, words[1:]), mark])
-        except TypeError:  # a None among the words
-            found = np.array(self.encoding.encode_ordinary(text or ""), dtype="<u4").tobytes() + mark
-        return np.frombuffer(found, dtype="<u4")
+        words = [(t or "").split(" ") for t in texts]
+        if len(self.known) >= WORDS_KEPT:  # those that come again are taken back from the older ones
+            self.known, self.older = {}, self.known
+        later = set(chain.from_iterable(w[1:] for w in words))
+        self._learn(later - self.known.keys())
+        known = self.known
+        for text, (first, *rest) in zip(texts, words):
+            try:
+                if first and first[-1].isspace():
+                    raise TypeError
+                found = b"".join([*map(known.__getitem__, rest), mark])
+                found = array("I", self.encoding.encode_ordinary(first)).tobytes() + found
+            except TypeError:  # white space next to a space
+                found = array("I", self.encoding.encode_ordinary(text)).tobytes() + mark
+            yield np.frombuffer(found, dtype=np.uint32)
 
     def text(self, ids: np.ndarray) -> str:
         """The text of one document's ids, end mark included."""
@@ -221,10 +227,10 @@ def pack(
             return pa.RecordBatch.from_arrays(arrays, names=list(columns))
 
         for batch in sliced(batches, "_text"):
-            for k, t in zip(batch.column("_key").to_pylist(), texts_of(batch, "_text")):
+            for k, ids in zip(batch.column("_key").to_pylist(), tokenizer.encode(texts_of(batch, "_text"))):
                 keys.append(k)
-                tokens.append(tokenizer.ids(t))
-                size += len(tokens[-1])
+                tokens.append(ids)
+                size += len(ids)
                 if size >= block_tokens:
                     yield packed()
                     keys, tokens, size, block = [], [], 0, block + 1

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritally.llm import language, packing, pii
+from veritally.llm import language, merkle, mixing, packing, pii, secrets, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -21,12 +21,32 @@ def op3_token_packing(spark, d):
     return packing.pack(_read(spark, d, "documents"))
 
 
+def op6_source_mix(spark, d):
+    return mixing.document_mix(_read(spark, d, "documents"))
+
+
+def op7_url_filter(spark, d):
+    return urls.page_verdicts(_read(spark, d, "pages"), _read(spark, d, "labels"))
+
+
 def op8_personal_data(spark, d):
     return pii.document_personal_data(_read(spark, d, "documents"))
 
 
+def op9_fingerprints(spark, d):
+    return merkle.document_fingerprints(_read(spark, d, "documents"))
+
+
+def op10_secrets(spark, d):
+    return secrets.document_secrets(_read(spark, d, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op3_token_packing": op3_token_packing,
+    "op6_source_mix": op6_source_mix,
+    "op7_url_filter": op7_url_filter,
     "op8_personal_data": op8_personal_data,
+    "op9_fingerprints": op9_fingerprints,
+    "op10_secrets": op10_secrets,
 }
