@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+import json
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,12 +45,17 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def is_set(bitmap: Sequence[int], key: Column) -> Column:
-    """Whether the bit of ``key`` (a long hash) is set in ``bitmap``, an array of longs."""
-    bits = len(bitmap) * 64
-    place = F.pmod(key, F.lit(bits))
-    word = F.get(F.lit(np.asarray(bitmap, dtype=np.int64)), F.shiftright(place, 6).cast("int"))
-    return F.shiftrightunsigned(word, place.bitwiseAND(63).cast("int")).bitwiseAND(F.lit(1)) == 1
+def is_set(bitmap: np.ndarray, *keys: Column) -> list[Column]:
+    """For each long hash, whether its bit is set in ``bitmap``, an array of longs. The map goes into the plan
+    as one text, which Spark turns into a constant."""
+    words = F.from_json(F.lit(json.dumps(bitmap.tolist())), "array<bigint>")
+    out = []
+    for key in keys:
+        place = F.pmod(key, F.lit(len(bitmap) * 64))
+        word = F.get(words, F.shiftright(place, 6).cast("int"))
+        bit = F.call_function("shiftrightunsigned", word, place.bitwiseAND(63).cast("int"))
+        out.append(F.coalesce(bit.bitwiseAND(F.lit(1)) == 1, F.lit(False)))
+    return out
 
 
 def bitmap_of(keys: DataFrame, key: str, bits: int = BITMAP_BITS) -> np.ndarray:
@@ -87,6 +93,7 @@ def drop_listed(rows: DataFrame, listed: DataFrame, key: str) -> DataFrame:
     if is_small(listed):
         return rows.join(F.broadcast(listed), F.col(key) == F.col("_listed"), "left_anti")
     bitmap = bitmap_of(listed.select(F.xxhash64("_listed").alias("h")), "h")
-    maybe = F.coalesce(is_set(bitmap, F.xxhash64(F.col(key))), F.lit(False))
+    (maybe,) = is_set(bitmap, F.xxhash64(F.col(key)))
+    maybe &= F.col(key).isNotNull()
     rest = rows.where(maybe).join(listed, F.col(key) == F.col("_listed"), "left_anti")
     return rows.where(~maybe).unionByName(rest)

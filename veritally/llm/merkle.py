@@ -152,7 +152,7 @@ def _rows_of(rows: DataFrame, heads: DataFrame) -> DataFrame:
     if is_small(listed):
         return rows.join(F.broadcast(listed), "_k", "left_semi")
     bitmap = bitmap_of(listed.select(F.xxhash64("_k").alias("h")), "h")
-    return rows.where(is_set(bitmap, F.xxhash64("_k"))).join(listed, "_k", "left_semi")
+    return rows.where(*is_set(bitmap, F.xxhash64("_k"))).join(listed, "_k", "left_semi")
 
 
 def document_fingerprints(docs: DataFrame) -> DataFrame:
