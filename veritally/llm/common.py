@@ -45,29 +45,37 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def is_set(bitmap: np.ndarray, *keys: Column) -> list[Column]:
-    """For each long hash, whether its bit is set in ``bitmap``, an array of longs. The map goes into the plan
-    as one text, which Spark turns into a constant."""
-    words = F.from_json(F.lit(json.dumps(bitmap.tolist())), "array<bigint>")
-    out = []
-    for key in keys:
-        place = F.pmod(key, F.lit(len(bitmap) * 64))
+def _places(key: Column, bits: int) -> list[Column]:
+    """The two bits of a long hash."""
+    return [F.pmod(k, F.lit(bits)) for k in (key, F.shiftright(key, 32))]
+
+
+def bitmap_literal(bitmap: np.ndarray) -> Column:
+    """A bitmap as a constant: it goes into the plan as one text that Spark reads once."""
+    return F.from_json(F.lit(json.dumps(bitmap.tolist())), "array<bigint>")
+
+
+def is_set(words: Column, bits: int, key: Column) -> Column:
+    """Whether both bits of the long hash ``key`` are set in the array of longs ``words``; false for NULL."""
+    both = F.lit(True)
+    for place in _places(key, bits):
         word = F.get(words, F.shiftright(place, 6).cast("int"))
         bit = F.call_function("shiftrightunsigned", word, place.bitwiseAND(63).cast("int"))
-        out.append(F.coalesce(bit.bitwiseAND(F.lit(1)) == 1, F.lit(False)))
-    return out
+        both &= bit.bitwiseAND(F.lit(1)) == 1
+    return F.coalesce(both, F.lit(False))
 
 
 def bitmap_of(keys: DataFrame, key: str, bits: int = BITMAP_BITS) -> np.ndarray:
-    """A bit for each value of the long column ``key``, modulo ``bits``.
+    """Two bits for each value of the long column ``key``, in an array of longs.
 
     The driver gets at most ``bits / 64`` rows of one long each, whatever the number of keys.
     Further keys only fill the map, so that it rules out less.
     """
-    place = F.pmod(F.col(key), F.lit(bits))
+    place = F.explode(F.array(*_places(F.col(key), bits)))
     words = (
         keys.where(F.col(key).isNotNull())
-        .select(F.shiftright(place, 6).cast("int").alias("at"), place.bitwiseAND(63).cast("int").alias("bit"))
+        .select(place.alias("place"))
+        .select(F.shiftright("place", 6).cast("int").alias("at"), F.col("place").bitwiseAND(63).cast("int").alias("bit"))
         .groupBy("at")
         .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit"))).alias("word"))
         .toArrow()
@@ -93,7 +101,6 @@ def drop_listed(rows: DataFrame, listed: DataFrame, key: str) -> DataFrame:
     if is_small(listed):
         return rows.join(F.broadcast(listed), F.col(key) == F.col("_listed"), "left_anti")
     bitmap = bitmap_of(listed.select(F.xxhash64("_listed").alias("h")), "h")
-    (maybe,) = is_set(bitmap, F.xxhash64(F.col(key)))
-    maybe &= F.col(key).isNotNull()
+    maybe = F.col(key).isNotNull() & is_set(bitmap_literal(bitmap), BITMAP_BITS, F.xxhash64(F.col(key)))
     rest = rows.where(maybe).join(listed, F.col(key) == F.col("_listed"), "left_anti")
     return rows.where(~maybe).unionByName(rest)

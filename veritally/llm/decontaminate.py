@@ -14,13 +14,12 @@ that repeat a doc_id or an item_id count as one document or item. Empty tables g
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veritally.llm.common import bitmap_of, drop_listed, is_set, is_small
+from veritally.llm.common import bitmap_literal, bitmap_of, drop_listed, is_set, is_small
 from veritally.workspace import materialize
 
 # 1 keeps a word, 0 ignores it. Six words each, over windows of seven to nine.
@@ -33,34 +32,53 @@ MAX_ITEMS = 20_000  # benchmark items whose seeds are broadcast; beyond, the joi
 SPACES = r"[\x20\x09-\x0D]+"
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)``, with the value computed once and not at each place it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def words(text: Column) -> Column:
-    """Lower-cased (A-Z) words as hashes."""
-    lowered = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.transform(F.filter(F.split(lowered, SPACES), lambda w: w != ""), lambda w: F.xxhash64(w))
+    """Lower-cased words as hashes."""
+    return F.transform(F.filter(F.split(F.lower(text), SPACES), lambda w: w != ""), lambda w: F.xxhash64(w))
+
+
+def _seeds(number: int, mask: str, words: Column) -> Column:
+    """The seeds of one mask at places 0, 1, and so on of an array of words, as far as the mask fits."""
+    kept = [i for i, bit in enumerate(mask) if bit == "1"]
+    starts = F.slice(words, F.lit(1), F.greatest(F.size(words) - (len(mask) - 1), F.lit(0)))
+    return F.transform(starts, lambda w, i: F.xxhash64(F.lit(number), w, *(F.get(words, i + k) for k in kept[1:])))
 
 
-def _windows(rows: DataFrame, kept: Sequence[str], masks: Sequence[str]) -> DataFrame:
-    """One row per window of ``_words``: its place ``_at`` and one seed per mask, NULL where the mask does not fit."""
-    longest = max(map(len, masks))
-    n = F.size("_words")
-    zipped = F.arrays_zip(*(F.slice("_words", F.lit(i + 1), F.greatest(n - i, F.lit(0))).alias(f"w{i}") for i in range(longest)))
-    exploded = rows.select(*kept, "_words", F.posexplode(zipped).alias("_at", "_w"))
+def _windows(words: Column, masks: Sequence[str], wanted: Callable[[Column], Column], reach: int) -> Column:
+    """All windows whose seed is ``wanted``, as (at, seed, from, around): the words within ``reach`` and where they begin.
 
-    def seed(number: int, mask: str) -> Column:
-        used = [F.col(f"_w.w{i}") for i, bit in enumerate(mask) if bit == "1"]
-        return F.when(used[-1].isNotNull(), F.xxhash64(F.lit(number), *used))
+    ``words`` is bound to a lambda variable, so that it is computed once per row.
+    """
+    width = F.lit(2 * reach + max(map(len, masks)))
 
-    return exploded.select(*kept, "_words", "_at", *(seed(i, m).alias(f"_seed{i}") for i, m in enumerate(masks)))
+    def of_words(ws: Column) -> Column:
+        def window(seed: Column, at: Column) -> Column:
+            first = F.greatest(at - reach, F.lit(0))
+            return F.struct(
+                at.alias("at"), seed.alias("seed"), first.alias("from"), F.slice(ws, first + F.lit(1), width).alias("around")
+            )
 
+        found = [
+            F.filter(F.transform(_seeds(n, m, ws), lambda s, i: F.when(wanted(s), window(s, i))), lambda x: x.isNotNull())
+            for n, m in enumerate(masks)
+        ]
+        return F.concat(*found)
 
-def benchmark_seeds(items: DataFrame, text: str, key: str, masks: Sequence[str]) -> DataFrame:
-    """(item, item_words, item_at, seed) for every window and mask of every item long enough."""
+    return _bound(words, of_words)
+
+
+def benchmark_seeds(items: DataFrame, text: str, key: str, masks: Sequence[str], reach: int = REACH) -> DataFrame:
+    """(item, item_words, seed, item_at, item_from, item_around) for every window and mask of every item long enough."""
     rows = items.select(F.col(key).alias("item"), words(F.col(text)).alias("_words"))
     rows = rows.where(F.size("_words") >= max(map(len, masks))).groupBy("item").agg(F.max("_words").alias("_words"))
-    windows = _windows(rows, ["item"], masks)
-    seeds = F.explode(F.array(*(f"_seed{i}" for i in range(len(masks)))))
-    return windows.select("item", F.col("_words").alias("item_words"), F.col("_at").alias("item_at"), seeds.alias("seed")).where(
-        "seed is not null"
+    found = F.explode(_windows(F.col("_words"), masks, lambda _: F.lit(True), reach)).alias("w")
+    return rows.select("item", F.size("_words").alias("item_words"), found).select(
+        "item", "item_words", "w.seed", *(F.col(f"w.{c}").alias(f"item_{c}") for c in ("at", "from", "around"))
     )
 
 
@@ -70,12 +88,15 @@ def _agreement(ours: Column, theirs: Column, offset: Column, span: int) -> Colum
     same = F.transform(theirs, lambda w, i: F.when(F.get(ours, offset + i) == w, F.lit(1)).otherwise(F.lit(0)))
     start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("best"), F.lit(0).alias("at"))
 
-    def slide(acc: Column, x: Column) -> Column:
-        left = F.when(acc["at"] >= span, F.get(same, acc["at"] - span)).otherwise(F.lit(0))
-        now = acc["now"] + x - left
-        return F.struct(now.alias("now"), F.greatest(acc["best"], now).alias("best"), (acc["at"] + 1).alias("at"))
+    def most(bits: Column) -> Column:
+        def slide(acc: Column, x: Column) -> Column:
+            left = F.when(acc["at"] >= span, F.get(bits, acc["at"] - span)).otherwise(F.lit(0))
+            now = acc["now"] + x - left
+            return F.struct(now.alias("now"), F.greatest(acc["best"], now).alias("best"), (acc["at"] + 1).alias("at"))
 
-    return F.aggregate(same, start, slide, lambda acc: acc["best"])
+        return F.aggregate(bits, start, slide, lambda acc: acc["best"])
+
+    return _bound(same, most)
 
 
 def find_leaks(
@@ -92,30 +113,21 @@ def find_leaks(
     """(doc_id, item_id, agreeing, of_words, doc_at, item_at) for every document and item that overlap: the best agreement
     found, out of how many words, and the first place of a hit with it."""
     seeds = materialize(benchmark_seeds(items, item_text, item_key, masks), "seeds")
-    bitmap = bitmap_of(seeds, "seed", SEED_BITS)
-    rows = docs.select(F.col(key).alias("doc_id"), words(F.col(text)).alias("_words"))
-    windows = _windows(rows, ["doc_id"], masks)
-    names = [f"_seed{i}" for i in range(len(masks))]
-    likely = reduce(lambda a, b: a | b, is_set(bitmap, *(F.col(c) for c in names)))
-    around = F.slice("_words", F.greatest(F.col("_at") - REACH, F.lit(0)) + 1, F.lit(2 * REACH + max(map(len, masks))))
-    likely_windows = windows.where(likely).select("doc_id", "_at", around.alias("_around"), F.explode(F.array(*names)).alias("seed"))
-
+    bitmap = bitmap_literal(bitmap_of(seeds, "seed", SEED_BITS))
+    likely = _windows(words(F.col(text)), masks, lambda seed: is_set(bitmap, SEED_BITS, seed), REACH)
+    windows = docs.select(F.col(key).alias("doc_id"), F.explode(likely).alias("w")).select("doc_id", "w.*")
     small = is_small(seeds.select("item").distinct(), MAX_ITEMS)
-    short = seeds.withColumns(
+    hits = windows.join(F.broadcast(seeds) if small else seeds.hint("merge"), "seed")
+    # Word j of item_around lies beside word at - item_at + item_from + j of the text.
+    offset = F.col("at") - F.col("item_at") + F.col("item_from") - F.col("from")
+    scored = hits.withColumns(
         {
-            "item_from": F.greatest(F.col("item_at") - REACH, F.lit(0)),
-            "item_around": F.slice("item_words", F.greatest(F.col("item_at") - REACH, F.lit(0)) + 1, F.lit(2 * REACH + max(map(len, masks)))),
-            "of_words": F.least(F.lit(span), F.size("item_words")),
+            "agreeing": _agreement(F.col("around"), F.col("item_around"), offset, span),
+            "of_words": F.least(F.lit(span), F.col("item_words")),
         }
-    ).drop("item_words")
-    hits = likely_windows.join(F.broadcast(short) if small else short.hint("merge"), "seed")
-    # Word j of item_around lies beside word (at - item_at) + item_from + j of the text.
-    text_from = F.greatest(F.col("_at") - REACH, F.lit(0))
-    offset = F.col("_at") - F.col("item_at") + F.col("item_from") - text_from
-    agreeing = _agreement(F.col("_around"), F.col("item_around"), offset, span)
-    scored = hits.withColumn("agreeing", agreeing).where(F.col("agreeing") >= F.col("of_words") * F.lit(agree))
+    ).where(F.col("agreeing") >= F.col("of_words") * F.lit(agree))
     best = F.min_by(
-        F.struct("agreeing", "of_words", F.col("_at").alias("doc_at"), "item_at"), F.struct(-F.col("agreeing"), "_at", "item_at")
+        F.struct("agreeing", "of_words", F.col("at").alias("doc_at"), "item_at"), F.struct(-F.col("agreeing"), "at", "item_at")
     )
     return (
         scored.groupBy("doc_id", F.col("item").alias("item_id"))
