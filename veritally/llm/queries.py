@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritally.llm import decontaminate, language, merkle, mixing, packing, pii, secrets, urls
+from veritally.llm import decontaminate, jaccard, language, merkle, mixing, packing, pii, secrets, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op3_token_packing(spark, d):
     return packing.pack(_read(spark, d, "documents"))
 
 
+def op4_jaccard_join(spark, d):
+    return jaccard.document_components(_read(spark, d, "documents"))
+
+
 def op5_decontamination(spark, d):
     return decontaminate.document_leaks(_read(spark, d, "documents"), _read(spark, d, "benchmark"))
 
@@ -48,6 +52,7 @@ def op10_secrets(spark, d):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op3_token_packing": op3_token_packing,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_decontamination": op5_decontamination,
     "op6_source_mix": op6_source_mix,
     "op7_url_filter": op7_url_filter,
