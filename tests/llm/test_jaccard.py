@@ -44,7 +44,7 @@ def by_all_pairs(docs, width, threshold):
 
 def found(spark, docs, **options):
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    return sorted(map(tuple, jaccard.jaccard_components(df, **options).drop("class_id").collect()), key=str)
+    return sorted(map(tuple, jaccard.jaccard_components(df, **options).drop("component").collect()), key=str)
 
 
 def corpus(seed, n=150):

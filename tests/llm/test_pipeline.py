@@ -1,0 +1,121 @@
+"""The pipeline and its stages against plain Python."""
+
+import math
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from test_jaccard import WORD, by_all_pairs, corpus
+
+import corpus_pipeline
+from veritally.llm import jaccard, mixing, packing
+from veritally.llm.language import document_languages
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="module")
+def stages(spark, sf_dir, tmp_path_factory):
+    """The input and output of every stage, stored."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    out = []
+    for name, function in corpus_pipeline.STAGES:
+        path = str(tmp_path_factory.mktemp("stages") / name)
+        function(spark, docs, sf_dir).write.parquet(path)
+        out.append((docs, spark.read.parquet(path)))
+        docs = out[-1][1]
+    return dict(zip([n for n, _ in corpus_pipeline.STAGES], out))
+
+
+def ids(df):
+    return sorted(r[0] for r in df.select("doc_id").collect())
+
+
+def test_columns(stages):
+    for name, (before, after) in stages.items():
+        if name != "token_packing":
+            assert after.columns == before.columns
+
+
+def test_known_languages_stay(stages):
+    before, after = stages["language_id"]
+    guesses = {r["doc_id"]: r for r in document_languages(before).collect()}
+    assert ids(after) == sorted(d for d, r in guesses.items() if r["lang_pred"] != "und" and r["score"] >= 0.5)
+
+
+def test_one_of_each_group_stays(stages):
+    before, after = stages["jaccard_join"]
+    docs = [(r["doc_id"], r["text"]) for r in before.collect()]
+    assert ids(after) == sorted({c for _, _, c in by_all_pairs(docs, 5, 80)})
+
+
+def test_no_passage_stays(spark, stages, sf_dir):
+    before, after = stages["decontamination"]
+    items = [WORD.findall(r["text"].lower()) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    eights = {tuple(w[i : i + 8]) for w in items for i in range(len(w) - 7)}
+
+    def leaks(text):
+        w = WORD.findall(text.lower())
+        return any(tuple(w[i : i + 8]) in eights for i in range(len(w) - 7))
+
+    assert ids(after) == sorted(r["doc_id"] for r in before.collect() if not leaks(r["text"]))
+
+
+def test_mix_as_planned(stages):
+    before, after = stages["source_mix"]
+    planned = {r["doc_id"]: r["copies"] for r in mixing.plan_mix(before).collect()}
+    assert Counter(ids(after)) == {d: k for d, k in planned.items() if k}
+
+
+def test_tokens_give_the_texts_back(stages):
+    before, after = stages["token_packing"]
+    encoder = packing.encoder()
+    expected = Counter()
+    for r in before.collect():
+        expected += Counter({r["doc_id"]: len(next(encoder.encode([r["text"]])))})
+    got = Counter()
+    for r in after.collect():
+        assert len(r["ids"]) == 4 * packing.ROW_LENGTH and r["cu_seqlens"][-1] == r["n_tokens"] <= packing.ROW_LENGTH
+        for d, a, b in zip(r["doc_ids"], r["cu_seqlens"], r["cu_seqlens"][1:]):
+            got[d] += b - a
+    assert got == expected
+
+
+def test_representatives_of_odd_rows(spark):
+    docs = [(d, t, None, None, None) for d, t in corpus(3, 60)]
+    docs += [docs[5], docs[5], (None, docs[7][1], "en", "x", 1), (None, "alone here", None, None, 2), (900, None, None, None, None), (900, "", None, None, None)]
+    df = spark.createDataFrame(docs, SCHEMA).selectExpr("*", "doc_id as _first", "n_chars as component", "lang as class_id")
+    got = jaccard.keep_representatives(df)
+    assert got.columns == df.columns
+    groups = defaultdict(list)
+    for (d, n, c), i in zip(sorted_rows := by_all_pairs([(r[0], r[1]) for r in docs], 5, 80), range(len(docs))):
+        if n:
+            groups[c].append(d)
+    kept = sorted((r["doc_id"] for r in got.collect()), key=str)
+    assert kept == sorted([*groups, 900, 900], key=str)
+    assert len(sorted_rows) == len(docs) and not math.isnan(len(kept))
+
+
+def test_empty_table(spark, tmp_path, sf_dir):
+    docs = spark.createDataFrame([], SCHEMA)
+    for i, (name, function) in enumerate(corpus_pipeline.STAGES):
+        function(spark, docs, sf_dir).write.parquet(f"{tmp_path}/{i}")
+        docs = spark.read.parquet(f"{tmp_path}/{i}")
+        assert docs.count() == 0, name
+
+
+def test_odd_rows_pass_all_stages(spark, tmp_path, sf_dir):
+    text = "The quick brown fox jumps over the lazy dog and runs away from here. " * 3
+    rows = [(1, text, "en", "a", 3), (1, text, "en", "a", 3), (2, None, None, None, None), (None, "", "en", None, 0), (3, "1 2 3", "en", "b", 5), (4, "x" * 400_000, "en", "b", 1), (None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "doc_id as size", "text as row", "source as _source", "lang as score")
+    for i, (name, function) in enumerate(corpus_pipeline.STAGES):
+        function(spark, docs, sf_dir).write.parquet(f"{tmp_path}/{i}")
+        docs = spark.read.parquet(f"{tmp_path}/{i}")
+    tokens = np.concatenate([np.frombuffer(r["ids"], dtype="<u4")[: r["n_tokens"]] for r in docs.collect()])
+    assert (tokens == packing.encoder().end).sum() >= 2
+
+
+def test_whole_run(spark, sf_dir, stages):
+    got = corpus_pipeline.run(spark, sf_dir)
+    assert got.columns == stages["token_packing"][1].columns
+    assert got.agg({"n_tokens": "sum"}).first() == stages["token_packing"][1].agg({"n_tokens": "sum"}).first()

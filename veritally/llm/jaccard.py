@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritally.llm.common import BITMAP_BITS, bitmap_of, mix64, sliced, texts_of
+from veritally.llm.common import BITMAP_BITS, bitmap_of, drop_listed, mix64, sliced, texts_of
 from veritally.llm.components import components
 from veritally.workspace import materialize
 
@@ -488,17 +488,21 @@ def jaccard_components(
     threshold: int = 80,
     chunk_docs: int = CHUNK_DOCS,
     large_run: int = LARGE_RUN,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, class_id) of every row: ``component_id`` is the smallest doc_id reachable by links."""
-    texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("_text"))
+    """(doc_id, n_shingles, component_id, component, *keep) of every row: ``component_id`` is the smallest doc_id reachable by
+    links, ``component`` the same as a hash that is there without doc_ids as well; ``keep`` names long columns to carry along."""
+    texts = docs.select(F.col(key).cast("long").alias("doc_id"), *keep, F.col(text).alias("_text"))
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sets in _set_batches(batches, width):
             fingerprints = pa.array([set_fingerprint(s) for s in sets], pa.int64())
             counts = pa.array([len(s) for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), counts, fingerprints], names=["doc_id", "n_shingles", "class_id"])
+            arrays = [*(batch.column(c) for c in ("doc_id", *keep)), counts, fingerprints]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", *keep, "n_shingles", "class_id"])
 
-    rows = materialize(texts.mapInArrow(measure, "doc_id long, n_shingles long, class_id long"), "classes")
+    schema = ", ".join(f"`{c}` long" for c in ("doc_id", *keep, "n_shingles", "class_id"))
+    rows = materialize(texts.mapInArrow(measure, schema), "classes")
     only_text = texts.select("_text")
     routed = _route(only_text, width, threshold, _count_cells(only_text, width))
     groups = components(_bucket_edges(routed, threshold, large_run))
@@ -507,11 +511,35 @@ def jaccard_components(
     named = linked.withColumnsRenamed({"node": "class_id"})
     labelled = rows.where("n_shingles > 0").join(named, "class_id", "left").withColumn("component", F.coalesce("component", "class_id"))
     least = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    full = labelled.join(least, "component").select("doc_id", "n_shingles", "component_id", "class_id")
-    empty = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "class_id")
+    full = labelled.join(least, "component").select("doc_id", "n_shingles", "component_id", "component", *keep)
+    alone = F.col("doc_id").alias("component_id"), F.col("class_id").alias("component")
+    empty = rows.where("n_shingles = 0").select("doc_id", "n_shingles", *alone, *keep)
     return full.unionByName(empty)
 
 
+def keep_representatives(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = 5, threshold: int = 80) -> DataFrame:
+    """One row of each group of connected documents, all columns as they are: one with the smallest key. Rows without
+    a shingle stay.
+
+    Rows are told apart by a hash of key and text. Those to be dropped are listed, and only rows that may be on the list are
+    joined with it; of rows that are repeated as they are, one stays.
+    """
+    marked = docs.withColumn("_row", F.xxhash64(F.col(key), F.col(text)))
+    found = jaccard_components(marked, text, key, width, threshold, keep=("_row",)).where("n_shingles > 0")
+    found = materialize(found.select("component", "doc_id", "_row"), "found")
+    first = F.min_by("_row", F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("_first")
+    groups = found.groupBy("component").agg(first, F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    members = materialize(found.join(groups, "component").select("_row", "_first"), "members")
+    kept = drop_listed(marked, members.where("_row <> _first").select("_row"), "_row")
+    repeated = members.where("_row = _first").groupBy("_row").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_row")
+    repeated = materialize(repeated, "repeated")
+    if not repeated.isEmpty():
+        single = drop_listed(kept, repeated, "_row")
+        several = kept.join(repeated, "_row", "left_semi").groupBy("_row").agg(F.first(F.struct(*docs.columns)).alias("r"))
+        return single.select(*docs.columns).unionByName(several.select("r.*"))
+    return kept.select(*docs.columns)
+
+
 def document_components(docs: DataFrame) -> DataFrame:
     """Four-word shingles at 85 % over all ``documents``."""
     return jaccard_components(docs, width=4, threshold=85).select("doc_id", "n_shingles", "component_id")
