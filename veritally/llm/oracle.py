@@ -167,7 +167,28 @@ select doc_id, {count("assign")}, {count("access")}, {count("hex")}, sha256({lin
 from judged"""
 
 
+def _jaccard_join(width: int = 4, threshold: int = 85) -> str:
+    return f"""
+with recursive words as (
+  select row_number() over () as row, doc_id,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}'), []) as w
+  from documents),
+sets as (
+  select row, doc_id, case when len(w) = 0 then [] when len(w) < {width} then [array_to_string(w, ' ')]
+         else list_distinct(list_transform(range(1, len(w) - {width - 2}), lambda i: array_to_string(w[i:i + {width - 1}], ' '))) end as s
+  from words),
+shingles as (select row, len(s) as n, unnest(s) as shingle from sets),
+links as (
+  select a.row as x, b.row as y from shingles a join shingles b on a.shingle = b.shingle and a.row <> b.row
+  group by a.row, b.row, a.n, b.n having 100 * count(*) >= {threshold} * (a.n + b.n - count(*))),
+reach(row, other) as (
+  select row, row from sets union select r.row, l.y from reach r join links l on r.other = l.x)
+select any_value(s.doc_id) as doc_id, any_value(len(s.s))::bigint as n_shingles, min(o.doc_id) as component_id
+from reach r join sets s on r.row = s.row join sets o on r.other = o.row group by r.row"""
+
+
 ORACLE: dict[str, str] = {
+    "op4_jaccard_join": _jaccard_join(),
     "op6_source_mix": _source_mix(),
     "op7_url_filter": _url_filter(),
     "op9_fingerprints": _fingerprints(),

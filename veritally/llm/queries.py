@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritally.llm import decontaminate, jaccard, language, merkle, mixing, packing, pii, secrets, urls
+from veritally.llm import decontaminate, jaccard, language, licenses, merkle, mixing, packing, pii, secrets, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_language_id(spark, d):
     return language.document_languages(_read(spark, d, "documents"))
 
 
+def op2_license_scan(spark, d):
+    return licenses.license_matches(_read(spark, d, "documents"))
+
+
 def op3_token_packing(spark, d):
     return packing.pack(_read(spark, d, "documents"))
 
@@ -51,6 +55,7 @@ def op10_secrets(spark, d):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_license_scan": op2_license_scan,
     "op3_token_packing": op3_token_packing,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_decontamination": op5_decontamination,
