@@ -1,0 +1,71 @@
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from veritally.llm import packing
+
+
+def naive(sizes, capacity):
+    """Room left per row, by looking at all rows."""
+    rooms = []
+    for n in sorted(sizes, reverse=True):
+        fits = [r for r in rooms if r >= n]
+        if fits:
+            rooms.remove(min(fits))
+            rooms.append(min(fits) - n)
+        else:
+            rooms.append(capacity - n)
+    return sorted(rooms)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(1, 70).flatmap(lambda c: st.tuples(st.just(c), st.lists(st.integers(1, c), max_size=80))))
+def test_best_fit_decreasing(case):
+    capacity, sizes = case
+    rows = packing.best_fit_decreasing(sizes, capacity)
+    assert sorted(i for r in rows for i in r) == list(range(len(sizes)))
+    assert sorted(capacity - sum(sizes[i] for i in r) for r in rows) == naive(sizes, capacity)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from("ab'sAé \n\t .,1%\x1cẞ漢😀"), max_size=30), max_size=6))
+def test_same_ids_as_the_tokenizer(texts):
+    encoder = packing.encoder()
+    for text, ids in zip(texts, encoder.encode(texts)):
+        assert ids.tolist() == [*encoder.encoding.encode_ordinary(text), encoder.end]
+
+
+def test_words_that_leave_the_cache(monkeypatch):
+    monkeypatch.setattr(packing, "WORDS_KEPT", 5)
+    encoder = packing.Encoder(packing.TOKENIZERS, packing.VOCABULARY)
+    rng = random.Random(1)
+    for _ in range(30):
+        texts = [" ".join(rng.choice("abcdefghij") * rng.randint(1, 3) for _ in range(8)) for _ in range(3)]
+        for text, ids in zip(texts, encoder.encode(texts)):
+            assert ids[:-1].tolist() == encoder.encoding.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("row_length, block", [(16, 100), (64, 1 << 20), (7, 1)])
+def test_round_trip(spark, row_length, block):
+    rng = random.Random(row_length)
+    texts = [" ".join(rng.choices(["alpha", "beta,", "γάμμα", "😀\n", "", "42"], k=rng.choice([0, 1, 5, 40, 300]))) for _ in range(40)]
+    rows = [*enumerate(texts), (100, None), (101, ""), (102, "word " * 3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    packed = packing.pack(docs, row_length=row_length, block_tokens=block).collect()
+    for r in packed:
+        assert len(r["ids"]) == 4 * row_length and r["cu_seqlens"][0] == 0 and r["cu_seqlens"][-1] == r["n_tokens"]
+        assert len(r["doc_ids"]) == len(r["document_at"]) == len(r["cu_seqlens"]) - 1
+        assert (np.diff(r["cu_seqlens"]) > 0).all()
+    assert len({(r["part"], r["block"], r["row"]) for r in packed}) == len(packed)
+    assert sorted(packing.unpack(packed, packing.encoder().text)) == sorted((d, t or "") for d, t in rows)
+
+
+def test_odd_rows(spark):
+    rows = [(1, "same text", "a"), (1, "same text", "b"), (None, "no id", None), (None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ids string")
+    packed = packing.pack(docs).collect()
+    assert sorted(str(d) for r in packed for d in r["doc_ids"]) == ["1", "1", "None", "None"]
+    assert packing.pack(docs.where("false")).count() == 0

@@ -56,17 +56,19 @@ def _url_filter() -> str:
     weakest, strongest = urls.STRENGTHS
     low, high = 1 / (strongest + 1), 1 / (weakest + 1)
 
-    def level(name: str, keys: str, prior: str, source: str) -> str:
+    def level(name: str, keys: str, prior: tuple[str, str], source: str) -> str:
         inside = "prior > 0 and prior < 1"
         return f"""
 {name}_groups as (select {keys}, sum(n)::double as n, sum(bad)::double as bad from hosts group by {keys}),
-{name}_priors as (select g.*, {prior} as prior from {name}_groups g {source}),
+{name}_priors as (select g.*, {prior[0]} as prior, {prior[1]} as doubt from {name}_groups g {source}),
 {name}_strength as (
   select 1 / coalesce(least(greatest(
     sum(case when {inside} then n * pow(bad / n - prior, 2) / (prior * (1 - prior)) - 1 end)
     / nullif(sum(case when {inside} then n - 1 end), 0), {low!r}), {high!r}), {low!r}) - 1 as k from {name}_priors),
 {name}_means as (select p.*, (k * prior + bad) / (k + n) as mean, k + n as total from {name}_priors p, {name}_strength),
-{name}_posterior as (select *, mean - {urls.Z!r} * sqrt(mean * (1 - mean) / (total + 1)) as bound from {name}_means)"""
+{name}_variances as (
+  select *, mean * (1 - mean) / (total + 1) + pow((total - n) / total, 2) * doubt as variance from {name}_means),
+{name}_posterior as (select *, mean - {urls.Z!r} * sqrt(variance) as bound from {name}_variances)"""
 
     hierarchy = f"""
   select *, case when paired <> '' then paired else split_part(plain, '.', -1) end as suffix,
@@ -82,10 +84,11 @@ outcome as (
 hosts as (
   select suffix, domain, host, count(*)::double as n, sum(bad)::double as bad
   from known join outcome on regexp_extract(path, '/([0-9]+)', 1) = doc group by all),
-overall as (select coalesce(sum(bad) / sum(n), 0) as rate from hosts),
-{level("suffix", "suffix", "o.rate", "cross join overall o")},
-{level("domain", "suffix, domain", "p.mean", "join suffix_posterior p using (suffix)")},
-{level("host", "suffix, domain, host", "p.mean", "join domain_posterior p using (suffix, domain)")},
+overall as (select rate, rate * (1 - rate) / (n + 1) as doubt
+            from (select coalesce(sum(bad) / sum(n), 0) as rate, coalesce(sum(n), 0) as n from hosts)),
+{level("suffix", "suffix", ("o.rate", "o.doubt"), "cross join overall o")},
+{level("domain", "suffix, domain", ("p.mean", "p.variance"), "join suffix_posterior p using (suffix)")},
+{level("host", "suffix, domain, host", ("p.mean", "p.variance"), "join domain_posterior p using (suffix, domain)")},
 judged as (
   select k.page_id, k.host, k.path, coalesce(h.mean, d.mean, s.mean, o.rate) as rate, coalesce(h.bound, d.bound, s.bound, o.rate) as bound
   from known k left join host_posterior h on k.host = h.host left join domain_posterior d on k.domain = d.domain

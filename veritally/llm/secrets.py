@@ -61,7 +61,7 @@ def spans(text: Column, pattern: str, kind: str) -> Column:
 
 def window_entropy(text: Column, window: int = WINDOW) -> Column:
     """The highest entropy of ``window`` signs in a row of a string over ``ALPHABET``; 0 for a shorter one."""
-    codes = F.transform(F.split(text, "(?!^)"), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+    codes = F.transform(F.split(text, "(?!^|$)"), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
     f = lambda c: F.get(F.lit(C_LOG_C), c)
 
     def slide(acc: Column, code: Column) -> Column:

@@ -3,8 +3,8 @@
 Labelled pages are good or bad. The bad rate of a host is shrunk towards that of its registered domain, that
 towards its suffix, and that towards the rate of all: each level is a beta-binomial whose prior mean is
 the level above and whose prior strength is estimated from the spread of all groups of the level
-(method of moments). A page is blocked if even the lower bound of its host's posterior bad rate
-exceeds ``block_above``. A host without labels inherits the prior.
+(method of moments). The uncertainty of the level above is passed on. A page is blocked if even the lower bound of its
+host's posterior bad rate exceeds ``block_above``. A host without labels inherits the prior.
 
 A NULL url, or one without ``://``, has empty host and path; it fits no rule and is judged by the overall rate.
 Repeated pages get equal verdicts; an empty table gives none. Without labels everything is allowed that no rule blocks.
@@ -73,7 +73,7 @@ def _strength(groups: DataFrame, mean: Column) -> Column:
 
 
 def host_reputation(labelled: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, float]:
-    """Posteriors by host, domain and suffix, each with (key, mean, bound), and the overall bad rate.
+    """Posteriors by host, domain and suffix, each with (key, mean, variance, bound), and the overall bad rate.
 
     ``labelled`` has host and bad (0 or 1). Only one row of figures per level reaches the driver.
     """
@@ -85,15 +85,18 @@ def host_reputation(labelled: DataFrame) -> tuple[DataFrame, DataFrame, DataFram
     for i, level in enumerate(LEVELS):
         groups = hosts.groupBy(*LEVELS[: i + 1]).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
         if parent is None:
-            groups = groups.withColumn("prior", F.lit(overall))
+            doubt = overall * (1 - overall) / ((total["n"] or 0) + 1)
+            groups = groups.withColumns({"prior": F.lit(overall), "doubt": F.lit(doubt)})
         else:
-            groups = groups.join(parent.select(LEVELS[i - 1], F.col("mean").alias("prior")), LEVELS[i - 1])
+            above = parent.select(LEVELS[i - 1], F.col("mean").alias("prior"), F.col("variance").alias("doubt"))
+            groups = groups.join(above, LEVELS[i - 1])
         strength = groups.agg(_strength(groups, F.col("prior")).alias("k")).first()["k"]
         a = F.lit(strength) * F.col("prior") + F.col("bad")
         size = F.lit(strength) + F.col("n")
         mean = a / size
-        bound = mean - F.lit(Z) * F.sqrt(mean * (1 - mean) / (size + 1))
-        parent = groups.select(level, mean.alias("mean"), bound.alias("bound"))
+        variance = mean * (1 - mean) / (size + 1) + F.pow(F.lit(strength) / size, 2) * F.col("doubt")
+        bound = mean - F.lit(Z) * F.sqrt(variance)
+        parent = groups.select(level, mean.alias("mean"), variance.alias("variance"), bound.alias("bound"))
         found.append(parent)
     suffixes, domains, by_host = found
     return by_host, domains, suffixes, overall
