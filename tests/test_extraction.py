@@ -1,5 +1,6 @@
 """Extraction and display expressions on edge cases."""
 
+import random
 import re
 from decimal import ROUND_HALF_EVEN, Decimal
 
@@ -85,15 +86,20 @@ def test_truncate_counts_code_points(spark):
 
 
 def test_number_text(spark):
-    inputs = [18.0, 70000.0, 1e7, 12345678.91, 0.5, -3.0, 1e15, None]
-    want = ["18.0", "70000.0", "10000000.0", "12345678.91", "0.5", "-3.0", "1000000000000000.0", None]
-    assert values(spark, text.number_text, inputs, "double") == want
+    inputs = [18.0, 70000.0, 1e7, 12345678.91, 0.5, -3.0, 1e15, 0.0005, 0.00012345, 1e-5, -2.5e-7, 1e16, 1.5e17, -1e22, 0.0, -0.0, 1e300]
+    inputs += [float("inf"), float("-inf"), 9999999999999998.0, 0.001, 123456.789]
+    assert values(spark, text.number_text, inputs, "double") == [repr(x) for x in inputs]
+    assert values(spark, text.number_text, [float("nan"), None], "double") == ["nan", None]
 
 
 def test_fixed_decimals_like_python(spark):
     inputs = [0.15625, 0.25625, 0.00005, 0.00015, 1.00005, -0.15625, 2.5, 0.0, 99999.99995, 0.99995, 1 / 3, 123456.78905]
     assert values(spark, text.fixed_decimals, inputs, "double") == [f"{x:.4f}" for x in inputs]
-    assert values(spark, text.fixed_decimals, [None], "double") == [None]
+    inputs += [10000000000.03125, 1e10, 12345678901.00005, 9007199254740993.0, 1e17, -1e16, 1e-5, -1e-5, -0.0, 0.99999, 9.99995, float("inf"), float("-inf")]
+    rng = random.Random(1)
+    inputs += [rng.choice([1, -1]) * rng.random() * 10.0 ** rng.randint(-5, 17) for _ in range(400)]
+    assert values(spark, text.fixed_decimals, inputs, "double") == [f"{x:.4f}" for x in inputs]
+    assert values(spark, text.fixed_decimals, [float("nan"), None], "double") == ["nan", None]
     exact = Decimal(0.25625).quantize(Decimal("0.0001"), ROUND_HALF_EVEN)
     assert f"{0.25625:.4f}" == str(exact)
 

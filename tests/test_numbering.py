@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from veritally.operators import batching, metrics
-from veritally.operators.numbering import number_rows, running_sums, with_position
+from veritally.operators.numbering import even_buckets, number_rows, running_sums, with_position
 
 
 def test_running_sums_over_blocks(spark):
@@ -27,6 +27,18 @@ def test_positions_close_gaps(spark):
     assert rows(batched) == [(i, n // 3) for n, i in enumerate(ids)]
 
 
+def test_positions_of_sparse_ids(spark):
+    """Hashed 64-bit ids fill as few buckets as dense ones: no window over all of them."""
+    rng = random.Random(5)
+    for ids in ([rng.getrandbits(63) - (1 << 62) for _ in range(3000)], [*range(1500), *range(10**15, 10**15 + 1500)]):
+        df = spark.createDataFrame([(i,) for i in ids], "row_idx long").repartition(4)
+        got = rows(with_position(df, "row_idx", block=50).select("row_idx", "pos"))
+        assert got == [(x, i) for i, x in enumerate(sorted(ids))]
+        sizes = [r["count"] for r in df.groupBy(even_buckets(df, "row_idx", 50).alias("b")).count().collect()]
+        assert 20 <= len(sizes) <= 80 and max(sizes) < 600
+    assert with_position(df.where("false"), "row_idx").count() == 0
+
+
 def test_number_rows_within_groups(spark):
     data = [(g, v) for g in ("a", "b") for v in range(50)]
     df = spark.createDataFrame(data, "g string, v int")

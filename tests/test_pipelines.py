@@ -1,5 +1,6 @@
 """Pipelines, reports, sinks and streams, with their plans."""
 
+import math
 import os
 
 import pytest
@@ -8,10 +9,12 @@ from pyspark.sql import functions as F
 from conftest import plan, rows
 from veritally import fixed_values as V
 from veritally.functions.text import extract_prediction
-from veritally.operators import compare, metrics, policy, scoring
+from veritally.operators import batching, compare, metrics, policy, scoring
 from veritally.plans.compare import compare_models
 from veritally.plans.evaluate import evaluate_split
+from veritally.plans import training as training_plan
 from veritally.plans.score import score_rollouts
+from veritally.plans.training import training_metrics, training_metrics_from_arrays
 from veritally.schemas import ROLLOUTS, require_columns
 from veritally.sources import problems as source
 from veritally.sources import sinks
@@ -137,10 +140,13 @@ def test_lookup_with_repeats(spark, problems):
 def test_metrics_log(spark, tmp_path):
     df = spark.createDataFrame([(0, 1, 0.5, 1.0), (1, 1, 0.25, 0.0)], "epoch int, batch_id long, loss double, reward double")
     path = str(tmp_path / "log")
-    sinks.append_metrics(df, path)
-    sinks.append_metrics(df.withColumn("batch_id", F.col("batch_id") + 1), path)
+    logged = metrics.running_reward(df)
+    sinks.log_metrics(logged, path)
+    sinks.log_metrics(logged, path)  # again, as after a failure
+    sinks.log_metrics(logged.where("epoch = 1").withColumn("loss", F.lit(9.0)), path)
     assert sorted(p for p in os.listdir(path) if p.startswith("epoch")) == ["epoch=0", "epoch=1"]
-    assert spark.read.parquet(path).count() == 4
+    stored = spark.read.parquet(path).select("epoch", "batch_id", "loss", "reward", "avg_reward")
+    assert rows(stored) == [(0, 1, 0.5, 1.0, 1.0), (1, 1, 9.0, 0.0, 0.0)]
     shown = sinks.metric_lines(metrics.running_reward(df))
     assert rows(shown) == [(0, 1, "0.5000", "1.0000", "1.0000"), (1, 1, "0.2500", "0.0000", "0.0000")]
 
@@ -179,9 +185,9 @@ def test_report(tiny, tmp_path):
     raw = [r[1] for r in rows(compare.markdown_lines(report, escape=False))]
     assert raw[4] == "| 0 | Question 0  | 0.0 | a|b\n = 0 | Yes | the answer is 0 | Yes |"
     fixed = [r[1] for r in rows(compare.fixed_width_lines(report))]
-    form = "{:<5} | {:<50} | {:<10} | {:<50} | {:<10} | {:<50} | {:<10}"
-    assert fixed[0] == form.format(*V.REPORT_COLUMNS) and fixed[1] == "-" * 200
-    assert fixed[2:] == [form.format(*r) for r in got]
+    padded = lambda cells: V.REPORT_SEPARATOR.join(str(c).ljust(w) for c, w in zip(cells, V.REPORT_WIDTHS))
+    assert fixed[0] == padded(V.REPORT_COLUMNS) and fixed[1] == "-" * V.REPORT_RULE_WIDTH
+    assert fixed[2:] == [padded(r) for r in got]
     sinks.write_report(compare.markdown_lines(report), str(tmp_path / "md"), single_file=True)
     (part,) = [f for f in os.listdir(tmp_path / "md") if f.startswith("part")]
     assert (tmp_path / "md" / part).read_text().splitlines() == lines
@@ -231,6 +237,105 @@ def test_stream_advantages(spark, stored, rollouts, problems, tmp_path):
     assert rows(spark.read.parquet(out).select(cols)) == rows(score_rollouts(rollouts, problems).select(cols))
 
 
+def test_split_groups_need_the_late_pass(spark, rollouts, problems, tmp_path):
+    """Samples of each problem in different files: the stream alone refuses them, the late pass gives the batch result."""
+    path = str(tmp_path / "rollouts")
+    rollouts.repartition(3, "sample_idx").write.parquet(path)
+    arrivals = lambda: streaming.read_rollout_stream(spark, path, rollouts.schema, 1)
+    with pytest.raises(Exception, match="rows, not 4"):
+        streaming.start_advantages(arrivals(), problems, str(tmp_path / "a"), str(tmp_path / "b"), V.GROUP_SIZE).awaitTermination()
+    out = str(tmp_path / "out")
+    streaming.start_scores(arrivals(), problems, out, str(tmp_path / "state")).awaitTermination()
+    got = streaming.late_advantages(spark, out, group_size=V.GROUP_SIZE)
+    assert rows(got) == rows(score_rollouts(rollouts, problems).select(got.columns))
+
+
+def test_nothing_arrived(spark, problems, tmp_path):
+    path = tmp_path / "none"
+    path.mkdir()
+    schema = "problem_id long, sample_idx int, batch_id long, completion string"
+    arrivals = lambda: spark.readStream.schema(schema).parquet(str(path))
+    out = str(tmp_path / "out")
+    streaming.start_batch_metrics(streaming.batch_metrics_stream(arrivals(), problems), out, str(tmp_path / "s")).awaitTermination()
+    assert rows(streaming.latest_batch_metrics(spark, out)) == []
+    streaming.start_scores(arrivals(), problems, out + "2", str(tmp_path / "s2")).awaitTermination()
+    assert rows(streaming.late_advantages(spark, out + "2")) == []
+
+
+def test_queries_read_folders_of_parts(spark, sf_dir, tmp_path):
+    from veritally.verification.registry import QUERIES
+
+    for name in ("orders", "lineitem"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").repartition(5).write.parquet(f"{tmp_path}/{name}.parquet")
+    for name in ("streaming_scores", "streaming_advantages", "score_rollouts"):
+        assert rows(QUERIES[name](spark, str(tmp_path))) == rows(QUERIES[name](spark, sf_dir))
+
+
+# --- epochs ----------------------------------------------------------------
+
+
+def test_groups_of_each_epoch(spark):
+    """All wrong in the first epoch, all right in the second: nothing to learn in either."""
+    problems = spark.createDataFrame([(1, "#### 5")], "problem_id long, answer string")
+    data = [(e, 1, s, f"the answer is {5 if e else 6}") for e in (0, 1) for s in range(4)]
+    rollouts = spark.createDataFrame(data, "epoch int, problem_id long, sample_idx int, completion string")
+    scored = score_rollouts(rollouts, problems, group_size=4, carry=["epoch"], group=["epoch", "problem_id"])
+    assert rows(scored.select("epoch", "reward", "advantage").distinct()) == [(0, 0.0, 0.0), (1, 1.0, 0.0)]
+    assert rows(scoring.group_mean_reward(scored, ["epoch", "problem_id"])) == [(0, 1, 0.0), (1, 1, 1.0)]
+    assert rows(scoring.group_size_violations(scored, 4, ["epoch", "problem_id"])) == []
+    with pytest.raises(Exception, match="group 1 has 8 rows, not 4"):
+        score_rollouts(rollouts, problems, group_size=4).collect()
+
+
+def test_groups_by_stored_position(spark):
+    """Rewards that come with a position only."""
+    data = spark.createDataFrame([(i, float(i % 4 == 0)) for i in range(8)], "pos long, reward double")
+    grouped = batching.regroup(data, 4).withColumnRenamed("place", "sample_idx")
+    got = scoring.group_advantage(grouped, 4, group="group_id").select("pos", "advantage")
+    assert rows(got) == [(i, 0.75 if i % 4 == 0 else -0.25) for i in range(8)]
+
+
+@pytest.mark.parametrize("arrays", [False, True])
+def test_last_ppo_epoch_of_each_batch(spark, arrays):
+    """Batch 0 ends with PPO epoch 1, batch 1 with 4, batch 2 has no token in the loss."""
+    scored = spark.createDataFrame(
+        [(10, 0, 0, 1.0, 0.5), (11, 0, 1, 0.0, -1.0), (12, 0, 2, 1.0, 1.0)],
+        "seq_id long, epoch int, batch_id long, reward double, advantage double",
+    )
+    old = {10: [-1.0, -2.0, -3.0], 11: [-1.0, -1.5], 12: [-1.0]}
+    new = {(0, 10): [-1.0, -1.0, -1.0], (1, 10): [-1.0, -2.1, -2.9], (2, 11): [-5.0, -5.0], (4, 11): [-1.0, -1.4]}
+    if arrays:
+        frames = (
+            spark.createDataFrame(list(old.items()), "seq_id long, lps array<double>"),
+            spark.createDataFrame([(*k, v) for k, v in new.items()], "ppo_epoch int, seq_id long, lps array<double>"),
+        )
+        got = training_metrics_from_arrays(scored, *frames, F.lit(2))
+    else:
+        frames = (
+            spark.createDataFrame([(s, i, x) for s, v in old.items() for i, x in enumerate(v)], "seq_id long, pos int, lp double"),
+            spark.createDataFrame([(p, s, i, x) for (p, s), v in new.items() for i, x in enumerate(v)], "ppo_epoch int, seq_id long, pos int, lp double"),
+        )
+        got = training_metrics(scored, *frames, F.lit(2))
+    ratio = lambda a, b: math.exp(b - a)
+    first = -(ratio(-2.0, -2.1) * 0.5 + ratio(-3.0, -2.9) * 0.5) / 2
+    second = -min(ratio(-1.5, -1.4) * -1.0, min(ratio(-1.5, -1.4), 1.2) * -1.0)
+    found = rows(got.select("batch_id", "loss"))
+    assert [b for b, _ in found] == [0, 1, 2] and found[2][1] is None
+    assert found[0][1] == pytest.approx(first) and found[1][1] == pytest.approx(second)
+
+
+def test_earlier_ppo_epochs_stay_out_of_the_joins(spark, tmp_path, monkeypatch):
+    """The filter on the PPO epoch is below the exchange; stored by PPO epoch it rules out folders."""
+    spark.createDataFrame([(p, 1, i, -1.0) for p in range(3) for i in range(3)], "ppo_epoch int, seq_id long, pos int, lp double").write.partitionBy("ppo_epoch").parquet(f"{tmp_path}/new")
+    new = spark.read.parquet(f"{tmp_path}/new")
+    old = new.where("ppo_epoch = 0").drop("ppo_epoch")
+    scored = spark.createDataFrame([(1, 0, 0, 1.0, 0.5)], "seq_id long, epoch int, batch_id long, reward double, advantage double")
+    plans = []
+    monkeypatch.setattr(training_plan, "_logged_metrics", lambda s, tokens, eps: plans.append(plan(tokens, "formatted")) or tokens)
+    training_metrics(scored, old, new, F.lit(2))
+    assert "PartitionFilters: [" in plans[0] and "(ppo_epoch" in plans[0].split("PartitionFilters: [", 1)[1] and " = 2)" in plans[0]
+
+
 def test_custom_reward_reaches_the_pipeline(rollouts, problems):
     half = lambda pred, gold: F.when(pred.isNotNull(), F.lit(0.5)).otherwise(F.lit(0.0))
     got = score_rollouts(rollouts, problems, reward_fn=half).select("reward").distinct()

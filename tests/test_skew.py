@@ -30,16 +30,35 @@ def problems(spark):
 
 def test_find_hot_keys(rollouts):
     hot = skew.find_hot_keys(rollouts, "problem_id", rows_per_task=200)
-    assert [h.key for h in hot] == [7]
-    assert hot[0].salts == 6
-    assert skew.find_hot_keys(rollouts, "problem_id") == []
-    assert skew.find_hot_keys(rollouts.where("false"), "problem_id") == []
+    assert rows(hot) == [(7, 6)]
+    assert skew.find_hot_keys(rollouts, "problem_id") == skew.NO_HOT
+    assert skew.find_hot_keys(rollouts.where("false"), "problem_id") == skew.NO_HOT
+
+
+def test_any_number_of_hot_keys(spark):
+    """No cap: every hot key is found and split, one of them being the last."""
+    df = spark.range(8000).select((F.col("id") % 2000).alias("problem_id"), F.col("id").cast("int").alias("sample_idx"))
+    df = df.withColumn("reward", (F.col("sample_idx") % 3).cast("double"))
+    hot = skew.find_hot_keys(df, "problem_id", rows_per_task=2)
+    assert hot.count() == 2000 and hot.agg(F.min("_salts"), F.max("_salts")).first() == (2, 2)
+    plain, spread = (scoring.group_advantage(df, 4, h) for h in (skew.NO_HOT, hot))
+    pick = ["problem_id", "sample_idx", F.round("advantage", 9).alias("a")]
+    assert rows(plain.select(pick)) == rows(spread.select(pick))
+
+
+def test_keys_of_two_columns(rollouts):
+    df = rollouts.withColumn("epoch", F.col("sample_idx") % 2)
+    hot = skew.find_hot_keys(df, ["epoch", "problem_id"], rows_per_task=200)
+    assert rows(hot) == [(0, 7, 3), (1, 7, 3)]
+    stats = dict(sums={"total": F.col("sample_idx")})
+    plain, spread = (skew.with_group_stats(df, ["epoch", "problem_id"], ["sample_idx"], hot=h, **stats) for h in ((), hot))
+    assert rows(plain.select("epoch", "sample_idx", "total")) == rows(spread.select("epoch", "sample_idx", "total"))
 
 
 def test_string_keys(rollouts):
     named = rollouts.withColumn("name", F.concat(F.lit("k"), F.col("problem_id")))
     hot = skew.find_hot_keys(named, "name", rows_per_task=200)
-    assert [h.key for h in hot] == ["k7"]
+    assert rows(hot) == [("k7", 6)]
     stats = dict(sums={"total": F.col("sample_idx")})
     plain = skew.with_group_stats(named.drop("completion"), "name", ["sample_idx"], hot=(), **stats)
     spread = skew.with_group_stats(named.drop("completion"), "name", ["sample_idx"], hot=hot, **stats)
@@ -89,7 +108,7 @@ def test_long_sequences(spark):
         F.when(F.col("id") < 600, F.col("id")).otherwise(0).cast("int").alias("pos"),
     )
     hot = policy.long_sequences(tokens, rows_per_task=100)
-    assert [(h.key, h.salts) for h in hot] == [(1, 6)]
+    assert rows(hot) == [(1, 6)]
     adv = tokens.select("seq_id").distinct().withColumn("advantage", F.col("seq_id") / 4)
     plain = policy.broadcast_advantage(tokens, adv, ())
     spread = policy.broadcast_advantage(tokens, adv, hot)

@@ -180,6 +180,49 @@ def test_last_ppo_epoch(spark):
     assert rows(policy.last_ppo_epoch_loss(df)) == [(0, 3.0), (1, 5.0)]
 
 
+def test_broken_numbers_show(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(0, nan, 1.0), (1, 2.0, nan), (2, inf, 0.0), (3, inf, 1.0), (4, inf, -1.0), (5, 1.0, 1.0)], "seq_id int, r double, a double")
+    clipped = column(df, surrogate.clip_ratio(F.col("r")))
+    assert math.isnan(clipped[0]) and clipped[1:] == [1.2, 1.2, 1.2, 1.2, 1.0]
+    loss = column(df, surrogate.clipped_surrogate(F.col("r"), F.col("a")))
+    assert all(map(math.isnan, loss[:3])) and loss[3:] == [-1.2, inf, -1.0]
+
+
+def test_ragged_arrays_are_refused(spark):
+    sequences = spark.createDataFrame([(1, 0, 1.0)], "seq_id long, batch_id long, advantage double")
+    old = spark.createDataFrame([(1, [-1.0, -2.0, -3.0])], "seq_id long, lps array<double>")
+    new = spark.createDataFrame([(0, 1, [-1.0, -2.0])], "ppo_epoch int, seq_id long, lps array<double>")
+    with pytest.raises(Exception, match="1: 3 old and 2 new scores"):
+        policy.align_arrays(old, new, sequences).collect()
+    even = policy.align_arrays(old, new.withColumn("lps", F.array(F.lit(-1.0), F.lit(-2.5), F.lit(-3.0))), sequences, start=F.lit(1))
+    assert rows(even.select("pos", "old_lp", "new_lp")) == [(1, -2.0, -2.5), (2, -3.0, -3.0)]
+
+
+def test_strict_alignment(spark):
+    old = spark.createDataFrame([(1, 0, -1.0), (1, 1, -2.0)], "seq_id long, pos int, lp double")
+    same = old.withColumn("lp", F.col("lp") - 1)
+    assert rows(policy.align_logprobs(old, same, strict=True)) == [(1, 0, -1.0, -2.0), (1, 1, -2.0, -3.0)]
+    for a, b in ((old, same.where("pos = 0")), (old.where("pos = 1"), same)):
+        with pytest.raises(Exception, match="token without partner: 1, "):
+            policy.align_logprobs(a, b, strict=True).collect()
+
+
+def test_logprobs_of_sequences_feed_the_loss(spark):
+    data = [(1, 0, [0.0, 1.0], 0), (1, 1, [2.0, 0.0], 1), (1, 2, [0.0, 0.0], 0), (2, 0, [1.0, 1.0], 1)]
+    logits = spark.createDataFrame(data, "seq_id long, pos int, logits array<double>, token int")
+    lps = policy.sequence_logprobs(logits)
+    expected = [(1, 0, 1.0 - math.log(1 + math.e)), (1, 1, 2.0 - math.log(1 + math.e**2))]
+    assert [(s, p, pytest.approx(x)) for s, p, x in expected] == rows(lps)
+    tokens = policy.align_logprobs(lps, lps).withColumn("advantage", F.lit(2.0))
+    assert rows(policy.policy_loss(tokens, ["seq_id"], F.lit(1.0))) == [(1, -2.0)]
+
+
+def test_ids_are_long(spark):
+    vocabulary = sequences.build_vocabulary(sequences.words(spark.createDataFrame([(1, "a b a")], "k long, t string"), "k", F.col("t")))
+    assert dict(vocabulary.dtypes)["token_id"] == "bigint"
+
+
 def test_align_is_an_inner_join(spark):
     old = spark.createDataFrame([(1, 0, -1.0), (1, 1, -2.0)], "seq_id long, pos int, lp double")
     new = spark.createDataFrame([(1, 1, -3.0), (2, 0, -4.0)], "seq_id long, pos int, lp double")

@@ -54,7 +54,4 @@ REPORT_WIDTHS = (5, 50, 10, 50, 10, 50, 10)
 REPORT_SEPARATOR = " | "
 REPORT_RULE_WIDTH = 200
 MARKDOWN_TITLE = "# Model Comparison on GSM8K Test Questions"
-MARKDOWN_RULE = (
-    "|-----|----------------------|----|-------------------------------"
-    "|----------|------------------------------|----------|"
-)
+MARKDOWN_RULE = "|-----|----------------------|----|-------------------------------|----------|------------------------------|----------|"

@@ -67,13 +67,26 @@ def verdict_label(is_match: Column) -> Column:
 
 
 def number_text(x: Column) -> Column:
-    """A double as ``18.0`` or ``12345678.91``: no exponent from 1e-3 up to 1e16."""
+    """A double as Python writes it: ``18.0``, ``0.0005``, ``1e+16``, ``-0.0``, ``inf``, ``nan``.
+
+    No exponent from 1e-4 up to 1e16. The digits are those of the cast to text.
+    """
     text = x.cast("string")
     size = F.abs(x)
-    plain = F.rtrim(text.try_cast("decimal(38,18)").cast("string"), F.lit("0"))
+    plain = lambda scale: F.rtrim(text.try_cast(f"decimal(38,{scale})").cast("string"), F.lit("0"))
+    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
+    power = F.substring_index(text, "E", -1).try_cast("int")
+    sign = F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+"))
+    digits = F.abs(power).cast("string")
+    exponent = F.concat(mantissa, sign, F.when(F.length(digits) < 2, F.concat(F.lit("0"), digits)).otherwise(digits))
     return (
-        F.when((size < 1e16) & (x == F.floor(x)), F.concat(x.try_cast("bigint").cast("string"), F.lit(".0")))
-        .when((size >= 1e7) & (size < 1e16), plain)
+        F.when(F.isnan(x), F.lit("nan"))
+        .when(size == float("inf"), F.when(x < 0, F.lit("-inf")).otherwise(F.lit("inf")))
+        .when(size == 0, F.when(text.startswith("-"), F.lit("-0.0")).otherwise(F.lit("0.0")))
+        .when((size < 1e16) & (x == F.floor(x)), F.concat(x.try_cast("bigint").cast("string"), F.lit(".0")))
+        .when((size >= 1e7) & (size < 1e16), plain(18))
+        .when((size >= 1e-4) & (size < 1e-3), plain(25))
+        .when((size >= 1e16) | (size < 1e-4), exponent)
         .otherwise(text)
     )
 
@@ -92,21 +105,27 @@ def escape_markdown_cell(text: Column) -> Column:
 def fixed_decimals(x: Column, digits: int = V.DECIMALS) -> Column:
     """A number as text with ``digits`` decimals and no thousands separator.
 
-    Rounds the exact binary value, ties to even, as C and Python formatting do. The
-    product with the power of ten is rounded itself, so the side of the tie is taken
-    from the two halves of ``x``, whose products are exact.
+    Rounds the exact binary value, ties to even, as C and Python formatting do. The whole part and what is
+    left of it are exact; the product of the rest with the power of ten is rounded itself, so the side of
+    the tie is taken from the two halves of the rest, whose products are exact. From 2^63 on a double
+    is a whole number, of which only the first 17 digits are written exactly.
     """
     scale = float(10**digits)
     size = F.abs(x)
-    below = F.floor(size * scale)
-    high = size * 134217729.0 - (size * 134217729.0 - size)
-    past_half = (high * scale - (below + F.lit(0.5))) + (size - high) * scale
-    up = (past_half > 0) | ((past_half == 0) & (below % 2 == 1))
+    whole = F.floor(F.when(size < 9.2e18, size))
+    rest = size - F.floor(size).cast("double")
+    below = F.floor(rest * scale)
+    high = rest * 134217729.0 - (rest * 134217729.0 - rest)
+    past_half = (high * scale - (below + F.lit(0.5))) + (rest - high) * scale
+    even = whole if digits == 0 else below
+    up = (past_half > 0) | ((past_half == 0) & (even % 2 == 1))
     units = below + up.cast("bigint")
-    text = F.concat(
-        F.when(x < 0, "-").otherwise(""),
-        F.floor(units / F.lit(10**digits)).cast("string"),
-        F.lit("."),
-        F.lpad((units % 10**digits).cast("string"), digits, "0"),
+    carried = whole + F.floor(units / F.lit(10**digits)).cast("bigint")
+    decimals = F.concat(F.lit("."), F.lpad((units % 10**digits).cast("string"), digits, "0")) if digits else F.lit("")
+    sign = F.when(x.cast("string").startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    return (
+        F.when(F.isnan(x), F.lit("nan"))
+        .when(size == float("inf"), F.concat(sign, F.lit("inf")))
+        .when(size < 9.2e18, F.concat(sign, carried.cast("string"), decimals))
+        .when(x.isNotNull(), F.format_string(f"%.{digits}f", x))
     )
-    return F.when(size < 1e10, text).when(x.isNotNull(), F.format_string(f"%.{digits}f", x))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veritally import fixed_values as V
@@ -17,6 +17,7 @@ from veritally.functions.text import (
     verdict_label,
 )
 from veritally.operators.numbering import with_position
+from veritally.workspace import materialize
 
 
 def _answers(completions: DataFrame, model: str, length: int) -> DataFrame:
@@ -70,17 +71,12 @@ def model_totals(aligned: DataFrame) -> DataFrame:
     )
 
 
-def report_rows(aligned: DataFrame, bounded: bool) -> DataFrame:
+def report_rows(aligned: DataFrame) -> DataFrame:
     """The seven report columns, numbered from 0 in stored order.
 
-    ``bounded`` says that ``aligned`` holds only the first n questions; otherwise
-    the rows are numbered piece by piece.
+    Numbering reads its input several times, so the aligned rows, short by then, are stored first.
     """
-    if bounded:
-        idx = F.row_number().over(Window.orderBy("row_idx")) - 1
-        numbered = aligned.withColumn("idx", idx.cast("long"))
-    else:
-        numbered = with_position(aligned, "row_idx", "idx")
+    numbered = with_position(materialize(aligned, "aligned"), "row_idx", "idx")
     return numbered.select(
         "idx",
         "question",

@@ -9,63 +9,80 @@ from pyspark.sql import functions as F
 
 from veritally import fixed_values as V
 from veritally.functions.surrogate import clipped_surrogate, importance_ratio
-from veritally.operators.skew import MAX_HOT, ROWS_PER_TASK, HotKey, join_unique
+from veritally.functions.tokens import label_logprob
+from veritally.operators.skew import NO_HOT, ROWS_PER_TASK, SALTS, Hot, Keys, join_unique, names
+from veritally.workspace import materialize
 
 
-def align_logprobs(old: DataFrame, new: DataFrame) -> DataFrame:
+def align_logprobs(old: DataFrame, new: DataFrame, sequence: Keys = "seq_id", strict: bool = False) -> DataFrame:
     """Pair old and new scores token by token.
 
-    ``old`` and ``new`` have seq_id, pos and lp, and may have further columns, such as
-    the advantage or the PPO epoch. Hashing on both key columns spreads even one very long sequence. Both
-    sides have every token, so neither is ever worth a broadcast: the sort-merge
-    hint keeps a low size estimate from choosing one.
+    ``old`` and ``new`` have the sequence's columns, pos and lp, and may have further columns, such as
+    the advantage or the PPO epoch. Both sides have every token, so neither is ever worth a broadcast: the
+    sort-merge hint keeps a low size estimate from choosing one. On tables that arrive partitioned by
+    sequence the join stays so (with ``spark.sql.requireAllClusterKeysForCoPartition=false``); otherwise both key
+    columns are hashed, which spreads even one very long sequence.
+
+    With ``strict`` a token that only one side has ends the query with an error instead of being left out.
     """
-    return (
-        old.withColumnRenamed("lp", "old_lp")
-        .hint("merge")
-        .join(new.withColumnRenamed("lp", "new_lp"), ["seq_id", "pos"])
-    )
+    keys = [*names(sequence), "pos"]
+    left, right = old.withColumnRenamed("lp", "old_lp").hint("merge"), new.withColumnRenamed("lp", "new_lp")
+    if not strict:
+        return left.join(right, keys)
+    both = left.withColumn("_old", F.lit(True)).join(right.withColumn("_new", F.lit(True)), keys, "full")
+    lonely = F.col("_old").isNull() | F.col("_new").isNull()
+    message = F.concat(F.lit("token without partner: "), F.concat_ws(", ", *(F.col(k).cast("string") for k in keys)))
+    checked = F.when(lonely, F.raise_error(message)).otherwise(F.col("old_lp"))
+    return both.withColumn("old_lp", checked).drop("_old", "_new")
 
 
-def long_sequences(tokens: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> list[HotKey]:
-    """Sequences with too many tokens for one task, longest first.
+def long_sequences(tokens: DataFrame, rows_per_task: int = ROWS_PER_TASK, sequence: Keys = "seq_id") -> Hot:
+    """Sequences with too many tokens for one task, as a stored table of keys and salts.
 
     Positions count up from 0, so a long sequence shows by its positions: on a
     stored table the filter reaches the scan and file statistics rule out nearly
-    everything. At most ``MAX_HOT`` rows reach the driver.
+    everything.
     """
-    longest = (
-        tokens.where(F.col("pos") >= rows_per_task)
-        .groupBy("seq_id")
-        .agg(F.max("pos").alias("last"))
-        .orderBy(F.desc("last"), "seq_id")
-        .limit(MAX_HOT)
-    )
-    return [HotKey(r["seq_id"], r["last"] // rows_per_task + 1) for r in longest.collect()]
+    salts = (F.floor(F.max("pos") / rows_per_task) + 1).cast("int").alias(SALTS)
+    longest = tokens.where(F.col("pos") >= rows_per_task).groupBy(*names(sequence)).agg(salts)
+    hot = materialize(longest, "long-sequences")
+    return NO_HOT if hot.isEmpty() else hot
 
 
 def broadcast_advantage(
-    tokens: DataFrame, advantages: DataFrame, hot: Sequence[HotKey] | None = None
+    tokens: DataFrame, advantages: DataFrame, hot: Hot | None = None, sequence: Keys = "seq_id"
 ) -> DataFrame:
     """Give each token the columns of its sequence. There are as many sequences as
     rollouts, so they are never broadcast."""
-    hot = long_sequences(tokens) if hot is None else hot
-    return join_unique(tokens, advantages, "seq_id", ["pos"], hot=hot, small=False)
+    hot = long_sequences(tokens, sequence=sequence) if hot is None else hot
+    return join_unique(tokens, advantages, sequence, ["pos"], hot=hot, small=False)
 
 
-def align_arrays(old: DataFrame, new: DataFrame, sequences: DataFrame) -> DataFrame:
+def align_arrays(
+    old: DataFrame, new: DataFrame, sequences: DataFrame, sequence: Keys = "seq_id", start: Column | None = None
+) -> DataFrame:
     """The same pairing for scores stored as one array per sequence.
 
-    ``old`` is (seq_id, lps), ``new`` is (seq_id, lps, ...) and ``sequences`` has one
+    ``old`` is (*sequence, lps), ``new`` is (*sequence, lps, ...) and ``sequences`` has one
     row per sequence. Rows meet whole, so each table is shuffled once by sequence, and
-    tokens become rows (pos, old_lp, new_lp) only where they are summed up.
+    tokens become rows (pos, old_lp, new_lp) only where they are summed up. ``start`` is the first position
+    that is wanted: what lies before it is cut off before the shuffle. Arrays of unequal length end the query with an error.
     """
-    weighted = old.withColumnRenamed("lps", "_old").hint("merge").join(sequences, "seq_id")
-    rows = weighted.hint("merge").join(new.withColumnRenamed("lps", "_new"), "seq_id")
+    keys = names(sequence)
+    first = F.greatest(F.lit(0), F.lit(0) if start is None else start).cast("int")
+
+    def cut(df: DataFrame, name: str) -> DataFrame:
+        rest = F.slice("lps", first + F.lit(1), F.greatest(F.size("lps") - first, F.lit(0)))
+        return df.select(*(c for c in df.columns if c != "lps"), F.size("lps").alias(f"{name}_size"), first.alias(f"{name}_first"), rest.alias(name))
+
+    weighted = cut(old, "_old").hint("merge").join(sequences, keys)
+    rows = weighted.hint("merge").join(cut(new, "_new"), keys)
     grid = F.arrays_zip(F.col("_old").alias("old_lp"), F.col("_new").alias("new_lp"))
-    kept = [c for c in rows.columns if c not in ("_old", "_new")]
-    return rows.select(*kept, F.posexplode(grid).alias("pos", "_token")).select(
-        *kept, "pos", "_token.old_lp", "_token.new_lp"
+    message = F.format_string("%s: %d old and %d new scores", F.concat_ws(", ", *(F.col(k).cast("string") for k in keys)), "_old_size", "_new_size")
+    checked = F.when(F.col("_old_size") == F.col("_new_size"), grid).otherwise(F.raise_error(message))
+    kept = [c for c in rows.columns if not c.startswith(("_old", "_new"))]
+    return rows.select(*kept, "_old_first", F.posexplode(checked).alias("_place", "_token")).select(
+        *kept, (F.col("_old_first") + F.col("_place")).alias("pos"), "_token.old_lp", "_token.new_lp"
     )
 
 
@@ -89,3 +106,16 @@ def policy_loss(
 def last_ppo_epoch_loss(losses: DataFrame, by: Sequence[str] = ("batch_id",)) -> DataFrame:
     """The loss of the last PPO epoch of each batch: the one that is logged."""
     return losses.groupBy(*by).agg(F.max_by("loss", "ppo_epoch").alias("loss"))
+
+
+def sequence_logprobs(logits: DataFrame, sequence: Keys = "seq_id") -> DataFrame:
+    """(*sequence, pos, lp): the log-probability that the scores at each position give to the next token.
+
+    ``logits`` has (*sequence, pos, logits, token) with one row per position; the token of a position is scored by the row
+    before it, so the last row of a sequence scores nothing. Each row is cut down to one number per label before
+    anything is shuffled twice: the next token is found by a join of ids, and no full vector is kept past the gather.
+    """
+    keys = [*names(sequence), "pos"]
+    following = logits.select(*names(sequence), (F.col("pos") - 1).alias("pos"), F.col("token").alias("_label"))
+    joined = logits.select(*keys, "logits").hint("merge").join(following, keys)
+    return joined.select(*keys, label_logprob(F.col("logits"), F.col("_label")).alias("lp"))

@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from veritally import fixed_values as V
 from veritally.functions.rewards import RewardFn, binary_reward, with_gold_precision
 from veritally.functions.text import extract_gold, extract_prediction
-from veritally.operators.skew import SALT, HotKey, fits_broadcast, join_unique, with_group_stats
+from veritally.operators.skew import SALT, Hot, Keys, fits_broadcast, join_unique, names, with_group_stats
 
 
 def fan_out_samples(problems: DataFrame, k: int = V.GROUP_SIZE) -> DataFrame:
     """``k`` rows per problem, numbered by ``sample_idx``."""
+    if k < 1:
+        raise ValueError(f"{k} samples per problem")
     return problems.withColumn("sample_idx", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
 
 
@@ -23,7 +25,7 @@ def attach_gold(
     problems: DataFrame,
     carry: Sequence[str] = (),
     problem_columns: Sequence[str] = (),
-    hot: Sequence[HotKey] | None = None,
+    hot: Hot | None = None,
     keep_salt: bool = False,
     small: bool | None = None,
 ) -> DataFrame:
@@ -67,27 +69,29 @@ def null_golds(problems: DataFrame) -> DataFrame:
     return problems.where(extract_gold(F.col("answer")).isNull())
 
 
-def group_mean_reward(scored: DataFrame) -> DataFrame:
-    return scored.groupBy("problem_id").agg(F.avg("reward").alias("mean_reward"))
+def group_mean_reward(scored: DataFrame, group: Keys = "problem_id") -> DataFrame:
+    return scored.groupBy(*names(group)).agg(F.avg("reward").alias("mean_reward"))
 
 
-def group_size_violations(df: DataFrame, k: int = V.GROUP_SIZE, key: str = "problem_id") -> DataFrame:
+def group_size_violations(df: DataFrame, k: int = V.GROUP_SIZE, key: Keys = "problem_id") -> DataFrame:
     """Groups that do not have exactly ``k`` rows."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") != k)
+    return df.groupBy(*names(key)).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") != k)
 
 
 def group_advantage(
     scored: DataFrame,
     group_size: int | None = None,
-    hot: Sequence[HotKey] | None = None,
+    hot: Hot | None = None,
+    group: Keys = "problem_id",
 ) -> DataFrame:
     """Reward minus the mean reward of its group; no scaling.
 
-    With ``group_size`` the query fails on the first group of another size.
+    ``group`` names the columns whose values make a group: the problem, or also the epoch where a
+    problem is sampled again in each, or a stored ``group_id``. With ``group_size`` the query fails on the first group of another size.
     """
     stats = with_group_stats(
         scored,
-        "problem_id",
+        group,
         ["sample_idx"],
         sums={"_total": F.col("reward"), "_n": F.lit(1)},
         hot=hot,
@@ -95,7 +99,7 @@ def group_advantage(
     advantage = F.col("reward") - F.col("_total") / F.col("_n")
     if group_size is not None:
         message = F.format_string(
-            f"group %s has %d rows, not {group_size}", F.col("problem_id").cast("string"), F.col("_n")
+            f"group %s has %d rows, not {group_size}", F.concat_ws(", ", *(F.col(g).cast("string") for g in names(group))), F.col("_n")
         )
         advantage = F.when(F.col("_n") == group_size, advantage).otherwise(F.raise_error(message))
     return stats.withColumn("advantage", advantage).drop("_total", "_n", SALT)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from veritally.functions.tokens import drop_special, pad_right
 from veritally.operators.numbering import number_rows
-from veritally.operators.skew import HotKey, join_unique, with_group_stats
+from veritally.operators.skew import NO_HOT, Hot, join_unique, with_group_stats
 from veritally.workspace import materialize
 
 FIRST_TOKEN_ID = 1  # 0 is kept for padding
@@ -25,7 +25,7 @@ def pad_to_batch_max(
     batch: str = "batch_id",
     ids: str = "input_ids",
     mask: str = "attention_mask",
-    hot: Sequence[HotKey] | None = None,
+    hot: Hot | None = None,
 ) -> DataFrame:
     """Right-pad ids and mask to the longest sequence of their batch."""
     longest = with_group_stats(df, batch, spread, maxima={"_longest": F.size(ids)}, hot=hot)
@@ -58,7 +58,7 @@ def build_vocabulary(tokens: DataFrame) -> DataFrame:
     pieces = 16**3
     bucket = -F.col("n") * pieces + F.conv(F.substring("_md5", 1, 3), 16, 10).cast("long")
     return number_rows(counted, bucket, ["_md5", "word"], "token_id", levels=2).select(
-        "word", "n", (F.col("token_id") + FIRST_TOKEN_ID).cast("int").alias("token_id")
+        "word", "n", (F.col("token_id") + FIRST_TOKEN_ID).cast("bigint").alias("token_id")
     )
 
 
@@ -70,13 +70,13 @@ def _word_key(word: Column) -> Column:
 
 
 def encode_words(
-    tokens: DataFrame, vocabulary: DataFrame, key: str, hot: Sequence[HotKey] | None = ()
+    tokens: DataFrame, vocabulary: DataFrame, key: str, hot: Hot | None = NO_HOT, head_words: int = HEAD_WORDS
 ) -> DataFrame:
     """(key, ids) with the ids in text order; a word outside the vocabulary gets NULL.
 
-    The head of the vocabulary, at most ``HEAD_WORDS`` keys of at most
+    The head of the vocabulary, at most ``head_words`` keys of at most
     ``KEY_CHARS`` + 1 characters, is broadcast and settles nearly all tokens where
-    they are read. A word past the head owns less than one token in ``HEAD_WORDS``
+    they are read. A word past the head owns less than one token in ``head_words``
     of the corpus, so the shuffle join that settles the rest has no hot key. That
     holds for the vocabulary of the same corpus; with another one pass ``hot=None``
     to have hot words looked for.
@@ -84,8 +84,8 @@ def encode_words(
     no_word = F.concat(F.lit("\u0001"), F.pmod(F.xxhash64(key), F.lit(NULL_KEYS)).cast("string"))
     keyed = tokens.withColumn("_key", F.coalesce(_word_key(F.col("word")), no_word))
     ids = vocabulary.select(_word_key(F.col("word")).alias("_key"), "token_id")
-    head = ids.where(F.col("token_id") < FIRST_TOKEN_ID + HEAD_WORDS)
-    tail = ids.where(F.col("token_id") >= FIRST_TOKEN_ID + HEAD_WORDS)
+    head = ids.where(F.col("token_id") < FIRST_TOKEN_ID + head_words)
+    tail = ids.where(F.col("token_id") >= FIRST_TOKEN_ID + head_words)
     frequent = keyed.join(F.broadcast(head), "_key")
     others = keyed.join(F.broadcast(head.select("_key")), "_key", "left_anti")
     rest = join_unique(others, tail, "_key", [key, "pos"], how="left", hot=hot, small=False)
@@ -104,21 +104,24 @@ def decode_ids(
     key: str,
     special_ids: list[int],
     ids: str = "ids",
-    hot: Sequence[HotKey] | None = None,
+    hot: Hot | None = NO_HOT,
 ) -> DataFrame:
-    """(key, text): words joined by single spaces, special ids left out."""
+    """(key, text): words joined by single spaces, special ids left out.
+
+    As in ``encode_words``, an id past the head of its own corpus cannot be hot; for another corpus pass ``hot=None``.
+    """
     tokens = sequences.select(
         key, F.posexplode_outer(drop_special(F.col(ids), special_ids)).alias("pos", "token_id")
     )
     no_token = -F.pmod(F.xxhash64(key), F.lit(NULL_KEYS)) - 1
-    tokens = tokens.withColumn("token_id", F.coalesce("token_id", no_token).cast("int"))
+    tokens = tokens.withColumn("token_id", F.coalesce("token_id", no_token).cast("bigint"))
     head = vocabulary.where(
         (F.col("token_id") < FIRST_TOKEN_ID + HEAD_WORDS) & (F.length("word") <= KEY_CHARS)
     ).select("token_id", "word")
     frequent = tokens.join(F.broadcast(head), "token_id")
     rest = tokens.join(F.broadcast(head.select("token_id")), "token_id", "left_anti")
     others = join_unique(
-        rest, vocabulary.select("token_id", "word"), "token_id", [key, "pos"], how="left", hot=hot
+        rest, vocabulary.select("token_id", "word"), "token_id", [key, "pos"], how="left", hot=hot, small=False
     )
     entry = F.when(F.col("pos").isNotNull(), F.struct("pos", "word"))
     return (

@@ -1,10 +1,10 @@
 """Joins and group statistics that hold when one key owns a large share of the rows.
 
-``find_hot_keys`` counts a small sample of the key column, which is all it reads, and
-brings at most ``MAX_HOT`` keys to the driver. With no hot key (the usual case) every
-operator here is the plain Spark plan. Hot keys are spread over several tasks by a
-salt taken from the row's own columns and, so that equal copies part too, from the
-number of the input partition. Both stay the same when a lost task is run again.
+``find_hot_keys`` counts a small sample of the key columns, which is all it reads, and stores the keys
+it finds as a table ``(key, number of salts)``; there are at most as many as rows divided by
+``rows_per_task``. With no hot key (the usual case) every operator here is the plain Spark plan. Hot keys
+are spread over several tasks by a salt taken from the row's own columns and, so that equal copies
+part too, from the number of the input partition. Both stay the same when a lost task is run again.
 
 The sample only decides how far a key is spread. Every row goes into every result.
 """
@@ -12,73 +12,67 @@ The sample only decides how far a key is spread. Every row goes into every resul
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
-from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from veritally.workspace import materialize
+
 ROWS_PER_TASK = 2_000_000
 BROADCAST_ROWS = 200_000
-MAX_HOT = 1024
 SAMPLE_ROWS = 4_000  # sampled rows of a key that is just hot: its count is then known within 5%
 SALT = "_salt"
+SALTS = "_salts"
 
+Keys = str | Sequence[str]
+Hot = DataFrame | tuple[()]  # a table of keys and salts, or () for none
+NO_HOT: Hot = ()
 
-@dataclass(frozen=True)
-class HotKey:
-    key: object
-    salts: int
 
+def names(key: Keys) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
 
-def find_hot_keys(
-    df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK, max_hot: int = MAX_HOT
-) -> list[HotKey]:
-    """Keys with more rows than one task should hold, with the number of tasks to use.
 
-    There are at most ``max_hot``; a key after those owns less than one row in
-    ``max_hot`` and goes the plain way.
-    """
+def is_hot(hot: Hot) -> bool:
+    return isinstance(hot, DataFrame)
+
+
+def find_hot_keys(df: DataFrame, key: Keys, rows_per_task: int = ROWS_PER_TASK) -> Hot:
+    """Keys with more rows than one task should hold, with the number of tasks to use, as a stored
+    table; ``NO_HOT`` if there are none."""
+    keys = names(key)
     fraction = min(1.0, SAMPLE_ROWS / rows_per_task)
-    keys = df.select(key).where(F.col(key).isNotNull())
+    sample = df.select(*keys).dropna("any")
     if fraction < 1.0:
-        keys = keys.sample(fraction, seed=1)
-    counts = (
-        keys.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > rows_per_task * fraction)
-        .orderBy(F.desc("n"), key)
-        .limit(max_hot)
-    )
-    return [HotKey(r[key], ceil(r["n"] / fraction / rows_per_task)) for r in counts.collect()]
+        sample = sample.sample(fraction, seed=1)
+    counts = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > rows_per_task * fraction)
+    salts = F.ceil(F.col("n") / F.lit(fraction * rows_per_task)).cast("int").alias(SALTS)
+    hot = materialize(counts.select(*keys, salts), "hot-keys")
+    return NO_HOT if hot.isEmpty() else hot
 
 
-def _hot_table(df: DataFrame, key: str, hot: Sequence[HotKey]) -> DataFrame:
-    """(key, salts) for the hot keys: at most ``MAX_HOT`` rows, so it can be broadcast."""
-    key_type = df.schema[key].dataType
-    entries = F.array(
-        *(F.struct(F.lit(h.key).cast(key_type).alias(key), F.lit(h.salts).alias("_salts")) for h in hot)
-    )
-    return F.broadcast(df.sparkSession.range(1).select(F.inline(entries)))
+def _small(table: DataFrame) -> DataFrame:
+    """A table with a broadcast hint if it is short, else as it is: Spark then shuffles it."""
+    return F.broadcast(table) if table.select(F.lit(1)).offset(BROADCAST_ROWS).isEmpty() else table
 
 
-def add_salt(df: DataFrame, key: str, hot: Sequence[HotKey], spread: Sequence[str]) -> DataFrame:
+def add_salt(df: DataFrame, key: Keys, hot: DataFrame, spread: Sequence[str]) -> DataFrame:
     """Add the salt: 0 for most keys, a hash of the ``spread`` columns for hot ones."""
-    salt = F.pmod(F.xxhash64(*spread, F.spark_partition_id()), F.col("_salts")).cast("int")
+    salt = F.pmod(F.xxhash64(*spread, F.spark_partition_id()), F.col(SALTS)).cast("int")
     return (
-        df.join(_hot_table(df, key, hot), key, "left")
-        .withColumn(SALT, F.when(F.col("_salts").isNotNull(), salt).otherwise(F.lit(0)))
-        .drop("_salts")
+        df.join(_small(hot), names(key), "left")
+        .withColumn(SALT, F.when(F.col(SALTS).isNotNull(), salt).otherwise(F.lit(0)))
+        .drop(SALTS)
     )
 
 
-def replicate(df: DataFrame, key: str, hot: Sequence[HotKey]) -> DataFrame:
+def replicate(df: DataFrame, key: Keys, hot: DataFrame) -> DataFrame:
     """One copy of each hot row per salt; other rows once with salt 0."""
     return (
-        df.join(_hot_table(df, key, hot), key, "left")
-        .withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
-        .drop("_salts")
+        df.join(_small(hot), names(key), "left")
+        .withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(SALTS), F.lit(1)) - 1)))
+        .drop(SALTS)
     )
 
 
@@ -95,10 +89,10 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
 def join_unique(
     rows: DataFrame,
     lookup: DataFrame,
-    key: str,
+    key: Keys,
     spread: Sequence[str],
     how: str = "inner",
-    hot: Sequence[HotKey] | None = None,
+    hot: Hot | None = None,
     keep_salt: bool = False,
     small: bool | None = None,
 ) -> DataFrame:
@@ -109,25 +103,26 @@ def join_unique(
     salted and only the few lookup rows that belong to them copied. The hint keeps
     Spark from broadcasting ``rows`` on a low size estimate.
     """
+    keys = names(key)
     small = fits_broadcast(lookup) if small is None else small
     if small:
-        return rows.join(F.broadcast(lookup), key, how)
-    hot = find_hot_keys(rows, key) if hot is None else hot
-    if not hot:
-        return rows.hint("merge").join(lookup, key, how)
-    salted = add_salt(rows, key, hot, spread).hint("merge")
-    joined = salted.join(replicate(lookup, key, hot), [key, SALT], how)
+        return rows.join(F.broadcast(lookup), keys, how)
+    hot = find_hot_keys(rows, keys) if hot is None else hot
+    if not is_hot(hot):
+        return rows.hint("merge").join(lookup, keys, how)
+    salted = add_salt(rows, keys, hot, spread).hint("merge")
+    joined = salted.join(replicate(lookup, keys, hot), [*keys, SALT], how)
     return joined if keep_salt else joined.drop(SALT)
 
 
 def with_group_stats(
     rows: DataFrame,
-    key: str,
+    key: Keys,
     spread: Sequence[str],
     *,
     sums: dict[str, Column] | None = None,
     maxima: dict[str, Column] | None = None,
-    hot: Sequence[HotKey] | None = None,
+    hot: Hot | None = None,
 ) -> DataFrame:
     """Add per-group sums and maxima to every row of the group.
 
@@ -136,24 +131,27 @@ def with_group_stats(
     salted parts are windowed apart, and its totals come from a pre-aggregated side
     table with one row per hot key.
     """
+    keys = names(key)
     aggregates = {name: F.sum(c) for name, c in (sums or {}).items()}
     aggregates |= {name: F.max(c) for name, c in (maxima or {}).items()}
-    hot = find_hot_keys(rows, key) if hot is None else hot
-    if not hot:
-        group = Window.partitionBy(key)
+    hot = find_hot_keys(rows, keys) if hot is None else hot
+    if not is_hot(hot):
+        group = Window.partitionBy(*keys)
         return rows.withColumns({name: a.over(group) for name, a in aggregates.items()})
 
-    salted = rows if SALT in rows.columns else add_salt(rows, key, hot, spread)
-    part = Window.partitionBy(key, SALT)
+    salted = rows if SALT in rows.columns else add_salt(rows, keys, hot, spread)
+    part = Window.partitionBy(*keys, SALT)
     totals = (
-        rows.join(_hot_table(rows, key, hot), key, "left_semi")
-        .groupBy(key)
+        rows.join(_small(hot.select(*keys)), keys, "left_semi")
+        .groupBy(*keys)
         .agg(*(a.alias(f"_hot_{name}") for name, a in aggregates.items()))
+        .withColumn("_is_hot", F.lit(True))
     )
+    few = hot.select(F.lit(1)).offset(BROADCAST_ROWS).isEmpty()  # one row of totals per hot key
     in_hot = F.col("_is_hot").isNotNull()
     return (
         salted.withColumns({name: a.over(part) for name, a in aggregates.items()})
-        .join(F.broadcast(totals.withColumn("_is_hot", F.lit(True))), key, "left")
+        .join(F.broadcast(totals) if few else totals, keys, "left")
         .withColumns(
             {name: F.when(in_hot, F.col(f"_hot_{name}")).otherwise(F.col(name)) for name in aggregates}
         )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from veritally.functions.rewards import RewardFn, binary_reward
 from veritally.operators.metrics import accuracy
 from veritally.operators.scoring import add_reward, attach_gold
-from veritally.operators.skew import HotKey
+from veritally.operators.skew import Hot
 from veritally.sources.problems import load_split
 
 
@@ -20,7 +20,7 @@ def evaluate_split(
     by: Sequence[str] = (),
     reward_fn: RewardFn = binary_reward,
     gold_precision: str = "double",
-    hot: Sequence[HotKey] | None = None,
+    hot: Hot | None = None,
 ) -> DataFrame:
     """Correct, total and accuracy, per ``by`` columns of the completions if given."""
     carry = [c for c in by if c != "sample_idx"]

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veritally import fixed_values as V
 from veritally.functions.text import build_prompt, extract_gold
-from veritally.functions.tokens import attention_mask, pad_left, truncate_tokens
+from veritally.functions.tokens import attention_mask, pad_left
 from veritally.operators.batching import assign_batches
 from veritally.operators.sequences import build_vocabulary, encode_words, words
 from veritally.workspace import materialize
@@ -21,6 +23,22 @@ def prompt_vocabulary(problems: DataFrame) -> DataFrame:
     return materialize(build_vocabulary(prompts))
 
 
+def example_records(
+    problems: DataFrame, vocabulary: DataFrame, max_length: int = V.MAX_LENGTH, carry: Sequence[str] = ()
+) -> DataFrame:
+    """(problem_id, *carry, prompt, input_ids, attention_mask, gt): the prompt with its ids and mask at ``max_length``, and
+    the gold number. One word is one token, so what is cut off is dropped before it is encoded."""
+    prompt = build_prompt(F.col("question"))
+    kept = words(problems, "problem_id", prompt).where(F.col("pos").isNull() | (F.col("pos") < max_length))
+    shaped = encode_words(kept, vocabulary, "problem_id").select(
+        "problem_id",
+        pad_left(F.col("ids"), PAD_ID, max_length).alias("input_ids"),
+        attention_mask(F.col("ids"), max_length).alias("attention_mask"),
+    )
+    records = problems.select("problem_id", *carry, prompt.alias("prompt"), extract_gold(F.col("answer")).alias("gt"))
+    return records.join(shaped, "problem_id").select("problem_id", *carry, "prompt", "input_ids", "attention_mask", "gt")
+
+
 def prepare_examples(
     problems: DataFrame,
     vocabulary: DataFrame | None = None,
@@ -29,18 +47,5 @@ def prepare_examples(
 ) -> DataFrame:
     """(problem_id, batch_id, prompt, input_ids, attention_mask, gt), batched in stored order."""
     vocabulary = prompt_vocabulary(problems) if vocabulary is None else vocabulary
-    prompt = build_prompt(F.col("question"))
-    encoded = encode_words(words(problems, "problem_id", prompt), vocabulary, "problem_id")
-    shaped = encoded.withColumn("ids", truncate_tokens(F.col("ids"), max_length)).select(
-        "problem_id",
-        pad_left(F.col("ids"), PAD_ID, max_length).alias("input_ids"),
-        attention_mask(F.col("ids"), max_length).alias("attention_mask"),
-    )
-    records = problems.select(
-        "problem_id", "row_idx", prompt.alias("prompt"), extract_gold(F.col("answer")).alias("gt")
-    )
-    return (
-        assign_batches(records, batch_size)
-        .join(shaped, "problem_id")
-        .select("problem_id", "batch_id", "prompt", "input_ids", "attention_mask", "gt")
-    )
+    batched = assign_batches(problems, batch_size)
+    return example_records(batched, vocabulary, max_length, carry=["batch_id"])

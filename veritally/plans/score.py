@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from veritally.functions.rewards import RewardFn, binary_reward
 from veritally.operators.scoring import add_reward, attach_gold, group_advantage
-from veritally.operators.skew import HotKey, find_hot_keys
+from veritally.operators.skew import Hot, Keys, find_hot_keys, names
 
 
 def score_rollouts(
@@ -19,15 +19,21 @@ def score_rollouts(
     group_size: int | None = None,
     carry: Sequence[str] = (),
     problem_columns: Sequence[str] = (),
-    hot: Sequence[HotKey] | None = None,
+    hot: Hot | None = None,
     small: bool | None = None,
+    group: Keys = "problem_id",
 ) -> DataFrame:
     """(problem_id, sample_idx, *carry, pred, *problem_columns, gt, reward, advantage).
 
     The join and the group mean share one partitioning by problem, so a large
     problem table costs one exchange per side and a broadcast one costs one in all.
     ``small`` says whether the golds can be broadcast; None has their size checked.
+    ``group`` names the columns that make a group, see ``group_advantage``; those that ``problems`` does not
+    have must be among ``carry``. With more than the problem, hot groups are looked for apart from hot problems.
     """
+    if names(group) != ["problem_id"]:
+        paired = attach_gold(rollouts, problems, carry, problem_columns, small=small)
+        return group_advantage(add_reward(paired, reward_fn, gold_precision), group_size, hot, group)
     hot = find_hot_keys(rollouts, "problem_id") if hot is None else hot
     paired = attach_gold(
         rollouts, problems, carry, problem_columns, hot, keep_salt=True, small=small

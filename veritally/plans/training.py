@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,17 +13,13 @@ from veritally.functions.rewards import RewardFn, binary_reward
 from veritally.functions.tokens import in_loss
 from veritally.operators.batching import seeded_batches
 from veritally.operators.metrics import batch_mean_reward, running_reward
-from veritally.operators.policy import (
-    align_arrays,
-    align_logprobs,
-    broadcast_advantage,
-    last_ppo_epoch_loss,
-    policy_loss,
-)
-from veritally.operators.skew import HotKey, fits_broadcast
+from veritally.operators.policy import align_arrays, align_logprobs, broadcast_advantage, policy_loss
+from veritally.operators.skew import Hot, Keys, fits_broadcast, names
 from veritally.plans.score import score_rollouts
 from veritally.workspace import materialize
 
+LISTED_PPO_EPOCHS = 64
+
 
 def batched_scores(
     rollouts: DataFrame,
@@ -33,7 +30,7 @@ def batched_scores(
     reward_fn: RewardFn = binary_reward,
     gold_precision: str = "double",
     carry: Sequence[str] = (),
-    hot: Sequence[HotKey] | None = None,
+    hot: Hot | None = None,
 ) -> DataFrame:
     """Scored rollouts with their epoch and the batch their problem falls in.
 
@@ -54,19 +51,63 @@ def batched_scores(
     return scored.withColumn("epoch", F.lit(epoch))
 
 
-def _stored_scores(scored: DataFrame) -> DataFrame:
+def batched_scores_by_epoch(
+    rollouts: DataFrame,
+    problems: DataFrame,
+    seed: int,
+    epochs: Sequence[int],
+    batch_size: int = V.TRAIN_BATCH_SIZE,
+    reward_fn: RewardFn = binary_reward,
+    gold_precision: str = "double",
+    carry: Sequence[str] = (),
+    hot: Hot | None = None,
+) -> DataFrame:
+    """The same for rollouts with an ``epoch`` column: a problem's samples of one epoch are a group, and each epoch has
+    its own order of problems. Epochs not named are left out."""
+    group = ["epoch", "problem_id"]
+    wanted = rollouts.where(F.col("epoch").isin(list(epochs)))
+    scored = score_rollouts(
+        wanted, problems, reward_fn, gold_precision, carry=["epoch", *carry], hot=hot, group=group
+    )
+    ids = problems.select("problem_id")
+    batches = (
+        seeded_batches(ids, "problem_id", batch_size, seed, e).withColumn("epoch", F.lit(e)) for e in epochs
+    )
+    return scored.join(reduce(DataFrame.unionByName, batches), group)
+
+
+def _stored_scores(scored: DataFrame, sequence: list[str]) -> DataFrame:
     """The narrow result of scoring, kept because rewards and advantages are used apart:
     the texts are read once."""
-    return materialize(
-        scored.select("seq_id", "epoch", "batch_id", "reward", "advantage"), "scores"
+    columns = dict.fromkeys([*sequence, "epoch", "batch_id", "reward", "advantage"])
+    return materialize(scored.select(*columns), "scores")
+
+
+def _last_ppo_epochs(first_tokens: DataFrame, scored: DataFrame, sequence: list[str]) -> tuple[DataFrame, Column]:
+    """Sequences with the last PPO epoch of their batch, and a filter on ``ppo_epoch`` that holds for all of these.
+
+    ``first_tokens`` has one row per sequence and PPO epoch that count in the loss. The filter is a list of the few numbers
+    that are the last of some batch, or their range; it is there before the token tables are shuffled.
+    """
+    last = (
+        first_tokens.hint("merge").join(scored.select(*dict.fromkeys([*sequence, "epoch", "batch_id"])), sequence)
+        .groupBy("epoch", "batch_id")
+        .agg(F.max("ppo_epoch").alias("_last"))
     )
+    last = materialize(last, "last-ppo-epochs")
+    listed = [r[0] for r in last.select("_last").distinct().limit(LISTED_PPO_EPOCHS + 1).collect()]
+    wanted = F.col("ppo_epoch").isin(listed)
+    if len(listed) > LISTED_PPO_EPOCHS:
+        ends = last.agg(F.min("_last"), F.max("_last")).first()
+        wanted = F.col("ppo_epoch").between(*ends)
+    sequences = scored.select(*dict.fromkeys([*sequence, "epoch", "batch_id", "advantage"])).join(last, ["epoch", "batch_id"])
+    return sequences, wanted
 
 
-def _logged_metrics(scored: DataFrame, tokens: DataFrame, mask: Column, clip_eps: float) -> DataFrame:
+def _logged_metrics(scored: DataFrame, tokens: DataFrame, clip_eps: float) -> DataFrame:
     """Batch figures from scored rollouts and their weighted tokens. Every batch has a
     reward; a batch whose loss mask is empty keeps a NULL loss."""
-    losses = policy_loss(tokens, ["epoch", "batch_id", "ppo_epoch"], mask, clip_eps)
-    logged = last_ppo_epoch_loss(losses, ["epoch", "batch_id"])
+    logged = policy_loss(tokens, ["epoch", "batch_id"], F.lit(1.0), clip_eps)
     batches = batch_mean_reward(scored).join(logged, ["epoch", "batch_id"], "left")
     return running_reward(batches).select("epoch", "batch_id", "loss", "reward", "avg_reward")
 
@@ -77,22 +118,27 @@ def training_metrics(
     new: DataFrame,
     prompt_length: Column,
     clip_eps: float = V.CLIP_EPS,
-    hot_sequences: Sequence[HotKey] | None = None,
+    hot_sequences: Hot | None = None,
+    sequence: Keys = "seq_id",
 ) -> DataFrame:
-    """(epoch, batch_id, loss, reward, avg_reward) for every batch of one epoch.
+    """(epoch, batch_id, loss, reward, avg_reward) for every batch.
+
+    ``scored`` comes from ``batched_scores`` or ``batched_scores_by_epoch`` and carries the ``sequence`` columns; ``old`` is
+    (*sequence, pos, lp) and ``new`` is (ppo_epoch, *sequence, pos, lp). Where sequence numbers come again in each
+    epoch, ``sequence`` is ("epoch", "seq_id").
 
-    ``scored`` comes from ``batched_scores`` and carries ``seq_id``; ``old`` is
-    (seq_id, pos, lp) and ``new`` is (ppo_epoch, seq_id, pos, lp). Prompt tokens are
-    dropped before the joins: their mask is 0, so they add nothing to either sum.
-    Advantages go to the old scores first: there is one per token, while the new ones
-    repeat per PPO epoch.
+    The loss is that of the last PPO epoch of each batch. Which one that is shows in the first token of each
+    sequence that counts, so the other PPO epochs never reach the joins; in a table stored in folders by
+    ``ppo_epoch`` their files are not read. Prompt tokens are dropped before the joins as well.
     """
-    scored = _stored_scores(scored)
+    keys = names(sequence)
+    scored = _stored_scores(scored, keys)
     counts = in_loss(F.col("pos"), prompt_length) == 1
-    sequences = scored.select("seq_id", "epoch", "batch_id", "advantage")
-    weighted = broadcast_advantage(old.where(counts), sequences, hot_sequences)
-    tokens = align_logprobs(weighted, new.where(counts))
-    return _logged_metrics(scored, tokens, F.lit(1.0), clip_eps)
+    starts = new.where(F.col("pos") == F.greatest(prompt_length - 1, F.lit(0))).select(*keys, "ppo_epoch")
+    sequences, wanted = _last_ppo_epochs(starts, scored, keys)
+    weighted = broadcast_advantage(old.where(counts), sequences, hot_sequences, keys)
+    tokens = align_logprobs(weighted, new.where(counts & wanted), keys).where("ppo_epoch = _last")
+    return _logged_metrics(scored, tokens, clip_eps)
 
 
 def training_metrics_from_arrays(
@@ -101,10 +147,15 @@ def training_metrics_from_arrays(
     new: DataFrame,
     prompt_length: Column,
     clip_eps: float = V.CLIP_EPS,
+    sequence: Keys = "seq_id",
 ) -> DataFrame:
     """The same figures from scores stored as one array per sequence: ``old`` is
-    (seq_id, lps) and ``new`` is (ppo_epoch, seq_id, lps). No token is shuffled by itself."""
-    scored = _stored_scores(scored)
-    sequences = scored.select("seq_id", "epoch", "batch_id", "advantage")
-    tokens = align_arrays(old, new, sequences)
-    return _logged_metrics(scored, tokens, in_loss(F.col("pos"), prompt_length), clip_eps)
+    (*sequence, lps) and ``new`` is (ppo_epoch, *sequence, lps). No token is shuffled by itself, and none of the prompt or of
+    an earlier PPO epoch at all."""
+    keys = names(sequence)
+    scored = _stored_scores(scored, keys)
+    start = F.greatest(prompt_length - 1, F.lit(0))
+    starts = new.where(F.size("lps") > start).select(*keys, "ppo_epoch")
+    sequences, wanted = _last_ppo_epochs(starts, scored, keys)
+    tokens = align_arrays(old, new.where(wanted), sequences, keys, start).where("ppo_epoch = _last")
+    return _logged_metrics(scored, tokens, clip_eps)

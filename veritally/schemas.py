@@ -37,6 +37,7 @@ BATCH_METRICS = T.StructType(
         T.StructField("batch_id", T.LongType()),
         T.StructField("loss", T.DoubleType()),
         T.StructField("reward", T.DoubleType()),
+        T.StructField("avg_reward", T.DoubleType()),
     ]
 )
 

@@ -10,11 +10,12 @@ from veritally.functions.text import fixed_decimals
 from veritally.schemas import BATCH_METRICS, require_columns
 
 
-def append_metrics(metrics: DataFrame, path: str) -> None:
-    """Add batch metrics to the log, one folder per epoch."""
+def log_metrics(metrics: DataFrame, path: str) -> None:
+    """Write batch metrics to the log, one folder per epoch. Epochs written again replace their folder, others stay."""
     (
         require_columns(metrics, BATCH_METRICS)
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("epoch")
         .parquet(path)
     )
@@ -25,8 +26,8 @@ def write_report(lines: DataFrame, path: str, single_file: bool = False) -> None
 
     ``single_file`` forces one file, hence one task: only for reports over the first n questions.
     """
-    ordered = lines.orderBy("line_no").select("line")
-    (ordered.coalesce(1) if single_file else ordered).write.mode("overwrite").text(path)
+    ordered = lines.repartition(1).sortWithinPartitions("line_no") if single_file else lines.orderBy("line_no")
+    ordered.select("line").write.mode("overwrite").text(path)
 
 
 def metric_lines(batch_metrics: DataFrame) -> DataFrame:

@@ -2,27 +2,15 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from veritally.schemas import require_columns
 
 
-@lru_cache(maxsize=256)
-def _has_few_splits(spark: SparkSession, path: str) -> bool:
-    return spark.read.parquet(path).rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
-
-
-def read_table(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
-    """A parquet table. With ``key``, a table of fewer splits than the cluster has cores is
-    spread by that key, since rows that grow a lot would otherwise keep a few cores busy.
-    A table of many splits is left as it is: it needs no shuffle."""
-    df = spark.read.parquet(path)
-    if key is None or not _has_few_splits(spark, path):
-        return df
-    return df.repartition(spark.sparkContext.defaultParallelism, key)
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet table, a file or a folder of files."""
+    return spark.read.parquet(path)
 
 
 def read_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

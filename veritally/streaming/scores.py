@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from veritally.functions.rewards import RewardFn, binary_reward
-from veritally.operators.scoring import add_reward, attach_gold
-from veritally.operators.skew import HotKey
+from veritally.operators.scoring import add_reward, attach_gold, group_advantage
+from veritally.operators.skew import NO_HOT, Hot, Keys, names
 from veritally.plans.score import score_rollouts
 
 FILES_PER_TRIGGER = 64
@@ -28,7 +28,7 @@ def read_rollout_stream(
     files_per_trigger: int = FILES_PER_TRIGGER,
     name_pattern: str = "*.parquet",
 ) -> DataFrame:
-    """Parquet files of a folder as a stream, a bounded number of files per micro-batch."""
+    """Parquet files of a table's folder as a stream, a bounded number of files per micro-batch."""
     return (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_trigger)
@@ -42,10 +42,13 @@ def batch_metrics_stream(
     problems: DataFrame,
     reward_fn: RewardFn = binary_reward,
     gold_precision: str = "double",
-    hot: Sequence[HotKey] = (),
+    hot: Hot = NO_HOT,
 ) -> DataFrame:
     """Running (batch_id, n, reward) over everything that has arrived.
 
+    A problem table too large to broadcast is shuffled; ``hot`` then names the problems to spread, such as
+    ``find_hot_keys`` finds in rollouts stored before. Batch means are combined before the shuffle.
+
     State is one row per batch. There is no event time, hence no watermark, and the
     state grows with the number of batches.
     """
@@ -75,29 +78,79 @@ def start_batch_metrics(metrics: DataFrame, path: str, checkpoint: str) -> Strea
     )
 
 
+METRICS_SCHEMA = "batch_id long, n long, reward double, micro_batch int"
+
+
 def latest_batch_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """The newest state of every batch written so far."""
+    """The newest state of every batch written so far; empty if none was."""
     newest = F.max_by(F.struct("n", "reward"), "micro_batch")
     return (
-        spark.read.parquet(path)
+        _written(spark, path, METRICS_SCHEMA)
         .groupBy("batch_id")
         .agg(newest.alias("m"))
         .select("batch_id", "m.n", "m.reward")
     )
 
 
-def start_advantages(
+def _written(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    """What the micro-batches wrote to a folder that may not be there yet."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def start_scores(
     rollouts: DataFrame,
     problems: DataFrame,
     path: str,
     checkpoint: str,
+    carry: Sequence[str] = (),
+    reward_fn: RewardFn = binary_reward,
+    gold_precision: str = "double",
+) -> StreamingQuery:
+    """Store scored rollouts, without advantages, as they arrive: for groups that may be split over files."""
+
+    def write(df: DataFrame, micro_batch: int) -> None:
+        scored = add_reward(attach_gold(df, problems, carry), reward_fn, gold_precision)
+        _write_micro_batch(path)(scored, micro_batch)
+
+    return (
+        rollouts.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def late_advantages(
+    spark: SparkSession,
+    path: str,
+    group: Keys = "problem_id",
     group_size: int | None = None,
+    hot: Hot | None = None,
+) -> DataFrame:
+    """The batch pass over what ``start_scores`` has stored: advantages over whole groups, wherever their rows arrived."""
+    keys = ", ".join(f"{k} long" for k in names(group))
+    schema = f"{keys}, sample_idx int, reward double"
+    stored = _written(spark, path, schema).drop("micro_batch")
+    return group_advantage(stored, group_size, hot, group)
+
+
+def start_advantages(
+    rollouts: DataFrame,
+    problems: DataFrame,
+    path: str,
+    checkpoint: str,
+    group_size: int,
     reward_fn: RewardFn = binary_reward,
     gold_precision: str = "double",
 ) -> StreamingQuery:
     """Score each micro-batch with advantages, for sources that deliver whole groups per file.
 
-    ``group_size`` makes an incomplete group fail instead of being centred on a partial mean.
+    A group that is not complete within a micro-batch ends the stream with an error instead of being centred on a
+    partial mean; ``start_scores`` and ``late_advantages`` are for such sources.
     """
 
     def write(df: DataFrame, micro_batch: int) -> None:

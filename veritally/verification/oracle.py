@@ -50,9 +50,10 @@ select o_orderkey as problem_id, o_orderkey as row_idx,
     then '.' || lpad(cast(cast(round(o_totalprice * 100) as bigint) % 100 as varchar), 2, '0')
     else '' end end as answer
 from orders""",
-    "rollouts": """
-select problem_id, sample_idx, problem_id * 4 + sample_idx as seq_id, problem_id // 2 as batch_id,
- case (problem_id * 7 + sample_idx * 3) % 8
+    "rollouts": "select * exclude (epoch) from all_rollouts where epoch = 0",
+    "all_rollouts": """
+select epoch, problem_id, sample_idx, problem_id * 4 + sample_idx as seq_id, problem_id // 2 as batch_id,
+ case (problem_id * 7 + sample_idx * 3 + epoch * 5) % 8
   when 0 then 'Therefore the answer is ' || w
   when 1 then 'step 1 = 2 then #### ' || w
   when 2 then 'total = ' || w || chr(10) || 'done'
@@ -64,7 +65,7 @@ select problem_id, sample_idx, problem_id * 4 + sample_idx as seq_id, problem_id
 from (select o_orderkey as problem_id, cast(unnest([0, 1, 2, 3]) as integer) as sample_idx,
        cast(cast(floor(o_totalprice) as bigint) as varchar) as w,
        lpad(cast(cast(round(o_totalprice * 100) as bigint) % 100 as varchar), 2, '0') as c
-      from orders)""",
+      from orders) cross join (select cast(unnest([0, 1]) as integer) as epoch)""",
     "golds": f"select problem_id, row_idx, split, question, {GOLD} as gt from problems",
     "preds": f"select problem_id, sample_idx, seq_id, batch_id, completion, {PRED} as pred from rollouts",
     "paired": "select p.problem_id, sample_idx, seq_id, batch_id, pred, gt, split from preds p join golds g on p.problem_id = g.problem_id",
@@ -81,23 +82,23 @@ from (select problem_id, seq_id, cast(unnest(generate_series(0, len(ws) - 1)) as
       from (select problem_id, seq_id, string_split('Answer: now ' || completion, ' ') as ws from rollouts))""",
     "pairs": "select seq_id, pos, lp as old_lp, lp + delta as new_lp from tokens",
     "sequences": "select seq_id, batch_id, (problem_id % 5 - 2) / 2.0e0 as advantage from rollouts",
-    "token_losses": """
+    "token_losses": f"""
 select p.seq_id, pos, batch_id,
- -least(exp(new_lp - old_lp) * advantage, least(greatest(exp(new_lp - old_lp), 1 - 0.2e0), 1 + 0.2e0) * advantage) as loss
+ -least(exp(new_lp - old_lp) * advantage, least(greatest(exp(new_lp - old_lp), 1 - {V.CLIP_EPS!r}), 1 + {V.CLIP_EPS!r}) * advantage) as loss
 from pairs p join sequences s on p.seq_id = s.seq_id""",
     "steps": "select unnest([0, 1, 2]) as ppo_epoch, unnest([0.0e0, 0.5e0, 1.0e0]) as step",
-    "losses": """
+    "losses": f"""
 select batch_id, ppo_epoch,
- sum(-least(ratio * advantage, least(greatest(ratio, 1 - 0.2e0), 1 + 0.2e0) * advantage)) / count(*) as loss
+ sum(-least(ratio * advantage, least(greatest(ratio, 1 - {V.CLIP_EPS!r}), 1 + {V.CLIP_EPS!r}) * advantage)) / count(*) as loss
 from (select batch_id, cast(ppo_epoch as integer) as ppo_epoch, advantage, exp(lp + delta * step - lp) as ratio
       from tokens t join sequences s on t.seq_id = s.seq_id cross join steps where pos >= 1)
 group by all""",
     "shuffled": f"""
 select problem_id, (row_number() over (order by md5('{SEED}:0:' || problem_id), problem_id) - 1) // 2 as batch_id
 from problems where split = 'train'""",
-    "batch_losses": """
+    "batch_losses": f"""
 select batch_id,
- sum(-least(ratio * advantage, least(greatest(ratio, 1 - 0.2e0), 1 + 0.2e0) * advantage)) / count(*) as loss
+ sum(-least(ratio * advantage, least(greatest(ratio, 1 - {V.CLIP_EPS!r}), 1 + {V.CLIP_EPS!r}) * advantage)) / count(*) as loss
 from (select h.batch_id, advantage, exp(lp + delta - lp) as ratio
       from tokens t join scored s on t.seq_id = s.seq_id join shuffled h on h.problem_id = s.problem_id where pos >= 1)
 group by all""",
@@ -105,6 +106,32 @@ group by all""",
 select cast(0 as integer) as epoch, r.batch_id, loss, reward, avg(reward) over (order by r.batch_id) as avg_reward
 from (select h.batch_id, avg(reward) as reward from scored s join shuffled h on h.problem_id = s.problem_id group by all) r
 left join batch_losses b on b.batch_id = r.batch_id""",
+    "epoch_scored": f"""
+select *, reward - avg(reward) over (partition by epoch, problem_id) as advantage
+from (select *, case when {MATCH} then 1.0e0 else 0.0e0 end as reward
+      from (select epoch, r.problem_id, sample_idx, seq_id, {PRED} as pred, gt, split
+            from all_rollouts r join golds g on r.problem_id = g.problem_id))""",
+    "epoch_tokens": """
+select epoch, seq_id, pos, 0.0e0 - length(word) / 10.0e0 as lp,
+ ((problem_id + pos * 3 + length(word)) % 19 - 8) / 25.0e0 as delta
+from (select epoch, problem_id, seq_id, cast(unnest(generate_series(0, len(ws) - 1)) as integer) as pos, unnest(ws) as word
+      from (select epoch, problem_id, seq_id, string_split('Answer: now ' || completion, ' ') as ws from all_rollouts))""",
+    "epoch_shuffled": f"""
+select problem_id, epoch,
+ (row_number() over (partition by epoch order by md5('{SEED}:' || epoch || ':' || problem_id), problem_id) - 1) // {V.TRAIN_BATCH_SIZE} as batch_id
+from problems cross join (select cast(unnest([0, 1]) as integer) as epoch) where split = 'train'""",
+    "epoch_losses": f"""
+select epoch, batch_id,
+ sum(-least(ratio * advantage, least(greatest(ratio, 1 - {V.CLIP_EPS!r}), 1 + {V.CLIP_EPS!r}) * advantage)) / count(*) as loss
+from (select h.epoch, h.batch_id, advantage, exp(lp + delta - lp) as ratio
+      from epoch_tokens t join epoch_scored s on t.seq_id = s.seq_id and t.epoch = s.epoch
+      join epoch_shuffled h on h.problem_id = s.problem_id and h.epoch = s.epoch where pos >= 1)
+group by all""",
+    "epoch_training": """
+select r.epoch, r.batch_id, loss, reward, avg(reward) over (partition by r.epoch order by r.batch_id) as avg_reward
+from (select h.epoch, h.batch_id, avg(reward) as reward from epoch_scored s
+      join epoch_shuffled h on h.problem_id = s.problem_id and h.epoch = s.epoch group by all) r
+left join epoch_losses b on b.batch_id = r.batch_id and b.epoch = r.epoch""",
     "aligned": f"""
 select g.problem_id, split, row_idx, {_short('question')} as question, gt,
  {_short('a.completion')} as baseline_response, a.pred as baseline_pred,
@@ -127,18 +154,24 @@ select conv_id * 100 + turn as seq_id, conv_id as batch_id, {WORD_LENGTHS.format
 select doc_id, unnest(generate_series(0, len(ws) - 1)) as pos, unnest(ws) as word
 from (select doc_id, string_split(text, ' ') as ws from documents)""",
     "vocabulary": """
-select word, count(*) as n, cast(row_number() over (order by count(*) desc, md5(word), word) as integer) as token_id
+select word, count(*) as n, cast(row_number() over (order by count(*) desc, md5(word), word) as bigint) as token_id
 from document_words group by word""",
     "prompt_words": f"""
 select problem_id, prompt, gt, unnest(generate_series(0, len(ws) - 1)) as pos, unnest(ws) as word
 from (select problem_id, {PROMPT} as prompt, gt, string_split({PROMPT}, ' ') as ws from golds)""",
     "prompt_vocabulary": """
-select word, cast(row_number() over (order by count(*) desc, md5(word), word) as integer) as token_id
+select word, cast(row_number() over (order by count(*) desc, md5(word), word) as bigint) as token_id
 from prompt_words group by word""",
     "logits": "select vec_id, list_transform(embedding, lambda x: cast(x as double)) as l, label from embeddings",
     "norms": "select *, list_max(l) + ln(list_sum(list_transform(l, lambda x: exp(x - list_max(l))))) as z from logits",
 }
 NEEDS = {
+    "rollouts": ["all_rollouts"],
+    "epoch_scored": ["all_rollouts", "golds"],
+    "epoch_tokens": ["all_rollouts"],
+    "epoch_shuffled": ["problems"],
+    "epoch_losses": ["epoch_tokens", "epoch_scored", "epoch_shuffled"],
+    "epoch_training": ["epoch_losses"],
     "golds": ["problems"],
     "preds": ["rollouts"],
     "paired": ["golds", "preds"],
@@ -232,19 +265,19 @@ ORACLE: dict[str, str] = {
     "report_markdown": _markdown(),
     "epoch_metrics": sql(
         f"select epoch, count(*) as num_batches, {r6('avg(loss)')} as avg_loss, {r6('avg(reward)')} as avg_reward "
-        "from training group by epoch",
-        "training",
+        "from epoch_training group by epoch",
+        "epoch_training",
     ),
     "metrics_log": sql(
-        "select epoch, batch_id, printf('%.4f', 1 - reward) as loss, printf('%.4f', reward) as reward, "
-        "printf('%.4f', avg(reward) over (partition by epoch order by batch_id)) as avg_reward from epoch_batches",
-        "epoch_batches",
+        f"select epoch, batch_id, printf('%.{V.DECIMALS}f', {r6('loss')}) as loss, printf('%.{V.DECIMALS}f', {r6('reward')}) as reward, "
+        f"printf('%.{V.DECIMALS}f', {r6('avg_reward')}) as avg_reward from epoch_training",
+        "epoch_training",
     ),
     "epoch_summary_lines": sql(
         f"""select epoch, cast(unnest([0, 1, 2]) as integer) as line_no,
-unnest(['Epoch ' || (epoch + 1) || ' Summary:', {_quoted(V.LOSS_LABEL)} || printf('%.4f', loss), {_quoted(V.REWARD_LABEL)} || printf('%.4f', reward)]) as line
-from (select epoch, avg(1 - reward) as loss, avg(reward) as reward from epoch_batches group by epoch)""",
-        "epoch_batches",
+unnest(['Epoch ' || (epoch + 1) || ' Summary:', {_quoted(V.LOSS_LABEL)} || printf('%.{V.DECIMALS}f', loss), {_quoted(V.REWARD_LABEL)} || printf('%.{V.DECIMALS}f', reward)]) as line
+from (select epoch, {r6('avg(loss)')} as loss, {r6('avg(reward)')} as reward from epoch_training group by epoch)""",
+        "epoch_training",
     ),
     "accuracy_line": sql(
         f"select {_quoted(V.ACCURACY_LABEL)} || printf('%.4f', sum(reward) / count(*)) as line "
@@ -253,10 +286,11 @@ from (select epoch, avg(1 - reward) as loss, avg(reward) as reward from epoch_ba
     ),
     "build_prompt": sql(f"select problem_id, {PROMPT} as prompt from problems", "problems"),
     "example_record": sql(
-        f"""select problem_id, prompt, {_padded('ids', PROMPT_LENGTH)} as input_ids,
-{_mask('ids', PROMPT_LENGTH)} as attention_mask, gt
-from (select problem_id, {PROMPT} as prompt, gt, list_slice({WORD_LENGTHS.format(PROMPT)}, 1, {PROMPT_LENGTH}) as ids from golds)""",
-        "golds",
+        f"""select problem_id, prompt, {_padded('ids', PROMPT_LENGTH)} as input_ids, {_mask('ids', PROMPT_LENGTH)} as attention_mask, gt
+from (select problem_id, any_value(prompt) as prompt, any_value(gt) as gt,
+       list_slice(list(token_id order by pos), 1, {PROMPT_LENGTH}) as ids
+      from prompt_words w join prompt_vocabulary v on w.word = v.word group by problem_id)""",
+        "prompt_vocabulary",
     ),
     "truncate_text": f"select doc_id, {_short('text')} as short from documents",
     "verdict_label": sql(
@@ -386,7 +420,7 @@ from (select *, max(len(ids)) over (partition by batch_id) - len(ids) as room fr
     ),
     "importance_ratio": sql(f"select seq_id, pos, {r6(RATIO)} as ratio from pairs", "pairs"),
     "clip_ratio": sql(
-        f"select seq_id, pos, {r6(f'least(greatest({RATIO}, 1 - 0.2e0), 1 + 0.2e0)')} as clipped from pairs", "pairs"
+        f"select seq_id, pos, {r6(f'least(greatest({RATIO}, 1 - {V.CLIP_EPS!r}), 1 + {V.CLIP_EPS!r})')} as clipped from pairs", "pairs"
     ),
     "clipped_surrogate": sql(f"select seq_id, pos, {r6('loss')} as loss from token_losses", "token_losses"),
     "policy_loss": sql(f"select batch_id, ppo_epoch, {r6('loss')} as loss from losses", "losses"),
@@ -395,6 +429,30 @@ from (select *, max(len(ids)) over (partition by batch_id) - len(ids) as room fr
         "select batch_id, count(*) as n, avg(reward) as reward from rewarded group by batch_id", "rewarded"
     ),
     "streaming_advantages": sql("select problem_id, sample_idx, reward, advantage from scored", "scored"),
+    "streaming_advantages_split_groups": sql("select problem_id, sample_idx, reward, advantage from scored", "scored"),
+    "score_rollouts_epochs": sql(
+        "select problem_id, sample_idx, epoch, pred, gt, reward, advantage from epoch_scored", "epoch_scored"
+    ),
+    "score_rollouts_shuffled": sql("select problem_id, sample_idx, pred, gt, reward, advantage from scored", "scored"),
+    "score_rollouts_hot": sql("select problem_id, sample_idx, pred, gt, reward, advantage from scored", "scored"),
+    "training_metrics_epochs": sql(
+        f"select epoch, batch_id, {r6('loss')} as loss, {r6('reward')} as reward, {r6('avg_reward')} as avg_reward from epoch_training",
+        "epoch_training",
+    ),
+    "vocab_encode_short_head": sql(
+        "select doc_id, list(token_id order by pos) as ids from document_words d join vocabulary v on d.word = v.word group by doc_id",
+        "vocabulary",
+    ),
+    "broadcast_advantage_long": sql(
+        "select t.seq_id, pos, batch_id, advantage from tokens t join sequences s on t.seq_id = s.seq_id",
+        "tokens",
+        "sequences",
+    ),
+    "sequence_logprobs": sql(
+        f"select a.vec_id // 16 as seq_id, cast(a.vec_id % 16 as integer) as pos, {r6('a.l[b.label + 1] - a.z')} as lp "
+        "from norms a join norms b on b.vec_id = a.vec_id + 1 and b.vec_id % 16 > 0",
+        "norms",
+    ),
     "score_rollouts": sql("select problem_id, sample_idx, pred, gt, reward, advantage from scored", "scored"),
     "score_rollouts_float_gold": sql(
         "select problem_id, sample_idx, pred, gt, reward, reward - avg(reward) over (partition by problem_id) as advantage "

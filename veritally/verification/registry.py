@@ -13,9 +13,14 @@ from veritally.operators import batching, compare, metrics, policy, scoring, seq
 from veritally.operators.skew import find_hot_keys
 from veritally.plans.compare import compare_models
 from veritally.plans.evaluate import evaluate_split
-from veritally.plans.examples import PAD_ID, prepare_examples
+from veritally.plans.examples import PAD_ID, example_records, prepare_examples, prompt_vocabulary
 from veritally.plans.score import score_rollouts
-from veritally.plans.training import batched_scores, training_metrics, training_metrics_from_arrays
+from veritally.plans.training import (
+    batched_scores,
+    batched_scores_by_epoch,
+    training_metrics,
+    training_metrics_from_arrays,
+)
 from veritally.sources import problems as problem_source
 from veritally.sources.sinks import accuracy_line, metric_lines, summary_lines
 from veritally.streaming import scores as streaming
@@ -26,7 +31,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SEED = 7
 SHAPE_LENGTH = 64
-PROMPT_LENGTH = 24
+PROMPT_LENGTH = 16  # some prompts are longer, so that the cut happens
+EPOCHS = (0, 1)
+STREAM_FILES = 4
 
 
 def r6(c: Column | str) -> Column:
@@ -105,21 +112,30 @@ def _training(spark, d):
     )
 
 
+def _training_by_epoch(spark, d):
+    train = problem_source.load_split(views.problems(spark, d), "train")
+    return training_metrics(
+        batched_scores_by_epoch(views.rollouts_by_epoch(spark, d), train, SEED, EPOCHS, carry=["seq_id"]),
+        views.old_logprobs(spark, d, by_epoch=True),
+        views.new_logprobs(spark, d, by_epoch=True),
+        F.lit(views.PROMPT_TOKENS),
+        sequence=["epoch", "seq_id"],
+    )
+
+
 def epoch_metrics(spark, d):
-    summary = metrics.epoch_mean_of_means(_training(spark, d))
+    summary = metrics.epoch_mean_of_means(_training_by_epoch(spark, d))
     return summary.select("epoch", "num_batches", r6("avg_loss").alias("avg_loss"), r6("avg_reward").alias("avg_reward"))
 
 
 def metrics_log(spark, d):
-    """The metrics log as text lines, from batch rewards with their running mean."""
-    batches = _batch_rewards(spark, d).withColumn("loss", F.lit(1.0) - F.col("reward"))
-    return metric_lines(metrics.running_reward(batches))
+    """The metrics log as text lines."""
+    return metric_lines(_rounded_metrics(_training_by_epoch(spark, d)))
 
 
 def epoch_summary_lines(spark, d):
-    """Epoch summary as text, from batch rewards."""
-    batches = _batch_rewards(spark, d).withColumn("loss", F.lit(1.0) - F.col("reward"))
-    return summary_lines(metrics.epoch_mean_of_means(batches))
+    """Epoch summary as text."""
+    return summary_lines(epoch_metrics(spark, d))
 
 
 def accuracy_text(spark, d):
@@ -134,20 +150,8 @@ def build_prompt(spark, d):
 
 
 def example_record(spark, d):
-    prompt = text.build_prompt(F.col("question"))
-    ids = F.transform(F.split("prompt", " "), lambda w: F.length(w))
-    return (
-        views.problems(spark, d)
-        .select("problem_id", prompt.alias("prompt"), text.extract_gold(F.col("answer")).alias("gt"))
-        .withColumn("ids", tokens.truncate_tokens(ids, PROMPT_LENGTH))
-        .select(
-            "problem_id",
-            "prompt",
-            tokens.pad_left(F.col("ids"), PAD_ID, PROMPT_LENGTH).alias("input_ids"),
-            tokens.attention_mask(F.col("ids"), PROMPT_LENGTH).alias("attention_mask"),
-            "gt",
-        )
-    )
+    problems = views.problems(spark, d)
+    return example_records(problems, prompt_vocabulary(problems), PROMPT_LENGTH)
 
 
 def truncate_text(spark, d):
@@ -244,6 +248,19 @@ def broadcast_advantage(spark, d):
     )
 
 
+def broadcast_advantage_long(spark, d):
+    """As with sequences too long for one task."""
+    rows = views.old_logprobs(spark, d).select("seq_id", "pos")
+    hot = policy.long_sequences(rows, rows_per_task=3)
+    assert hot, "no sequence has more than three tokens"
+    return policy.broadcast_advantage(rows, views.sequence_advantages(spark, d), hot)
+
+
+def sequence_logprobs(spark, d):
+    found = policy.sequence_logprobs(views.logit_sequences(spark, d))
+    return found.select("seq_id", "pos", r6("lp").alias("lp"))
+
+
 # --- aggregates and windows -----------------------------------------------
 
 
@@ -366,6 +383,13 @@ def vocab_encode(spark, d):
     return _encoded(spark, d)[0]
 
 
+def vocab_encode_short_head(spark, d):
+    """With a head of 50 words, so that most words take the shuffle join of the tail."""
+    found = views.document_words(spark, d)
+    vocabulary = materialize(sequences.build_vocabulary(found))
+    return sequences.encode_words(found, vocabulary, "doc_id", head_words=50)
+
+
 def vocabulary(spark, d):
     return sequences.build_vocabulary(views.document_words(spark, d))
 
@@ -467,27 +491,43 @@ def clipped_surrogate(spark, d):
 # --- streams ---------------------------------------------------------------
 
 
-def _order_stream(spark, d):
-    schema = views.table(spark, d, "orders").schema
-    return streaming.read_rollout_stream(spark, d, schema, name_pattern="orders.parquet")
+def _rollout_stream(spark, d, *by: str) -> DataFrame:
+    """Rollouts as a table of several files, read as a stream of one file per micro-batch. ``by`` names the columns by
+    which rows are dealt to files."""
+    path = fresh_path(spark, "arrivals")
+    rows = views.rollouts(spark, d)
+    rows.repartition(STREAM_FILES, *by).write.parquet(path)
+    return streaming.read_rollout_stream(spark, path, rows.schema, files_per_trigger=1)
 
 
 def streaming_scores(spark, d):
     out = fresh_path(spark, "streaming-scores")
-    found = streaming.batch_metrics_stream(views.rollouts_of(_order_stream(spark, d)), views.problems(spark, d))
+    found = streaming.batch_metrics_stream(_rollout_stream(spark, d), views.problems(spark, d))
     streaming.start_batch_metrics(found, out, fresh_path(spark, "streaming-state")).awaitTermination()
     return streaming.latest_batch_metrics(spark, out)
 
 
 def streaming_advantages(spark, d):
     out = fresh_path(spark, "streaming-advantages")
-    rows = views.rollouts_of(_order_stream(spark, d))
     streaming.start_advantages(
-        rows, views.problems(spark, d), out, fresh_path(spark, "streaming-state"), V.GROUP_SIZE
+        _rollout_stream(spark, d, "problem_id"),
+        views.problems(spark, d),
+        out,
+        fresh_path(spark, "streaming-state"),
+        V.GROUP_SIZE,
     ).awaitTermination()
     return spark.read.parquet(out).select("problem_id", "sample_idx", "reward", "advantage")
 
 
+def streaming_advantages_split_groups(spark, d):
+    """Every problem's samples are spread over the files; advantages come from the late pass."""
+    out = fresh_path(spark, "streaming-split")
+    streaming.start_scores(
+        _rollout_stream(spark, d, "sample_idx"), views.problems(spark, d), out, fresh_path(spark, "streaming-state")
+    ).awaitTermination()
+    return streaming.late_advantages(spark, out, group_size=V.GROUP_SIZE)
+
+
 # --- pipelines -------------------------------------------------------------
 
 
@@ -495,6 +535,33 @@ def scored_rollouts(spark, d):
     return _scored(spark, d)
 
 
+def scored_rollouts_epochs(spark, d):
+    return score_rollouts(
+        views.rollouts_by_epoch(spark, d),
+        views.problems(spark, d),
+        group_size=V.GROUP_SIZE,
+        carry=["epoch"],
+        group=["epoch", "problem_id"],
+    )
+
+
+def scored_rollouts_shuffled(spark, d):
+    """As for a problem table too large to broadcast."""
+    return _scored(spark, d, small=False)
+
+
+def _hot_problems(spark, d) -> DataFrame:
+    """Every problem taken for a hot one."""
+    hot = find_hot_keys(views.rollouts(spark, d), "problem_id", rows_per_task=2)
+    assert hot, "no problem has more than two rows"
+    return hot
+
+
+def scored_rollouts_hot(spark, d):
+    """As with hot problems and a problem table too large to broadcast."""
+    return _scored(spark, d, small=False, hot=_hot_problems(spark, d))
+
+
 def scored_rollouts_float_gold(spark, d):
     return _scored(spark, d, gold_precision="float")
 
@@ -537,6 +604,10 @@ def training_from_arrays(spark, d):
     return _rounded_metrics(found)
 
 
+def training_epochs(spark, d):
+    return _rounded_metrics(_training_by_epoch(spark, d))
+
+
 def prepared_examples(spark, d):
     return prepare_examples(views.problems(spark, d), max_length=PROMPT_LENGTH)
 
@@ -570,6 +641,8 @@ QUERIES: dict[str, Query] = {
     "align_models": align_models,
     "align_logprobs": align_logprobs,
     "broadcast_advantage": broadcast_advantage,
+    "broadcast_advantage_long": broadcast_advantage_long,
+    "sequence_logprobs": sequence_logprobs,
     "group_mean_reward": group_mean_reward,
     "masked_mean": masked_mean,
     "accuracy": accuracy,
@@ -586,6 +659,7 @@ QUERIES: dict[str, Query] = {
     "ordered_eval": ordered_eval,
     "vocabulary": vocabulary,
     "vocab_encode": vocab_encode,
+    "vocab_encode_short_head": vocab_encode_short_head,
     "vocab_decode": vocab_decode,
     "truncate_tokens": truncate_tokens,
     "pad_left": pad_left,
@@ -604,13 +678,18 @@ QUERIES: dict[str, Query] = {
     "policy_loss_from_arrays": policy_loss_from_arrays,
     "streaming_scores": streaming_scores,
     "streaming_advantages": streaming_advantages,
+    "streaming_advantages_split_groups": streaming_advantages_split_groups,
     "score_rollouts": scored_rollouts,
     "score_rollouts_float_gold": scored_rollouts_float_gold,
+    "score_rollouts_epochs": scored_rollouts_epochs,
+    "score_rollouts_shuffled": scored_rollouts_shuffled,
+    "score_rollouts_hot": scored_rollouts_hot,
     "evaluate_split": evaluated_split,
     "evaluate_split_float_gold": evaluated_split_float_gold,
     "compare_models": compared_models,
     "compare_models_whole_split": compared_models_whole_split,
     "training_metrics": training,
     "training_metrics_from_arrays": training_from_arrays,
+    "training_metrics_epochs": training_epochs,
     "prepare_examples": prepared_examples,
 }

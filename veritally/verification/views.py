@@ -19,8 +19,8 @@ PROMPT_TOKENS = 2
 PPO_STEPS = (0.0, 0.5, 1.0)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
-    return read_table(spark, f"{sf_dir}/{name}.parquet", key)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def _whole() -> Column:
@@ -62,10 +62,11 @@ def problems_of(orders: DataFrame) -> DataFrame:
     )
 
 
-def rollouts_of(orders: DataFrame) -> DataFrame:
-    """Four completions per problem that go through every branch of the extraction."""
+def rollouts_of(orders: DataFrame, epochs: int = 1) -> DataFrame:
+    """Four completions per problem and epoch that go through every branch of the extraction. Each epoch has
+    completions of its own."""
     w = _whole().cast("string")
-    branch = (F.col("o_orderkey") * 7 + F.col("sample_idx") * 3) % 8
+    branch = (F.col("o_orderkey") * 7 + F.col("sample_idx") * 3 + F.col("epoch") * 5) % 8
     completion = (
         F.when(branch == 0, F.concat(F.lit("Therefore the answer is "), w))
         .when(branch == 1, F.concat(F.lit("step 1 = 2 then #### "), w))
@@ -76,7 +77,9 @@ def rollouts_of(orders: DataFrame) -> DataFrame:
         .when(branch == 6, F.concat(F.lit("the answer is $"), w))
         .otherwise(F.concat(F.lit("rate = "), w, F.lit("% so = "), w, F.lit("."), _cents()))
     )
-    return fan_out_samples(orders).select(
+    fanned = fan_out_samples(orders).withColumn("epoch", F.explode(F.array(*(F.lit(e) for e in range(epochs)))))
+    return fanned.select(
+        *(["epoch"] if epochs > 1 else []),
         F.col("o_orderkey").alias("problem_id"),
         "sample_idx",
         (F.col("o_orderkey") * 4 + F.col("sample_idx")).alias("seq_id"),
@@ -86,11 +89,11 @@ def rollouts_of(orders: DataFrame) -> DataFrame:
 
 
 def problems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return problems_of(table(spark, sf_dir, "orders", "o_orderkey"))
+    return problems_of(table(spark, sf_dir, "orders"))
 
 
 def rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollouts_of(table(spark, sf_dir, "orders", "o_orderkey"))
+    return rollouts_of(table(spark, sf_dir, "orders"))
 
 
 def model_completions(spark: SparkSession, sf_dir: str, sample_idx: int) -> DataFrame:
@@ -98,16 +101,23 @@ def model_completions(spark: SparkSession, sf_dir: str, sample_idx: int) -> Data
     return rollouts(spark, sf_dir).where(F.col("sample_idx") == sample_idx)
 
 
-def rollout_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rollouts_by_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rollouts of two epochs, sampled anew in each."""
+    return rollouts_of(table(spark, sf_dir, "orders"), epochs=2)
+
+
+def rollout_tokens(spark: SparkSession, sf_dir: str, by_epoch: bool = False) -> DataFrame:
     """Words of each rollout after a two-word prompt, with a score and a score change.
 
     Changes run from -0.32 to 0.4, so ratios pass both clip bounds.
     """
     text = F.concat(F.lit("Answer: now "), F.col("completion"))
+    epoch = ["epoch"] if by_epoch else []
     return (
-        rollouts(spark, sf_dir)
-        .select("problem_id", "seq_id", F.posexplode(F.split(text, " ")).alias("pos", "word"))
+        (rollouts_by_epoch if by_epoch else rollouts)(spark, sf_dir)
+        .select(*epoch, "problem_id", "seq_id", F.posexplode(F.split(text, " ")).alias("pos", "word"))
         .select(
+            *epoch,
             "seq_id",
             "pos",
             (F.lit(0.0) - F.length("word") / F.lit(10.0)).alias("lp"),
@@ -118,18 +128,19 @@ def rollout_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def old_logprobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollout_tokens(spark, sf_dir).select("seq_id", "pos", "lp")
+def old_logprobs(spark: SparkSession, sf_dir: str, by_epoch: bool = False) -> DataFrame:
+    return rollout_tokens(spark, sf_dir, by_epoch).drop("delta")
 
 
-def new_logprobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def new_logprobs(spark: SparkSession, sf_dir: str, by_epoch: bool = False) -> DataFrame:
     """Scores of each PPO epoch: the change grows from nothing to its full size."""
     step = F.array(*(F.lit(s) for s in PPO_STEPS))
+    epoch = ["epoch"] if by_epoch else []
     return (
-        rollout_tokens(spark, sf_dir)
-        .select("seq_id", "pos", "lp", "delta", F.posexplode(step).alias("ppo_epoch", "step"))
+        rollout_tokens(spark, sf_dir, by_epoch)
+        .select(*epoch, "seq_id", "pos", "lp", "delta", F.posexplode(step).alias("ppo_epoch", "step"))
         .select(
-            "ppo_epoch", "seq_id", "pos", (F.col("lp") + F.col("delta") * F.col("step")).alias("lp")
+            *epoch, "ppo_epoch", "seq_id", "pos", (F.col("lp") + F.col("delta") * F.col("step")).alias("lp")
         )
     )
 
@@ -199,10 +210,20 @@ def turn_word_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return words(table(spark, sf_dir, "documents", "doc_id"), "doc_id", F.col("text"))
+    return words(table(spark, sf_dir, "documents"), "doc_id", F.col("text"))
 
 
 def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "embeddings", "vec_id").select(
+    return table(spark, sf_dir, "embeddings").select(
         "vec_id", F.col("embedding").alias("logits"), "label"
     )
+
+
+def logit_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors numbered into sequences of 16 positions, the label as the token of the position."""
+    return logits(spark, sf_dir).select(
+        F.floor(F.col("vec_id") / 16).alias("seq_id"),
+        (F.col("vec_id") % 16).cast("int").alias("pos"),
+        "logits",
+        F.col("label").alias("token"),
+    )
