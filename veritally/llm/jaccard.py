@@ -207,6 +207,8 @@ class SignatureTree:
 
 def _star_edges(ids: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each label an edge from its smallest id to each other one."""
+    if not len(ids):
+        return ids, ids
     order = np.lexsort((ids, label))
     ids, label = ids[order], label[order]
     head = np.concatenate(([True], label[1:] != label[:-1]))
