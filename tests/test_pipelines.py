@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan, rows
 from veritally import fixed_values as V
+from veritally import workspace
 from veritally.functions.text import extract_prediction
 from veritally.operators import batching, compare, metrics, policy, scoring
 from veritally.plans.compare import compare_models
@@ -336,6 +337,16 @@ def test_earlier_ppo_epochs_stay_out_of_the_joins(spark, tmp_path, monkeypatch):
     assert "PartitionFilters: [" in plans[0] and "(ppo_epoch" in plans[0].split("PartitionFilters: [", 1)[1] and " = 2)" in plans[0]
 
 
+def test_workspace_is_emptied(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workspace, "shared_dir", lambda _: str(tmp_path / "shared"))
+    with workspace.workspace(spark):
+        kept = workspace.materialize(spark.range(5), "numbers")
+        assert kept.count() == 5 and len(os.listdir(tmp_path / "shared")) == 1
+    assert os.listdir(tmp_path / "shared") == []
+    workspace.materialize(spark.range(5), "numbers")
+    assert len(os.listdir(tmp_path / "shared")) == 1
+
+
 def test_custom_reward_reaches_the_pipeline(rollouts, problems):
     half = lambda pred, gold: F.when(pred.isNotNull(), F.lit(0.5)).otherwise(F.lit(0.0))
     got = score_rollouts(rollouts, problems, reward_fn=half).select("reward").distinct()
