@@ -84,7 +84,7 @@ def test_tokens_give_the_texts_back(stages):
 def test_representatives_of_odd_rows(spark):
     docs = [(d, t, None, None, None) for d, t in corpus(3, 60)]
     docs += [docs[5], docs[5], (None, docs[7][1], "en", "x", 1), (None, "alone here", None, None, 2), (900, None, None, None, None), (900, "", None, None, None)]
-    df = spark.createDataFrame(docs, SCHEMA).selectExpr("*", "doc_id as _first", "n_chars as component", "lang as class_id")
+    df = spark.createDataFrame(docs, SCHEMA).selectExpr("*", "doc_id as _first", "n_chars as component", "lang as class_id", "source as _row", "doc_id as first")
     got = jaccard.keep_representatives(df)
     assert got.columns == df.columns
     groups = defaultdict(list)

@@ -27,7 +27,7 @@ def rule_of(host, path):
 
 
 def test_parts_and_rules(spark):
-    pages = spark.createDataFrame([(i, u, "clash") for i, u in enumerate(URLS)], "page_id long, url string, mean string")
+    pages = spark.createDataFrame([(i, u, "clash") for i, u in enumerate(URLS)], "page_id long, url string, host string")
     labelled = spark.createDataFrame([], "host string, bad int")
     got = {r["page_id"]: r for r in urls.judge(pages, labelled).collect()}
     assert len(got) == len(URLS)

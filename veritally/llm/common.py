@@ -85,6 +85,14 @@ def bitmap_of(keys: DataFrame, key: str, bits: int = BITMAP_BITS) -> np.ndarray:
     return out
 
 
+def unused_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until ``df`` has no column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether a table of fixed-size columns has at most ``rows`` rows; stops counting there."""
     return df.select(F.lit(1)).offset(rows).isEmpty()
@@ -97,10 +105,10 @@ def drop_listed(rows: DataFrame, listed: DataFrame, key: str) -> DataFrame:
     rows whose bit is set in a bitmap of fixed size, so most rows are never shuffled. Rows with
     a NULL key stay.
     """
-    listed = listed.select(F.col(key).alias("_listed")).where("_listed is not null").distinct()
+    listed = listed.select(key).where(F.col(key).isNotNull()).distinct()
     if is_small(listed):
-        return rows.join(F.broadcast(listed), F.col(key) == F.col("_listed"), "left_anti")
-    bitmap = bitmap_of(listed.select(F.xxhash64("_listed").alias("h")), "h")
+        return rows.join(F.broadcast(listed), key, "left_anti")
+    bitmap = bitmap_of(listed.select(F.xxhash64(key).alias("h")), "h")
     maybe = F.col(key).isNotNull() & is_set(bitmap_literal(bitmap), BITMAP_BITS, F.xxhash64(F.col(key)))
-    rest = rows.where(maybe).join(listed, F.col(key) == F.col("_listed"), "left_anti")
+    rest = rows.where(maybe).join(listed, key, "left_anti")
     return rows.where(~maybe).unionByName(rest)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritally.llm.common import BITMAP_BITS, bitmap_of, drop_listed, mix64, sliced, texts_of
+from veritally.llm.common import BITMAP_BITS, bitmap_of, drop_listed, mix64, sliced, texts_of, unused_name
 from veritally.llm.components import components
 from veritally.workspace import materialize
 
@@ -526,20 +526,21 @@ def keep_representatives(docs: DataFrame, text: str = "text", key: str = "doc_id
     Rows are told apart by a hash of key and text. Those to be dropped are listed, and only rows that may be on the list are
     joined with it; of rows that are repeated as they are, one stays.
     """
-    marked = docs.withColumn("_row", F.xxhash64(F.col(key), F.col(text)))
-    found = jaccard_components(marked, text, key, width, threshold, keep=("_row",)).where("n_shingles > 0")
-    found = materialize(found.select("component", "doc_id", "_row"), "found")
-    first = F.min_by("_row", F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("_first")
-    groups = found.groupBy("component").agg(first, F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    members = materialize(found.join(groups, "component").select("_row", "_first"), "members")
-    kept = drop_listed(marked, members.where("_row <> _first").select("_row"), "_row")
-    repeated = members.where("_row = _first").groupBy("_row").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_row")
-    repeated = materialize(repeated, "repeated")
+    name = unused_name(docs, "_row")
+    marked = docs.withColumn(name, F.xxhash64(F.col(key), F.col(text)))
+    found = jaccard_components(marked, text, key, width, threshold, keep=(name,)).where("n_shingles > 0")
+    found = materialize(found.select("component", "doc_id", F.col(name).alias("row")), "found")
+    first = F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
+    groups = found.groupBy("component").agg(first, F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    members = materialize(found.join(groups, "component").select(F.col("row").alias(name), "first"), "members")
+    kept = drop_listed(marked, members.where(F.col(name) != F.col("first")).select(name), name)
+    repeated = members.where(F.col(name) == F.col("first")).groupBy(name).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = materialize(repeated.select(name), "repeated")
     if not repeated.isEmpty():
-        single = drop_listed(kept, repeated, "_row")
-        several = kept.join(repeated, "_row", "left_semi").groupBy("_row").agg(F.first(F.struct(*docs.columns)).alias("r"))
-        return single.select(*docs.columns).unionByName(several.select("r.*"))
-    return kept.select(*docs.columns)
+        columns = [F.col(f"`{c}`") for c in docs.columns]
+        several = kept.join(repeated, name, "left_semi").groupBy(name).agg(F.first(F.struct(*columns)).alias("one"))
+        return drop_listed(kept, repeated, name).select(*columns).unionByName(several.select("one.*"))
+    return kept.drop(name)
 
 
 def document_components(docs: DataFrame) -> DataFrame:

@@ -109,7 +109,7 @@ def judge(
     rules: Sequence[tuple[str, str, str]] = RULES,
     block_above: float = BLOCK_ABOVE,
 ) -> DataFrame:
-    """Add host, path, rule, bad_rate, bad_bound and verdict to every row of ``pages``.
+    """Add host, path, rule, bad_rate, bad_bound and verdict to every row of ``pages``, in place of columns of these names.
 
     ``labelled`` has (host, bad). A page takes the posterior of the nearest level that has labels. A host's pages need not meet in
     one task: Spark splits the large side of these joins.
@@ -124,7 +124,8 @@ def judge(
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
     by_method = F.when(nearest("bound") > block_above, F.lit("block")).otherwise(F.lit("allow"))
     added = {"bad_rate": nearest("mean"), "bad_bound": nearest("bound"), "rule": rule, "verdict": F.coalesce(verdict, by_method)}
-    return rows.withColumns(added).select(*pages.columns, "host", "path", *added)
+    kept = [c for c in pages.columns if c.lower() not in {"host", "path", *added}]
+    return rows.withColumns(added).select(*kept, "host", "path", *added)
 
 
 def page_outcomes(pages: DataFrame, labels: DataFrame) -> DataFrame:
