@@ -23,14 +23,6 @@ ROLLOUTS = T.StructType(
     ]
 )
 
-TOKEN_LOGPROBS = T.StructType(
-    [
-        T.StructField("seq_id", T.LongType()),
-        T.StructField("pos", T.IntegerType()),
-        T.StructField("lp", T.DoubleType()),
-    ]
-)
-
 BATCH_METRICS = T.StructType(
     [
         T.StructField("epoch", T.IntegerType()),
