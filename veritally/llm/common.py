@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"  # what the contracts call a word
-SLICE_BYTES = 2 << 20  # of text that a task turns into numpy arrays at a time, or one longer text
+SLICE_BYTES = 512 << 10  # of text that a task turns into numpy arrays at a time, or one longer text
 BITMAP_BITS = 1 << 22  # of a set of keys that is sent to all tasks: 512 KB whatever the number of keys
 BROADCAST_ROWS = 500_000  # of a table of two fixed-size columns: 8 MB
 

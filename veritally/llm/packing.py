@@ -34,7 +34,7 @@ TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k.tiktoken"
 ROW_LENGTH = 2048
 BLOCK_TOKENS = 1 << 21
-WORDS_KEPT = 300_000  # twice in a worker's memory, about 100 MB
+WORDS_KEPT = 100_000  # twice in a worker's memory, about 45 MB
 
 SCHEMA = (
     "part int, block int, row int, n_tokens int, ids binary, cu_seqlens array<int>, "
