@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritally.llm.common import BITMAP_BITS, bitmap_of, drop_listed, mix64, sliced, texts_of, unused_name
+from veritally.llm.common import BITMAP_BITS, bitmap_of, drop_listed, is_small, mix64, sliced, texts_of, unused_name
 from veritally.llm.components import components
 from veritally.workspace import materialize
 
@@ -458,7 +458,7 @@ def _links(docs: DataFrame, sizes: DataFrame, groups: DataFrame, width: int, thr
     chunks = F.greatest(F.ceil(F.col("n") / chunk_docs), F.ceil(F.col("s") / CHUNK_SHINGLES)).cast("int")
     loads = loads.where("n > 1").select("group", chunks.alias("chunks"))
     members = materialize(members.select("class_id", "group").join(loads, "group"), "members")
-    sets = _candidate_sets(docs, members, width).join(members, "class_id")
+    sets = _candidate_sets(docs, members, width).join(F.broadcast(members) if is_small(members) else members, "class_id")
     sets = materialize(sets, "sets")
     rounds = F.when(F.col("chunks") > 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     chunk = lambda r: F.pmod(F.xxhash64("class_id", r), F.col("chunks"))
