@@ -79,6 +79,43 @@ def test_large_groups_in_chunks(spark):
     assert found(spark, docs, width=3, threshold=80, chunk_docs=3, large_run=2) == by_all_pairs(docs, 3, 80)
 
 
+def test_large_group_without_links(spark, monkeypatch):
+    """Thousands of classes that share 75 % of their words and hardly link: no tree holds more than two pieces, nothing is
+    compared twice in the last round, and all links are found."""
+    rng = random.Random(3)
+    base, docs = [f"b{i}" for i in range(60)], []
+    for i in range(3_000):
+        own = [f"o{i}_{j}" for j in range(20)]
+        if i % 100 == 99:  # links with a document before it
+            own = docs[rng.randrange(i // 100 * 100, i)][1].split()[60:78] + own[:2]
+        docs.append((i, " ".join(base + own)))
+    trees, group_edges = [], jaccard._group_edges
+
+    def watched(rows, threshold):
+        sizes = rows.groupBy("tree").agg({"class_id": "count"}).collect()
+        trees.append(sorted(r[1] for r in sizes))
+        return group_edges(rows, threshold)
+
+    monkeypatch.setattr(jaccard, "_group_edges", watched)
+    got = found(spark, docs, width=1, threshold=85, chunk_docs=256, large_run=64)
+    assert max(trees[1]) < 2.5 * 256, trees[1]
+    owner = {w: i for i, t in reversed(docs) for w in t.split()[60:]}
+    expected = [(i, 80, min([i, *(owner[w] for w in t.split()[60:])])) for i, t in docs]
+    assert got == sorted(expected, key=str) and sum(c != i for i, _, c in expected) == 30
+
+
+def test_sides_of_a_tree():
+    """With sides, exactly the pairs of different sides are compared, each once."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 62, 100, dtype=np.uint64)
+    sets = [np.unique(np.concatenate((base, rng.integers(0, 1 << 62, 10, dtype=np.uint64)))) for _ in range(150)]
+    sides = rng.integers(1, 3, len(sets))
+    seen = []
+    tree = jaccard.SignatureTree(np.array([len(s) for s in sets]), jaccard.bitmaps(sets, 4), 50, sides)
+    tree.connect(np.arange(len(sets)), lambda i, j: seen.append((min(i, j), max(i, j))))
+    assert sorted(seen) == [(i, j) for i in range(150) for j in range(i + 1, 150) if sides[i] != sides[j]]
+
+
 def test_odd_rows(spark):
     docs = [
         (3, None), (4, ""), (5, " \t\n"), (6, "one"), (2, "ONE"), (7, "one two"), (7, "one two"), (7, "other words here"),

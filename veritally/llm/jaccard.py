@@ -14,7 +14,8 @@ Sets that are equal are one class, known by a 64-bit fingerprint, so copies are
 3.  **Trees in groups.** The whole sets of a group form a signature tree with wider bitmaps. A pair of nodes is left out if its
     maximum possible overlap is too small, or if all documents below are connected already; what remains is
     compared exactly. A large group is cut at random, twice, into chunks; then documents outside the
-    group's largest connected part meet all chunks, so no link is lost.
+    group's largest connected part are cut into pieces, and so is that part. Pieces meet in pairs, so no link is lost
+    and no tree holds more than two pieces.
 
 A node has the OR of the bitmaps below it, the range of sizes, and the most shingles that share bits. NULL and empty texts have no
 shingle and link with nothing. Rows that repeat a doc_id count as documents of their own under the
@@ -28,7 +29,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veritally.llm.common import BITMAP_BITS, bitmap_of, drop_listed, is_small, mix64, sliced, texts_of, unused_name
@@ -135,13 +136,15 @@ class SignatureTree:
     """Sets by size and bitmap; ``connect`` merges the labels of those that link.
 
     Level 0 has one node per ``LEAF`` sets, each further level one per ``FAN`` nodes. Sets are in order of size, those of one size
-    in order of their bitmaps, so near copies lie side by side.
+    in order of their bitmaps, so near copies lie side by side. With ``sides``, sets of one side lie side by side and only
+    pairs of different sides count.
     """
 
-    def __init__(self, sizes: np.ndarray, signatures: np.ndarray, threshold: int):
+    def __init__(self, sizes: np.ndarray, signatures: np.ndarray, threshold: int, sides: np.ndarray | None = None):
         self.threshold = threshold
-        self.order = np.lexsort((*signatures.T[::-1][-2:], sizes))
+        self.order = np.lexsort((*signatures.T[::-1][-2:], sizes) if sides is None else (*signatures.T[::-1][-2:], sizes, sides))
         self.sizes, self.bits = sizes[self.order].astype(np.int64), signatures[self.order]
+        self.sides = None if sides is None else sides[self.order]
         self.shared = self.sizes - _count(self.bits)  # shingles without a bit of their own
         self.levels = []
         bits, low, high, shared = self.bits, self.sizes, self.sizes, self.shared
@@ -176,6 +179,8 @@ class SignatureTree:
         fits = ((100 + t) * overlap >= t * (n + m)) & (t * np.maximum(n, m) <= 100 * np.minimum(n, m))
         if a == c:
             fits = np.triu(fits, 1)
+        if self.sides is not None:
+            fits &= self.sides[a:b, None] != self.sides[None, c:d]
         i, j = np.nonzero(fits)
         return i + a, j + c
 
@@ -189,6 +194,8 @@ class SignatureTree:
             one = label[a]
             if (label[a:b] == one).all() and (label[c:d] == one).all():
                 continue
+            if self.sides is not None and self.sides[a] == max(self.sides[b - 1], self.sides[d - 1]):
+                continue  # x is never after y, so all sets below both are of one side
             if level:
                 below = len(self.levels[level - 1][1])
                 xs = range(x * FAN, min(below, (x + 1) * FAN))
@@ -420,65 +427,93 @@ def _candidate_sets(docs: DataFrame, classes: DataFrame, width: int) -> DataFram
 
 
 def _group_edges(rows: DataFrame, threshold: int) -> DataFrame:
-    """Edges between the classes of each tree: rows are (tree, class_id, label, shingles), those of a tree side by side."""
+    """Edges between the classes of each tree: rows are (tree, side, class_id, label, shingles), those of a tree side by side. In
+    a tree with sides other than 0, only classes of different sides are compared."""
 
-    def edges_of(ids: list[int], labels: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
-        class_ids, first = np.unique(np.array(ids, dtype=np.int64), return_index=True)
-        sets = [sets[i] for i in first]
-        label = np.unique(np.array(labels, dtype=np.int64)[first], return_inverse=True)[1]
+    def edges_of(ids: list[int], sides: list[int], labels: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+        side = np.array(sides, dtype=np.int8)
+        label = np.unique(np.array(labels, dtype=np.int64), return_inverse=True)[1]
         sizes = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
         words = min(MAX_WORDS, 1 << max(0, int(np.median(sizes) * 2 // 64).bit_length()))
-        tree = SignatureTree(sizes, bitmaps(sets, words), threshold)
+        tree = SignatureTree(sizes, bitmaps(sets, words), threshold, side if side.any() else None)
         found = tree.connect(label, lambda i, j: overlap_at_least(sets[i], sets[j], threshold))
-        a, b = _star_edges(class_ids, found)
+        a, b = _star_edges(np.array(ids, dtype=np.int64), found)
         return _arrow(a=a, b=b)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, ids, labels, sets = None, [], [], []
-        for batch in batches:
-            for t, i, n, s in zip(*(batch.column(c).to_pylist() for c in ("tree", "class_id", "label", "shingles"))):
+        tree, last, ids, sides, labels, sets = None, None, [], [], [], []
+        for batch in sliced(batches, "shingles"):
+            for t, d, i, n, s in zip(*(batch.column(c).to_pylist() for c in ("tree", "side", "class_id", "label", "shingles"))):
                 if t != tree:
                     if len(ids) > 1:
-                        yield edges_of(ids, labels, sets)
-                    tree, ids, labels, sets = t, [], [], []
-                ids.append(i)
-                labels.append(n)
-                sets.append(np.frombuffer(s, dtype=np.uint64))
+                        yield edges_of(ids, sides, labels, sets)
+                    tree, last, ids, sides, labels, sets = t, None, [], [], [], []
+                if i != last:  # a class that several tasks gave
+                    last = i
+                    ids.append(i)
+                    sides.append(d)
+                    labels.append(n)
+                    sets.append(np.frombuffer(s, dtype=np.uint64))
         if len(ids) > 1:
-            yield edges_of(ids, labels, sets)
+            yield edges_of(ids, sides, labels, sets)
 
-    placed = rows.select("tree", "class_id", "label", "shingles").repartition("tree").sortWithinPartitions("tree")
+    placed = rows.select("tree", "side", "class_id", "label", "shingles").repartition("tree").sortWithinPartitions("tree", "class_id")
     return placed.mapInArrow(run, "a long, b long")
 
 
+def _pieces(chunk_docs: int) -> Column:
+    """Into how many pieces a set of documents is cut, by their number ``n`` and their shingles ``s``."""
+    return F.greatest(F.ceil(F.col("n") / chunk_docs), F.ceil(F.col("s") / CHUNK_SHINGLES)).cast("int")
+
+
+def _meetings(piece: Column, pieces: Column, rest: Column, apart: Column) -> Column:
+    """The trees of a document as (first, second, side): two pieces of documents that are apart, or one of them and one of the
+    rest, which is numbered from -1 down. Each pair of pieces has one tree."""
+    meet = lambda i, j, side: F.struct(i.alias("first"), j.alias("second"), side.cast("int").alias("side"))
+    side = lambda j: F.when(piece == j, F.lit(0)).when(piece < j, F.lit(1)).otherwise(F.lit(2))
+    each = lambda n: F.sequence(F.lit(0), n - 1)
+    with_apart = F.transform(each(pieces), lambda j: meet(F.least(piece, j), F.greatest(piece, j), side(j)))
+    with_rest = F.transform(each(rest), lambda j: meet(piece, -1 - j, F.lit(1)))
+    of_rest = F.transform(each(pieces), lambda i: meet(i, -1 - piece, F.lit(2)))
+    return F.when(apart, F.concat(with_apart, with_rest)).otherwise(of_rest)
+
+
 def _links(docs: DataFrame, sizes: DataFrame, groups: DataFrame, width: int, threshold: int, chunk_docs: int) -> DataFrame:
     """Verified edges that connect exactly the classes that links connect."""
     members = sizes.join(groups.withColumnsRenamed({"node": "class_id", "component": "group"}), "class_id")
-    loads = members.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
-    chunks = F.greatest(F.ceil(F.col("n") / chunk_docs), F.ceil(F.col("s") / CHUNK_SHINGLES)).cast("int")
-    loads = loads.where("n > 1").select("group", chunks.alias("chunks"))
-    members = materialize(members.select("class_id", "group").join(loads, "group"), "members")
-    sets = _candidate_sets(docs, members, width).join(F.broadcast(members) if is_small(members) else members, "class_id")
+    load = F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s")
+    loads = members.groupBy("group").agg(*load).where("n > 1").select("group", _pieces(chunk_docs).alias("chunks"))
+    members = materialize(members.select("class_id", "group", "n_shingles").join(loads, "group"), "members")
+    listed = members.drop("n_shingles")
+    sets = _candidate_sets(docs, listed, width).join(F.broadcast(listed) if is_small(listed) else listed, "class_id")
     sets = materialize(sets, "sets")
     rounds = F.when(F.col("chunks") > 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    chunk = lambda r: F.pmod(F.xxhash64("class_id", r), F.col("chunks"))
-    dealt = sets.withColumn("round", F.explode(rounds)).withColumn("tree", F.xxhash64("group", "round", chunk(F.col("round"))))
-    found = materialize(_group_edges(dealt.withColumn("label", F.col("class_id")), threshold), "links")
+    chunk = lambda r, n: F.pmod(F.xxhash64("class_id", r), n).cast("int")
+    dealt = sets.withColumn("round", F.explode(rounds))
+    dealt = dealt.withColumn("tree", F.xxhash64("group", "round", chunk(F.col("round"), F.col("chunks"))))
+    dealt = dealt.withColumns({"side": F.lit(0), "label": F.col("class_id")})
+    found = materialize(_group_edges(dealt, threshold), "links")
     large = sets.where("chunks > 1")
     if large.isEmpty():
         return found
 
-    # Documents that are not in the largest connected part of a large group meet all of its chunks.
+    # Documents that are not in the largest connected part of a large group meet each other and that part.
     parts = components(found).withColumnsRenamed({"node": "class_id", "component": "label"})
     labelled = members.where("chunks > 1").join(parts, "class_id", "left").withColumn("label", F.coalesce("label", "class_id"))
     counts = labelled.groupBy("group", "label").agg(F.count(F.lit(1)).alias("n"))
     largest = counts.groupBy("group").agg(F.max_by("label", F.struct("n", "label")).alias("largest"))
-    labelled = materialize(labelled.join(largest, "group").select("class_id", "label", (F.col("label") != F.col("largest")).alias("apart")), "labelled")
-    if labelled.where("apart").isEmpty():
+    labelled = labelled.join(largest, "group").withColumn("apart", F.col("label") != F.col("largest"))
+    labelled = materialize(labelled.select("class_id", "group", "n_shingles", "label", "apart"), "labelled")
+    loads = labelled.groupBy("group", "apart").agg(*load).withColumn("k", _pieces(chunk_docs)).groupBy("group")
+    loads = loads.agg(F.max(F.when(F.col("apart"), F.col("k"))).alias("pieces"), F.max(F.when(~F.col("apart"), F.col("k"))).alias("rest"))
+    loads = loads.where("pieces > 0")
+    if loads.isEmpty():
         return found
-    places = F.when(F.col("apart"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(chunk(F.lit(0)).cast("int")))
-    again = large.join(labelled, "class_id").withColumn("place", F.explode(places))
-    more = _group_edges(again.withColumn("tree", F.xxhash64("group", "place")), threshold)
+    own = F.when(F.col("apart"), F.col("pieces")).otherwise(F.col("rest"))
+    again = labelled.join(loads, "group").select("class_id", "label", "pieces", "rest", "apart", chunk(F.lit(2), own).alias("piece"))
+    meetings = F.explode(_meetings(F.col("piece"), F.col("pieces"), F.col("rest"), F.col("apart")))
+    again = large.join(again, "class_id").withColumn("meeting", meetings).select("*", "meeting.*")
+    more = _group_edges(again.withColumn("tree", F.xxhash64("group", "first", "second")), threshold)
     return found.unionByName(materialize(more, "links"))
 
 
