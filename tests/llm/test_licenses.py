@@ -1,3 +1,4 @@
+import textwrap
 from collections import Counter
 
 import pytest
@@ -42,6 +43,34 @@ def test_same_as_all_templates(text):
     assert rows(licenses.find_licenses(text, licenses.Templates())) == by_all_templates(text)
 
 
+def wrapped(text, width, before, between):
+    lines = textwrap.wrap(text, width)
+    return before + between.join(lines)
+
+
+@pytest.mark.parametrize("name, template", licenses.TEMPLATES)
+def test_wrapped_and_embedded_copies(name, template):
+    """Hard-wrapped in a comment block between other lines, and inside a longer line."""
+    prose = "the quick brown fox jumps over a lazy dog while nobody in that small village looks up from their work at all"
+    comments = [("/* ", "\n * ", "\n */"), ("# ", "\n# ", "\n"), ("// ", "\r\n// ", "")]
+    texts = [f"{a}{prose}{b}Copyright (c) 2020 Somebody{b}{wrapped(template, w, '', b)}{b}{prose}{c}" for a, b, c in comments for w in (30, 52, 71)]
+    texts += [f"{prose} {template} {prose}", f"{prose}; {template.lower().rstrip('.')}, {prose}\n{prose}"]
+    known = licenses.Templates()
+    for text in texts:
+        found = licenses.find_licenses(text, known)
+        assert [m.license for m in found] == [name] and found[0].dice == 1.0, (text, found)
+        assert rows(found) == by_all_templates(text)
+
+
+def test_no_passage_of_another_notice():
+    known = licenses.Templates()
+    prose = "and so on in this file that was made long ago by people who are no longer here"
+    other = "This project is licensed under the terms of the GNU Lesser General Public License"
+    assert licenses.find_licenses(f"{prose} {other} {prose}", known) == []
+    both = f"{prose} {licenses.TEMPLATES[5][1]} {prose} {licenses.TEMPLATES[7][1]} {prose}"
+    assert [m.license for m in licenses.find_licenses(both, known)] == ["GPL-3.0", "GPL-2.0"]
+
+
 def test_whole_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
     expected = Counter((r["doc_id"], *m) for r in docs for m in by_all_templates(r["text"]))

@@ -1,6 +1,8 @@
 """License scans: normalised text compared to licence templates by Dice coefficient over word bigrams.
 
-A text is looked at as a whole and in its paragraphs, lines and sentences, so a notice is found alone and inside prose. Each
+A text is looked at as a whole and in its paragraphs, lines and sentences (in lines and across them). A notice inside other
+words, whatever its line breaks and comment signs, is found as a passage: a run of words that begins and ends with word pairs of
+a template of two words or more and is at least ``PASSAGE`` times as long. Each
 such unit and each template is normalised (lower case, words only, copyright lines left out) to the multiset of
 its word bigrams; Dice is twice the common ones over the sum of both sizes. Since that is at most
 ``2 * smaller / (smaller + larger)``, a unit meets only templates of similar size.
@@ -12,7 +14,7 @@ first. Repeated rows get equal results. Positions count code points, the end is
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left, bisect_right, insort
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from typing import NamedTuple
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 from veritally.llm.common import sliced, texts_of
 
 THRESHOLD = 0.8
+PASSAGE = 0.9  # a run of words that stops earlier is the beginning of another notice rather than a copy of this one
 
 # Licence notices and short licence texts.
 TEMPLATES = (
@@ -45,8 +48,10 @@ TEMPLATES = (
 )
 
 _NOT_WORD = re.compile(r"[\W_]+")
-_COPYRIGHT = re.compile(r"^\W*(?:copyright\b|\(c\)|©).*$", re.IGNORECASE | re.MULTILINE)
+# Not the words "copyright notice" and the like, with which a line of a wrapped licence text may begin.
+_COPYRIGHT = re.compile(r"^\W*(?:copyright\b(?!\W+(?:notices?|holders?|owners?|laws?)\b)|\(c\)|©).*$", re.IGNORECASE | re.MULTILINE)
 _PARAGRAPH = re.compile(r"\n[^\S\n]*\n")
+_WORD = re.compile(r"[^\W_]+")
 _SENTENCE = re.compile(r"(?<=[.!?])\s")
 
 
@@ -76,6 +81,11 @@ class Templates:
         self.sizes = [n for n, _, _ in self.known]
 
         self.signs = self._signs()
+        self.having: dict[tuple, list[int]] = {}  # the templates of each word pair
+        for t, (_, _, counts) in enumerate(self.known):
+            for pair in counts:
+                if len(pair) == 2:
+                    self.having.setdefault(pair, []).append(t)
 
     def _signs(self) -> list[str]:
         """Words of which every text with a match has one: of each template the longest, until the bigrams without them
@@ -128,17 +138,86 @@ def _pieces(text: str, start: int, end: int, cut: re.Pattern) -> Iterator[tuple[
 _LINE = re.compile("\n")
 
 
-def units(text: str) -> Iterator[tuple[int, int]]:
-    """The whole text, its paragraphs, lines and sentences, each range once."""
-    seen = set()
-    ranges = [(0, len(text)), *_pieces(text, 0, len(text), _PARAGRAPH)]
-    for a, b in _pieces(text, 0, len(text), _LINE):
-        ranges.append((a, b))
-        ranges.extend(_pieces(text, a, b, _SENTENCE))
-    for r in ranges:
-        if r not in seen and r[0] < r[1]:
-            seen.add(r)
-            yield r
+def _wrapped(text: str, ranges: Iterable[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """The ranges, from their first word on, that go on in another line."""
+    for a, b in ranges:
+        m = _WORD.search(text, a, b)
+        if m and "\n" in text[m.start() : b].rstrip():
+            yield m.start(), b
+
+
+def _passages(text: str, templates: Templates) -> Iterator[tuple[float, int, int]]:
+    """(dice, start, end) of the runs of words that a template matches: for each place one may begin, the most similar."""
+    tokens = list(_WORD.finditer(_COPYRIGHT.sub(lambda m: " " * len(m.group()), text)))
+    words = [m.group().lower() for m in tokens]
+    places: dict[int, list[int]] = {}
+    for i, pair in enumerate(zip(words, words[1:])):
+        for t in templates.having.get(pair, ()):
+            places.setdefault(t, []).append(i)
+    for t, at in places.items():
+        size, _, counts = templates.known[t]
+        longest = size * (2 - templates.threshold) / templates.threshold + 1e-9
+        shortest = PASSAGE * size
+        need = max(1, int(templates.threshold * (size + shortest) / 2))
+        for k in range(len(at) - need + 1):
+            first = at[k]
+            if at[k + need - 1] - first >= longest:
+                continue
+            used: Counter = Counter()
+            common, best = 0, (0.0, 0)
+            for last in at[k:]:
+                n = last - first + 1
+                if n > longest:
+                    break
+                pair = (words[last], words[last + 1])
+                used[pair] += 1
+                common += used[pair] <= counts[pair]
+                dice = 2 * common / (size + n)
+                if n >= shortest and dice > best[0]:
+                    best = dice, last
+            if best[0] >= templates.threshold:
+                yield best[0], tokens[first].start(), tokens[best[1] + 1].end()
+
+
+def _judged(text: str, templates: Templates) -> Iterator[tuple[int, int, tuple[str, float] | None]]:
+    """Units with what they match, each range once: the whole text, its paragraphs, lines and sentences, then passages that overlap
+    no better match. A line or the like that is a part of a better passage is left out: it may look like another licence."""
+    ranges = [(0, len(text))]
+    for cut in (_PARAGRAPH, _LINE):
+        for a, b in _pieces(text, 0, len(text), cut):
+            ranges.append((a, b))
+            sentences = _pieces(text, a, b, _SENTENCE)
+            ranges.extend(sentences if cut is _LINE else _wrapped(text, sentences))
+    judged = {(a, b): templates.best(text[a:b]) for a, b in ranges if a < b}
+    if templates.may_match(text):
+        matches = [(-best[1], False, *r) for r, best in judged.items() if best is not None]
+        starts: list[int] = []  # of all that is matched so far, merged, in order; and the ends
+        ends: list[int] = []
+        passages: list[tuple[int, int]] = []  # in order
+        proposed = {(-dice, True, a, b) for dice, a, b in _passages(text, templates)}
+        for _, is_passage, a, b in sorted([*matches, *proposed]):
+            i, j = bisect_right(ends, a), bisect_left(starts, b)  # i to j - 1 overlap
+            if is_passage and i == j:
+                insort(passages, (a, b))
+                judged.setdefault((a, b), templates.best(text[a:b]))
+            elif is_passage:
+                continue
+            else:
+                k, n = bisect_right(passages, a, key=lambda p: p[1]), bisect_left(passages, b, key=lambda p: p[0])
+                if any(y - x > b - a for x, y in passages[k:n]):
+                    del judged[a, b]
+                    continue
+            merged = (min(a, *starts[i:j]), max(b, *ends[i:j])) if i < j else (a, b)
+            starts[i:j], ends[i:j] = [merged[0]], [merged[1]]
+    return ((a, b, best) for (a, b), best in judged.items())
+
+
+_DEFAULT = Templates()
+
+
+def units(text: str, templates: Templates = _DEFAULT) -> Iterator[tuple[int, int]]:
+    """The ranges of a text that are compared with templates."""
+    return ((a, b) for a, b, _ in _judged(text, templates))
 
 
 def find_licenses(text: str | None, templates: Templates) -> list[Match]:
@@ -146,8 +225,7 @@ def find_licenses(text: str | None, templates: Templates) -> list[Match]:
     found: dict[str, Match] = {}
     if not text or not templates.may_match(text):
         return []
-    for a, b in units(text):
-        best = templates.best(text[a:b])
+    for a, b, best in _judged(text, templates):
         if best is not None:
             name, dice = best
             now = found.get(name)
