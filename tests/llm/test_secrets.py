@@ -70,6 +70,25 @@ def test_entropy_by_incremental_counts(spark):
         assert abs(r["h"] - max((-sum(c / w * math.log2(c / w) for c in x.values()) for x in windows), default=0.0)) < 1e-9
 
 
+def test_share_of_random_tokens_found(spark):
+    """Of random tokens of each alphabet nearly all are found, of names and prose none."""
+    rng = random.Random(5)
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    alphabets = {"lower": lower + digits, "upper": lower.upper() + digits, "base32": lower.upper() + "234567", "base62": lower + lower.upper() + digits}
+    tokens = [(f"{k} {n}", "".join(rng.choices(a, k=n))) for k, a in alphabets.items() for n in (20, 24, 32) for _ in range(500)]
+    names = [
+        "getHttp2ConnectionPoolFactory", "readMultipleBlocksConfigurationV3", "ISO8859EncodingDetectorFactory", "internationalization-of-names",
+        "section1section2section3", "see the 20 long words of chapter 11 and nothing else",
+    ]
+    rows = [(k, f"key {t} end") for k, t in tokens] + [("names", f"name {n} end") for n in names]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    found = Counter(r["doc_id"] for r in secrets.find_secrets(docs).collect() if r["added"])
+    rates = {k: found[k] / 500 for k in dict(tokens)}
+    print(rates)
+    assert min(rates.values()) >= 0.9, rates
+    assert found["names"] == 0
+
+
 def test_whole_table(spark, sf_dir):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()}
     got = QUERIES["op10_secrets"](spark, sf_dir).collect()

@@ -27,15 +27,21 @@ KINDS = ("assign", "access", "hex", "entropy")
 WINDOW = 20
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-# Class, the strings that belong to it, and the entropy in bits that a window must reach. The first that fits counts.
+# Class, the strings that belong to it, and the entropy in bits that a window must reach. The first that fits counts. Those of
+# lower, upper and base62 are what about 95 % or more of random strings of WINDOW signs reach (upper: of base32 ones). Names and
+# paths have joiners, so the last class asks for more.
 CLASSES = (
     ("hex", r"^[0-9A-Fa-f]+$", 3.0),
+    ("lower", r"^[a-z0-9]+$", 3.5),
+    ("upper", r"^[A-Z0-9]+$", 3.45),
+    ("base62", r"^[A-Za-z0-9]+$", 3.68),
     ("base64", r"^[A-Za-z0-9+/_=-]+$", 3.9),
 )
-# Strings that are no secrets: digits only, letters and joiners only, placeholders.
+# Strings that are no secrets: digits only, letters and joiners only, names of capitalised words and digits, placeholders.
 ALLOWED = (
     r"^[0-9]+$",
     r"^[A-Za-z/_=-]+$",
+    r"^[a-z]*[0-9]*(?:[A-Z]+[0-9]+)?(?:[A-Z]+[a-z]{2,}[0-9]*)+[A-Z]*[0-9]*$",
     r"(?i:example|sample|dummy|placeholder|changeme)",
 )
 C_LOG_C = [0.0] + [c * log2(c) for c in range(1, WINDOW + 1)]
