@@ -85,3 +85,11 @@ def test_odd_rows(spark):
     got = sorted(((r["doc_id"], r["spans"]) for r in pii.document_personal_data(docs).collect()), key=str)
     assert got == sorted([(1, "email:0:6"), (1, "email:0:6"), (2, ""), (3, ""), (4, ""), (None, "email:0:6")], key=str)
     assert pii.document_personal_data(docs.where("false")).count() == 0
+
+
+def test_account_numbers_before_other_words():
+    one = "ES91 2100 0418 4502 0005 1332"
+    for number in (one, one.replace(" ", "")):
+        for tail in ("", " BIC", " A", " 12", " X1 Y2", " end", f" {one}"):
+            found = [s.text for s in pii.find_spans(f"iban {number}{tail}") if s.kind == "iban"]
+            assert found == [number] + [one] * (tail == f" {one}"), (number, tail, found)

@@ -112,12 +112,24 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, done))
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Account numbers. A match may have taken in words that follow; if its check fails, groups at its end are left out in turn."""
+    m = IBAN.search(text)
+    while m:
+        start, end = m.span()
+        while end > start and not mod97(text[start:end]):
+            end = max(start, text.rfind(" ", start, end))
+        if end > start:
+            yield start, end
+        m = IBAN.search(text, max(end, start + 1))
+
+
 FINDERS = {
     "email": ("@", _emails),
     "ip": (".", _matches(IP, _valid_ip)),
     "card": ("", _matches(CARD, _valid_card)),
     "phone": ("+", _matches(PHONE, _valid_phone)),
-    "iban": ("", _matches(IBAN, mod97)),
+    "iban": ("", _ibans),
     "ssn": ("-", _matches(SSN, lambda _: True)),
     "local": ("", _matches(LOCAL, lambda _: True)),
 }
