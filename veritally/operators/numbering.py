@@ -12,8 +12,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from veritally.workspace import materialize
+
 BLOCK = 65_536
 PERCENTILES = 32
+SLOT_BITS = 33  # of a row's number within its partition in Spark's increasing ids
 
 
 def running_sums(
@@ -114,6 +117,32 @@ def even_buckets(df: DataFrame, order_col: str, block: int = BLOCK) -> Column:
     return (coarse * F.lit(fine) + F.greatest(F.lit(0), F.least(step, F.lit(fine - 1)))).cast("long")
 
 
+def store_in_order(df: DataFrame, order: Sequence[Column | str], out: str = "pos", group: Sequence[str] = ()) -> DataFrame:
+    """Store ``df`` sorted by ``(*group, *order)`` and add the 0-based position, in each group if there are any.
+
+    Spark samples the rows for the bounds of range partitions, so these are even whatever the values look like: clustered
+    values get more of them. Each task sorts one partition and numbers its rows as it writes them. What the rows of a group
+    lack is the number of rows before the partition, which comes from one count per partition (and group in it).
+    The rows are shuffled once and no window sees them. Rows that are equal in ``order`` share a partition and have no fixed
+    order among them, so end it with a unique column.
+    """
+    group = list(group)
+    ranged = df.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
+    stored = materialize(ranged.withColumn("_slot", F.monotonically_increasing_id()), "in-order")
+    placed = stored.withColumns({"_range": F.shiftright("_slot", SLOT_BITS), "_slot": F.col("_slot").bitwiseAND((1 << SLOT_BITS) - 1)})
+    sizes = placed.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_rows"), F.min("_slot").alias("_first"))
+    starts = running_sums(sizes, "_range", ["_rows"], group, levels=0)
+    shift = F.col("_rows_before") - F.col("_first")
+    if not group:
+        starts = F.broadcast(starts)  # one row per range partition
+    same = F.lit(True)
+    starts = starts.select(*(F.col(g).alias(f"_{i}") for i, g in enumerate([*group, "_range"])), shift.cast("long").alias("_shift"))
+    for i, g in enumerate([*group, "_range"]):
+        same &= F.col(g).eqNullSafe(F.col(f"_{i}"))
+    kept = [F.col(f"`{c}`") for c in df.columns]
+    return placed.join(starts, same).select(*kept, (F.col("_slot") + F.col("_shift")).alias(out))
+
+
 def with_position(
     df: DataFrame, order_col: str, out: str = "pos", group: Sequence[str] = (), block: int = BLOCK
 ) -> DataFrame:
