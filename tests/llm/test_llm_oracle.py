@@ -10,7 +10,7 @@ from conftest import plan
 from veritally.llm.oracle import ORACLE
 from veritally.llm.queries import QUERIES
 
-NATIVE = ("op5_", "op6_", "op7_", "op9_", "op10_")
+NATIVE = ("op5_", "op6_", "op7_", "op9_", "op10_", "op12_")
 
 
 @pytest.fixture(scope="module")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from veritally.llm import merkle, mixing, secrets, urls
+import re
+
+from veritally.llm import chat, merkle, mixing, secrets, urls
 from veritally.llm.common import WORD
 
 
@@ -190,10 +192,51 @@ select any_value(s.doc_id) as doc_id, any_value(len(s.s))::bigint as n_shingles,
 from reach r join sets s on r.row = s.row join sets o on r.other = o.row group by r.row"""
 
 
+def _chat_format() -> str:
+    t = chat.TEMPLATE
+    escaped = lambda column: (
+        "regexp_replace(" * len({c[0] for c in t.controls})
+        + column
+        + "".join(
+            ", "
+            + _quoted(rf"({re.escape(first)})(\\*(?:" + "|".join(re.escape(c[1:]) for c in t.controls if c[0] == first) + "))")
+            + r", '\1\\\2', 'g')"
+            for first in sorted({c[0] for c in t.controls})
+        )
+    )
+    size = lambda m: len(m.before) + len(m.after)
+    marks = " ".join(f"when {_quoted(role)} then {size(m)}" for role, m in t.roles.items())
+    learned = ", ".join(_quoted(role) for role, m in t.roles.items() if m.learned)
+    # Each state follows from the role before it.
+    before = {t.start: "begin"} | {to: role for (_, role), to in t.transitions.items()}
+    allowed = ", ".join(f"({_quoted(before[state])}, {_quoted(role)})" for state, role in t.transitions)
+    return f"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all values (-1, 0, 'user', {_quoted(chat.FORGED)}), (-1, 1, 'assistant', {_quoted(chat.FORGED)})),
+placed as (
+  select *, row_number() over w - 1 as place, coalesce(lag(role) over w, 'begin') as before,
+         lead(role) over w is null as is_last
+  from turns window w as (partition by conv_id order by turn nulls first, role, text)),
+judged as (
+  select *, (before, role) in ({allowed}) as allowed,
+         case role {marks} else {size(t.other) + len(t.role_after)} + len({escaped("role")}) end + len({escaped("text")}) as chars
+  from placed)
+select conv_id, count(*)::bigint as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by place)) as turns_sha256,
+       coalesce(sum(len(text)) filter (role in ({learned})), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by place) filter (role in ({learned})), '')) as loss_sha256,
+       ({len(t.begin)} + sum(chars))::bigint as formatted_chars,
+       bool_and(allowed) and bool_or(is_last and role in ({learned})) as complete,
+       min(place) filter (not allowed)::int as error_at
+from judged group by conv_id"""
+
+
 ORACLE: dict[str, str] = {
     "op4_jaccard_join": _jaccard_join(),
     "op6_source_mix": _source_mix(),
     "op7_url_filter": _url_filter(),
     "op9_fingerprints": _fingerprints(),
     "op10_secrets": _secrets(),
+    "op12_chat_format": _chat_format(),
 }

@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritally.llm import decontaminate, jaccard, language, licenses, merkle, mixing, packing, pii, secrets, urls
+from veritally.llm import (
+    chat,
+    decontaminate,
+    jaccard,
+    language,
+    licenses,
+    merkle,
+    mixing,
+    packing,
+    pii,
+    resampling,
+    secrets,
+    urls,
+)
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -53,6 +66,14 @@ def op10_secrets(spark, d):
     return secrets.document_secrets(_read(spark, d, "documents"))
 
 
+def op12_chat_format(spark, d):
+    return chat.conversation_digests(_read(spark, d, "conversations"))
+
+
+def op13_importance_resampling(spark, d):
+    return resampling.document_resampling(_read(spark, d, "documents"), _read(spark, d, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_license_scan": op2_license_scan,
@@ -64,4 +85,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_personal_data": op8_personal_data,
     "op9_fingerprints": op9_fingerprints,
     "op10_secrets": op10_secrets,
+    "op12_chat_format": op12_chat_format,
+    "op13_importance_resampling": op13_importance_resampling,
 }
