@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from veritally.llm import chat, merkle, mixing, secrets, urls
+from veritally.llm import audit, chat, merkle, mixing, secrets, urls
 from veritally.llm.common import WORD
 
 
@@ -192,6 +192,45 @@ select any_value(s.doc_id) as doc_id, any_value(len(s.s))::bigint as n_shingles,
 from reach r join sets s on r.row = s.row join sets o on r.other = o.row group by r.row"""
 
 
+def _filter_audit() -> str:
+    bits = ", ".join(f"('{f}', {1 << i})" for i, f in enumerate(audit.FILTERS))
+    return f"""
+with recursive labelled as (
+  select doc_id, coalesce(bool_or(quality = 1), false) as good, coalesce(bool_or(toxic = 1), false) as toxic from labels group by doc_id),
+texts as (
+  select d.doc_id, coalesce(d.lang, '') as part, coalesce(d.text, '') as text, coalesce(l.good, false) as good, coalesce(l.toxic, false) as toxic
+  from documents d left join labelled l using (doc_id)),
+found as (
+  select *, regexp_extract_all(text, '{WORD}') as words, len(regexp_replace(text, '[^A-Z]+', '', 'g')) as capitals,
+         coalesce(doc_id > min(doc_id) over (partition by text), false) as copied
+  from texts),
+masks as (
+  select part, good, toxic, (len(words) < 100)::int + 2 * (100 * len(list_distinct(words)) < 80 * len(words))::int
+         + 4 * (100 * capitals > 10 * len(text))::int + 8 * regexp_matches(text, '[#$%&*|]')::int + 16 * copied::int as mask
+  from found),
+counted as (
+  select part, mask, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic from masks group by part, mask),
+bits(letter, bit) as (values {bits}),
+grown(filter_order, used, step) as (
+  select letter, bit, 1 from bits
+  union all select g.filter_order || b.letter, g.used + b.bit, g.step + 1 from grown g join bits b on (g.used & b.bit) = 0 where g.step < 5),
+steps as (
+  select o.filter_order, s.i as step, b.bit,
+         coalesce((select sum(c.bit) from bits c where instr(o.filter_order, c.letter) < s.i), 0)::int as earlier
+  from (select filter_order from grown where step = 5) o, range(1, 6) s(i), bits b
+  where b.letter = substr(o.filter_order, s.i::int, 1)),
+result as (
+  select part, filter_order, step::int as step, bit,
+         coalesce(sum(n) filter ((mask & (earlier | bit)) = 0), 0)::bigint as kept,
+         coalesce(sum(n) filter ((mask & bit) <> 0 and (mask & earlier) = 0), 0)::bigint as removed,
+         coalesce(sum(n) filter ((mask & bit) <> 0 and (mask & earlier) <> 0), 0)::bigint as redundant,
+         coalesce(sum(n) filter (mask = bit), 0)::bigint as unique_fails,
+         coalesce(sum(good) filter ((mask & bit) <> 0 and (mask & earlier) = 0), 0)::bigint as good_lost,
+         coalesce(sum(toxic) filter ((mask & bit) <> 0 and (mask & earlier) = 0), 0)::bigint as toxic_lost
+  from counted, steps group by part, filter_order, step, bit)
+select * exclude (bit), (sum(removed) over (partition by part, bit))::bigint as shapley from result"""
+
+
 def _chat_format() -> str:
     t = chat.TEMPLATE
     escaped = lambda column: (
@@ -238,5 +277,6 @@ ORACLE: dict[str, str] = {
     "op7_url_filter": _url_filter(),
     "op9_fingerprints": _fingerprints(),
     "op10_secrets": _secrets(),
+    "op11_filter_audit": _filter_audit(),
     "op12_chat_format": _chat_format(),
 }

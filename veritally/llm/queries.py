@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from veritally.llm import (
+    audit,
     chat,
     decontaminate,
     jaccard,
@@ -66,6 +67,10 @@ def op10_secrets(spark, d):
     return secrets.document_secrets(_read(spark, d, "documents"))
 
 
+def op11_filter_audit(spark, d):
+    return audit.document_audit(spark, f"{d}/documents.parquet", _read(spark, d, "labels"))
+
+
 def op12_chat_format(spark, d):
     return chat.conversation_digests(_read(spark, d, "conversations"))
 
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_personal_data": op8_personal_data,
     "op9_fingerprints": op9_fingerprints,
     "op10_secrets": op10_secrets,
+    "op11_filter_audit": op11_filter_audit,
     "op12_chat_format": op12_chat_format,
     "op13_importance_resampling": op13_importance_resampling,
 }
