@@ -430,6 +430,7 @@ from (select *, max(len(ids)) over (partition by batch_id) - len(ids) as room fr
     ),
     "streaming_advantages": sql("select problem_id, sample_idx, reward, advantage from scored", "scored"),
     "streaming_advantages_split_groups": sql("select problem_id, sample_idx, reward, advantage from scored", "scored"),
+    "streaming_group_advantages": sql("select problem_id, sample_idx, batch_id, reward, advantage from scored", "scored"),
     "score_rollouts_epochs": sql(
         "select problem_id, sample_idx, epoch, pred, gt, reward, advantage from epoch_scored", "epoch_scored"
     ),

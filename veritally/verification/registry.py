@@ -525,7 +525,22 @@ def streaming_advantages_split_groups(spark, d):
     streaming.start_scores(
         _rollout_stream(spark, d, "sample_idx"), views.problems(spark, d), out, fresh_path(spark, "streaming-state")
     ).awaitTermination()
-    return streaming.late_advantages(spark, out, group_size=V.GROUP_SIZE)
+    found = streaming.late_advantages(spark, out, group_size=V.GROUP_SIZE)
+    return found.select("problem_id", "sample_idx", "reward", "advantage")
+
+
+def streaming_group_advantages(spark, d):
+    """The same arrivals; each group leaves the stream when its last sample is there."""
+    out = fresh_path(spark, "streaming-groups")
+    streaming.start_group_advantages(
+        _rollout_stream(spark, d, "sample_idx"),
+        views.problems(spark, d),
+        out,
+        fresh_path(spark, "streaming-state"),
+        V.GROUP_SIZE,
+        carry=["batch_id"],
+    ).awaitTermination()
+    return streaming.group_advantages(spark, out).select("problem_id", "sample_idx", "batch_id", "reward", "advantage")
 
 
 # --- pipelines -------------------------------------------------------------
@@ -679,6 +694,7 @@ QUERIES: dict[str, Query] = {
     "streaming_scores": streaming_scores,
     "streaming_advantages": streaming_advantages,
     "streaming_advantages_split_groups": streaming_advantages_split_groups,
+    "streaming_group_advantages": streaming_group_advantages,
     "score_rollouts": scored_rollouts,
     "score_rollouts_float_gold": scored_rollouts_float_gold,
     "score_rollouts_epochs": scored_rollouts_epochs,
