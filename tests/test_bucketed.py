@@ -1,0 +1,127 @@
+"""Tables stored in buckets: what meets in them is not moved."""
+
+import math
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import plan, rows
+from veritally.operators import policy
+from veritally.plans import training
+from veritally.plans.score import score_rollouts
+from veritally.sources.bucketed import Layout, open_bucketed, write_bucketed
+from veritally.verification import views
+from veritally.workspace import fresh_path
+
+TOKENS = Layout(["seq_id"], 6, ["pos"])
+
+
+def moved(df):
+    """The columns that go into the shuffles of a plan, without their numbers."""
+    text = plan(df, "formatted")
+    exchanges = re.findall(r"\n\(\d+\) (?:Broadcast)?Exchange\nInput \[\d+\]: \[([^\]]*)\]", text)
+    return [sorted(re.sub(r"#\d+L?", "", c) for c in e.split(", ")) for e in exchanges]
+
+
+def store(df, layout):
+    return write_bucketed(df, fresh_path(df.sparkSession, "test-buckets"), layout)
+
+
+def test_scores_move_nothing(spark, sf_dir):
+    rollouts, problems = views.rollouts(spark, sf_dir), views.problems(spark, sf_dir)
+    layout = Layout(["problem_id"], 5)
+    got = score_rollouts(store(rollouts, layout), store(problems, layout), small=False)
+    assert moved(got) == []
+    assert rows(got) == rows(score_rollouts(rollouts, problems).select(got.columns))
+
+
+def test_training_metrics_move_no_token(spark, sf_dir, monkeypatch):
+    from veritally.verification.registry import QUERIES, _batched_scores
+
+    weighed = []
+    plain = training._logged_metrics
+    monkeypatch.setattr(training, "_logged_metrics", lambda s, t, c: weighed.append(t) or plain(s, t, c))
+    old = store(views.old_logprobs(spark, sf_dir), TOKENS)
+    new = store(views.new_logprobs(spark, sf_dir), Layout(["seq_id"], 6, ["pos"], ["ppo_epoch"]))
+    got = training.training_metrics(_batched_scores(spark, sf_dir), old, new, F.lit(views.PROMPT_TOKENS))
+    losses = policy.policy_loss(weighed[0], ["epoch", "batch_id"], F.lit(1.0))
+    assert all(not any("lp" in c or c == "pos" for c in e) for e in moved(weighed[0]))
+    assert all("pos" not in e and "new_lp" not in e for e in moved(losses))  # partial sums only
+    want = rows(QUERIES["training_metrics"](spark, sf_dir))
+    assert [(e, b, pytest.approx(x, abs=1e-5) if x is not None else None, *r) for e, b, x, *r in rows(got.select("epoch", "batch_id", "loss"))] == [w[:3] for w in want]
+
+
+def test_opened_again(spark, sf_dir):
+    """Another session knows the files but not the table."""
+    scores = views.new_logprobs(spark, sf_dir)
+    layout = Layout(["seq_id"], 4, ["pos"], ["ppo_epoch"])
+    path = fresh_path(spark, "test-buckets")
+    first = rows(write_bucketed(scores, path, layout))
+    for t in spark.catalog.listTables("default", "bucketed_*"):
+        spark.sql(f"drop table {t.name}")  # an external table: its files stay
+    again = open_bucketed(spark, path, layout, scores.schema)
+    assert rows(again) == first == rows(scores)
+    assert moved(again.groupBy("seq_id").agg(F.count(F.lit(1)))) == []
+    assert rows(open_bucketed(spark, path, layout, scores.schema).where("ppo_epoch = 1")) == rows(scores.where("ppo_epoch = 1"))
+
+
+def test_bad_layouts():
+    for keys, n in (([], 4), (["a"], 0)):
+        with pytest.raises(ValueError):
+            Layout(keys, n)
+
+
+# --- split vocabularies ----------------------------------------------------
+
+
+def cut(vectors, size):
+    return [(s, p, c // size, v[c : c + size]) for s, p, v in vectors for c in range(0, len(v), size)]
+
+
+def by_formula(vectors, labels):
+    out = []
+    for s, p, v in vectors:
+        for label in [x for q, r, x in labels if (q, r) == (s, p)]:
+            top = max(v)
+            norm = top + math.log(sum(math.exp(x - top) for x in v))
+            out.append((s, p, v[label] - norm if label is not None and 0 <= label < len(v) else None))
+    return out
+
+
+CHUNKS, LABELS = "seq_id long, pos int, chunk int, logits array<float>", "seq_id long, pos int, label long"
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_chunks_equal_whole_vectors(spark, small):
+    """Scores far apart, labels at the ends of chunks, outside the vocabulary and NULL."""
+    rng = random.Random(7)
+    vectors = [(s, p, [float(rng.choice([-900, -3, 0, 2, 700]) + rng.randint(0, 8)) for _ in range(11)]) for s in range(4) for p in range(3)]
+    labels = [(s, p, rng.choice([0, 3, 4, 7, 8, 10, 11, 99, -1, None])) for s, p, _ in vectors if p != 2]
+    chunks = spark.createDataFrame(cut(vectors, 4), CHUNKS)
+    got = policy.chunked_logprobs(chunks, spark.createDataFrame(labels, LABELS), 4, small=small)
+    want = [(s, p, x if x is None else pytest.approx(x)) for s, p, x in by_formula(vectors, labels)]
+    assert [tuple(r) for r in got.orderBy("seq_id", "pos").collect()] == want
+
+
+def test_chunks_move_no_vector(spark, sf_dir):
+    from veritally.verification.registry import QUERIES
+
+    stored = QUERIES["sequence_logprobs_chunked"](spark, sf_dir)
+    assert all("logits" not in e for e in moved(stored)) and "BroadcastHashJoin" not in plan(stored)
+    vectors = views.logit_sequences(spark, sf_dir)
+    one_chunk = vectors.select("seq_id", "pos", F.lit(0).alias("chunk"), "logits")
+    few = policy.chunked_logprobs(one_chunk, policy.following_labels(vectors), 1 << 20)
+    assert all("logits" not in e for e in moved(few)) and "BroadcastHashJoin" in plan(few)
+    whole = store(vectors, TOKENS)
+    assert moved(policy.sequence_logprobs(whole)) == []
+    want = rows(policy.sequence_logprobs(vectors))
+    for got in (few, policy.sequence_logprobs(whole)):
+        assert [(s, p, pytest.approx(x)) for s, p, x in want] == rows(got)
+
+
+def test_no_chunk(spark):
+    got = policy.chunked_logprobs(spark.createDataFrame([(1, 0, 0, [])], CHUNKS), spark.createDataFrame([(1, 0, 0)], LABELS), 4)
+    assert rows(got) == [(1, 0, None)]
+    assert policy.chunked_logprobs(spark.createDataFrame([], CHUNKS), spark.createDataFrame([], LABELS), 4).count() == 0

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from veritally import fixed_values as V
 from veritally.functions.surrogate import clipped_surrogate, importance_ratio
-from veritally.functions.tokens import label_logprob
-from veritally.operators.skew import NO_HOT, ROWS_PER_TASK, SALTS, Hot, Keys, join_unique, names
+from veritally.functions.tokens import gather_label, label_logprob
+from veritally.operators.skew import NO_HOT, ROWS_PER_TASK, SALTS, Hot, Keys, fits_broadcast, join_unique, names
 from veritally.workspace import materialize
 
 
@@ -69,21 +69,21 @@ def align_arrays(
     that is wanted: what lies before it is cut off before the shuffle. Arrays of unequal length end the query with an error.
     """
     keys = names(sequence)
-    first = F.greatest(F.lit(0), F.lit(0) if start is None else start).cast("int")
-
-    def cut(df: DataFrame, name: str) -> DataFrame:
-        rest = F.slice("lps", first + F.lit(1), F.greatest(F.size("lps") - first, F.lit(0)))
-        return df.select(*(c for c in df.columns if c != "lps"), F.size("lps").alias(f"{name}_size"), first.alias(f"{name}_first"), rest.alias(name))
-
-    weighted = cut(old, "_old").hint("merge").join(sequences, keys)
-    rows = weighted.hint("merge").join(cut(new, "_new"), keys)
+    left, right = old.withColumnRenamed("lps", "_old"), new.withColumnRenamed("lps", "_new")
+    sizes, place = (F.size("_old"), F.size("_new")), F.col("_place")
+    if start is not None:
+        first = F.greatest(F.lit(0), start).cast("int")
+        rest = lambda c: F.slice(c, first + F.lit(1), F.greatest(F.size(c) - first, F.lit(0)))
+        left = left.withColumns({"_old_size": F.size("_old"), "_first": first, "_old": rest("_old")})
+        right = right.withColumns({"_new_size": F.size("_new"), "_new": rest("_new")})
+        sizes, place = (F.col("_old_size"), F.col("_new_size")), F.col("_first") + F.col("_place")
+    rows = left.hint("merge").join(sequences, keys).hint("merge").join(right, keys)
+    message = F.format_string("%s: %d old and %d new scores", F.concat_ws(", ", *(F.col(k).cast("string") for k in keys)), *sizes)
+    even = F.when(sizes[0] == sizes[1], F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    kept = [c for c in rows.columns if c not in ("_old", "_new", "_old_size", "_new_size", "_first")]
     grid = F.arrays_zip(F.col("_old").alias("old_lp"), F.col("_new").alias("new_lp"))
-    message = F.format_string("%s: %d old and %d new scores", F.concat_ws(", ", *(F.col(k).cast("string") for k in keys)), "_old_size", "_new_size")
-    checked = F.when(F.col("_old_size") == F.col("_new_size"), grid).otherwise(F.raise_error(message))
-    kept = [c for c in rows.columns if not c.startswith(("_old", "_new"))]
-    return rows.select(*kept, "_old_first", F.posexplode(checked).alias("_place", "_token")).select(
-        *kept, (F.col("_old_first") + F.col("_place")).alias("pos"), "_token.old_lp", "_token.new_lp"
-    )
+    tokens = rows.where(even).select(*kept, *(["_first"] if start is not None else []), F.posexplode(grid).alias("_place", "_token"))
+    return tokens.select(*kept, place.alias("pos"), "_token.old_lp", "_token.new_lp")
 
 
 def masked_mean(value: Column, mask: Column) -> Column:
@@ -108,14 +108,53 @@ def last_ppo_epoch_loss(losses: DataFrame, by: Sequence[str] = ("batch_id",)) ->
     return losses.groupBy(*by).agg(F.max_by("loss", "ppo_epoch").alias("loss"))
 
 
+def following_labels(tokens: DataFrame, sequence: Keys = "seq_id") -> DataFrame:
+    """(*sequence, pos, label): the token after each position of (*sequence, pos, token)."""
+    return tokens.select(*names(sequence), (F.col("pos") - 1).alias("pos"), F.col("token").alias("label"))
+
+
 def sequence_logprobs(logits: DataFrame, sequence: Keys = "seq_id") -> DataFrame:
     """(*sequence, pos, lp): the log-probability that the scores at each position give to the next token.
 
     ``logits`` has (*sequence, pos, logits, token) with one row per position; the token of a position is scored by the row
-    before it, so the last row of a sequence scores nothing. Each row is cut down to one number per label before
-    anything is shuffled twice: the next token is found by a join of ids, and no full vector is kept past the gather.
+    before it, so the last row of a sequence scores nothing. Only ids are read of the following row, and no full vector is
+    kept past the gather. Store the table in buckets of the sequence (``sources.bucketed``): then no vector is moved either.
+    For vocabularies too long for a row see ``chunked_logprobs``.
     """
     keys = [*names(sequence), "pos"]
-    following = logits.select(*names(sequence), (F.col("pos") - 1).alias("pos"), F.col("token").alias("_label"))
-    joined = logits.select(*keys, "logits").hint("merge").join(following, keys)
-    return joined.select(*keys, label_logprob(F.col("logits"), F.col("_label")).alias("lp"))
+    joined = logits.select(*keys, "logits").hint("merge").join(following_labels(logits, sequence), keys)
+    return joined.select(*keys, label_logprob(F.col("logits"), F.col("label")).alias("lp"))
+
+
+def chunked_logprobs(
+    chunks: DataFrame, labels: DataFrame, chunk_size: int, sequence: Keys = "seq_id", small: bool | None = None
+) -> DataFrame:
+    """(*sequence, pos, lp) from scores that are split over the vocabulary.
+
+    ``chunks`` is (*sequence, pos, chunk, logits): chunk ``c`` of a position has the scores of the ids from
+    ``c * chunk_size`` on. ``labels`` is (*sequence, pos, label); a position without a label scores nothing, a label that no chunk
+    has gives NULL.
+
+    Where it is read, a chunk becomes three numbers: its maximum, its sum of exponentials scaled by that, and the label's score if the
+    chunk has it. Those of a position are merged by scaling to the common maximum; there are as many as chunks, and no
+    vector is among them. Labels meet the chunks by a broadcast if they are few (``small``; None has it checked), else in
+    buckets of the sequence, in which ``chunks`` is then to be stored: otherwise the join has to move it.
+    """
+    keys = [*names(sequence), "pos"]
+    wanted = labels.select(*keys, F.col("label").alias("_label"))
+    small = fits_broadcast(wanted) if small is None else small
+    read = chunks.select(*keys, "chunk", "logits")
+    joined = read.join(F.broadcast(wanted), keys) if small else read.hint("merge").join(wanted, keys)
+    mine = F.floor(F.col("_label") / F.lit(chunk_size)) == F.col("chunk")
+    at = (F.col("_label") - F.col("chunk") * F.lit(chunk_size)).cast("int")
+    top = F.array_max("logits").cast("double")
+    parts = joined.select(*keys, top.alias("_top"), "logits", F.when(mine, gather_label(F.col("logits"), at)).cast("double").alias("_score"))
+    scaled = F.aggregate("logits", F.lit(0.0), lambda acc, x: acc + F.exp(x.cast("double") - F.col("_top")))
+    merged = (
+        parts.select(*keys, "_score", F.when(F.col("_top").isNotNull(), F.struct(F.col("_top").alias("top"), scaled.alias("sum"))).alias("_part"))
+        .groupBy(*keys)
+        .agg(F.collect_list("_part").alias("_parts"), F.max("_score").alias("_score"))
+        .withColumn("_most", F.array_max(F.transform("_parts", lambda p: p["top"])))
+    )
+    total = F.aggregate("_parts", F.lit(0.0), lambda acc, p: acc + p["sum"] * F.exp(p["top"] - F.col("_most")))
+    return merged.select(*keys, (F.col("_score") - F.col("_most") - F.ln(total)).alias("lp"))

@@ -48,8 +48,8 @@ def find_hot_keys(df: DataFrame, key: Keys, rows_per_task: int = ROWS_PER_TASK)
         sample = sample.sample(fraction, seed=1)
     counts = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > rows_per_task * fraction)
     salts = F.ceil(F.col("n") / F.lit(fraction * rows_per_task)).cast("int").alias(SALTS)
-    hot = materialize(counts.select(*keys, salts), "hot-keys")
-    return NO_HOT if hot.isEmpty() else hot
+    found = counts.select(*keys, salts)
+    return NO_HOT if found.isEmpty() else materialize(found, "hot-keys")  # nearly always nothing is found, nor stored
 
 
 def _small(table: DataFrame) -> DataFrame:

@@ -489,3 +489,11 @@ from (select problem_id, any_value(prompt) as prompt, any_value(gt) as gt,
         "prompt_vocabulary",
     ),
 }
+
+# The same rows from tables that are stored in another way.
+SAME_AS = {
+    "sequence_logprobs_chunked": "sequence_logprobs",
+    "score_rollouts_bucketed": "score_rollouts",
+    "training_metrics_bucketed": "training_metrics",
+}
+ORACLE |= {name: ORACLE[twin] for name, twin in SAME_AS.items()}

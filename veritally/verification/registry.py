@@ -22,6 +22,7 @@ from veritally.plans.training import (
     training_metrics_from_arrays,
 )
 from veritally.sources import problems as problem_source
+from veritally.sources.bucketed import Layout, write_bucketed
 from veritally.sources.sinks import accuracy_line, metric_lines, summary_lines
 from veritally.streaming import scores as streaming
 from veritally.verification import views
@@ -33,6 +34,8 @@ SEED = 7
 SHAPE_LENGTH = 64
 PROMPT_LENGTH = 16  # some prompts are longer, so that the cut happens
 EPOCHS = (0, 1)
+BUCKETS = 8
+CHUNK = 24  # ids per chunk of a vocabulary; the last one is shorter
 STREAM_FILES = 4
 
 
@@ -261,6 +264,19 @@ def sequence_logprobs(spark, d):
     return found.select("seq_id", "pos", r6("lp").alias("lp"))
 
 
+def sequence_logprobs_chunked(spark, d):
+    """Vectors cut into chunks of the vocabulary and stored in buckets of the sequence, labels joined in these."""
+    layout = Layout(["seq_id"], BUCKETS, ["pos"])
+    vectors = views.logit_sequences(spark, d)
+    chunk = F.explode(F.sequence(F.lit(0), F.floor((F.size("logits") - 1) / F.lit(CHUNK)).cast("int"))).alias("chunk")
+    cut = F.slice("logits", F.col("chunk") * F.lit(CHUNK) + 1, F.lit(CHUNK)).alias("logits")
+    chunks = vectors.select("seq_id", "pos", "logits", chunk).select("seq_id", "pos", "chunk", cut)
+    stored = write_bucketed(chunks, fresh_path(spark, "logit-chunks"), layout)
+    labels = policy.following_labels(vectors.select("seq_id", "pos", "token"))
+    found = policy.chunked_logprobs(stored, labels, CHUNK, small=False)
+    return found.select("seq_id", "pos", r6("lp").alias("lp"))
+
+
 # --- aggregates and windows -----------------------------------------------
 
 
@@ -550,6 +566,14 @@ def scored_rollouts(spark, d):
     return _scored(spark, d)
 
 
+def scored_rollouts_bucketed(spark, d):
+    """Both tables stored in buckets of the problem: neither the join nor the group mean moves a row."""
+    layout = Layout(["problem_id"], BUCKETS)
+    rollouts = write_bucketed(views.rollouts(spark, d), fresh_path(spark, "bucketed-rollouts"), layout)
+    problems = write_bucketed(views.problems(spark, d), fresh_path(spark, "bucketed-problems"), layout)
+    return score_rollouts(rollouts, problems, small=False)
+
+
 def scored_rollouts_epochs(spark, d):
     return score_rollouts(
         views.rollouts_by_epoch(spark, d),
@@ -609,6 +633,15 @@ def training(spark, d):
     return _rounded_metrics(_training(spark, d))
 
 
+def training_bucketed(spark, d):
+    """Token scores stored in buckets of the sequence: no token is moved."""
+    layout = Layout(["seq_id"], BUCKETS, ["pos"])
+    by_epoch = Layout(["seq_id"], BUCKETS, ["pos"], ["ppo_epoch"])
+    old = write_bucketed(views.old_logprobs(spark, d), fresh_path(spark, "bucketed-old"), layout)
+    new = write_bucketed(views.new_logprobs(spark, d), fresh_path(spark, "bucketed-new"), by_epoch)
+    return _rounded_metrics(training_metrics(_batched_scores(spark, d), old, new, F.lit(views.PROMPT_TOKENS)))
+
+
 def training_from_arrays(spark, d):
     found = training_metrics_from_arrays(
         _batched_scores(spark, d),
@@ -658,6 +691,7 @@ QUERIES: dict[str, Query] = {
     "broadcast_advantage": broadcast_advantage,
     "broadcast_advantage_long": broadcast_advantage_long,
     "sequence_logprobs": sequence_logprobs,
+    "sequence_logprobs_chunked": sequence_logprobs_chunked,
     "group_mean_reward": group_mean_reward,
     "masked_mean": masked_mean,
     "accuracy": accuracy,
@@ -700,11 +734,13 @@ QUERIES: dict[str, Query] = {
     "score_rollouts_epochs": scored_rollouts_epochs,
     "score_rollouts_shuffled": scored_rollouts_shuffled,
     "score_rollouts_hot": scored_rollouts_hot,
+    "score_rollouts_bucketed": scored_rollouts_bucketed,
     "evaluate_split": evaluated_split,
     "evaluate_split_float_gold": evaluated_split_float_gold,
     "compare_models": compared_models,
     "compare_models_whole_split": compared_models_whole_split,
     "training_metrics": training,
+    "training_metrics_bucketed": training_bucketed,
     "training_metrics_from_arrays": training_from_arrays,
     "training_metrics_epochs": training_epochs,
     "prepare_examples": prepared_examples,
