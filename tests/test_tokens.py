@@ -6,10 +6,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan, rows
 from veritally.functions import surrogate, tokens
 from veritally.operators import policy, sequences
 from veritally.plans.examples import prepare_examples
+from veritally.workspace import materialize
 
 
 @pytest.fixture(scope="module")
@@ -99,6 +100,44 @@ def test_vocabulary_round_trip(spark, monkeypatch):
     assert rows(decoded, "id") == sorted((i, t or "") for i, t in data)
 
 
+WORDS = ["the", "a", "b", "", "é", "c\nd", "x" * 90, "x" * 90 + "y"] + [f"w{i}" for i in range(40)]
+
+
+@pytest.mark.parametrize("head", [0, 4, 20, sequences.HEAD_WORDS])
+def test_rows_are_encoded_and_decoded_in_place(spark, head):
+    """Words past the head go out and come back; ids that no word has, and NULL ones, are left out of texts."""
+    rng = random.Random(6)
+    data = [(i, " ".join(rng.choices(WORDS, k=rng.randrange(1, 30)))) for i in range(60)]
+    data += [(60, ""), (61, None), (62, " "), (63, " ".join([WORDS[6]] * 50)), (64, "never-seen the never-seen"), (None, "a w1")]
+    df = spark.createDataFrame(data, "id long, text string").withColumn("n", F.lit(1))
+    vocab = materialize(sequences.build_vocabulary(sequences.words(df.where("id is null or id <> 64"), "id", F.col("text"))))
+    ids = {r.word: r.token_id for r in vocab.collect()}
+    encoded = sequences.encode_rows(df, "id", F.col("text"), vocab, ["n"], head_words=head)
+    want = sorted(((i, 1, [ids.get(w) for w in t.split(" ")] if t is not None else []) for i, t in data), key=str)
+    assert sorted((tuple(r) for r in encoded.collect()), key=str) == want
+    short = sequences.encode_rows(df, "id", F.col("text"), vocab, max_words=3, head_words=head)
+    assert sorted((tuple(r) for r in short.collect()), key=str) == sorted(((i, x[:3]) for i, _, x in want), key=str)
+    padded = encoded.select("id", F.concat(F.lit([0, 10**12, -5]), "ids").alias("ids"))
+    decoded = sequences.decode_rows(padded, vocab, "id", [0], head_words=head)
+    texts = [(i, " ".join(w for w in (t or "").split(" ") if w in ids) if t else "") for i, t in data]
+    assert sorted((tuple(r) for r in decoded.collect()), key=str) == sorted(texts, key=str)
+
+
+def test_only_words_past_the_head_are_shuffled(spark, monkeypatch):
+    texts = [(i, "the " * 500 + (f"rare{i}" if i % 10 == 0 else "a")) for i in range(200)]
+    df = spark.createDataFrame(texts, "id long, text string")
+    vocab = materialize(sequences.build_vocabulary(sequences.words(df, "id", F.col("text"))))
+    joined = []
+    plain = sequences.join_unique
+    monkeypatch.setattr(sequences, "join_unique", lambda rows, *a, **kw: joined.append(rows) or plain(rows, *a, **kw))
+    encoded = sequences.encode_rows(df, "id", F.col("text"), vocab, head_words=2)
+    assert encoded.count() == 200 and [r.count() for r in joined] == [20]  # words that are joined by a shuffle
+    exchanged = [e for e in plan(encoded, "formatted").split("\n\n") if "Exchange\n" in e]
+    assert exchanged and all("text" not in e and "_parts" not in e for e in exchanged)
+    sequences.encode_rows(df, "id", F.col("text"), vocab).count()
+    assert joined[1].count() == 0
+
+
 def test_words_outside_the_vocabulary_stay_as_null(spark):
     known = sequences.words(spark.createDataFrame([(1, "a b")], "id long, text string"), "id", F.col("text"))
     other = sequences.words(spark.createDataFrame([(1, "b z a")], "id long, text string"), "id", F.col("text"))

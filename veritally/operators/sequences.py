@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,7 @@ from veritally.workspace import materialize
 FIRST_TOKEN_ID = 1  # 0 is kept for padding
 HEAD_WORDS = 65_536
 KEY_CHARS = 64
+SLOT_WORDS = 8  # of the head that share a place in its lookup
 NULL_KEYS = 1024  # rows without a token are spread over this many keys that match nothing
 
 
@@ -130,3 +132,102 @@ def decode_ids(
         .groupBy(key)
         .agg(F.array_join(F.array_sort(F.collect_list(entry))["word"], " ").alias("text"))
     )
+
+
+def _head_ids(vocabulary: DataFrame, head_words: int) -> tuple[Column, int]:
+    """The head as a constant: an array of maps from word to id, and the number of these places. At most ``head_words`` keys
+    of bounded length reach the driver, and go to the tasks in the plan. A map is searched from its start, so each is short."""
+    slots = max(1, head_words // SLOT_WORDS)
+    rows = (
+        vocabulary.where(F.col("token_id") < FIRST_TOKEN_ID + head_words)
+        .select(_word_key(F.col("word")).alias("key"), "token_id")
+        .select("key", "token_id", F.pmod(F.xxhash64("key"), F.lit(slots)).alias("slot"))
+        .collect()
+    )
+    places: list[dict[str, int]] = [{} for _ in range(slots)]
+    for r in rows:
+        places[r["slot"]][r["key"]] = r["token_id"]
+    return F.from_json(F.lit(json.dumps(places)), "array<map<string,bigint>>"), slots
+
+
+def _head_words(vocabulary: DataFrame, head_words: int) -> Column:
+    """The words of the head by their id, as a constant; NULL for one that is too long for it."""
+    rows = vocabulary.where((F.col("token_id") < FIRST_TOKEN_ID + head_words) & (F.length("word") <= KEY_CHARS)).select("token_id", "word").collect()
+    words_by_id: list[str | None] = [None] * (max((r["token_id"] for r in rows), default=0) + 1)
+    for r in rows:
+        words_by_id[r["token_id"]] = r["word"]
+    return F.from_json(F.lit(json.dumps(words_by_id)), "array<string>")
+
+
+def _unknown(parts: Column, known: Column) -> Column:
+    """(pos, part) for every part whose place in ``known`` is NULL."""
+    entries = F.transform(parts, lambda p, i: F.when(F.get(known, i).isNull() & p.isNotNull(), F.struct(i.alias("pos"), p.alias("part"))))
+    return F.filter(entries, lambda e: e.isNotNull())
+
+
+def _fill_in(rows: DataFrame, key: str, lookup: DataFrame, found: str, hot: Hot, keep: Sequence[str]) -> DataFrame:
+    """``rows`` of (key, *keep, known, unknown) with ``known`` completed from ``lookup`` of (part, found).
+
+    Only the unknown parts become rows. What is found of them goes back to its row, in the row's order, by one join.
+    """
+    whole = rows.where(F.size("unknown") == 0).select(key, *keep, "known")
+    partial = rows.where(F.size("unknown") > 0)
+    parts = partial.select(key, F.explode("unknown").alias("_entry")).select(key, "_entry.pos", "_entry.part")
+    matched = join_unique(parts, lookup, "part", [key, "pos"], how="left", hot=hot, small=False)
+    entry = F.struct(F.col("pos"), F.col(found).alias("found"))
+    back = matched.groupBy(F.col(key).alias("_back")).agg(F.collect_list(entry).alias("_late"))
+    places = F.transform("known", lambda x, i: F.struct(i.alias("pos"), x.alias("found")))
+    early = F.filter(places, lambda e: e["found"].isNotNull())
+    merged = F.transform(F.array_sort(F.concat(early, "_late")), lambda e: e["found"])
+    joined = partial.join(back, F.col(key).eqNullSafe(F.col("_back")))
+    return whole.unionByName(joined.select(key, *keep, merged.alias("known")))
+
+
+def encode_rows(
+    df: DataFrame,
+    key: str,
+    text: Column,
+    vocabulary: DataFrame,
+    carry: Sequence[str] = (),
+    max_words: int | None = None,
+    hot: Hot = NO_HOT,
+    head_words: int = HEAD_WORDS,
+) -> DataFrame:
+    """(key, *carry, ids): each text's words, split at single spaces and cut off after ``max_words``, as ids in text order.
+
+    The words of the head are encoded inside the row, by a lookup that is a constant of the plan. Only what is left, words past
+    the head, is shuffled, and so are the ids of the rows that have some. A word outside the vocabulary gets NULL, a NULL text
+    no id. ``key`` is unique. The encoded rows are stored, so texts are read once. For hot words past the head see ``encode_words``.
+    """
+    lookup, slots = _head_ids(vocabulary, head_words)
+    parts = F.coalesce(F.split(text, " "), F.array().cast("array<string>"))
+    if max_words is not None:
+        parts = F.slice(parts, 1, max_words)
+    keyed = df.select(key, *carry, F.transform(parts, _word_key).alias("_parts"))
+    at_home = lambda w: F.try_element_at(F.get(lookup, F.pmod(F.xxhash64(w), F.lit(slots)).cast("int")), w)
+    known = keyed.withColumn("known", F.transform("_parts", at_home))
+    encoded = known.withColumn("unknown", _unknown(F.col("_parts"), F.col("known"))).drop("_parts")
+    tail = vocabulary.where(F.col("token_id") >= FIRST_TOKEN_ID + head_words)
+    tail = tail.select(_word_key(F.col("word")).alias("part"), "token_id")
+    done = _fill_in(materialize(encoded, "encoded"), key, tail, "token_id", hot, carry)
+    return done.withColumnRenamed("known", "ids")
+
+
+def decode_rows(
+    sequences: DataFrame,
+    vocabulary: DataFrame,
+    key: str,
+    special_ids: list[int],
+    ids: str = "ids",
+    hot: Hot = NO_HOT,
+    head_words: int = HEAD_WORDS,
+) -> DataFrame:
+    """(key, text): the way back, words joined by single spaces, special ids and those outside the vocabulary left out."""
+    lookup = _head_words(vocabulary, head_words)
+    kept = sequences.select(key, F.coalesce(drop_special(F.col(ids), special_ids), F.array().cast("array<bigint>")).alias("_ids"))
+    known = kept.withColumn("known", F.transform("_ids", lambda i: F.get(lookup, F.when(i.between(0, head_words), i).cast("int"))))
+    decoded = known.withColumn("unknown", _unknown(F.col("_ids"), F.col("known"))).drop("_ids")
+    rest = vocabulary.where((F.col("token_id") >= FIRST_TOKEN_ID + head_words) | (F.length("word") > KEY_CHARS))
+    rest = rest.select(F.col("token_id").alias("part"), "word")
+    done = _fill_in(materialize(decoded, "decoded"), key, rest, "word", hot, [])
+    return done.select(key, F.array_join("known", " ").alias("text"))

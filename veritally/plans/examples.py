@@ -11,7 +11,7 @@ from veritally import fixed_values as V
 from veritally.functions.text import build_prompt, extract_gold
 from veritally.functions.tokens import attention_mask, pad_left
 from veritally.operators.batching import assign_batches
-from veritally.operators.sequences import build_vocabulary, encode_words, words
+from veritally.operators.sequences import build_vocabulary, encode_rows, words
 from veritally.workspace import materialize
 
 PAD_ID = 0
@@ -28,15 +28,18 @@ def example_records(
 ) -> DataFrame:
     """(problem_id, *carry, prompt, input_ids, attention_mask, gt): the prompt with its ids and mask at ``max_length``, and
     the gold number. One word is one token, so what is cut off is dropped before it is encoded."""
-    prompt = build_prompt(F.col("question"))
-    kept = words(problems, "problem_id", prompt).where(F.col("pos").isNull() | (F.col("pos") < max_length))
-    shaped = encode_words(kept, vocabulary, "problem_id").select(
+    records = problems.select(
+        "problem_id", *carry, build_prompt(F.col("question")).alias("prompt"), extract_gold(F.col("answer")).alias("gt")
+    )
+    encoded = encode_rows(records, "problem_id", F.col("prompt"), vocabulary, [*carry, "prompt", "gt"], max_length)
+    return encoded.select(
         "problem_id",
+        *carry,
+        "prompt",
         pad_left(F.col("ids"), PAD_ID, max_length).alias("input_ids"),
         attention_mask(F.col("ids"), max_length).alias("attention_mask"),
+        "gt",
     )
-    records = problems.select("problem_id", *carry, prompt.alias("prompt"), extract_gold(F.col("answer")).alias("gt"))
-    return records.join(shaped, "problem_id").select("problem_id", *carry, "prompt", "input_ids", "attention_mask", "gt")
 
 
 def prepare_examples(

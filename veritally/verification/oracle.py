@@ -490,8 +490,10 @@ from (select problem_id, any_value(prompt) as prompt, any_value(gt) as gt,
     ),
 }
 
-# The same rows from tables that are stored in another way.
+# The same rows by another way or from tables that are stored in another way.
 SAME_AS = {
+    "vocab_encode_rows_short_head": "vocab_encode",
+    "vocab_decode_short_head": "vocab_decode",
     "sequence_logprobs_chunked": "sequence_logprobs",
     "score_rollouts_bucketed": "score_rollouts",
     "training_metrics_bucketed": "training_metrics",

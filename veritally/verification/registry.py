@@ -389,31 +389,47 @@ def ordered_eval(spark, d):
 # --- token sequences -------------------------------------------------------
 
 
-def _encoded(spark, d):
-    found = views.document_words(spark, d)
-    vocabulary = materialize(sequences.build_vocabulary(found))
-    return sequences.encode_words(found, vocabulary, "doc_id"), vocabulary
+SHORT_HEAD = 50
+
+
+def _encoded(spark, d, **options):
+    vocabulary = materialize(sequences.build_vocabulary(views.document_words(spark, d)))
+    documents = views.table(spark, d, "documents")
+    return sequences.encode_rows(documents, "doc_id", F.col("text"), vocabulary, **options), vocabulary
 
 
 def vocab_encode(spark, d):
     return _encoded(spark, d)[0]
 
 
+def vocab_encode_rows_short_head(spark, d):
+    """With a head of 50 words, so that most rows have words past it."""
+    return _encoded(spark, d, head_words=SHORT_HEAD)[0]
+
+
 def vocab_encode_short_head(spark, d):
-    """With a head of 50 words, so that most words take the shuffle join of the tail."""
+    """Words as rows, with a head of 50 words, so that most take the shuffle join of the tail."""
     found = views.document_words(spark, d)
     vocabulary = materialize(sequences.build_vocabulary(found))
-    return sequences.encode_words(found, vocabulary, "doc_id", head_words=50)
+    return sequences.encode_words(found, vocabulary, "doc_id", head_words=SHORT_HEAD)
 
 
 def vocabulary(spark, d):
     return sequences.build_vocabulary(views.document_words(spark, d))
 
 
-def vocab_decode(spark, d):
+def _decoded(spark, d, **options):
     encoded, vocabulary = _encoded(spark, d)
     padded = encoded.withColumn("ids", tokens.pad_left(F.col("ids"), PAD_ID, SHAPE_LENGTH))
-    return sequences.decode_ids(padded, vocabulary, "doc_id", [PAD_ID])
+    return sequences.decode_rows(padded, vocabulary, "doc_id", [PAD_ID], **options)
+
+
+def vocab_decode(spark, d):
+    return _decoded(spark, d)
+
+
+def vocab_decode_short_head(spark, d):
+    return _decoded(spark, d, head_words=SHORT_HEAD)
 
 
 def _turns(spark, d):
@@ -710,6 +726,8 @@ QUERIES: dict[str, Query] = {
     "vocab_encode": vocab_encode,
     "vocab_encode_short_head": vocab_encode_short_head,
     "vocab_decode": vocab_decode,
+    "vocab_encode_rows_short_head": vocab_encode_rows_short_head,
+    "vocab_decode_short_head": vocab_decode_short_head,
     "truncate_tokens": truncate_tokens,
     "pad_left": pad_left,
     "attention_mask": attention_mask,
