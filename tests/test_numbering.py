@@ -5,8 +5,8 @@ import random
 from pyspark.sql import functions as F
 
 from conftest import rows
-from veritally.operators import batching, metrics
-from veritally.operators.numbering import even_buckets, number_rows, running_sums, store_in_order, with_position
+from veritally.operators import batching, metrics, numbering
+from veritally.operators.numbering import number_rows, running_sums, store_in_order, with_position
 
 
 def test_running_sums_over_blocks(spark):
@@ -27,15 +27,24 @@ def test_positions_close_gaps(spark):
     assert rows(batched) == [(i, n // 3) for n, i in enumerate(ids)]
 
 
-def test_positions_of_sparse_ids(spark):
-    """Hashed 64-bit ids fill as few buckets as dense ones: no window over all of them."""
+def test_positions_of_sparse_and_clustered_ids(spark, monkeypatch):
+    """However the ids lie, no task gets more than twice the mean."""
+    stored = []
+    plain = numbering.materialize
+    monkeypatch.setattr(numbering, "materialize", lambda df, name: stored.append(plain(df, name)) or stored[-1])
     rng = random.Random(5)
-    for ids in ([rng.getrandbits(63) - (1 << 62) for _ in range(3000)], [*range(1500), *range(10**15, 10**15 + 1500)]):
-        df = spark.createDataFrame([(i,) for i in ids], "row_idx long").repartition(4)
-        got = rows(with_position(df, "row_idx", block=50).select("row_idx", "pos"))
-        assert got == [(x, i) for i, x in enumerate(sorted(ids))]
-        sizes = [r["count"] for r in df.groupBy(even_buckets(df, "row_idx", 50).alias("b")).count().collect()]
-        assert 20 <= len(sizes) <= 80 and max(sizes) < 600
+    hashed = [rng.getrandbits(63) - (1 << 62) for _ in range(6000)]
+    clustered = [*range(3000), *range(10**15, 10**15 + 2900), *(10**16 * i for i in range(1, 101))]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for ids in (hashed, clustered):
+            df = spark.createDataFrame([(i,) for i in ids], "row_idx long").repartition(4)
+            got = rows(with_position(df, "row_idx").select("row_idx", "pos"))
+            assert got == [(x, i) for i, x in enumerate(sorted(ids))]
+            sizes = [r["count"] for r in stored.pop().groupBy(F.input_file_name()).count().collect()]
+            assert len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / len(sizes)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert with_position(df.where("false"), "row_idx").count() == 0
 
 

@@ -2,7 +2,8 @@
 
 Rows are counted per integer bucket (combined before the shuffle), the bucket
 counts are summed up block by block, and rows are numbered inside their bucket.
-Each window sees one block or one bucket, never the whole table.
+Each window sees one block or one bucket, never the whole table. Where nothing is known of the values,
+``store_in_order`` takes range partitions as buckets, whose bounds Spark samples.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from pyspark.sql import functions as F
 from veritally.workspace import materialize
 
 BLOCK = 65_536
-PERCENTILES = 32
 SLOT_BITS = 33  # of a row's number within its partition in Spark's increasing ids
 
 
@@ -88,35 +88,6 @@ def number_rows(
     )
 
 
-def even_buckets(df: DataFrame, order_col: str, block: int = BLOCK) -> Column:
-    """A bucket number from 0 up that grows with an integer column, about ``block`` rows per bucket.
-
-    Coarse bounds are percentiles of the column, finer ones cut the range between two of them evenly, so the number of
-    buckets follows the number of rows and not the range of the values: dense, sparse and hashed ids are alike, and of
-    clustered ones no bucket gets more than the share between two percentiles. Runs one job that reads
-    the column; the driver gets ``PERCENTILES`` numbers.
-    """
-    shares = [i / PERCENTILES for i in range(PERCENTILES + 1)]
-    got = df.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(order_col, shares, 10_000).alias("at")).first()
-    bounds = sorted(set(got["at"] or [0]))
-    fine = max(1, -(-got["n"] // (PERCENTILES * block)))
-    x = F.col(order_col)
-
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(x < F.lit(bounds[mid]), search(lo, mid - 1)).otherwise(search(mid, hi))
-
-    coarse = search(0, len(bounds) - 1)
-    if fine == 1:
-        return coarse.cast("long")
-    low = F.get(F.lit([float(b) for b in bounds]), coarse)
-    high = F.get(F.lit([float(b) for b in bounds[1:] + bounds[-1:]]), coarse)
-    step = F.floor((x.cast("double") - low) / (high - low + F.lit(1.0)) * F.lit(fine))
-    return (coarse * F.lit(fine) + F.greatest(F.lit(0), F.least(step, F.lit(fine - 1)))).cast("long")
-
-
 def store_in_order(df: DataFrame, order: Sequence[Column | str], out: str = "pos", group: Sequence[str] = ()) -> DataFrame:
     """Store ``df`` sorted by ``(*group, *order)`` and add the 0-based position, in each group if there are any.
 
@@ -143,8 +114,6 @@ def store_in_order(df: DataFrame, order: Sequence[Column | str], out: str = "pos
     return placed.join(starts, same).select(*kept, (F.col("_slot") + F.col("_shift")).alias(out))
 
 
-def with_position(
-    df: DataFrame, order_col: str, out: str = "pos", group: Sequence[str] = (), block: int = BLOCK
-) -> DataFrame:
-    """0-based rank of a unique integer column without NULLs, gaps closed."""
-    return number_rows(df, even_buckets(df, order_col, block), [order_col], out, group)
+def with_position(df: DataFrame, order_col: str, out: str = "pos", group: Sequence[str] = ()) -> DataFrame:
+    """0-based rank of a unique column without NULLs, gaps closed, by ``store_in_order``."""
+    return store_in_order(df, [order_col], out, group)
