@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -60,6 +61,27 @@ def test_odd_texts(spark):
     assert secrets.document_secrets(docs.where("false")).count() == 0
 
 
+def test_cover_signs_and_neighbours(spark):
+    """A cover sign in the text itself, candidates that touch base spans, and values too short to be one."""
+    token = "Zk9pQw7LmX2vBn4RtY8sHd"
+    check(spark, [f"\u0001{token}\u0001", f"token=abc {token}", f"{token}token=abcdefgh{token}", f"token=abcdefgh,{token}", "0" * 24 + "g" + token, f"AKIA{'Z' * 16}{token} {token}"])
+
+
+def test_many_hits_in_one_text(spark):
+    """5 MB of checksums, keys and tokens: time grows with the text, not with its square."""
+    rng = random.Random(4)
+    kinds = [lambda: "%032x" % rng.getrandbits(128), lambda: "token=abcdefgh", lambda: "AKIA" + "Q7" * 8, lambda: "".join(rng.choices("abcXYZ0123456789+/", k=24))]
+    text = "\n".join(rng.choices(kinds, [12, 2, 1, 1])[0]() for _ in range(170_000))
+    assert len(text) > 4_900_000
+    start = time.perf_counter()
+    (r,) = secrets.document_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert time.perf_counter() - start < 60
+    counts = [len(ASSIGN.findall(text)), len(re.findall("AKIA[A-Z0-9]{16}", text)), len(re.findall("[0-9a-f]{24,}", text))]
+    assert [r["n_assign"], r["n_access"], r["n_hex"]] == counts and counts[2] > 100_000
+    hexes = [f"hex:{m.start()}:{m.end()}" for m in re.finditer("[0-9a-f]{24,}", text)]
+    assert [x for x in r["spans"].split(",") if x.startswith("hex")] == hexes
+
+
 def test_entropy_by_incremental_counts(spark):
     rng = random.Random(2)
     texts = ["".join(rng.choices("abAB01+/", k=n)) for n in range(1, 60)]

@@ -11,6 +11,7 @@ A NULL text has no span, like an empty one. Texts are searched whole. Repeated r
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import log2
 
 from pyspark.sql import Column, DataFrame
@@ -44,25 +45,57 @@ ALLOWED = (
     r"^[a-z]*[0-9]*(?:[A-Z]+[0-9]+)?(?:[A-Z]+[a-z]{2,}[0-9]*)+[A-Z]*[0-9]*$",
     r"(?i:example|sample|dummy|placeholder|changeme)",
 )
+COVER = "\u0001"  # no candidate has this sign
 C_LOG_C = [0.0] + [c * log2(c) for c in range(1, WINDOW + 1)]
 
 
-def spans(text: Column, pattern: str, kind: str) -> Column:
-    """All matches as (start, end, kind, text). What lies between two matches and the matches themselves, in turn, make
-    up the text, so their lengths give the positions."""
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)``, with the value computed once and not at each place it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _matches(text: Column, pattern: str) -> Column:
+    """What lies between two matches and the matches themselves, in turn, make up the text: an array of (between, match),
+    the last match NULL."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-    lengths = F.zip_with(found, between, lambda m, b: F.struct(F.length(b).alias("gap"), F.length(m).alias("n"), m.alias("text")))
-    lengths = F.filter(lengths, lambda x: x["text"].isNotNull())
-    empty = F.array().cast("array<struct<start:bigint,end:bigint,kind:string,text:string>>")
+    return F.zip_with(found, F.split(text, pattern, -1), lambda m, b: F.struct(b.alias("between"), m.alias("match")))
+
+
+def spans(text: Column, pattern: str, kind: str) -> Column:
+    """All matches as (start, end, kind, text). Positions are running sums of lengths.
+
+    A fold that appends copies what it has, so sums run inside blocks and then over the blocks, about as many as a block
+    has matches.
+    """
+    rows = F.filter(_matches(text, pattern), lambda x: x["match"].isNotNull())
+    size = lambda r: F.ceil(F.sqrt(F.size(r))).cast("int")
+    blocks = lambda r: F.transform(F.sequence(F.lit(0), size(r) - 1), lambda i: F.slice(r, i * size(r) + 1, size(r)))
+    nothing = F.array().cast("array<struct<start:bigint,end:bigint,kind:string,text:string>>")
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), nothing.alias("spans"))
 
     def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
-        span = F.struct(start.alias("start"), (start + x["n"]).alias("end"), F.lit(kind).alias("kind"), x["text"].alias("text"))
-        return F.struct((start + x["n"]).alias("at"), F.array_append(acc["spans"], span).alias("spans"))
+        begin = acc["at"] + F.length(x["between"])
+        end = begin + F.length(x["match"])
+        span = F.struct(begin.alias("start"), end.alias("end"), F.lit(kind).alias("kind"), x["match"].alias("text"))
+        return F.struct(end.alias("at"), F.array_append(acc["spans"], span).alias("spans"))
+
+    def place(folded: Column) -> Column:
+        ends = F.array(F.lit(0).cast("bigint"))
+        offsets = F.aggregate(folded, ends, lambda acc, f: F.array_append(acc, F.element_at(acc, -1) + f["at"]))
+        moved = lambda f, by: F.transform(
+            f["spans"], lambda s: F.struct((s["start"] + by).alias("start"), (s["end"] + by).alias("end"), s["kind"].alias("kind"), s["text"].alias("text"))
+        )
+        return F.flatten(_bound(offsets, lambda o: F.transform(folded, lambda f, i: moved(f, F.get(o, i)))))
+
+    fold = lambda r: F.transform(blocks(r), lambda block: F.aggregate(block, start, step))
+    return _bound(rows, lambda r: F.when(F.size(r) > 0, _bound(fold(r), place)).otherwise(nothing))
 
-    initial = F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("spans"))
-    return F.aggregate(lengths, initial, step, lambda acc: acc["spans"])
+
+def covered(text: Column, pattern: str, wanted: Callable[[Column], Column] = lambda _: F.lit(True)) -> Column:
+    """``text`` with the signs of the ``wanted`` matches replaced by as many ``COVER``."""
+    cover = lambda m: F.when(wanted(m), F.repeat(F.lit(COVER), F.length(m))).otherwise(m)
+    pieces = F.transform(_matches(text, pattern), lambda x: F.concat(x["between"], F.coalesce(cover(x["match"]), F.lit(""))))
+    return F.array_join(pieces, "")
 
 
 def window_entropy(text: Column, window: int = WINDOW) -> Column:
@@ -113,20 +146,25 @@ def by_start(found: Column) -> Column:
 
 
 def find_secrets(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, base, added) for every row: arrays of (start, end, kind, text) by start and kind."""
+    """(key, base, added) for every row: arrays of (start, end, kind, text) by start and kind.
+
+    Candidates are looked for in the text with its base spans covered: a candidate that overlaps or touches one holds a
+    cover and is left out, without a comparison of spans.
+    """
+    assigns = lambda m: F.length(F.regexp_extract(m, ASSIGN, 1)) >= ASSIGN_VALUE
     rows = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     rows = rows.withColumns(
         {
-            "_assign": F.filter(spans(F.col("_text"), ASSIGN, "assign"), lambda s: F.length(F.regexp_extract(s["text"], ASSIGN, 1)) >= ASSIGN_VALUE),
+            "_assign": F.filter(spans(F.col("_text"), ASSIGN, "assign"), lambda s: assigns(s["text"])),
             "_access": spans(F.col("_text"), ACCESS, "access"),
             "_hex": spans(F.col("_text"), HEX, "hex"),
-            "_candidates": spans(F.col("_text"), CANDIDATE, "entropy"),
+            "_covered": covered(F.translate("_text", COVER, " "), ASSIGN, assigns),
         }
     ).drop("_text")
-    rows = rows.withColumn("base", by_start(F.concat("_assign", "_access", "_hex")))
-    apart = lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    added = F.filter(F.filter("_candidates", apart), lambda s: is_random(s["text"]))
-    return rows.select(key, "base", added.alias("added"))
+    rows = rows.withColumn("_covered", covered(F.col("_covered"), ACCESS)).withColumn("_covered", covered(F.col("_covered"), HEX))
+    candidates = spans(F.col("_covered"), CANDIDATE.replace("[", f"[{COVER}"), "entropy")
+    added = F.filter(F.filter(candidates, lambda s: ~F.contains(s["text"], F.lit(COVER))), lambda s: is_random(s["text"]))
+    return rows.select(key, by_start(F.concat("_assign", "_access", "_hex")).alias("base"), added.alias("added"))
 
 
 def document_secrets(docs: DataFrame) -> DataFrame:
