@@ -72,8 +72,9 @@ def table(df):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_as_by_hand(spark, tmp_path, seed):
+def test_as_by_hand(spark, tmp_path, seed, monkeypatch):
     """Smaller ids arrive late as well as early: the files come in the order they were written."""
+    monkeypatch.setattr(audit, "HEAP_ROWS", 0 if seed == 1 else audit.HEAP_ROWS)
     docs, labels = corpus(seed)
     docs.sort(key=lambda r: r[0] or 0, reverse=seed == 1)
     third = len(docs) // 3
@@ -83,7 +84,8 @@ def test_as_by_hand(spark, tmp_path, seed):
     assert table(audit.document_audit(spark, path, spark.createDataFrame(labels, LABELS))) == by_hand(docs, labels)
 
 
-def test_smaller_ids_retract_what_was_counted(spark, tmp_path):
+@pytest.mark.parametrize("store", [audit.IN_HEAP, audit.ON_DISK])
+def test_smaller_ids_retract_what_was_counted(spark, tmp_path, store):
     """The counters are right after each arrival, and the stream goes on where it stopped."""
     text, path, out = "same text", str(tmp_path / "in"), str(tmp_path / "out")
     labels = spark.createDataFrame([(3, 1, 0)], LABELS)
@@ -93,7 +95,7 @@ def test_smaller_ids_retract_what_was_counted(spark, tmp_path):
         write(spark, rows, path, 1)
         seen += rows
         stream = audit.read_documents_stream(spark, path)
-        audit.start_audit(stream, labels, out, str(tmp_path / "checkpoint")).awaitTermination()
+        audit.start_audit(stream, labels, out, str(tmp_path / "checkpoint"), 2, store).awaitTermination()
         assert table(audit.audit(audit.counters(spark, out))) == by_hand(seen, [(3, 1, 0)])
     changes = spark.read.parquet(out)
     assert changes.where("n < 0").count() > 0  # the text's first holder was taken back
@@ -118,7 +120,6 @@ def test_odd_tables(spark, tmp_path):
 
 
 def test_session_settings_stay(spark, sf_dir):
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name)
+    before = {name: spark.conf.get(name, None) for name in audit.ON_DISK}
     audit.document_audit(spark, f"{sf_dir}/documents.parquet", spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    assert spark.conf.get(name) == before
+    assert {name: spark.conf.get(name, None) for name in audit.ON_DISK} == before

@@ -67,12 +67,25 @@ def corpus(seed, n=150):
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("width, threshold", [(4, 85), (5, 80), (1, 50)])
+@pytest.mark.parametrize("width, threshold", [(4, 85), (5, 80), (1, 50), (2, 60), (2, 40), (1, 30)])
 def test_same_as_all_pairs(spark, width, threshold):
     docs = corpus(width)
     assert found(spark, docs, width=width, threshold=threshold) == by_all_pairs(docs, width, threshold)
 
 
+def test_sets_of_unlike_sizes_at_low_thresholds(spark):
+    """Sets link although one has several times the parts of the other; each half or third is a share of its own."""
+    words = [f"x{i}" for i in range(4096)]
+    docs = [(0, " ".join(words)), (1, " ".join(words[:2400])), (2, " ".join(words[:1400])), (3, " ".join(words[100:900]))]
+    for threshold in (30, 34, 40, 58, 60):
+        assert found(spark, docs, width=1, threshold=threshold) == by_all_pairs(docs, 1, threshold)
+    for n in (1, 63, 64, 600, 1024, 5000):
+        counts = jaccard.part_counts(n, 30)
+        assert all(set(jaccard.part_counts(m, 30)) & set(counts) for m in range(-(-30 * n // 100), n + 1))
+    with pytest.raises(ValueError):
+        found(spark, docs, threshold=0)
+
+
 def test_large_groups_in_chunks(spark):
     """Groups of more than one chunk and buckets that are connected without a look lose no link."""
     docs = corpus(7, 120)

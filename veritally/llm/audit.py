@@ -2,15 +2,15 @@
 
 A document's mask says which of five filters it fails, wherever these stand in an order. Four filters judge the document alone;
 the fifth fails a text that a smaller id has too, so its verdict can change when a smaller id arrives later. The
-stream takes the files in micro-batches. Its state has one row per distinct text: the smallest id so far and how many rows of which part
-have it. A row that comes with a larger id counts as a copy at once. One with a smaller id takes over: the rows that
+stream takes the files in micro-batches. Its state has an entry per distinct text, in buckets of a few hundred by hash: the smallest
+id so far and how many rows of which part have it. A row that comes with a larger id counts as a copy at once. One with a smaller id takes over: the rows that
 held the text until then are retracted from the counter of their old mask and added to that of the new one. Every
 micro-batch writes the change of its counters to a folder of its own, overwritten when the micro-batch is repeated.
 The counters are the sums of these changes; orders, steps and Shapley values follow from them alone.
 
 Copies of one text meet in each task before the shuffle: it passes on the smallest id, and counts of those that are larger,
 which are copies whatever else arrives. So a text that owns a third of all rows sends a few rows per task, and its
-state is one small row.
+state is one entry.
 
 A NULL text is empty, like an empty one. A NULL part is the empty string. A row with a NULL id is smaller than none and larger than
 none, so it is never a copy. Rows that repeat an id are told apart by nothing: with the same text, all of them hold it.
@@ -23,6 +23,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from itertools import permutations
 
 import pandas as pd
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from veritally.llm.common import WORD
+from veritally.llm.common import WORD, in_arrow
 from veritally.workspace import fresh_path
 
 FILTERS = "ABCDE"
@@ -40,9 +41,17 @@ COPY = 1 << FILTERS.index("E")
 
 MICRO_BATCHES = 4  # over the files there are: labels and state are gone through once per micro-batch, whatever the size of the table
 HELD_TEXTS = 20_000  # distinct texts that a task brings together before it passes them on
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"  # keeps state on disk, not in the heap
-
-FACTS = "part string, good int, toxic int, mask int, n long"
+BUCKET_TEXTS = 256  # that share a row of the state: a row costs about as much as one with a single text
+STATE = "digest array<string>, least array<long>, facts array<string>, n array<long>"
+HEAP_ROWS = 250_000  # documents per partition of the state up to which it is kept in the heap, about 50 MB
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_STORES = "org.apache.spark.sql.execution.streaming.state"
+IN_HEAP = {_PROVIDER: f"{_STORES}.HDFSBackedStateStoreProvider"}
+# Beyond, on the executors' disks. In either case a micro-batch stores what it changed in the checkpoint.
+ON_DISK = {
+    _PROVIDER: f"{_STORES}.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def own_mask(text: Column) -> Column:
@@ -102,33 +111,38 @@ def bring_copies_together(judged: DataFrame, most: int = HELD_TEXTS) -> DataFram
         yield from passed_on()
 
     narrow = judged.select("digest", "mask", "id", "facts")
-    return narrow.mapInArrow(run, "digest string, mask int, holds boolean, id long, facts string, n long")
+    return in_arrow(narrow, run, "digest string, mask int, holds boolean, id long, facts string, n long")
 
 
 def counter_changes(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """What the rows of one text in a micro-batch change in the counters. State: the smallest id and the rows that have it."""
-    least, held = None, Counter()
-    if state.exists:
-        least, facts, n = state.get
-        held = Counter(dict(zip(facts, n)))
+    """What the rows of a bucket of texts in a micro-batch change in the counters. State: each text's smallest id and the
+    rows that have it."""
+    least: dict[str, int] = {}
+    held: dict[str, Counter] = {}
+    for digest, known, facts, n in zip(*state.get) if state.exists else ():
+        least[digest] = known
+        held.setdefault(digest, Counter())[facts] = n
     changes: Counter = Counter()
     for frame in frames:
-        for mask, holds, key, facts, n in zip(*(frame[c].tolist() for c in ("mask", "holds", "id", "facts", "n"))):
+        for digest, mask, holds, key, facts, n in zip(*(frame[c].tolist() for c in ("digest", "mask", "holds", "id", "facts", "n"))):
             changes[facts, mask] += n
             if not holds:
                 continue
-            if key == least:
-                held[facts] += n
+            known = least.get(digest)
+            if key == known:
+                held[digest][facts] += n
                 continue
-            if least is None or key < least:
-                copies, least, held = held, key, Counter({facts: n})
+            if known is None or key < known:
+                copies = held.get(digest, {})
+                least[digest], held[digest] = key, Counter({facts: n})
             else:
                 copies = {facts: n}
             for other, count in copies.items():
                 changes[other, mask] -= count
                 changes[other, mask | COPY] += count
-    if least is not None:
-        state.update((least, list(held), list(held.values())))
+    if held:
+        rows = [(digest, least[digest], facts, n) for digest, counted in held.items() for facts, n in counted.items()]
+        state.update(tuple(map(list, zip(*rows))))
     out = [(facts, mask, n) for (facts, mask), n in changes.items() if n]
     if out:
         yield pd.DataFrame(out, columns=["facts", "mask", "n"])
@@ -148,32 +162,45 @@ def judge(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     return narrow.join(said, "id", "left").select("digest", "mask", "id", F.concat(digit("good"), digit("toxic"), "part").alias("facts"))
 
 
-def start_audit(docs: DataFrame, labels: DataFrame, path: str, checkpoint: str, **columns: str) -> StreamingQuery:
+@contextmanager
+def session_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def buckets_for(rows: int, texts: int = BUCKET_TEXTS) -> int:
+    """Into how many buckets a table of ``rows`` rows is dealt."""
+    return max(1, math.ceil(rows / texts))
+
+
+def start_audit(
+    docs: DataFrame, labels: DataFrame, path: str, checkpoint: str, buckets: int, store: dict[str, str] = ON_DISK, **columns: str
+) -> StreamingQuery:
     """Take in all files of the stream ``docs`` that are there, and write the changes of the counters below ``path``.
 
-    Started again with the same ``checkpoint``, it goes on with the files that have arrived since.
+    The state is kept in ``buckets`` parts, by a hash of the text: see ``buckets_for``, with the size that the table is to reach.
+    Started again with the same ``checkpoint``, ``buckets`` and ``store``, the stream goes on with the files that have arrived since.
     """
     changes = (
         bring_copies_together(judge(docs, labels, **columns))
-        .groupBy("digest")
-        .applyInPandasWithState(
-            counter_changes, "facts string, mask int, n long", "least long, facts array<string>, n array<long>", "update", GroupStateTimeout.NoTimeout
-        )
+        .withColumn("bucket", F.pmod(F.xxhash64("digest"), F.lit(buckets)))
+        .groupBy("bucket")
+        .applyInPandasWithState(counter_changes, "facts string, mask int, n long", STATE, "update", GroupStateTimeout.NoTimeout)
     )
 
     def write(df: DataFrame, micro_batch: int) -> None:
         df.groupBy("facts", "mask").agg(F.sum("n").alias("n")).write.mode("overwrite").parquet(f"{path}/micro_batch={micro_batch}")
 
-    spark = docs.sparkSession
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider)
-    spark.conf.set(provider, STATE_STORE)  # read when the stream starts
-    try:
+    with session_settings(docs.sparkSession, store):  # read when the stream starts
         return (
             changes.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         )
-    finally:
-        spark.conf.set(provider, before)
 
 
 def counters(spark: SparkSession, path: str) -> DataFrame:
@@ -226,5 +253,7 @@ def document_audit(spark: SparkSession, documents: str, labels: DataFrame) -> Da
     """The audit of the ``documents`` table at a path, all of its files taken in by a stream."""
     path = fresh_path(spark, "filter-audit")
     stream = read_documents_stream(spark, documents)
-    start_audit(stream, labels, f"{path}/changes", f"{path}/checkpoint").awaitTermination()
+    rows = spark.read.parquet(documents).count()  # from the files' footers
+    store = IN_HEAP if rows <= HEAP_ROWS * int(spark.conf.get("spark.sql.shuffle.partitions")) else ON_DISK
+    start_audit(stream, labels, f"{path}/changes", f"{path}/checkpoint", buckets_for(rows), store).awaitTermination()
     return audit(counters(spark, f"{path}/changes"))
