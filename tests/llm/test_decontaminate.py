@@ -15,7 +15,9 @@ def by_all_places(docs, items):
         w = (text or "").lower().split()
         for i, item in items:
             v = (item or "").lower().split()
-            if len(v) < LONGEST:
+            if len(v) < LONGEST:  # whole items, word by word
+                if v and any(w[k : k + len(v)] == v for k in range(len(w))):
+                    found.add((d, i))
                 continue
             for shift in range(-len(v), len(w)):
                 same = [0 <= shift + j < len(w) and w[shift + j] == x for j, x in enumerate(v)]
@@ -60,7 +62,7 @@ def test_shuffled_join_gives_the_same(spark, monkeypatch):
     docs, items = corpus(3)
     frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     broadcast = sorted(decontaminate.find_leaks(*frames).collect())
-    monkeypatch.setattr(decontaminate, "MAX_ITEMS", 1)
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 1)
     assert sorted(decontaminate.find_leaks(*frames).collect()) == broadcast
 
 
@@ -73,6 +75,25 @@ def test_odd_rows(spark):
     assert got == [(1, 7), (5, 7), (None, 7)]
     kept = decontaminate.drop_leaks(docs, items)
     assert kept.columns == docs.columns
-    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["2", "3", "4", "None"]  # a leak without an id can't be named
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["2", "3", "4"]
     assert decontaminate.drop_leaks(docs, items.where("false")).count() == len(rows)
     assert decontaminate.find_leaks(docs.where("false"), items).count() == 0
+
+
+def test_rows_are_dropped_by_their_own_text(spark):
+    """Ids that are missing or shared name no row: the leaks go, the clean rows stay."""
+    passage = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(None, "x " + passage), (None, "clean"), (5, passage), (5, "clean too"), (5, passage), (6, "clean too")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    kept = sorted((tuple(r) for r in decontaminate.drop_leaks(docs, items).collect()), key=str)
+    assert kept == sorted([(None, "clean"), (5, "clean too"), (6, "clean too")], key=str)
+
+
+def test_short_items(spark):
+    items = spark.createDataFrame([(1, "Alpha"), (2, "beta gamma"), (3, "a b c d e f g h")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "x ALPHA y"), (2, "beta x gamma"), (3, "beta\tgamma"), (4, "a b c d e f g"), (5, "z a b c d e f g h")], "doc_id long, text string")
+    found = lambda least: sorted((r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs, items, least=least).collect())
+    assert found(1) == [(1, 1), (3, 2), (5, 3)]
+    assert found(3) == [(5, 3)]
+    assert found(20) == []

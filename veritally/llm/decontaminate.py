@@ -8,8 +8,9 @@ the whole item, if shorter) agree in at least ``AGREE`` of their places.
 A bitmap of fixed size, filled from the benchmark's seeds, drops nearly all training windows before the join. Only hits
 are shuffled, and each carries the words around it, so no text is.
 
-Items of fewer words than the longest mask are too short to be evidence and are left out, as are NULL texts. Rows
-that repeat a doc_id or an item_id count as one document or item. Empty tables give no hit.
+Items of fewer words than the longest mask have no window for it: they are looked for whole, word by word. Texts without a
+word, NULL ones among them, are no items. Rows that repeat a doc_id or an item_id count as one document or item when
+overlaps are listed; when rows are dropped, each is judged by its own text. Empty tables give no hit.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veritally.llm.common import bitmap_literal, bitmap_of, drop_listed, is_set, is_small
+from veritally.llm.common import bitmap_literal, bitmap_of, drop_listed, is_set, unused_name
 from veritally.workspace import materialize
 
 # 1 keeps a word, 0 ignores it. Six words each, over windows of seven to nine.
@@ -28,7 +29,8 @@ SPAN = 13
 AGREE = 0.8
 REACH = 64  # words on either side of a hit that are laid side by side
 SEED_BITS = 1 << 20
-MAX_ITEMS = 20_000  # benchmark items whose seeds are broadcast; beyond, the join shuffles
+BROADCAST_BYTES = 64 << 20  # of benchmark seeds and the words around them; beyond, the join shuffles
+ROW_BYTES = 64  # of a seed without these words
 SPACES = r"[\x20\x09-\x0D]+"
 
 
@@ -42,44 +44,53 @@ def words(text: Column) -> Column:
     return F.transform(F.filter(F.split(F.lower(text), SPACES), lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def _seeds(number: int, mask: str, words: Column) -> Column:
-    """The seeds of one mask at places 0, 1, and so on of an array of words, as far as the mask fits."""
-    kept = [i for i, bit in enumerate(mask) if bit == "1"]
-    starts = F.slice(words, F.lit(1), F.greatest(F.size(words) - (len(mask) - 1), F.lit(0)))
-    return F.transform(starts, lambda w, i: F.xxhash64(F.lit(number), w, *(F.get(words, i + k) for k in kept[1:])))
+def _seed(mask: str, words: Column, at: Column) -> Column:
+    """The seed of a mask at a place of an array of words; NULL where the mask reaches past the end."""
+    kept = [F.get(words, at + i) for i, bit in enumerate(mask) if bit == "1"]
+    return F.when(at + len(mask) <= F.size(words), F.xxhash64(F.lit(mask), *kept))
 
 
-def _windows(words: Column, masks: Sequence[str], wanted: Callable[[Column], Column], reach: int) -> Column:
-    """All windows whose seed is ``wanted``, as (at, seed, from, around): the words within ``reach`` and where they begin.
+def windows(rows: DataFrame, masks: Sequence[str], wanted: Callable[[Column], Column], reach: int = REACH) -> DataFrame:
+    """All windows of ``_words`` whose seed is ``wanted``: the other columns of ``rows``, then (mask, at, seed, from, around),
+    the words within ``reach`` of the window and where they begin.
 
-    ``words`` is bound to a lambda variable, so that it is computed once per row.
+    Places are rows only inside a task. The partition's number stands between seeds and filter because Spark does not look
+    through it: each seed is computed once, in compiled code.
     """
-    width = F.lit(2 * reach + max(map(len, masks)))
-
-    def of_words(ws: Column) -> Column:
-        def window(seed: Column, at: Column) -> Column:
-            first = F.greatest(at - reach, F.lit(0))
-            return F.struct(
-                at.alias("at"), seed.alias("seed"), first.alias("from"), F.slice(ws, first + F.lit(1), width).alias("around")
-            )
-
-        found = [
-            F.filter(F.transform(_seeds(n, m, ws), lambda s, i: F.when(wanted(s), window(s, i))), lambda x: x.isNotNull())
-            for n, m in enumerate(masks)
-        ]
-        return F.concat(*found)
+    others = [c for c in rows.columns if c != "_words"]
+    places = F.when(F.size("_words") > 0, F.sequence(F.lit(0), F.size("_words") - 1))
+    placed = rows.select(*others, "_words", F.explode(places).alias("at"))
+    marked = []
+    for mask in masks:
+        seed = _seed(mask, F.col("_words"), F.col("at"))
+        marked.append(F.when(wanted(seed), F.struct(F.lit(mask).alias("mask"), seed.alias("seed"))))
+    found = placed.select("*", F.spark_partition_id().alias("_task"), *(m.alias(f"_seed{i}") for i, m in enumerate(marked)))
+    seeds = [F.col(f"_seed{i}") for i in range(len(marked))]
+    found = found.where(F.coalesce(*seeds).isNotNull())
+    each = F.explode(F.filter(F.array(*seeds), lambda s: s.isNotNull())).alias("s")
+    first = F.greatest(F.col("at") - reach, F.lit(0))
+    around = F.slice("_words", first + F.lit(1), F.lit(2 * reach + max(map(len, masks))))
+    return found.select(*others, "at", first.alias("from"), around.alias("around"), each).select(
+        *others, "s.mask", "at", "s.seed", "from", "around"
+    )
 
-    return _bound(words, of_words)
 
+def benchmark_seeds(items: DataFrame, text: str, key: str, masks: Sequence[str], least: int = 1) -> DataFrame:
+    """(item, item_words, mask, seed, item_at, item_from, item_around) for the windows of every item of ``least`` words or more.
 
-def benchmark_seeds(items: DataFrame, text: str, key: str, masks: Sequence[str], reach: int = REACH) -> DataFrame:
-    """(item, item_words, seed, item_at, item_from, item_around) for every window and mask of every item long enough."""
+    An item shorter than the longest mask has one window, all of it, by a mask that ignores nothing.
+    """
+    longest = max(map(len, masks))
     rows = items.select(F.col(key).alias("item"), words(F.col(text)).alias("_words"))
-    rows = rows.where(F.size("_words") >= max(map(len, masks))).groupBy("item").agg(F.max("_words").alias("_words"))
-    found = F.explode(_windows(F.col("_words"), masks, lambda _: F.lit(True), reach)).alias("w")
-    return rows.select("item", F.size("_words").alias("item_words"), found).select(
-        "item", "item_words", "w.seed", *(F.col(f"w.{c}").alias(f"item_{c}") for c in ("at", "from", "around"))
-    )
+    rows = rows.where(F.size("_words") >= least).groupBy("item").agg(F.max("_words").alias("_words"))
+    rows = rows.withColumn("item_words", F.size("_words"))
+    found = windows(rows.where(F.col("item_words") >= longest), masks, lambda seed: seed.isNotNull())
+    whole = F.coalesce(*(F.when(F.col("item_words") == n, _seed("1" * n, F.col("_words"), F.lit(0))) for n in range(1, longest)))
+    short = rows.where(F.col("item_words") < longest).select(
+        "item", "item_words", F.expr("repeat('1', item_words)").alias("mask"), F.lit(0).alias("at"), whole.alias("seed"),
+        F.lit(0).alias("from"), F.col("_words").alias("around"),
+    )
+    return found.unionByName(short).withColumnsRenamed({c: f"item_{c}" for c in ("at", "from", "around")})
 
 
 def _agreement(ours: Column, theirs: Column, offset: Column, span: int) -> Column:
@@ -109,15 +120,21 @@ def find_leaks(
     masks: Sequence[str] = MASKS,
     span: int = SPAN,
     agree: float = AGREE,
+    least: int = 1,
 ) -> DataFrame:
     """(doc_id, item_id, agreeing, of_words, doc_at, item_at) for every document and item that overlap: the best agreement
-    found, out of how many words, and the first place of a hit with it."""
-    seeds = materialize(benchmark_seeds(items, item_text, item_key, masks), "seeds")
+    found, out of how many words, and the first place of a hit with it.
+
+    Items of fewer than ``least`` words are left out; by default none but empty ones.
+    """
+    seeds = materialize(benchmark_seeds(items, item_text, item_key, masks, least), "seeds")
+    held = seeds.agg(F.collect_set("mask"), F.sum(F.size("item_around") * 8 + ROW_BYTES)).first()
+    shapes, size = sorted(held[0]) or list(masks), held[1] or 0
     bitmap = bitmap_literal(bitmap_of(seeds, "seed", SEED_BITS))
-    likely = _windows(words(F.col(text)), masks, lambda seed: is_set(bitmap, SEED_BITS, seed), REACH)
-    windows = docs.select(F.col(key).alias("doc_id"), F.explode(likely).alias("w")).select("doc_id", "w.*")
-    small = is_small(seeds.select("item").distinct(), MAX_ITEMS)
-    hits = windows.join(F.broadcast(seeds) if small else seeds.hint("merge"), "seed")
+    rows = docs.select(F.col(key).alias("doc_id"), words(F.col(text)).alias("_words"))
+    likely = windows(rows, shapes, lambda seed: is_set(bitmap, SEED_BITS, seed)).drop("mask")
+    seeds = seeds.drop("mask")
+    hits = likely.join(F.broadcast(seeds) if size <= BROADCAST_BYTES else seeds.hint("merge"), "seed")
     # Word j of item_around lies beside word at - item_at + item_from + j of the text.
     offset = F.col("at") - F.col("item_at") + F.col("item_from") - F.col("from")
     scored = hits.withColumns(
@@ -136,10 +153,15 @@ def find_leaks(
     )
 
 
-def drop_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` without those that overlap a benchmark item, all columns as they are."""
-    leaked = materialize(find_leaks(docs, items, key=key, **options).select("doc_id").distinct(), "leaked")
-    return drop_listed(docs, leaked.withColumnRenamed("doc_id", key), key)
+def drop_leaks(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs`` without those that overlap a benchmark item, all columns as they are.
+
+    Rows are told apart by a hash of key and text: of rows that share a key or have none, only those that overlap go.
+    """
+    name = unused_name(docs, "_row")
+    marked = docs.withColumn(name, F.xxhash64(F.col(key), F.col(text)))
+    leaked = materialize(find_leaks(marked, items, text=text, key=name, **options).select("doc_id").distinct(), "leaked")
+    return drop_listed(marked, leaked.withColumnRenamed("doc_id", name), name).drop(name)
 
 
 def document_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
