@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -93,3 +94,23 @@ def test_account_numbers_before_other_words():
         for tail in ("", " BIC", " A", " 12", " X1 Y2", " end", f" {one}"):
             found = [s.text for s in pii.find_spans(f"iban {number}{tail}") if s.kind == "iban"]
             assert found == [number] + [one] * (tail == f" {one}"), (number, tail, found)
+
+
+def test_many_spans_in_one_text():
+    """Added spans are compared with a sorted list: time grows with the text, not with its square."""
+    line = "call +49 30 1234567 or 10.1.2.3, account DE89 3704 0044 0532 0130 00, phone 030-1234567 \n"
+    start = time.perf_counter()
+    few = pii.find_spans(line * 200)
+    assert len(few) == 200 * len(pii.find_spans(line))
+    many = pii.find_spans(line * 60_000)
+    assert len(many) == 60_000 * len(pii.find_spans(line)) and len(line) * 60_000 > 5_000_000
+    assert time.perf_counter() - start < 30
+
+
+def test_overlap_with_earlier_kinds():
+    rng = random.Random(8)
+    for _ in range(300):
+        spans = [pii.Span(a, a + rng.randint(1, 9), "ip", "", 1.0) for a in (rng.randint(0, 60) for _ in range(rng.randint(0, 8)))]
+        start = rng.randint(0, 60)
+        end = start + rng.randint(1, 9)
+        assert pii._free_of(spans)(start, end) == all(end <= s.start or s.end <= start for s in spans)

@@ -12,14 +12,16 @@ texts that hold the sign it needs (``@``, a digit). Repeated rows get equal resu
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterable, Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritally.llm.common import sliced, texts_of
+from veritally.llm.common import in_arrow, sliced, texts_of
 
 CONTEXT = 48  # code points before a span, and half as many after it, that are looked at
 THRESHOLD = 0.5
@@ -147,6 +149,13 @@ def score_of(text: str, start: int, end: int, kind: str) -> float:
     return score
 
 
+def _free_of(spans: list[Span]) -> Callable[[int, int], bool]:
+    """Whether a place overlaps none of ``spans``: of those that start before its end, the furthest end decides."""
+    starts = sorted(s.start for s in spans)
+    furthest = [0, *accumulate((s.end for s in sorted(spans, key=lambda s: s.start)), max)]
+    return lambda start, end: furthest[bisect_left(starts, end)] <= start
+
+
 def find_spans(text: str | None, threshold: float = THRESHOLD) -> list[Span]:
     """All spans of a text, by start and then in the order of ``KINDS``. Base spans stay whatever their
     score; an added one needs ``threshold`` and may not overlap a span of an earlier kind."""
@@ -157,10 +166,10 @@ def find_spans(text: str | None, threshold: float = THRESHOLD) -> list[Span]:
     for kind, (sign, spans) in FINDERS.items():
         if sign not in text or not (digit or kind == "email"):
             continue
-        taken = list(found)
+        free = _free_of(found)
         for start, end in spans(text):
             score = score_of(text, start, end, kind)
-            if kind in BASE or (score >= threshold and all(end <= s.start or s.end <= start for s in taken)):
+            if kind in BASE or (score >= threshold and free(start, end)):
                 found.append(Span(start, end, kind, text[start:end], score))
     return sorted(found, key=lambda s: (s.start, KINDS.index(s.kind)))
 
@@ -176,8 +185,8 @@ def personal_data(docs: DataFrame, text: str = "text", key: str = "doc_id", thre
             yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(found, pa.list_(span))], names=[key, "found"])
 
     kind = kept.schema[key].dataType.simpleString()
-    return kept.mapInArrow(
-        run, f"`{key}` {kind}, found array<struct<start: bigint, end: bigint, kind: string, text: string, score: double>>"
+    return in_arrow(
+        kept, run, f"`{key}` {kind}, found array<struct<start: bigint, end: bigint, kind: string, text: string, score: double>>"
     )
 
 
