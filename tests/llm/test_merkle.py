@@ -59,6 +59,17 @@ def test_fingerprints_tell_texts_apart(spark):
     assert len({r["root"] for r in rows}) == len({r["text"] for r in rows}) == len(texts)
 
 
+def test_roots_cover_whole_digests(spark):
+    """Texts whose nodes agree as they are written differ in their roots, and are not wholly alike; user columns keep apart."""
+    df = spark.createDataFrame([("one. two", "mine"), ("one.\ntwo", "mine")], "text string, _grouped string").withColumn("root", F.lit(1))
+    rows = merkle.with_tree(df, "text").collect()
+    assert rows[0].asDict().keys() == {"text", "_grouped", "root", "sections", "leaves"} and rows[0]["_grouped"] == "mine"
+    assert len({r["root"] for r in rows}) == 2 and all(len(n) == merkle.NODE for r in rows for n in (*r["sections"], *r["leaves"]))
+    pair = [merkle.with_tree(df, "text").select(merkle.fingerprint().alias("f")).collect()[i]["f"] for i in (0, 1)]
+    near = spark.createDataFrame([tuple(pair)], "a string, b string").select(merkle.likeness(F.col("a"), F.col("b")), merkle.likeness(F.col("a"), F.col("a"))).first()
+    assert 0 < near[0] < 1 and near[1] == 1
+
+
 def test_edits_are_located(spark):
     lines = [f"Line {i} has a clause, and another one." for i in range(60)]
     after = lines[:30] + ["Line 30 was changed, and another one."] + lines[31:]

@@ -23,7 +23,7 @@ from veritally.workspace import materialize
 CLAUSE_END = r"([.!?,;:]) "
 CLAUSE_LIMIT = r"([^\n]{64})"
 SECTION_ENDS = "0123"  # of 16 hex digits: a section has four paragraphs on average
-NODE = 8  # hex digits of a node; the root has 64
+NODE = 8  # hex digits of a section or leaf as it is written; nodes cover whole digests
 SEPARATOR = ","
 COARSE = 32
 ROWS_PER_BUCKET = 500
@@ -31,7 +31,11 @@ LOWEST = -(1 << 63)
 
 
 def _node(text: Column) -> Column:
-    return F.substring(F.md5(text.cast("binary")), 1, NODE)
+    return F.md5(text.cast("binary"))
+
+
+def _short(nodes: str) -> Column:
+    return F.transform(nodes, lambda n: F.substring(n, 1, NODE))
 
 
 def _leaves(paragraph: Column) -> Column:
@@ -47,18 +51,24 @@ def _tree_columns(text: Column) -> list[tuple[str, Column]]:
         ("_grouped", F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), _leaves)),
         ("_paragraphs", F.transform("_grouped", lambda leaves: _node(join(leaves)))),
         ("_marked", F.array_join(F.transform("_paragraphs", lambda n: F.concat(n, F.when(ended(n), "|").otherwise(SEPARATOR))), "")),
-        ("sections", F.transform(F.split("_marked", r"\|"), _node)),
-        ("leaves", F.flatten("_grouped")),
-        ("root", F.sha2(join(F.col("sections")).cast("binary"), 256)),
+        ("_nodes", F.transform(F.split("_marked", r"\|"), _node)),
     ]
 
 
 def with_tree(rows: DataFrame, text: str, prefix: str = "") -> DataFrame:
-    """Add <prefix>root, <prefix>sections and <prefix>leaves of a text column."""
-    kept = rows.columns
-    for name, column in _tree_columns(F.col(text)):
-        rows = rows.withColumn(name, column)
-    return rows.select(*kept, *(F.col(c).alias(prefix + c) for c in ("root", "sections", "leaves")))
+    """Add <prefix>root, <prefix>sections and <prefix>leaves of a text column; columns of these names are replaced.
+
+    The root covers whole digests, so equal roots mean equal texts; section and leaf nodes are written short.
+    """
+    added = [prefix + c for c in ("root", "sections", "leaves")]
+    kept = [F.col(f"`{c}`") for c in rows.columns if c not in added]
+    steps = rows.select(F.struct(*kept).alias("row"), F.col(text).alias("text"))
+    for name, column in _tree_columns(F.col("text")):
+        steps = steps.withColumn(name, column)
+    root = F.sha2(F.array_join("_nodes", SEPARATOR).cast("binary"), 256)
+    return steps.select(
+        "row", root.alias("root"), _short("_nodes").alias("sections"), F.transform(F.flatten("_grouped"), lambda n: F.substring(n, 1, NODE)).alias("leaves")
+    ).select("row.*", *(F.col(c).alias(prefix + c) for c in ("root", "sections", "leaves")))
 
 
 def fingerprint(prefix: str = "") -> Column:
@@ -69,11 +79,14 @@ def fingerprint(prefix: str = "") -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Of two fingerprints: 1 for equal roots, else the Jaccard similarity of their distinct leaves."""
+    """Of two fingerprints: 1 for equal roots, else the Jaccard similarity of their distinct leaves, which counts as one leaf
+    short of 1 if only their order or grouping differs."""
     one, two = (F.split(F.substring_index(x, ":", -1), SEPARATOR) for x in (a, b))
     shared = F.size(F.array_intersect(one, two))
     every = F.size(F.array_union(one, two))
-    return F.when(F.substring_index(a, ":", 1) == F.substring_index(b, ":", 1), F.lit(1.0)).otherwise(shared / every)
+    return F.when(F.substring_index(a, ":", 1) == F.substring_index(b, ":", 1), F.lit(1.0)).otherwise(
+        shared / (every + (shared == every).cast("int"))
+    )
 
 
 def edited_branches(before: DataFrame, after: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -102,12 +102,13 @@ from judged"""
 
 
 def _tree(table: str, text: str, prefix: str) -> str:
-    node = lambda x: f"substr(md5({x}), 1, {merkle.NODE})"
+    node = lambda x: f"md5({x})"
+    short = lambda nodes: f"list_transform({nodes}, lambda n: substr(n, 1, {merkle.NODE}))"
     end = "|".join(merkle.SECTION_ENDS)
     cut = f"regexp_replace(regexp_replace(p, '{merkle.CLAUSE_END}', '\\1' || chr(10), 'g'), '{merkle.CLAUSE_LIMIT}', '\\1' || chr(10), 'g')"
     return f"""
-  select *, sha256(array_to_string({prefix}sections, ',')) || ':' || array_to_string({prefix}sections, ',') || ':'
-            || array_to_string({prefix}leaves, ',') as {prefix}fingerprint
+  select *, sha256(array_to_string({prefix}sections, ',')) || ':' || array_to_string({short(prefix + "sections")}, ',') || ':'
+            || array_to_string({short(prefix + "leaves")}, ',') as {prefix}fingerprint
   from (select *, list_transform(string_split({prefix}marked, '|'), lambda s: {node("s")}) as {prefix}sections,
                flatten({prefix}grouped) as {prefix}leaves
         from (select *, array_to_string(list_transform({prefix}grouped, lambda g: (
@@ -123,7 +124,7 @@ def _fingerprints() -> str:
     def likeness(a: str, b: str) -> str:
         shared = f"len(list_intersect({leaves(a)}, {leaves(b)}))"
         every = f"len(list_distinct(list_concat({leaves(a)}, {leaves(b)})))"
-        return f"case when string_split({a}, ':')[1] = string_split({b}, ':')[1] then 1.0::double else {shared}::double / {every} end"
+        return f"case when string_split({a}, ':')[1] = string_split({b}, ':')[1] then 1.0::double else {shared}::double / ({every} + ({shared} = {every})::int) end"
 
     return f"""
 with texts as (select doc_id, coalesce(text, '') as text from documents),
