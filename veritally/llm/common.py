@@ -2,21 +2,51 @@
 
 from __future__ import annotations
 
+import ctypes
 import json
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WORD = r"[^\x20\x09-\x0D]+"  # what the contracts call a word
 SLICE_BYTES = 512 << 10  # of text that a task turns into numpy arrays at a time, or one longer text
+BATCH_BYTES = 8 << 20  # of rows that cross between the JVM and Python at a time
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 BITMAP_BITS = 1 << 22  # of a set of keys that is sent to all tasks: 512 KB whatever the number of keys
 BROADCAST_ROWS = 500_000  # of a table of two fixed-size columns: 8 MB
 
 
+def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
+    """``mapInArrow`` with batches of at most ``BATCH_BYTES`` (or one longer row), and free memory given back at a task's end.
+
+    Spark holds a batch twice per running task, in the executor's JVM and in its Python worker. The limit is a setting of the
+    session, read when a query runs; one that is already lower stays.
+    """
+    conf = df.sparkSession.conf
+    limit = int(conf.get(BATCH_LIMIT).rstrip("b"))
+    if not 0 < limit <= BATCH_BYTES:
+        conf.set(BATCH_LIMIT, str(BATCH_BYTES))
+
+    def run_and_release(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release_memory()
+
+    return df.mapInArrow(run_and_release, schema)
+
+
+def release_memory() -> None:
+    """Give memory that is no longer used back to the system: Spark keeps a Python worker for later tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library, where it has one
+    if trim is not None:
+        trim(0)
+
+
 def sliced(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``limit`` bytes of text, or of one longer text."""
     for batch in batches:

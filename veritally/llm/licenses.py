@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritally.llm.common import sliced, texts_of
+from veritally.llm.common import in_arrow, sliced, texts_of
 
 THRESHOLD = 0.8
 PASSAGE = 0.9  # a run of words that stops earlier is the beginning of another notice rather than a copy of this one
@@ -255,4 +255,4 @@ def license_matches(
             arrays = [pa.array(c, t) for c, t in zip(columns, types)]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "license", "dice", "start", "end"])
 
-    return kept.mapInArrow(run, "doc_id long, license string, dice double, start long, end long")
+    return in_arrow(kept, run, "doc_id long, license string, dice double, start long, end long")

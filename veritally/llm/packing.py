@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from veritally.llm.common import sliced, texts_of
+from veritally.llm.common import in_arrow, sliced, texts_of
 
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -237,7 +237,7 @@ def pack(
         if tokens:
             yield packed()
 
-    return kept.mapInArrow(run, SCHEMA)
+    return in_arrow(kept, run, SCHEMA)
 
 
 def unpack(rows: Iterable[dict], decode: Callable[[np.ndarray], str]) -> list[tuple[int | None, str]]:

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, pre_tokenizers
 
-from veritally.llm.common import sliced, texts_of
+from veritally.llm.common import in_arrow, sliced, texts_of
 from veritally.operators.numbering import store_in_order
 from veritally.workspace import materialize
 
@@ -105,7 +105,7 @@ def hashed_runs(rows: DataFrame, text: str = "text", keep: Iterable[str] = (), b
             yield pa.RecordBatch.from_arrays(columns, names=[*(f"k{i}" for i in range(len(keep))), "n_words", "n_features", "buckets"])
 
     kept = "".join(f"k{i} {f.dataType.simpleString()}, " for i, f in enumerate(narrow.schema.fields[:-1]))
-    out = narrow.mapInArrow(run, kept + FEATURES_SCHEMA)
+    out = in_arrow(narrow, run, kept + FEATURES_SCHEMA)
     return out.withColumnsRenamed({f"k{i}": k for i, k in enumerate(keep)})
 
 
@@ -120,7 +120,7 @@ def bucket_counts(hashed: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
         met = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(met, pa.int64()), pa.array(total[met])], names=["bucket", "n"])
 
-    sums = hashed.select("buckets").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    sums = in_arrow(hashed.select("buckets"), count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(buckets, dtype=np.int64)
     out[sums["bucket"].to_numpy()] = sums["n"].to_numpy()
     return out
@@ -146,7 +146,7 @@ def weigh(hashed: DataFrame, gains: np.ndarray, keep: Iterable[str]) -> DataFram
             yield pa.RecordBatch.from_arrays(columns, names=[*(f"k{i}" for i in range(len(keep))), "weight"])
 
     kept = "".join(f"k{i} {f.dataType.simpleString()}, " for i, f in enumerate(narrow.schema.fields[:-1]))
-    return narrow.mapInArrow(run, kept + "weight long").withColumnsRenamed({f"k{i}": k for i, k in enumerate(keep)})
+    return in_arrow(narrow, run, kept + "weight long").withColumnsRenamed({f"k{i}": k for i, k in enumerate(keep)})
 
 
 def noise(key: Column, seed: int = SEED) -> Column:
