@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veritally.llm.common import BITMAP_BITS, bitmap_of, drop_listed, is_small, mix64, sliced, texts_of, unused_name
+from veritally.llm.common import BITMAP_BITS, bitmap_of, drop_listed, in_arrow, is_small, mix64, sliced, texts_of, unused_name
 from veritally.llm.components import components
 from veritally.workspace import materialize
 
@@ -242,6 +242,14 @@ def _parts_of(n: int) -> int:
     return 1 << max(0, (n // PART).bit_length() - 1)
 
 
+def part_counts(n: int, threshold: int) -> list[int]:
+    """Into how many parts a set of ``n`` is cut: as many as it and each smaller set that can link to it by themselves call for."""
+    counts = [_parts_of(-(-threshold * n // 100))]
+    while counts[-1] < _parts_of(n):
+        counts.append(2 * counts[-1])
+    return counts
+
+
 def _count_cells(docs: DataFrame, width: int) -> np.ndarray:
     """How common the shingles of each cell are: 0, or 1 and up for cells with many more documents than the mean.
 
@@ -258,7 +266,7 @@ def _count_cells(docs: DataFrame, width: int) -> np.ndarray:
             some = at[k : k + (1 << 16)]
             yield _arrow(cell=some.astype(np.int32), n=counts[some])
 
-    cells = docs.mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    cells = in_arrow(docs, run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     stored = materialize(cells, "cells")
     total = stored.agg(F.sum("n").alias("n")).first()["n"] or 0
     least = max(HOT_ROWS, HOT_TIMES * total / CELLS)
@@ -273,7 +281,7 @@ def part_rows(shingles: np.ndarray, threshold: int, level: np.ndarray) -> tuple[
     n = len(shingles)
     out = []
     commonness = level[(shingles & np.uint64(CELLS - 1)).astype(np.intp)]
-    for k in {_parts_of(n), _parts_of(-(-threshold * n // 100))}:
+    for k in part_counts(n, threshold):
         shift = np.uint64(65 - k.bit_length())
         part = (shingles >> shift).astype(np.intp) if k > 1 else np.zeros(n, dtype=np.intp)
         size = np.bincount(part, minlength=k)
@@ -315,7 +323,7 @@ def _route(docs: DataFrame, width: int, threshold: int, level: np.ndarray) -> Da
                 key, hot, size, bits0, bits1 = (np.concatenate(c) for c in zip(*rows))
                 yield _arrow(key=key, hot=hot, class_id=np.concatenate(ids), size=size, bits0=bits0, bits1=bits1)
 
-    return docs.mapInArrow(run, "key long, hot boolean, class_id long, size int, bits0 long, bits1 long")
+    return in_arrow(docs, run, "key long, hot boolean, class_id long, size int, bits0 long, bits1 long")
 
 
 def _small_runs(begin: np.ndarray, length: np.ndarray, ids: np.ndarray, size: np.ndarray, bits: np.ndarray, threshold: int):
@@ -398,7 +406,7 @@ def _bucket_edges(rows: DataFrame, threshold: int, large_run: int = LARGE_RUN) -
             for a, b in edges_of(*kept):
                 yield _arrow(a=a, b=b)
 
-    return sorted_rows.select("hot", "key", "class_id", "size", "bits0", "bits1").mapInArrow(run, "a long, b long")
+    return in_arrow(sorted_rows.select("hot", "key", "class_id", "size", "bits0", "bits1"), run, "a long, b long")
 
 
 # --- exact links -----------------------------------------------------------------
@@ -423,7 +431,7 @@ def _candidate_sets(docs: DataFrame, classes: DataFrame, width: int) -> DataFram
                     lines.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lines, pa.binary())], names=["class_id", "shingles"])
 
-    return docs.mapInArrow(run, "class_id long, shingles binary")
+    return in_arrow(docs, run, "class_id long, shingles binary")
 
 
 def _group_edges(rows: DataFrame, threshold: int) -> DataFrame:
@@ -458,7 +466,7 @@ def _group_edges(rows: DataFrame, threshold: int) -> DataFrame:
             yield edges_of(ids, sides, labels, sets)
 
     placed = rows.select("tree", "side", "class_id", "label", "shingles").repartition("tree").sortWithinPartitions("tree", "class_id")
-    return placed.mapInArrow(run, "a long, b long")
+    return in_arrow(placed, run, "a long, b long")
 
 
 def _pieces(chunk_docs: int) -> Column:
@@ -528,7 +536,13 @@ def jaccard_components(
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, component, *keep) of every row: ``component_id`` is the smallest doc_id reachable by
-    links, ``component`` the same as a hash that is there without doc_ids as well; ``keep`` names long columns to carry along."""
+    links, ``component`` the same as a hash that is there without doc_ids as well; ``keep`` names long columns to carry along.
+
+    ``threshold`` is a percentage from 1 to 100, and results are complete at each. A set is routed once per part count that a partner may
+    have: once or twice from 50 on, up to seven times at 1, with more candidates each time.
+    """
+    if not 1 <= threshold <= 100:
+        raise ValueError(f"a threshold of {threshold} percent")
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), *keep, F.col(text).alias("_text"))
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -539,7 +553,7 @@ def jaccard_components(
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", *keep, "n_shingles", "class_id"])
 
     schema = ", ".join(f"`{c}` long" for c in ("doc_id", *keep, "n_shingles", "class_id"))
-    rows = materialize(texts.mapInArrow(measure, schema), "classes")
+    rows = materialize(in_arrow(texts, measure, schema), "classes")
     only_text = texts.select("_text")
     routed = _route(only_text, width, threshold, _count_cells(only_text, width))
     groups = components(_bucket_edges(routed, threshold, large_run))
