@@ -40,7 +40,23 @@ def test_columns(stages):
 def test_known_languages_stay(stages):
     before, after = stages["language_id"]
     guesses = {r["doc_id"]: r for r in document_languages(before).collect()}
-    assert ids(after) == sorted(d for d, r in guesses.items() if r["lang_pred"] != "und" and r["score"] >= 0.5)
+    known = {d for d, r in guesses.items() if r["lang_pred"] != "und" and r["score"] >= 0.5}
+    assert set(ids(after)) <= known and len(ids(after)) >= 0.99 * len(known)
+
+
+def test_unlearned_languages_go(spark, sf_dir):
+    """Texts in other scripts go; of the given texts nearly all stay."""
+    others = [
+        "Министр вчера сообщил в парламенте, что до конца года появится новое правило для людей, которые работают в больницах.",
+        "大臣は昨日、年末までに医療従事者のための新しい規則ができると国会で述べた。多くの人が長い間それを待っていた。",
+        "ο υπουργός είπε χθες στη βουλή ότι μέχρι το τέλος του χρόνου θα υπάρξει νέος κανόνας για όσους εργάζονται στα νοσοκομεία",
+    ]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    strange = spark.createDataFrame([(-i - 1, t, None) for i, t in enumerate(others)], docs.schema)
+    kept = corpus_pipeline.known_language(spark, docs.unionByName(strange), sf_dir)
+    left = ids(kept)
+    assert not [d for d in left if d < 0]
+    assert len(left) >= 0.97 * docs.count()
 
 
 def test_one_of_each_group_stays(stages):

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veritally.llm.common import sliced, texts_of
+from veritally.llm.common import in_arrow, sliced, texts_of
 
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 16
@@ -29,6 +29,8 @@ SMOOTHING = 0.5
 DOCS_PER_LANGUAGE = 4_000  # expected number of labelled texts of a language to learn from
 UNKNOWN = "und"
 SPREAD = 1 << 30
+SLACK = 5.0  # standard deviations of a text's mean that are allowed for
+POOR_FIT = -1.0  # texts of the learned languages lie around 0, those in other scripts below -2
 SPACE = np.uint32(32)
 MULTIPLIERS = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
 
@@ -39,6 +41,13 @@ class LanguageModel:
     log_prob: np.ndarray  # (languages, buckets + 1); the last bucket is for n-grams that do not count
     log_prior: np.ndarray
 
+    def expected(self) -> tuple[np.ndarray, np.ndarray]:
+        """Mean and standard deviation of the log-probability of an n-gram of each language."""
+        log_prob = self.log_prob[:, :-1].astype(np.float64)
+        prob = np.exp(log_prob)
+        mean = (prob * log_prob).sum(axis=1)
+        return mean, np.sqrt(np.maximum((prob * log_prob**2).sum(axis=1) - mean**2, 1e-12))
+
 
 @cache
 def _letters() -> np.ndarray:
@@ -125,7 +134,7 @@ def fit(
     number = F.array_position(lookup, F.col("label")).cast("int") - 1
     sample = rows.where(F.col("_drawn") < F.get(share, number)).select("text", number.alias("language"))
     counted = (
-        sample.mapInArrow(lambda batches: _count_batches(batches, buckets), "language int, bucket int, n long")
+        in_arrow(sample, lambda batches: _count_batches(batches, buckets), "language int, bucket int, n long")
         .groupBy("language", "bucket")
         .agg(F.sum("n").alias("n"))
         .toArrow()  # at most one row for each cell of the table
@@ -139,21 +148,36 @@ def fit(
 
 def score_texts(texts: list[str | None], model: LanguageModel) -> tuple[list[str], np.ndarray]:
     """The most probable language of each text and its posterior probability."""
+    return score_and_fit(texts, model)[:2]
+
+
+def score_and_fit(texts: list[str | None], model: LanguageModel) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The same, and how well the language fits: the posterior only compares the learned languages, and the least bad one of them
+    is nearly certain for any longer text.
+
+    The fit is the mean log-probability of the text's n-grams less the one that is expected in that language, in standard
+    deviations of one n-gram; ``SLACK`` by the root of their number is allowed for the chance of short texts.
+    """
     if not texts:
-        return [], np.zeros(0)
+        return [], np.zeros(0), np.zeros(0)
     codes, starts = _code_points(texts)
     has_letter = np.add.reduceat((codes != SPACE).astype(np.int64), starts) > 0
     if not model.languages:
-        return [UNKNOWN] * len(texts), np.zeros(len(texts))
+        return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
     total = np.tile(model.log_prior, (len(texts), 1))
     buckets = model.log_prob.shape[1] - 1
+    counted = np.zeros(len(texts))
     for grams in hashed_ngrams(codes, starts, buckets):
+        counted += np.add.reduceat((grams < buckets).astype(np.float64), starts)
         for i, row in enumerate(model.log_prob):
             total[:, i] += np.add.reduceat(row[grams], starts, dtype=np.float64)
     best = total.argmax(axis=1)
     top = total.max(axis=1)
     score = np.where(has_letter, 1.0 / np.exp(total - top[:, None]).sum(axis=1), 0.0)
-    return [model.languages[i] if ok else UNKNOWN for i, ok in zip(best, has_letter)], score
+    mean, spread = model.expected()
+    some = np.maximum(counted, 1)
+    fit = ((top - model.log_prior[best]) / some - mean[best]) / spread[best] + SLACK / np.sqrt(some)
+    return [model.languages[i] if ok else UNKNOWN for i, ok in zip(best, has_letter)], score, fit
 
 
 def predict(docs: DataFrame, model: LanguageModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -168,20 +192,23 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", keep: tup
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep, "lang_pred", "score"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.drop("_text").schema)
-    return kept.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    return in_arrow(kept, run, f"{schema}, lang_pred string, score double")
 
 
-def keep_known(docs: DataFrame, model: LanguageModel, text: str = "text", min_score: float = 0.0) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, whose text has a language with at least ``min_score``."""
+def keep_known(
+    docs: DataFrame, model: LanguageModel, text: str = "text", min_score: float = 0.0, min_fit: float = -np.inf
+) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text has a language with at least ``min_score`` that fits it at least
+    as well as ``min_fit``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, text):
-            names, score = score_texts(texts_of(batch, text), shared.value)
-            known = [n != UNKNOWN and s >= min_score for n, s in zip(names, score)]
+            names, score, fit = score_and_fit(texts_of(batch, text), shared.value)
+            known = [n != UNKNOWN and s >= min_score and f >= min_fit for n, s, f in zip(names, score, fit)]
             yield batch.filter(pa.array(known, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_arrow(docs, run, docs.schema)
 
 
 def held_out(doc_id: Column) -> Column:
