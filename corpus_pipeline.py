@@ -15,9 +15,9 @@ from veritally.workspace import fresh_path
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labels of ``docs`` teach; those without a letter, or that no language fits better
-    than even, go."""
-    return language.keep_known(docs, language.learned_from(docs), min_score=0.5)
+    """Documents in a language that the labels of ``docs`` teach. Those without a letter go, and those whose n-grams are far
+    less likely in the best language than its own texts are. A close relative of a learned language can stay."""
+    return language.keep_known(docs, language.learned_from(docs), min_score=0.5, min_fit=language.POOR_FIT)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
