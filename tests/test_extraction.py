@@ -127,3 +127,37 @@ def test_float_gold_can_miss(spark):
     assert [r[0] for r in df.select(rewards.binary_reward(F.col("g"), rounded)).collect()] == [0.0, 0.0, 1.0]
     with pytest.raises(ValueError):
         rewards.with_gold_precision(F.col("g"), "half")
+
+
+# --- other scripts ---------------------------------------------------------
+
+
+def by_unicode_rules(s, patterns, flags):
+    """The first hit of the first pattern, by patterns over Unicode text and a float of any decimal digits."""
+    for p in patterns:
+        m = re.search(p, s, flags)
+        if m:
+            return float(m.group(1).replace(",", ""))
+    return None
+
+
+def test_numbers_in_other_scripts(spark):
+    rng = random.Random(11)
+    pieces = ["answer is", "ANſWER İS", "anſwer ıs", "####", "=", " ", " ", " ", "\x85", "\x1c", "　", "​", "٤٢", "४", "𝟘𝟙", "７", "²", "Ⅷ", "5", ",", ".", "-", "+", "x", "\n", "K"]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(1, 7))) for _ in range(3000)] + ["#### ٤٢", "= 5 x", "answer is 𝟙𝟚,𝟛.𝟜"]
+    found = values(spark, lambda c: text.extract_prediction(c, unicode=True), texts)
+    assert found == [by_unicode_rules(t, V.COMPLETION_PATTERNS, re.IGNORECASE) for t in texts]
+    golds = values(spark, lambda c: text.extract_gold(c, unicode=True), texts)
+    assert golds == [by_unicode_rules(t, [V.GOLD_PATTERN], 0) for t in texts]
+    assert sum(x is not None for x in found) > 300
+    plain = values(spark, text.extract_prediction, texts)
+    assert sum(a != b for a, b in zip(found, plain)) > 100
+
+
+def test_edges_with_both_settings(spark):
+    """What ASCII patterns find is found in folded text too; edges that hold other digits or spaces change."""
+    inputs = [e[0] for e in EDGES]
+    found = values(spark, lambda c: text.extract_prediction(c, unicode=True), inputs)
+    assert found == [by_unicode_rules(t or "", V.COMPLETION_PATTERNS, re.IGNORECASE) for t in inputs]
+    changed = {t: x for (t, plain), x in zip(EDGES, found) if plain != x}
+    assert changed.pop("#### ٤٢") == 42.0 and all(not t.isascii() for t in changed)

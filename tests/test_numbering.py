@@ -2,9 +2,10 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan, rows
 from veritally.operators import batching, metrics, numbering
 from veritally.operators.numbering import number_rows, running_sums, store_in_order, with_position
 
@@ -114,3 +115,27 @@ def test_rows_stored_in_order_of_their_group(spark):
     df = spark.createDataFrame(rows, "g string, id long").repartition(9)
     got = store_in_order(df, ["id"], "at", group=["g"]).collect()
     assert len(got) == len(rows) and all(r["at"] == r["id"] for r in got)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 5, 17, 100, 1000, 1025, 30_000])
+def test_permutation_is_a_bijection(spark, n):
+    df = spark.range(n).withColumnRenamed("id", "pos")
+    orders = []
+    for seed, epoch in ((1, 0), (1, 1), (2, 0)):
+        got = rows(batching.permuted_batches(df, "pos", n, 7, seed, epoch))
+        assert sorted(p for _, p, _ in got) == list(range(n)) and all(b == p // 7 for _, p, b in got)
+        assert got == rows(batching.permuted_batches(df, "pos", n, 7, seed, epoch))
+        orders.append([p for _, p, _ in got])
+    if n >= 100:
+        assert len(set(map(tuple, orders))) == 3
+        for order in orders:  # about half of the steps go up, and neighbours do not stay close
+            ups = sum(x < y for x, y in zip(order, order[1:])) / n
+            near = sum(abs(x - y) < n / 50 for x, y in zip(order, order[1:])) / n
+            assert 0.4 < ups < 0.6 and near < 0.15
+
+
+def test_permutation_is_one_projection(spark):
+    text = plan(batching.permuted_batches(spark.range(10**6), "id", 10**6, 32, 5))
+    assert "Exchange" not in text and "Sort" not in text and "Window" not in text
+    with pytest.raises(ValueError):
+        batching.permuted_position(F.col("id"), 1 << 60, 1)

@@ -15,6 +15,9 @@ COMPLETION_PATTERNS = (
     r"=\s*([-+]?\d+[\d,]*\.?\d*)(?:\s|$)",
 )
 
+# Letters outside ASCII that equal an ASCII one when case is ignored.
+LETTERS_WITHOUT_CASE = {"\u0130": "i", "\u0131": "i", "\u017f": "s", "\u212a": "k"}
+
 # --- prompt ----------------------------------------------------------------
 PROMPT_PREFIX = "Question: "
 PROMPT_SUFFIX = "\nAnswer: Let's solve this step by step.\n"

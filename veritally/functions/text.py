@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,20 +33,39 @@ def _first_capture(text: Column, pattern: str) -> Column:
     return F.get(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), F.lit(0))
 
 
-def extract_gold(answer: Column) -> Column:
-    """The number after the gold marker, or NULL."""
-    return normalize_number(_first_capture(answer, V.GOLD_PATTERN))
+@cache
+def _folding(ignore_case: bool) -> tuple[str, str]:
+    """Signs that count as digits and spaces to patterns over Unicode text, and the ASCII ones they stand for; with
+    ``ignore_case`` also those that count as an ASCII letter without case."""
+    signs = {chr(c): str(unicodedata.decimal(chr(c))) for c in range(128, sys.maxunicode) if unicodedata.decimal(chr(c), None) is not None}
+    signs |= {chr(c): " " for c in range(sys.maxunicode) if chr(c).isspace() and chr(c) not in " \t\n\x0b\f\r"}
+    if ignore_case:
+        signs |= V.LETTERS_WITHOUT_CASE
+    return "".join(signs), "".join(signs.values())
+
+
+def fold_unicode(text: Column, ignore_case: bool = False) -> Column:
+    """``text`` with digits and spaces of all scripts as ASCII ones, in one pass inside the JVM. The patterns, which know ASCII
+    only, then find in it what they would find by the rules of Unicode, and the numbers can be cast."""
+    return F.translate(text, *_folding(ignore_case))
+
+
+def extract_gold(answer: Column, unicode: bool = False) -> Column:
+    """The number after the gold marker, or NULL. With ``unicode`` digits and spaces of all scripts count."""
+    return normalize_number(_first_capture(fold_unicode(answer) if unicode else answer, V.GOLD_PATTERN))
 
 
 def _ignore_case(pattern: str) -> str:
     return "(?i)" + pattern
 
 
-def extract_prediction(completion: Column) -> Column:
-    """The number a completion ends up with: patterns by priority, first hit inside each.
+def extract_prediction(completion: Column, unicode: bool = False) -> Column:
+    """The number a completion ends up with: patterns by priority, first hit inside each. With ``unicode`` digits, spaces and
+    letters without case are those of Unicode.
 
     ``coalesce`` stops at the first pattern that hits, so most rows run one or two searches.
     """
+    completion = fold_unicode(completion, ignore_case=True) if unicode else completion
     captures = (_first_capture(completion, _ignore_case(p)) for p in V.COMPLETION_PATTERNS)
     return normalize_number(F.coalesce(*captures))
 

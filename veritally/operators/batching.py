@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +12,9 @@ from pyspark.sql import functions as F
 from veritally.operators.numbering import number_rows, with_position
 
 SHUFFLE_HEX_DIGITS = 4
+PERMUTATION_ROUNDS = 4
+PRIME = (1 << 31) - 1
+LONGEST_WALK = 64
 
 
 def batch_of(position: Column, batch_size: int) -> Column:
@@ -43,6 +48,58 @@ def seeded_shuffle(
     ).drop("_shuffle_key")
 
 
+def permutation_keys(seed: int, epoch: int) -> list[tuple[int, int]]:
+    """For each round the two summands of a square modulo a prime."""
+    digests = (hashlib.md5(f"{seed}:{epoch}:{i}".encode()).digest() for i in range(PERMUTATION_ROUNDS))
+    return [(int.from_bytes(d[:4], "big") % (1 << 30), int.from_bytes(d[4:8], "big") % (1 << 30)) for d in digests]
+
+
+def permutation_sides(n: int) -> tuple[int, int]:
+    """The sides of a rectangle with ``n`` fields and less than one row more."""
+    a = isqrt(max(1, n) - 1) + 1
+    return a, -(-max(1, n) // a)
+
+
+def _permuted_once(x: Column, n: int, keys: Sequence[tuple[int, int]]) -> Column:
+    """A bijection of the fields of the rectangle: each round moves one coordinate by a scrambled value of the other,
+    which can be undone."""
+    a, b = permutation_sides(n)
+    one, two = x % F.lit(a), F.floor(x / F.lit(a)).cast("long")
+    scrambled = lambda v, key: (v + F.lit(key[0])) * (v + F.lit(key[1])) % F.lit(PRIME)
+    for i, key in enumerate(keys):
+        if i % 2:
+            one = (one + scrambled(two, key)) % F.lit(a)
+        else:
+            two = (two + scrambled(one, key)) % F.lit(b)
+    return two * F.lit(a) + one
+
+
+def permuted_position(position: Column, n: int, seed: int, epoch: int = 0) -> Column:
+    """A random permutation of the positions 0 to ``n`` - 1 as an expression: a keyed Feistel network with cycle walking.
+
+    A result of ``n`` or more is permuted again until it is below, which keeps the whole a bijection. That concerns one position in
+    the root of ``n``, so walks are short; one beyond ``LONGEST_WALK`` steps, which does not occur up to 4,096 positions and is as
+    good as impossible above, ends the query with an error.
+    """
+    if n >= 1 << 53:
+        raise ValueError(f"{n} positions")
+    keys = permutation_keys(seed, epoch)
+    first = _permuted_once(position.cast("long"), n, keys)
+    steps = F.sequence(F.lit(1), F.lit(LONGEST_WALK))
+    walked = F.aggregate(steps, first, lambda acc, _: F.when(acc < n, acc).otherwise(_permuted_once(acc, n, keys)))
+    checked = F.when(walked < n, walked).otherwise(F.raise_error(F.lit("a walk of the permutation did not end")).cast("long"))
+    return F.when(first < n, first).otherwise(checked)
+
+
+def permuted_batches(df: DataFrame, position: str, n: int, batch_size: int, seed: int, epoch: int = 0) -> DataFrame:
+    """Add ``shuffle_pos`` and ``batch_id`` to rows with dense positions 0 to ``n`` - 1, without a sort or a shuffle.
+
+    ``with_position`` gives such positions once; every epoch then has an order of its own for the price of a projection.
+    """
+    placed = df.withColumn("shuffle_pos", permuted_position(F.col(position), n, seed, epoch))
+    return placed.withColumn("batch_id", batch_of(F.col("shuffle_pos"), batch_size))
+
+
 def seeded_batches(
     df: DataFrame, id_col: str, batch_size: int, seed: int, epoch: int = 0
 ) -> DataFrame:

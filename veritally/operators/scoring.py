@@ -28,8 +28,9 @@ def attach_gold(
     hot: Hot | None = None,
     keep_salt: bool = False,
     small: bool | None = None,
+    unicode: bool = False,
 ) -> DataFrame:
-    """Pair each completion's number with its problem's gold number.
+    """Pair each completion's number with its problem's gold number; ``unicode`` as in ``extract_prediction``.
 
     ``carry`` and ``problem_columns`` name further columns to keep of either side.
     Next to a broadcast the completion is read after the join, so completions of
@@ -37,9 +38,9 @@ def attach_gold(
     first, so no text is shuffled.
     """
     kept = ["problem_id", "sample_idx", *carry]
-    prediction = extract_prediction(F.col("completion")).alias("pred")
+    prediction = extract_prediction(F.col("completion"), unicode).alias("pred")
     golds = problems.select(
-        "problem_id", *problem_columns, extract_gold(F.col("answer")).alias("gt")
+        "problem_id", *problem_columns, extract_gold(F.col("answer"), unicode).alias("gt")
     )
     small = fits_broadcast(golds) if small is None else small
     texts = rollouts.select(*kept, "completion")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from veritally.functions.rewards import RewardFn, binary_reward
 from veritally.operators.metrics import accuracy
@@ -21,8 +22,16 @@ def evaluate_split(
     reward_fn: RewardFn = binary_reward,
     gold_precision: str = "double",
     hot: Hot | None = None,
+    unicode: bool = False,
+    skip_null_golds: bool = False,
 ) -> DataFrame:
-    """Correct, total and accuracy, per ``by`` columns of the completions if given."""
+    """Correct, total and accuracy, per ``by`` columns of the completions if given.
+
+    A problem whose solution has no number counts as answered wrongly; with ``skip_null_golds`` it does not count.
+    ``null_golds`` lists such problems.
+    """
     carry = [c for c in by if c != "sample_idx"]
-    paired = attach_gold(completions, load_split(problems, split), carry, hot=hot)
+    paired = attach_gold(completions, load_split(problems, split), carry, hot=hot, unicode=unicode)
+    if skip_null_golds:
+        paired = paired.where(F.col("gt").isNotNull())
     return accuracy(add_reward(paired, reward_fn, gold_precision), by)

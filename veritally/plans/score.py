@@ -22,6 +22,7 @@ def score_rollouts(
     hot: Hot | None = None,
     small: bool | None = None,
     group: Keys = "problem_id",
+    unicode: bool = False,
 ) -> DataFrame:
     """(problem_id, sample_idx, *carry, pred, *problem_columns, gt, reward, advantage).
 
@@ -29,14 +30,14 @@ def score_rollouts(
     problem table costs one exchange per side and a broadcast one costs one in all.
     ``small`` says whether the golds can be broadcast; None has their size checked.
     ``group`` names the columns that make a group, see ``group_advantage``; those that ``problems`` does not
-    have must be among ``carry``. With more than the problem, hot groups are looked for apart from hot problems.
+    have must be among ``carry``. ``unicode`` reads digits and spaces of all scripts. With more than the problem, hot groups are looked for apart from hot problems.
     """
     if names(group) != ["problem_id"]:
-        paired = attach_gold(rollouts, problems, carry, problem_columns, small=small)
+        paired = attach_gold(rollouts, problems, carry, problem_columns, small=small, unicode=unicode)
         return group_advantage(add_reward(paired, reward_fn, gold_precision), group_size, hot, group)
     hot = find_hot_keys(rollouts, "problem_id") if hot is None else hot
     paired = attach_gold(
-        rollouts, problems, carry, problem_columns, hot, keep_salt=True, small=small
+        rollouts, problems, carry, problem_columns, hot, keep_salt=True, small=small, unicode=unicode
     )
     scored = add_reward(paired, reward_fn, gold_precision)
     return group_advantage(scored, group_size, hot)

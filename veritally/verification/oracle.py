@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from veritally import fixed_values as V
+from veritally.operators import batching
 from veritally.verification.registry import PROMPT_LENGTH, SEED, SHAPE_LENGTH
 
 
@@ -34,6 +35,28 @@ def r6(x: str) -> str:
     return f"round({x}, 6) + 0.0"
 
 
+def _permuted() -> str:
+    """The permutation of row positions, each walk cut after four steps: the tables here need fewer."""
+    a = "(cast(ceil(sqrt(n)) as bigint))"
+    b = f"((n + {a} - 1) // {a})"
+
+    def once(x: str) -> str:
+        one, two = f"({x} % {a})", f"({x} // {a})"
+        for i, (first, second) in enumerate(batching.permutation_keys(SEED, 0)):
+            scrambled = lambda v: f"(({v} + {first}) * ({v} + {second}) % {batching.PRIME})"  # noqa: E731, B023
+            if i % 2:
+                one = f"(({one} + {scrambled(two)}) % {a})"
+            else:
+                two = f"(({two} + {scrambled(one)}) % {b})"
+        return f"({two} * {a} + {one})"
+
+    rows = "select problem_id, row_number() over (order by row_idx) - 1 as x, count(*) over () as n from problems"
+    rows = f"select problem_id, n, {once('x')} as x from ({rows})"
+    for _ in range(4):
+        rows = f"select problem_id, n, case when x < n then x else {once('x')} end as x from ({rows})"
+    return f"select problem_id, x::bigint as shuffle_pos, x // {V.EVAL_BATCH_SIZE} as batch_id from ({rows})"
+
+
 # --- derived views as common table expressions ----------------------------
 
 CTE: dict[str, str] = {
@@ -365,6 +388,7 @@ from (select problem_id, any_value(prompt) as prompt, any_value(gt) as gt,
         "from epoch_batches",
         "epoch_batches",
     ),
+    "permuted_batches": sql(_permuted(), "problems"),
     "assign_batches": sql(
         f"select problem_id, row_idx, (row_number() over (order by row_idx) - 1) // {V.EVAL_BATCH_SIZE} as batch_id "
         "from problems where split = 'test'",
@@ -465,6 +489,11 @@ from (select *, max(len(ids)) over (partition by batch_id) - len(ids) as room fr
         "from rewarded where split = 'test' group by all",
         "rewarded",
     ),
+    "evaluate_split_known_golds": sql(
+        f"select sample_idx, sum(reward) as correct, count(*) as total, {r6('sum(reward) / count(*)')} as accuracy "
+        "from rewarded where split = 'train' and gt is not null group by all",
+        "rewarded",
+    ),
     "evaluate_split_float_gold": sql(
         f"select sample_idx, sum(reward) as correct, count(*) as total, {r6('sum(reward) / count(*)')} as accuracy "
         "from rewarded_float where split = 'test' group by all",
@@ -492,6 +521,7 @@ from (select problem_id, any_value(prompt) as prompt, any_value(gt) as gt,
 
 # The same rows by another way or from tables that are stored in another way.
 SAME_AS = {
+    "extract_prediction_unicode": "extract_prediction",
     "vocab_encode_rows_short_head": "vocab_encode",
     "vocab_decode_short_head": "vocab_decode",
     "sequence_logprobs_chunked": "sequence_logprobs",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from veritally import fixed_values as V
 from veritally.functions import rewards, surrogate, text, tokens
 from veritally.operators import batching, compare, metrics, policy, scoring, sequences
+from veritally.operators.numbering import with_position
 from veritally.operators.skew import find_hot_keys
 from veritally.plans.compare import compare_models
 from veritally.plans.evaluate import evaluate_split
@@ -176,6 +177,16 @@ def extract_prediction(spark, d):
     )
 
 
+def extract_prediction_unicode(spark, d):
+    """Completions written with digits and spaces of another script."""
+    other = F.translate("completion", "0123456789 ", "٠١٢٣٤٥٦٧٨٩\u3000")
+    # The words of the patterns have a space of their own.
+    other = F.regexp_replace(other, "(?i)(answer)\u3000(is)", "$1 $2")
+    return views.rollouts(spark, d).select(
+        "problem_id", "sample_idx", text.extract_prediction(other, unicode=True).alias("pred")
+    )
+
+
 def normalize_number(spark, d):
     captured = F.regexp_extract("answer", V.GOLD_PATTERN, 1)
     return views.problems(spark, d).select(
@@ -381,6 +392,14 @@ def seeded_shuffle(spark, d):
     return batching.seeded_shuffle(ids, "problem_id", SEED, epoch=1)
 
 
+def permuted_batches(spark, d):
+    """Batches in a random order by arithmetic on stored positions: no sort, no shuffle."""
+    problems = with_position(views.problems(spark, d).select("problem_id", "row_idx"), "row_idx")
+    return batching.permuted_batches(problems, "pos", problems.count(), V.EVAL_BATCH_SIZE, SEED).select(
+        "problem_id", "shuffle_pos", "batch_id"
+    )
+
+
 def ordered_eval(spark, d):
     test = problem_source.load_split(views.problems(spark, d), "test")
     return batching.ordered_eval(test).select("row_idx", "question")
@@ -633,6 +652,11 @@ def evaluated_split_float_gold(spark, d):
     return found.withColumn("accuracy", r6("accuracy"))
 
 
+def evaluated_split_known_golds(spark, d):
+    found = evaluate_split(views.rollouts(spark, d), views.problems(spark, d), "train", by=["sample_idx"], skip_null_golds=True)
+    return found.withColumn("accuracy", r6("accuracy"))
+
+
 def compared_models(spark, d):
     return _report(spark, d, V.REPORT_ROWS)
 
@@ -693,6 +717,7 @@ QUERIES: dict[str, Query] = {
     "verdict_label": verdict_label,
     "extract_gold": extract_gold,
     "extract_prediction": extract_prediction,
+    "extract_prediction_unicode": extract_prediction_unicode,
     "normalize_number": normalize_number,
     "pattern_coverage": pattern_coverage,
     "tolerance_match": tolerance_match,
@@ -721,6 +746,7 @@ QUERIES: dict[str, Query] = {
     "assign_batches": assign_batches,
     "positional_regroup": positional_regroup,
     "seeded_shuffle": seeded_shuffle,
+    "permuted_batches": permuted_batches,
     "ordered_eval": ordered_eval,
     "vocabulary": vocabulary,
     "vocab_encode": vocab_encode,
@@ -755,6 +781,7 @@ QUERIES: dict[str, Query] = {
     "score_rollouts_bucketed": scored_rollouts_bucketed,
     "evaluate_split": evaluated_split,
     "evaluate_split_float_gold": evaluated_split_float_gold,
+    "evaluate_split_known_golds": evaluated_split_known_golds,
     "compare_models": compared_models,
     "compare_models_whole_split": compared_models_whole_split,
     "training_metrics": training,
