@@ -42,7 +42,7 @@ def test_training_metrics_move_no_token(spark, sf_dir, monkeypatch):
 
     weighed = []
     plain = training._logged_metrics
-    monkeypatch.setattr(training, "_logged_metrics", lambda s, t, c: weighed.append(t) or plain(s, t, c))
+    monkeypatch.setattr(training, "_logged_metrics", lambda s, t, *rest: weighed.append(t) or plain(s, t, *rest))
     old = store(views.old_logprobs(spark, sf_dir), TOKENS)
     new = store(views.new_logprobs(spark, sf_dir), Layout(["seq_id"], 6, ["pos"], ["ppo_epoch"]))
     got = training.training_metrics(_batched_scores(spark, sf_dir), old, new, F.lit(views.PROMPT_TOKENS))

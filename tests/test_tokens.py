@@ -266,3 +266,24 @@ def test_align_is_an_inner_join(spark):
     old = spark.createDataFrame([(1, 0, -1.0), (1, 1, -2.0)], "seq_id long, pos int, lp double")
     new = spark.createDataFrame([(1, 1, -3.0), (2, 0, -4.0)], "seq_id long, pos int, lp double")
     assert rows(policy.align_logprobs(old, new)) == [(1, 1, -2.0, -3.0)]
+
+
+def test_exact_losses_do_not_depend_on_partitions(spark):
+    rng = random.Random(3)
+    data = [(i % 3, rng.gauss(0, 1), rng.gauss(0, 1) * 10 ** rng.randint(-9, 3), rng.gauss(0, 1)) for i in range(20_000)]
+    df = spark.createDataFrame(data, "g int, old_lp double, new_lp double, advantage double")
+
+    def loss(parts, exact):
+        dealt = df.repartition(parts, F.rand(parts))
+        return [r["loss"].hex() for r in policy.policy_loss(dealt, ["g"], F.lit(1.0), exact=exact).orderBy("g").collect()]
+
+    one = loss(4, True)
+    assert one == loss(211, True) == loss(7, True)
+    assert [float.fromhex(x) for x in one] == [pytest.approx(float.fromhex(x), rel=1e-9) for x in loss(4, False)]
+
+
+def test_exact_sums_of_odd_values(spark):
+    cases = {1: [1e300, 1.0], 2: [float("nan"), 1.0], 3: [float("inf"), 2.0], 4: [None], 5: [0.1] * 10, 6: [-1e10, 0.5]}
+    df = spark.createDataFrame([(k, v) for k, vs in cases.items() for v in vs], "k int, v double")
+    got = dict(rows(df.groupBy("k").agg(policy.exact_sum(F.col("v")).alias("s"))))
+    assert got[1] == 1e300 and math.isnan(got[2]) and got[3] == math.inf and got[4] is None and got[5] == 1.0 and got[6] == -1e10 + 0.5

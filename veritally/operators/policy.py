@@ -13,6 +13,9 @@ from veritally.functions.tokens import gather_label, label_logprob
 from veritally.operators.skew import NO_HOT, ROWS_PER_TASK, SALTS, Hot, Keys, fits_broadcast, join_unique, names
 from veritally.workspace import materialize
 
+EXACT = "decimal(38,18)"
+EXACT_BELOW = 1e9  # sums of up to 10^11 such values fit
+
 
 def align_logprobs(old: DataFrame, new: DataFrame, sequence: Keys = "seq_id", strict: bool = False) -> DataFrame:
     """Pair old and new scores token by token.
@@ -86,9 +89,20 @@ def align_arrays(
     return tokens.select(*kept, place.alias("pos"), "_token.old_lp", "_token.new_lp")
 
 
-def masked_mean(value: Column, mask: Column) -> Column:
-    """``sum(value * mask) / sum(mask)``; NULL for an empty mask."""
-    return F.try_divide(F.sum(value * mask), F.sum(mask))
+def exact_sum(x: Column) -> Column:
+    """A sum that does not depend on the order or the partitions of the rows: values are rounded to ``EXACT`` and added as
+    decimals. NaN and infinities come out as in a plain sum; so do values from ``EXACT_BELOW`` on, which are added apart."""
+    small = F.abs(x) < F.lit(EXACT_BELOW)
+    fixed = F.sum(F.when(small, x).cast(EXACT)).cast("double")
+    rest = F.sum(F.when(~small, x))
+    return F.when(rest.isNull(), fixed).otherwise(F.coalesce(fixed, F.lit(0.0)) + rest)
+
+
+def masked_mean(value: Column, mask: Column, exact: bool = False) -> Column:
+    """``sum(value * mask) / sum(mask)``; NULL for an empty mask. With ``exact`` the bits of the result are the same on any
+    number of partitions."""
+    add = exact_sum if exact else F.sum
+    return F.try_divide(add(value * mask), add(mask))
 
 
 def policy_loss(
@@ -96,11 +110,12 @@ def policy_loss(
     by: Sequence[str],
     mask: Column,
     clip_eps: float = V.CLIP_EPS,
+    exact: bool = False,
 ) -> DataFrame:
-    """Token-weighted loss per ``by`` group from (old_lp, new_lp, advantage)."""
+    """Token-weighted loss per ``by`` group from (old_lp, new_lp, advantage); ``exact`` as in ``masked_mean``."""
     ratio = importance_ratio(F.col("new_lp"), F.col("old_lp"))
     loss = clipped_surrogate(ratio, F.col("advantage"), clip_eps)
-    return tokens.groupBy(*by).agg(masked_mean(loss, mask).alias("loss"))
+    return tokens.groupBy(*by).agg(masked_mean(loss, mask, exact).alias("loss"))
 
 
 def last_ppo_epoch_loss(losses: DataFrame, by: Sequence[str] = ("batch_id",)) -> DataFrame:

@@ -104,10 +104,10 @@ def _last_ppo_epochs(first_tokens: DataFrame, scored: DataFrame, sequence: list[
     return sequences, wanted
 
 
-def _logged_metrics(scored: DataFrame, tokens: DataFrame, clip_eps: float) -> DataFrame:
+def _logged_metrics(scored: DataFrame, tokens: DataFrame, clip_eps: float, exact: bool = False) -> DataFrame:
     """Batch figures from scored rollouts and their weighted tokens. Every batch has a
     reward; a batch whose loss mask is empty keeps a NULL loss."""
-    logged = policy_loss(tokens, ["epoch", "batch_id"], F.lit(1.0), clip_eps)
+    logged = policy_loss(tokens, ["epoch", "batch_id"], F.lit(1.0), clip_eps, exact)
     batches = batch_mean_reward(scored).join(logged, ["epoch", "batch_id"], "left")
     return running_reward(batches).select("epoch", "batch_id", "loss", "reward", "avg_reward")
 
@@ -120,8 +120,10 @@ def training_metrics(
     clip_eps: float = V.CLIP_EPS,
     hot_sequences: Hot | None = None,
     sequence: Keys = "seq_id",
+    exact: bool = False,
 ) -> DataFrame:
-    """(epoch, batch_id, loss, reward, avg_reward) for every batch.
+    """(epoch, batch_id, loss, reward, avg_reward) for every batch; with ``exact`` losses have the same bits on any number of
+    partitions.
 
     ``scored`` comes from ``batched_scores`` or ``batched_scores_by_epoch`` and carries the ``sequence`` columns; ``old`` is
     (*sequence, pos, lp) and ``new`` is (ppo_epoch, *sequence, pos, lp). Where sequence numbers come again in each
@@ -138,7 +140,7 @@ def training_metrics(
     sequences, wanted = _last_ppo_epochs(starts, scored, keys)
     weighted = broadcast_advantage(old.where(counts), sequences, hot_sequences, keys)
     tokens = align_logprobs(weighted, new.where(counts & wanted), keys).where("ppo_epoch = _last")
-    return _logged_metrics(scored, tokens, clip_eps)
+    return _logged_metrics(scored, tokens, clip_eps, exact)
 
 
 def training_metrics_from_arrays(
@@ -148,6 +150,7 @@ def training_metrics_from_arrays(
     prompt_length: Column,
     clip_eps: float = V.CLIP_EPS,
     sequence: Keys = "seq_id",
+    exact: bool = False,
 ) -> DataFrame:
     """The same figures from scores stored as one array per sequence: ``old`` is
     (*sequence, lps) and ``new`` is (ppo_epoch, *sequence, lps). No token is shuffled by itself, and none of the prompt or of
@@ -158,4 +161,4 @@ def training_metrics_from_arrays(
     starts = new.where(F.size("lps") > start).select(*keys, "ppo_epoch")
     sequences, wanted = _last_ppo_epochs(starts, scored, keys)
     tokens = align_arrays(old, new.where(wanted), sequences, keys, start).where("ppo_epoch = _last")
-    return _logged_metrics(scored, tokens, clip_eps)
+    return _logged_metrics(scored, tokens, clip_eps, exact)
