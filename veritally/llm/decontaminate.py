@@ -44,35 +44,34 @@ def words(text: Column) -> Column:
     return F.transform(F.filter(F.split(F.lower(text), SPACES), lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def _seed(mask: str, words: Column, at: Column) -> Column:
-    """The seed of a mask at a place of an array of words; NULL where the mask reaches past the end."""
-    kept = [F.get(words, at + i) for i, bit in enumerate(mask) if bit == "1"]
-    return F.when(at + len(mask) <= F.size(words), F.xxhash64(F.lit(mask), *kept))
+def _seeds(mask: str, words: Column) -> Column:
+    """The seeds of one mask at places 0, 1, and so on of an array of words, as far as the mask fits."""
+    kept = [i for i, bit in enumerate(mask) if bit == "1"]
+    starts = F.slice(words, F.lit(1), F.greatest(F.size(words) - (len(mask) - 1), F.lit(0)))
+    return F.transform(starts, lambda w, i: F.xxhash64(F.lit(int(mask, 2)), w, *(F.get(words, i + k) for k in kept[1:])))
 
 
-def windows(rows: DataFrame, masks: Sequence[str], wanted: Callable[[Column], Column], reach: int = REACH) -> DataFrame:
-    """All windows of ``_words`` whose seed is ``wanted``: the other columns of ``rows``, then (mask, at, seed, from, around),
-    the words within ``reach`` of the window and where they begin.
+def _windows(words: Column, masks: Sequence[str], wanted: Callable[[Column], Column], reach: int) -> Column:
+    """All windows whose seed is ``wanted``, as (mask, at, seed, from, around): the words within ``reach`` and where they begin.
 
-    Places are rows only inside a task. The partition's number stands between seeds and filter because Spark does not look
-    through it: each seed is computed once, in compiled code.
+    ``words`` is bound to a lambda variable, so that it is computed once per row.
     """
-    others = [c for c in rows.columns if c != "_words"]
-    places = F.when(F.size("_words") > 0, F.sequence(F.lit(0), F.size("_words") - 1))
-    placed = rows.select(*others, "_words", F.explode(places).alias("at"))
-    marked = []
-    for mask in masks:
-        seed = _seed(mask, F.col("_words"), F.col("at"))
-        marked.append(F.when(wanted(seed), F.struct(F.lit(mask).alias("mask"), seed.alias("seed"))))
-    found = placed.select("*", F.spark_partition_id().alias("_task"), *(m.alias(f"_seed{i}") for i, m in enumerate(marked)))
-    seeds = [F.col(f"_seed{i}") for i in range(len(marked))]
-    found = found.where(F.coalesce(*seeds).isNotNull())
-    each = F.explode(F.filter(F.array(*seeds), lambda s: s.isNotNull())).alias("s")
-    first = F.greatest(F.col("at") - reach, F.lit(0))
-    around = F.slice("_words", first + F.lit(1), F.lit(2 * reach + max(map(len, masks))))
-    return found.select(*others, "at", first.alias("from"), around.alias("around"), each).select(
-        *others, "s.mask", "at", "s.seed", "from", "around"
-    )
+    width = F.lit(2 * reach + max(map(len, masks)))
+
+    def of_words(ws: Column) -> Column:
+        def window(mask: str, seed: Column, at: Column) -> Column:
+            first = F.greatest(at - reach, F.lit(0))
+            return F.struct(
+                F.lit(mask).alias("mask"), at.alias("at"), seed.alias("seed"), first.alias("from"), F.slice(ws, first + F.lit(1), width).alias("around")
+            )
+
+        found = [
+            F.filter(F.transform(_seeds(m, ws), lambda s, i: F.when(wanted(s), window(m, s, i))), lambda x: x.isNotNull())  # noqa: B023
+            for m in masks
+        ]
+        return F.concat(*found)
+
+    return _bound(words, of_words)
 
 
 def benchmark_seeds(items: DataFrame, text: str, key: str, masks: Sequence[str], least: int = 1) -> DataFrame:
@@ -84,12 +83,14 @@ def benchmark_seeds(items: DataFrame, text: str, key: str, masks: Sequence[str],
     rows = items.select(F.col(key).alias("item"), words(F.col(text)).alias("_words"))
     rows = rows.where(F.size("_words") >= least).groupBy("item").agg(F.max("_words").alias("_words"))
     rows = rows.withColumn("item_words", F.size("_words"))
-    found = windows(rows.where(F.col("item_words") >= longest), masks, lambda seed: seed.isNotNull())
-    whole = F.coalesce(*(F.when(F.col("item_words") == n, _seed("1" * n, F.col("_words"), F.lit(0))) for n in range(1, longest)))
+    found = rows.select("item", "item_words", F.explode(_windows(F.col("_words"), masks, lambda _: F.lit(True), REACH)).alias("w"))
+    found = found.select("item", "item_words", "w.*")
+    whole = F.coalesce(*(F.when(F.col("item_words") == n, F.get(_seeds("1" * n, F.col("_words")), F.lit(0))) for n in range(1, longest)))
     short = rows.where(F.col("item_words") < longest).select(
         "item", "item_words", F.expr("repeat('1', item_words)").alias("mask"), F.lit(0).alias("at"), whole.alias("seed"),
         F.lit(0).alias("from"), F.col("_words").alias("around"),
     )
+    found = found.where(F.col("item_words") >= longest)
     return found.unionByName(short).withColumnsRenamed({c: f"item_{c}" for c in ("at", "from", "around")})
 
 
@@ -131,8 +132,8 @@ def find_leaks(
     held = seeds.agg(F.collect_set("mask"), F.sum(F.size("item_around") * 8 + ROW_BYTES)).first()
     shapes, size = sorted(held[0]) or list(masks), held[1] or 0
     bitmap = bitmap_literal(bitmap_of(seeds, "seed", SEED_BITS))
-    rows = docs.select(F.col(key).alias("doc_id"), words(F.col(text)).alias("_words"))
-    likely = windows(rows, shapes, lambda seed: is_set(bitmap, SEED_BITS, seed)).drop("mask")
+    likely = _windows(words(F.col(text)), shapes, lambda seed: is_set(bitmap, SEED_BITS, seed), REACH)
+    likely = docs.select(F.col(key).alias("doc_id"), F.explode(likely).alias("w")).select("doc_id", "w.*").drop("mask")
     seeds = seeds.drop("mask")
     hits = likely.join(F.broadcast(seeds) if size <= BROADCAST_BYTES else seeds.hint("merge"), "seed")
     # Word j of item_around lies beside word at - item_at + item_from + j of the text.
