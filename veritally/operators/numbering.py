@@ -100,15 +100,15 @@ def store_in_order(df: DataFrame, order: Sequence[Column | str], out: str = "pos
     group = list(group)
     ranged = df.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
     stored = materialize(ranged.withColumn("_slot", F.monotonically_increasing_id()), "in-order")
-    placed = stored.withColumns({"_range": F.shiftright("_slot", SLOT_BITS), "_slot": F.col("_slot").bitwiseAND((1 << SLOT_BITS) - 1)})
-    sizes = placed.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_rows"), F.min("_slot").alias("_first"))
-    starts = running_sums(sizes, "_range", ["_rows"], group, levels=0)
+    placed = stored.withColumns({"_bucket": F.shiftright("_slot", SLOT_BITS), "_slot": F.col("_slot").bitwiseAND((1 << SLOT_BITS) - 1)})
+    sizes = placed.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_rows"), F.min("_slot").alias("_first"))
+    starts = running_sums(sizes, "_bucket", ["_rows"], group, levels=0)
     shift = F.col("_rows_before") - F.col("_first")
     if not group:
         starts = F.broadcast(starts)  # one row per range partition
     same = F.lit(True)
-    starts = starts.select(*(F.col(g).alias(f"_{i}") for i, g in enumerate([*group, "_range"])), shift.cast("long").alias("_shift"))
-    for i, g in enumerate([*group, "_range"]):
+    starts = starts.select(*(F.col(g).alias(f"_{i}") for i, g in enumerate([*group, "_bucket"])), shift.cast("long").alias("_shift"))
+    for i, g in enumerate([*group, "_bucket"]):
         same &= F.col(g).eqNullSafe(F.col(f"_{i}"))
     kept = [F.col(f"`{c}`") for c in df.columns]
     return placed.join(starts, same).select(*kept, (F.col("_slot") + F.col("_shift")).alias(out))

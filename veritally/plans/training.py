@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -140,7 +140,8 @@ def training_metrics(
     sequences, wanted = _last_ppo_epochs(starts, scored, keys)
     weighted = broadcast_advantage(old.where(counts), sequences, hot_sequences, keys)
     tokens = align_logprobs(weighted, new.where(counts & wanted), keys).where("ppo_epoch = _last")
-    return _logged_metrics(scored, tokens, clip_eps, exact)
+    logged = partial(_logged_metrics, exact=True) if exact else _logged_metrics
+    return logged(scored, tokens, clip_eps)
 
 
 def training_metrics_from_arrays(
@@ -161,4 +162,5 @@ def training_metrics_from_arrays(
     starts = new.where(F.size("lps") > start).select(*keys, "ppo_epoch")
     sequences, wanted = _last_ppo_epochs(starts, scored, keys)
     tokens = align_arrays(old, new.where(wanted), sequences, keys, start).where("ppo_epoch = _last")
-    return _logged_metrics(scored, tokens, clip_eps, exact)
+    logged = partial(_logged_metrics, exact=True) if exact else _logged_metrics
+    return logged(scored, tokens, clip_eps)
