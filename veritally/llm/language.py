@@ -30,6 +30,8 @@ DOCS_PER_LANGUAGE = 4_000  # expected number of labelled texts of a language to
 UNKNOWN = "und"
 SPREAD = 1 << 30
 SLACK = 5.0  # standard deviations of a text's mean that are allowed for
+EVIDENCE = 30  # distinct n-grams: about a dozen letters
+LEARNED = 500
 POOR_FIT = -1.0  # texts of the learned languages lie around 0, those in other scripts below -2
 SPACE = np.uint32(32)
 MULTIPLIERS = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
@@ -48,6 +50,11 @@ class LanguageModel:
         mean = (prob * log_prob).sum(axis=1)
         return mean, np.sqrt(np.maximum((prob * log_prob**2).sum(axis=1) - mean**2, 1e-12))
 
+    def judges(self) -> np.ndarray:
+        """Of which languages enough was learned, ``LEARNED`` distinct n-grams, to say that a text does not fit."""
+        log_prob = self.log_prob[:, :-1]
+        return (log_prob > log_prob.min(axis=1, keepdims=True) + 1e-6).sum(axis=1) >= LEARNED
+
 
 @cache
 def _letters() -> np.ndarray:
@@ -156,7 +163,7 @@ def score_and_fit(texts: list[str | None], model: LanguageModel) -> tuple[list[s
     is nearly certain for any longer text.
 
     The fit is the mean log-probability of the text's n-grams less the one that is expected in that language, in standard
-    deviations of one n-gram; ``SLACK`` by the root of their number is allowed for the chance of short texts.
+    deviations of one n-gram; ``slack`` of their number is allowed for chance.
     """
     if not texts:
         return [], np.zeros(0), np.zeros(0)
@@ -176,10 +183,21 @@ def score_and_fit(texts: list[str | None], model: LanguageModel) -> tuple[list[s
     score = np.where(has_letter, 1.0 / np.exp(total - top[:, None]).sum(axis=1), 0.0)
     mean, spread = model.expected()
     some = np.maximum(counted, 1)
-    fit = ((top - model.log_prior[best]) / some - mean[best]) / spread[best] + SLACK / np.sqrt(some)
+    fit = ((top - model.log_prior[best]) / some - mean[best]) / spread[best] + slack(some)
+    fit[~model.judges()[best]] = np.inf
     return [model.languages[i] if ok else UNKNOWN for i, ok in zip(best, has_letter)], score, fit
 
 
+def slack(n: np.ndarray | int) -> np.ndarray | float:
+    """By how much the fit of a text of ``n`` n-grams may be worse by chance."""
+    return SLACK / np.sqrt(n)
+
+
+def distinct_ngrams(text: str | None, buckets: int) -> int:
+    codes, starts = _code_points([text])
+    return sum(len(np.unique(g[g < buckets])) for g in hashed_ngrams(codes, starts, buckets))
+
+
 def predict(docs: DataFrame, model: LanguageModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """(*keep, lang_pred, score) for every row of ``docs``. Only the text is looked at."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -199,13 +217,17 @@ def keep_known(
     docs: DataFrame, model: LanguageModel, text: str = "text", min_score: float = 0.0, min_fit: float = -np.inf
 ) -> DataFrame:
     """The rows of ``docs``, all columns as they are, whose text has a language with at least ``min_score`` that fits it at least
-    as well as ``min_fit``."""
+    as well as ``min_fit``. A text of fewer than ``EVIDENCE`` distinct n-grams says too little to go for its fit."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, text):
-            names, score, fit = score_and_fit(texts_of(batch, text), shared.value)
-            known = [n != UNKNOWN and s >= min_score and f >= min_fit for n, s, f in zip(names, score, fit)]
+            texts = texts_of(batch, text)
+            names, score, fit = score_and_fit(texts, shared.value)
+            known = [n != UNKNOWN and s >= min_score for n, s in zip(names, score)]
+            buckets = shared.value.log_prob.shape[1] - 1
+            for i in np.flatnonzero(np.array(known) & (fit < min_fit)):
+                known[i] = distinct_ngrams(texts[i], buckets) < EVIDENCE
             yield batch.filter(pa.array(known, pa.bool_()))
 
     return in_arrow(docs, run, docs.schema)
