@@ -115,3 +115,31 @@ def test_one_scan_and_more_parts(spark):
     docs = spark.createDataFrame(corpus(6, 50), SCHEMA)
     assert "regexp_count" not in plan(mixing.plan_mix(docs))  # the texts were read when their sizes were stored
     assert [mixing.part_digits(n) for n in (0, 10**6, 16**3 * 65_536, 16**3 * 65_536 + 1, 10**12)] == [3, 3, 3, 4, 6]
+
+
+def test_digest_counts_the_range_sorted_mix(spark, monkeypatch):
+    """The query's figures come from the copies in training order, not from the plan of the mix."""
+    stored = {}
+
+    def store(df, name):
+        stored[name] = df
+        return materialize(df, name)
+
+    materialize = mixing.materialize
+    monkeypatch.setattr(mixing, "materialize", store)
+    docs = spark.createDataFrame([*corpus(7, 200), (3, "twice", "x"), (3, "twice", "x")], SCHEMA)
+    got = mixing.document_mix(docs)
+    mix = stored["mix"]
+    assert "rangepartitioning(_position" in plan(mix) and "Sort [_position" in plan(mix)
+    copies = [r for part in mix.select("_position", "_words").rdd.glom().collect() for r in part]
+    assert [r["_position"] for r in copies] == sorted(r["_position"] for r in copies)
+    planned = mixing.plan_mix(docs).collect()
+    assert len(copies) == sum(r["copies"] for r in planned) and len(planned) == 202
+    expected = Counter((r["doc_id"], r["size"], r["taken"], round(r["positions"][0], 9) if r["positions"] else None) for r in planned)
+    assert Counter((r["doc_id"], r["size"], r["taken"], r["position"]) for r in got.collect()) == expected
+
+
+def test_rows_that_differ_by_the_place_of_a_null(spark):
+    docs = spark.createDataFrame([(1, "a b", None), (1, None, "a b"), (2, "c d e", "z")], SCHEMA)
+    taken = {(r["doc_id"], r["size"]): r["taken"] for r in mixing.document_mix(docs).collect()}
+    assert taken == {(r["doc_id"], r["size"]): r["taken"] for r in mixing.plan_mix(docs).collect()} and len(taken) == 3

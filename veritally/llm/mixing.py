@@ -128,30 +128,49 @@ def plan_mix(
     )
 
 
+def _planned_and_mixed(docs: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
+    """The stored plan of the mix, its rows numbered, and the mix: (row, _number, _position) of every copy, range-sorted by
+    position."""
+    name = unused_name(docs, "_row")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    marked = docs.withColumn(name, F.xxhash64(*columns, *(c.isNull() for c in columns)))
+    planned = plan_mix(marked, mark=name, **options).withColumn("_number", F.monotonically_increasing_id())
+    planned = materialize(planned, "positions")
+    repeated = planned.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mark")
+    repeated = materialize(repeated, "repeated")
+    rows = marked.select(F.col(name).alias("mark"), F.struct(*columns).alias("row"))
+    if not repeated.isEmpty():
+        several = rows.join(repeated, "mark", "left_semi").groupBy("mark").agg(F.first("row").alias("row"))
+        rows = drop_listed(rows, repeated, "mark").unionByName(several)
+    taken = planned.where(F.size("positions") > 0).select("mark", "_number", F.col("doc_id").alias("_id"), "positions")
+    copies = rows.hint("merge").join(taken, "mark").select("row", "_number", "_id", F.explode("positions").alias("_position"))
+    by_time = ["_position", "_id"]
+    return planned, copies.repartitionByRange(*by_time).sortWithinPartitions(*by_time).drop("_id")
+
+
 def training_order(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: the rows of ``docs`` as often as they are taken, all columns as they are, range-sorted by position.
 
     Rows get their positions by a hash of all their columns. Rows that are equal in all of them are taken for each other: one
     of them stands for all when they meet their positions.
     """
-    name = unused_name(docs, "_row")
-    marked = docs.withColumn(name, F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))
-    planned = plan_mix(marked, mark=name, **options).select("doc_id", "positions", F.col("mark").alias(name))
-    planned = materialize(planned, "positions")
-    repeated = planned.groupBy(name).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(name)
-    repeated = materialize(repeated, "repeated")
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    rows = marked.select(name, row)
-    if not repeated.isEmpty():
-        several = rows.join(repeated, name, "left_semi").groupBy(name).agg(F.first("row").alias("row"))
-        rows = drop_listed(rows, repeated, name).unionByName(several)
-    taken = planned.where(F.size("positions") > 0).withColumnRenamed("doc_id", "_id")
-    copies = rows.hint("merge").join(taken, name).select("row", "_id", F.explode("positions").alias("_position"))
-    by_time = ["_position", "_id"]
-    return copies.repartitionByRange(*by_time).sortWithinPartitions(*by_time).select("row.*")
+    return _planned_and_mixed(docs, **options)[1].select("row.*")
 
 
 def document_mix(docs: DataFrame) -> DataFrame:
-    """The mix of all ``documents`` at the default weights; ``position`` is that of the first copy."""
-    first = F.round(F.get("positions", F.lit(0)), 9).alias("position")
-    return plan_mix(docs).select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", first)
+    """The mix of all ``documents`` at the default weights, counted per document: ``taken`` are the words of its copies as they
+    stand in the training order, ``position`` is that of the first copy.
+
+    Of the mix, the sizes of its copies and their positions are stored, in training order.
+    """
+    planned, mixed = _planned_and_mixed(docs)
+    mixed = materialize(mixed.select("_number", "_position", word_count(F.col("row.text")).alias("_words")), "mix")
+    counted = mixed.groupBy("_number").agg(F.sum("_words").alias("_taken"), F.min("_position").alias("_first"))
+    return planned.join(counted, "_number", "left").select(
+        "doc_id",
+        "size",
+        "source_size",
+        F.round("target", 6).alias("target"),
+        F.coalesce("_taken", F.lit(0).cast("long")).alias("taken"),
+        F.round("_first", 9).alias("position"),
+    )
