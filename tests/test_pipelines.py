@@ -2,6 +2,7 @@
 
 import math
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -351,3 +352,25 @@ def test_custom_reward_reaches_the_pipeline(rollouts, problems):
     half = lambda pred, gold: F.when(pred.isNotNull(), F.lit(0.5)).otherwise(F.lit(0.0))
     got = score_rollouts(rollouts, problems, reward_fn=half).select("reward").distinct()
     assert rows(got) == [(0.0,), (0.5,)]
+
+
+def test_tokens_are_shuffled_once_in_any_session(spark, sf_dir):
+    """With Spark's own settings too, old scores stay with their sequence when they meet the new ones."""
+    plain = spark.newSession()
+    plain.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "true")
+    weighted = policy.broadcast_advantage(views.old_logprobs(plain, sf_dir), views.sequence_advantages(plain, sf_dir), hot=())
+    losses = policy.policy_loss(policy.align_logprobs(weighted, views.new_logprobs(plain, sf_dir)), ["batch_id", "ppo_epoch"], F.lit(1.0))
+    text = plan(losses)
+    assert text.count("Exchange hashpartitioning(seq_id") == 3 and ", pos#" not in "".join(re.findall(r"Exchange hashpartitioning\([^)]*\)", text))
+
+
+def test_a_sequence_moves_to_its_batch_once(spark, sf_dir, monkeypatch):
+    """Of the first tokens of all PPO epochs only the last one of a sequence is moved."""
+    stored = {}
+    keep = training_plan.materialize
+    monkeypatch.setattr(training_plan, "materialize", lambda df, name: stored.setdefault(name, plan(df)) and keep(df, name))
+    scored = spark.createDataFrame([(1, 0, 0, 1.0, 0.5), (2, 0, 0, 0.0, -0.5)], "seq_id long, epoch int, batch_id long, reward double, advantage double")
+    starts = spark.createDataFrame([(1, 0), (1, 3), (2, 1), (2, 1)], "seq_id long, ppo_epoch int")
+    sequences, _ = training_plan._last_ppo_epochs(starts, scored, ["seq_id"])
+    assert rows(sequences.select("seq_id", "_last")) == [(1, 3), (2, 3)]
+    assert "partial_max(ppo_epoch" in stored["last-ppo-epochs"] and "HashAggregate(keys=[seq_id" in stored["last-ppo-epochs"]

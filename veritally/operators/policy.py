@@ -11,6 +11,7 @@ from veritally import fixed_values as V
 from veritally.functions.surrogate import clipped_surrogate, importance_ratio
 from veritally.functions.tokens import gather_label, label_logprob
 from veritally.operators.skew import NO_HOT, ROWS_PER_TASK, SALTS, Hot, Keys, fits_broadcast, join_unique, names
+from veritally.session import ALL_KEYS
 from veritally.workspace import materialize
 
 EXACT = "decimal(38,18)"
@@ -23,11 +24,12 @@ def align_logprobs(old: DataFrame, new: DataFrame, sequence: Keys = "seq_id", st
     ``old`` and ``new`` have the sequence's columns, pos and lp, and may have further columns, such as
     the advantage or the PPO epoch. Both sides have every token, so neither is ever worth a broadcast: the
     sort-merge hint keeps a low size estimate from choosing one. On tables that arrive partitioned by
-    sequence the join stays so (with ``spark.sql.requireAllClusterKeysForCoPartition=false``); otherwise both key
-    columns are hashed, which spreads even one very long sequence.
+    sequence the join stays so: the session's ``spark.sql.requireAllClusterKeysForCoPartition`` is turned off for that.
+    Otherwise both key columns are hashed, which spreads even one very long sequence.
 
     With ``strict`` a token that only one side has ends the query with an error instead of being left out.
     """
+    old.sparkSession.conf.set(ALL_KEYS, "false")
     keys = [*names(sequence), "pos"]
     left, right = old.withColumnRenamed("lp", "old_lp").hint("merge"), new.withColumnRenamed("lp", "new_lp")
     if not strict:

@@ -86,11 +86,12 @@ def _stored_scores(scored: DataFrame, sequence: list[str]) -> DataFrame:
 def _last_ppo_epochs(first_tokens: DataFrame, scored: DataFrame, sequence: list[str]) -> tuple[DataFrame, Column]:
     """Sequences with the last PPO epoch of their batch, and a filter on ``ppo_epoch`` that holds for all of these.
 
-    ``first_tokens`` has one row per sequence and PPO epoch that count in the loss. The filter is a list of the few numbers
+    ``first_tokens`` has one row per sequence and PPO epoch that count in the loss; of a sequence only the last is moved on
+    to its batch. The filter is a list of the few numbers
     that are the last of some batch, or their range; it is there before the token tables are shuffled.
     """
     last = (
-        first_tokens.hint("merge").join(scored.select(*dict.fromkeys([*sequence, "epoch", "batch_id"])), sequence)
+        first_tokens.groupBy(*sequence).agg(F.max("ppo_epoch").alias("ppo_epoch")).hint("merge").join(scored.select(*dict.fromkeys([*sequence, "epoch", "batch_id"])), sequence)
         .groupBy("epoch", "batch_id")
         .agg(F.max("ppo_epoch").alias("_last"))
     )

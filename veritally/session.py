@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+# Whether a join by several columns has to hash all of them, even if its rows are partitioned by some of them already.
+ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
+
 
 def local_session(cpus: int = 8, app: str = "veritally") -> SparkSession:
     spark = (
@@ -15,7 +18,7 @@ def local_session(cpus: int = 8, app: str = "veritally") -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         # Tokens partitioned by sequence stay put when they are joined by (sequence, position).
-        .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
+        .config(ALL_KEYS, "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
