@@ -94,3 +94,24 @@ def test_late_pass_keeps_what_is_carried(spark, rollouts, problems, tmp_path):
     got = streaming.late_advantages(spark, f"{tmp_path}/o", ["epoch", "problem_id"], K)
     want = score_rollouts(keyed, problems, carry=["epoch", "batch_id"])
     assert rows(got.select(want.columns)) == rows(want)
+
+
+@pytest.mark.parametrize("name", ["streaming_scores", "streaming_advantages", "streaming_advantages_split_groups", "streaming_group_advantages"])
+def test_many_rows_arrive_in_many_files(spark, sf_dir, monkeypatch, name):
+    """A file, hence a task that writes or reads it, has a bounded number of rows; micro-batches stay four."""
+    from veritally.verification import registry
+
+    want = rows(registry.QUERIES[name](spark, sf_dir))
+    paths = {}
+    fresh = registry.fresh_path
+    monkeypatch.setattr(registry, "fresh_path", lambda s, n: paths.setdefault(n, fresh(s, n)))
+    monkeypatch.setattr(registry, "ARRIVAL_ROWS", 100)
+    assert rows(registry.QUERIES[name](spark, sf_dir)) == want
+    arrived = spark.read.parquet(paths["arrivals"]).withColumn("file", F.input_file_name())
+    sizes = [r["count"] for r in arrived.groupBy("file").count().collect()]
+    assert len(sizes) > 4 * registry.STREAM_FILES and max(sizes) < 4 * registry.ARRIVAL_ROWS
+    apart = arrived.groupBy("problem_id").agg(F.countDistinct("file").alias("n")).agg(F.min("n"), F.max("n"), F.avg("n")).first()
+    if name == "streaming_advantages":
+        assert apart[1] == 1
+    elif name != "streaming_scores":
+        assert apart[0] >= 2 and apart[2] > 3.5

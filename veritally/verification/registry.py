@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,8 +37,11 @@ SHAPE_LENGTH = 64
 PROMPT_LENGTH = 16  # some prompts are longer, so that the cut happens
 EPOCHS = (0, 1)
 BUCKETS = 8
+BUCKET_SEQUENCES = 100_000  # in a bucket of tokens, about, so that a task can sort it in memory
 CHUNK = 24  # ids per chunk of a vocabulary; the last one is shorter
-STREAM_FILES = 4
+STREAM_FILES = 4  # that arrive one after another; each is several files if there are many rows
+ARRIVAL_ROWS = 500_000  # of a file, about
+SPREAD = 64  # pieces of a file's rows that are dealt apart
 
 
 def r6(c: Column | str) -> Column:
@@ -542,13 +546,21 @@ def clipped_surrogate(spark, d):
 # --- streams ---------------------------------------------------------------
 
 
+def arrival_files(rows: int) -> int:
+    """How many files arrive together."""
+    return max(1, ceil(rows / (STREAM_FILES * ARRIVAL_ROWS)))
+
+
 def _rollout_stream(spark, d, *by: str) -> DataFrame:
-    """Rollouts as a table of several files, read as a stream of one file per micro-batch. ``by`` names the columns by
-    which rows are dealt to files."""
+    """Rollouts as a table of files, read as a stream of ``STREAM_FILES`` micro-batches. ``by`` names the columns by which rows
+    are dealt to files; with many rows a micro-batch has several files, and rows are dealt by pieces of the problems as well."""
     path = fresh_path(spark, "arrivals")
     rows = views.rollouts(spark, d)
-    rows.repartition(STREAM_FILES, *by).write.parquet(path)
-    return streaming.read_rollout_stream(spark, path, rows.schema, files_per_trigger=1)
+    each = arrival_files(views.problems(spark, d).count() * V.GROUP_SIZE)
+    piece = F.pmod(F.xxhash64("problem_id"), F.lit(SPREAD * each))
+    dealt = [*by, piece] if by and each > 1 and "problem_id" not in by else by
+    rows.repartition(STREAM_FILES * each, *dealt).write.parquet(path)
+    return streaming.read_rollout_stream(spark, path, rows.schema, files_per_trigger=each)
 
 
 def streaming_scores(spark, d):
