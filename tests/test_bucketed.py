@@ -125,3 +125,17 @@ def test_no_chunk(spark):
     got = policy.chunked_logprobs(spark.createDataFrame([(1, 0, 0, [])], CHUNKS), spark.createDataFrame([(1, 0, 0)], LABELS), 4)
     assert rows(got) == [(1, 0, None)]
     assert policy.chunked_logprobs(spark.createDataFrame([], CHUNKS), spark.createDataFrame([], LABELS), 4).count() == 0
+
+
+def test_more_sequences_get_more_buckets(spark, sf_dir, monkeypatch):
+    """A task sorts a bounded number of sequences when it writes a bucket."""
+    from veritally.verification import registry
+
+    layouts = []
+    write = registry.write_bucketed
+    monkeypatch.setattr(registry, "write_bucketed", lambda df, path, layout: layouts.append(layout.buckets) or write(df, path, layout))
+    monkeypatch.setattr(registry, "BUCKET_SEQUENCES", 500)
+    got = rows(registry.QUERIES["training_metrics_bucketed"](spark, sf_dir))
+    n = views.rollouts(spark, sf_dir).count()
+    assert layouts == [-(-n // 500)] * 2 and layouts[0] > registry.BUCKETS
+    assert got == rows(registry.QUERIES["training_metrics"](spark, sf_dir))

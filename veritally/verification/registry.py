@@ -687,8 +687,9 @@ def training(spark, d):
 
 def training_bucketed(spark, d):
     """Token scores stored in buckets of the sequence: no token is moved."""
-    layout = Layout(["seq_id"], BUCKETS, ["pos"])
-    by_epoch = Layout(["seq_id"], BUCKETS, ["pos"], ["ppo_epoch"])
+    buckets = max(BUCKETS, ceil(views.problems(spark, d).count() * V.GROUP_SIZE / BUCKET_SEQUENCES))
+    layout = Layout(["seq_id"], buckets, ["pos"])
+    by_epoch = Layout(["seq_id"], buckets, ["pos"], ["ppo_epoch"])
     old = write_bucketed(views.old_logprobs(spark, d), fresh_path(spark, "bucketed-old"), layout)
     new = write_bucketed(views.new_logprobs(spark, d), fresh_path(spark, "bucketed-new"), by_epoch)
     return _rounded_metrics(training_metrics(_batched_scores(spark, d), old, new, F.lit(views.PROMPT_TOKENS)))
