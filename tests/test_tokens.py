@@ -3,12 +3,13 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan, rows
 from veritally.functions import surrogate, tokens
-from veritally.operators import policy, sequences
+from veritally.operators import blocks, policy, sequences
 from veritally.plans.examples import prepare_examples
 from veritally.workspace import materialize
 
@@ -138,6 +139,34 @@ def test_only_words_past_the_head_are_shuffled(spark, monkeypatch):
     assert joined[1].count() == 0
 
 
+def test_a_word_past_the_head_is_looked_up_once_per_block(spark, monkeypatch):
+    """However often it comes in the rows of a block, both ways."""
+    texts = [(i, "the " * 9 + "one two three " * 20 + "four") for i in range(50)]
+    df = spark.createDataFrame(texts, "id long, text string").coalesce(1)
+    vocab = materialize(sequences.build_vocabulary(sequences.words(df, "id", F.col("text"))))
+    joined = []
+    plain = sequences.join_unique
+    monkeypatch.setattr(sequences, "join_unique", lambda rows, *a, **kw: joined.append(rows) or plain(rows, *a, **kw))
+    encoded = materialize(sequences.encode_rows(df, "id", F.col("text"), vocab, head_words=1))
+    decoded = sequences.decode_rows(encoded.coalesce(1), vocab, "id", [], head_words=1)
+    assert rows(decoded) == texts
+    assert [r.count() for r in joined] == [4, 4]  # not 50 x 61, which is moved twice
+
+
+@pytest.mark.parametrize("most", [1, 40, 10**6])
+def test_blocks_are_cut_off_by_tokens(spark, monkeypatch, most):
+    monkeypatch.setattr(blocks, "BLOCK_TOKENS", most)
+    texts = [(i, " ".join(f"w{j}" for j in range(i))) for i in range(1, 30)]
+    df = spark.createDataFrame(texts, "id long, text string").coalesce(1)
+    starts = np.concatenate([[0], np.cumsum([i for i, _ in texts])])
+    cuts = list(blocks._cuts(starts))
+    assert [a for a, _ in cuts] == [0, *(b for _, b in cuts[:-1])] and cuts[-1][1] == 29
+    assert all(starts[b] - starts[a] <= most or b == a + 1 for a, b in cuts)
+    vocab = materialize(sequences.build_vocabulary(sequences.words(df, "id", F.col("text"))))
+    encoded = sequences.encode_rows(df, "id", F.col("text"), vocab, head_words=3)
+    assert rows(sequences.decode_rows(encoded, vocab, "id", [], head_words=3)) == texts
+
+
 def test_words_outside_the_vocabulary_stay_as_null(spark):
     known = sequences.words(spark.createDataFrame([(1, "a b")], "id long, text string"), "id", F.col("text"))
     other = sequences.words(spark.createDataFrame([(1, "b z a")], "id long, text string"), "id", F.col("text"))

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veritally.functions.tokens import drop_special, pad_right
+from veritally.operators.blocks import BLOCK, CODES, OPEN, PARTS, Coded, Head, code_blocks, fill_blocks
 from veritally.operators.numbering import number_rows
 from veritally.operators.skew import NO_HOT, Hot, join_unique, with_group_stats
 from veritally.workspace import materialize
@@ -16,7 +21,6 @@ from veritally.workspace import materialize
 FIRST_TOKEN_ID = 1  # 0 is kept for padding
 HEAD_WORDS = 65_536
 KEY_CHARS = 64
-SLOT_WORDS = 8  # of the head that share a place in its lookup
 NULL_KEYS = 1024  # rows without a token are spread over this many keys that match nothing
 
 
@@ -54,11 +58,11 @@ def build_vocabulary(tokens: DataFrame) -> DataFrame:
         tokens.where(F.col("word").isNotNull())
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("_md5", F.md5("word"))
     )
     counted = materialize(counted, "word-counts")  # the texts are read once
+    counted = counted.withColumn("_md5", F.unhex(F.md5("word")))  # half as long to move as its digits, in the same order
     pieces = 16**3
-    bucket = -F.col("n") * pieces + F.conv(F.substring("_md5", 1, 3), 16, 10).cast("long")
+    bucket = -F.col("n") * pieces + F.conv(F.substring(F.hex("_md5"), 1, 3), 16, 10).cast("long")
     return number_rows(counted, bucket, ["_md5", "word"], "token_id", levels=2).select(
         "word", "n", (F.col("token_id") + FIRST_TOKEN_ID).cast("bigint").alias("token_id")
     )
@@ -134,53 +138,72 @@ def decode_ids(
     )
 
 
-def _head_ids(vocabulary: DataFrame, head_words: int) -> tuple[Column, int]:
-    """The head as a constant: an array of maps from word to id, and the number of these places. At most ``head_words`` keys
-    of bounded length reach the driver, and go to the tasks in the plan. A map is searched from its start, so each is short."""
-    slots = max(1, head_words // SLOT_WORDS)
-    rows = (
-        vocabulary.where(F.col("token_id") < FIRST_TOKEN_ID + head_words)
-        .select(_word_key(F.col("word")).alias("key"), "token_id")
-        .select("key", "token_id", F.pmod(F.xxhash64("key"), F.lit(slots)).alias("slot"))
-        .collect()
-    )
-    places: list[dict[str, int]] = [{} for _ in range(slots)]
-    for r in rows:
-        places[r["slot"]][r["key"]] = r["token_id"]
-    return F.from_json(F.lit(json.dumps(places)), "array<map<string,bigint>>"), slots
+def _head_ids(vocabulary: DataFrame, head_words: int) -> Head:
+    """Looks words up in the head by their ``_word_key``. At most ``head_words`` keys of bounded length reach the driver, and go to the tasks with the code."""
+    head = vocabulary.where(F.col("token_id") < FIRST_TOKEN_ID + head_words).select(_word_key(F.col("word")).alias("key"), "token_id").collect()
+    keys, ids = [r["key"] for r in head], [r["token_id"] for r in head]
+
+    def at_home(words: pa.Array) -> Coded:
+        long = pc.greater(pc.utf8_length(words), KEY_CHARS)
+        if pc.any(long).as_py():
+            digests = ["\u0000" + hashlib.sha256(w.as_py().encode()).hexdigest() for w in words.filter(long)]
+            words = pc.replace_with_mask(words, long, pa.array(digests, words.type))
+        place = pc.index_in(words, value_set=pa.array(keys, words.type))
+        found = pc.is_valid(place).to_numpy(zero_copy_only=False)
+        codes = np.zeros(len(words), np.int64)
+        codes[found] = np.array(ids, np.int64)[place.drop_null().to_numpy()]
+        return codes, found
+
+    return at_home
 
 
-def _head_words(vocabulary: DataFrame, head_words: int) -> Column:
-    """The words of the head by their id, as a constant; NULL for one that is too long for it."""
+def _head_words(vocabulary: DataFrame, head_words: int) -> list[str | None]:
+    """The words of the head by their id; NULL for one that is too long for it."""
     rows = vocabulary.where((F.col("token_id") < FIRST_TOKEN_ID + head_words) & (F.length("word") <= KEY_CHARS)).select("token_id", "word").collect()
     words_by_id: list[str | None] = [None] * (max((r["token_id"] for r in rows), default=0) + 1)
     for r in rows:
         words_by_id[r["token_id"]] = r["word"]
-    return F.from_json(F.lit(json.dumps(words_by_id)), "array<string>")
+    return words_by_id
 
 
-def _unknown(parts: Column, known: Column) -> Column:
-    """(pos, part) for every part whose place in ``known`` is NULL."""
-    entries = F.transform(parts, lambda p, i: F.when(F.get(known, i).isNull() & p.isNotNull(), F.struct(i.alias("pos"), p.alias("part"))))
-    return F.filter(entries, lambda e: e.isNotNull())
+def _known_ids(words_by_id: list[str | None]) -> Head:
+    """Says which ids are in the head."""
+    known = np.array([w is not None for w in words_by_id])
 
+    def at_home(ids: pa.Array) -> Coded:
+        codes = ids.to_numpy(zero_copy_only=False).astype(np.int64)
+        inside = (codes >= 0) & (codes < len(known))
+        return codes, inside & known[np.where(inside, codes, 0)]
 
-def _fill_in(rows: DataFrame, key: str, lookup: DataFrame, found: str, hot: Hot, keep: Sequence[str]) -> DataFrame:
-    """``rows`` of (key, *keep, known, unknown) with ``known`` completed from ``lookup`` of (part, found).
+    return at_home
+
+
+def _fill_in(
+    stored: DataFrame, key: str, keep: Sequence[str], lookup: DataFrame, found: str, hot: Hot, part: Callable[[Column], Column] = lambda c: c, known: pa.Array | None = None
+) -> DataFrame:
+    """(key, *keep, known) of rows from ``code_blocks``, with ``known`` completed from ``lookup`` of (part, found).
 
-    Only the unknown parts become rows. What is found of them goes back to its row, in the row's order, by one join.
+    The distinct unknown parts of each block become rows. What is found of them goes back to the block's rows, which meet there.
+    Should a key come more than once in spite of the contract, its rows have what is found for all of them.
     """
-    whole = rows.where(F.size("unknown") == 0).select(key, *keep, "known")
-    partial = rows.where(F.size("unknown") > 0)
-    parts = partial.select(key, F.explode("unknown").alias("_entry")).select(key, "_entry.pos", "_entry.part")
-    matched = join_unique(parts, lookup, "part", [key, "pos"], how="left", hot=hot, small=False)
-    entry = F.struct(F.col("pos"), F.col(found).alias("found"))
-    back = matched.groupBy(F.col(key).alias("_back")).agg(F.collect_list(entry).alias("_late"))
-    places = F.transform("known", lambda x, i: F.struct(i.alias("pos"), x.alias("found")))
-    early = F.filter(places, lambda e: e["found"].isNotNull())
-    merged = F.transform(F.array_sort(F.concat(early, "_late")), lambda e: e["found"])
-    joined = partial.join(back, F.col(key).eqNullSafe(F.col("_back")))
-    return whole.unionByName(joined.select(key, *keep, merged.alias("known")))
+    parts = stored.where(F.col(PARTS).isNotNull()).select(BLOCK, F.posexplode(PARTS).alias("j", "part"))
+    parts = parts.withColumn("part", part(F.col("part")))
+    matched = join_unique(parts, lookup, "part", [BLOCK, "j"], how="left", hot=hot, small=False)
+    done = fill_blocks(stored, matched, found, [key, *keep], known)
+    again = stored.where(F.col(OPEN)).groupBy(F.col(key).alias("_back")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if again.isEmpty():
+        return done.drop(CODES)
+    again = materialize(again.drop("n"), "keys-again")
+    same = F.col(key).eqNullSafe(F.col("_back"))
+    places = F.transform("known", lambda x, i: F.struct(i.alias("pos"), x.alias("found"), F.get(CODES, i).alias("code")))
+    entry = lambda e: F.struct(e["pos"].alias("pos"), e["found"].alias("found"))
+    early = F.transform(F.filter(places, lambda e: e["code"] >= 0), entry)
+    late = F.transform(F.filter(places, lambda e: e["code"] < 0), entry)
+    mine = done.join(again, same)
+    all_late = mine.groupBy("_back").agg(F.flatten(F.collect_list(late)).alias("_late"))
+    merged = F.transform(F.array_sort(F.concat(early, F.when(F.size(late) > 0, F.col("_late")).otherwise(late))), lambda e: e["found"])
+    shared = mine.drop("_back").join(all_late, same).select(key, *keep, merged.alias("known"))
+    return done.join(again, same, "left_anti").drop(CODES).unionByName(shared)
 
 
 def encode_rows(
@@ -195,21 +218,18 @@ def encode_rows(
 ) -> DataFrame:
     """(key, *carry, ids): each text's words, split at single spaces and cut off after ``max_words``, as ids in text order.
 
-    The words of the head are encoded inside the row, by a lookup that is a constant of the plan. Only what is left, words past
-    the head, is shuffled, and so are the ids of the rows that have some. A word outside the vocabulary gets NULL, a NULL text
-    no id. ``key`` is unique. The encoded rows are stored, so texts are read once. For hot words past the head see ``encode_words``.
+    The words of the head are encoded inside the row. Of what is left, words past the head, the distinct ones of each block of rows
+    are shuffled, and so are the coded rows that have some. A word outside the vocabulary gets NULL, a NULL text
+    no id. ``key`` is unique. The coded rows are stored, so texts are read once. For hot words past the head see ``encode_words``.
     """
-    lookup, slots = _head_ids(vocabulary, head_words)
     parts = F.coalesce(F.split(text, " "), F.array().cast("array<string>"))
     if max_words is not None:
         parts = F.slice(parts, 1, max_words)
-    keyed = df.select(key, *carry, F.transform(parts, _word_key).alias("_parts"))
-    at_home = lambda w: F.try_element_at(F.get(lookup, F.pmod(F.xxhash64(w), F.lit(slots)).cast("int")), w)
-    known = keyed.withColumn("known", F.transform("_parts", at_home))
-    encoded = known.withColumn("unknown", _unknown(F.col("_parts"), F.col("known"))).drop("_parts")
+    keyed = df.select(key, *carry, parts.alias("_parts"))
+    encoded = code_blocks(keyed, "_parts", [key, *carry], T.StringType(), _head_ids(vocabulary, head_words))
     tail = vocabulary.where(F.col("token_id") >= FIRST_TOKEN_ID + head_words)
     tail = tail.select(_word_key(F.col("word")).alias("part"), "token_id")
-    done = _fill_in(materialize(encoded, "encoded"), key, tail, "token_id", hot, carry)
+    done = _fill_in(materialize(encoded, "encoded"), key, carry, tail, "token_id", hot, _word_key)
     return done.withColumnRenamed("known", "ids")
 
 
@@ -223,11 +243,10 @@ def decode_rows(
     head_words: int = HEAD_WORDS,
 ) -> DataFrame:
     """(key, text): the way back, words joined by single spaces, special ids and those outside the vocabulary left out."""
-    lookup = _head_words(vocabulary, head_words)
-    kept = sequences.select(key, F.coalesce(drop_special(F.col(ids), special_ids), F.array().cast("array<bigint>")).alias("_ids"))
-    known = kept.withColumn("known", F.transform("_ids", lambda i: F.get(lookup, F.when(i.between(0, head_words), i).cast("int"))))
-    decoded = known.withColumn("unknown", _unknown(F.col("_ids"), F.col("known"))).drop("_ids")
+    words_by_id = _head_words(vocabulary, head_words)
+    kept = sequences.select(key, F.coalesce(drop_special(F.col(ids).cast("array<bigint>"), special_ids), F.array().cast("array<bigint>")).alias("_ids"))
+    decoded = code_blocks(kept, "_ids", [key], T.LongType(), _known_ids(words_by_id))
     rest = vocabulary.where((F.col("token_id") >= FIRST_TOKEN_ID + head_words) | (F.length("word") > KEY_CHARS))
     rest = rest.select(F.col("token_id").alias("part"), "word")
-    done = _fill_in(materialize(decoded, "decoded"), key, rest, "word", hot, [])
+    done = _fill_in(materialize(decoded, "decoded"), key, [], rest, "word", hot, known=pa.array(words_by_id, pa.string()))
     return done.select(key, F.array_join("known", " ").alias("text"))
