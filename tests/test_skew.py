@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from veritally.operators import policy, scoring, sequences, skew
+from veritally.plans import score
 from veritally.plans.score import score_rollouts
 
 N = 3000
@@ -126,3 +127,22 @@ def test_incomplete_group_fails_on_request(spark):
     assert scoring.group_size_violations(scored, 2).collect() == [(2, 1)]
     with pytest.raises(Exception, match="group 2 has 1 rows, not 2"):
         scoring.group_advantage(scored, 2, ()).collect()
+
+
+def test_groups_of_an_epoch_share_out_their_rows_by_number(spark, monkeypatch):
+    """The tasks of the join and of the group mean grow with the rows, and the join runs once: hot groups show in the rollouts."""
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
+    problems = spark.range(300).select(F.col("id").alias("problem_id"), F.lit("#### 5").alias("answer"))
+    sampled = problems.select("problem_id", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("sample_idx"), F.lit("the answer is 5").alias("completion"))
+    rollouts = sampled.withColumn("epoch", F.explode(F.array(F.lit(0), F.lit(1))))
+    parts = []
+    monkeypatch.setattr(score, "tasks_for", lambda df: parts.append(skew.tasks_for(df, 100)) or parts[-1])
+    looked = []
+    plain = skew.find_hot_keys
+    for module in (skew, score):
+        monkeypatch.setattr(module, "find_hot_keys", lambda df, *a, **kw: looked.append(df.columns) or plain(df, *a, **kw))
+    for small in (False, True):
+        got = score.score_rollouts(rollouts, problems, group_size=4, carry=["epoch"], group=["epoch", "problem_id"], small=small)
+        assert got.count() == 2400 and got.where("reward = 1 and advantage = 0").count() == 2400
+        assert got.rdd.getNumPartitions() == 24
+    assert parts == [24, 24] and all("gt" not in columns for columns in looked)

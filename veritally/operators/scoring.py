@@ -29,10 +29,11 @@ def attach_gold(
     keep_salt: bool = False,
     small: bool | None = None,
     unicode: bool = False,
+    parts: int | None = None,
 ) -> DataFrame:
     """Pair each completion's number with its problem's gold number; ``unicode`` as in ``extract_prediction``.
 
-    ``carry`` and ``problem_columns`` name further columns to keep of either side.
+    ``carry`` and ``problem_columns`` name further columns to keep of either side; ``parts`` as in ``join_unique``.
     Next to a broadcast the completion is read after the join, so completions of
     other problems cost no search. Before a shuffle it is reduced to its number
     first, so no text is shuffled.
@@ -55,6 +56,7 @@ def attach_gold(
         hot=hot,
         keep_salt=keep_salt,
         small=False,
+        parts=parts,
     )
 
 

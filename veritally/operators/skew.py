@@ -12,6 +12,7 @@ The sample only decides how far a key is spread. Every row goes into every resul
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,6 +53,11 @@ def find_hot_keys(df: DataFrame, key: Keys, rows_per_task: int = ROWS_PER_TASK)
     return NO_HOT if found.isEmpty() else materialize(found, "hot-keys")  # nearly always nothing is found, nor stored
 
 
+def tasks_for(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> int:
+    """As many tasks as ``df`` needs for at most ``rows_per_task`` rows each, and no fewer than run at once."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, ceil(df.count() / rows_per_task))
+
+
 def _small(table: DataFrame) -> DataFrame:
     """A table with a broadcast hint if it is short, else as it is: Spark then shuffles it."""
     return F.broadcast(table) if table.select(F.lit(1)).offset(BROADCAST_ROWS).isEmpty() else table
@@ -95,13 +101,15 @@ def join_unique(
     hot: Hot | None = None,
     keep_salt: bool = False,
     small: bool | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """Join ``rows`` to ``lookup``, which has one row per ``key``.
 
     A lookup that ``fits_broadcast`` is broadcast; ``small`` states the answer where
     the caller knows it. Otherwise both sides are shuffled, with hot keys of ``rows``
     salted and only the few lookup rows that belong to them copied. The hint keeps
-    Spark from broadcasting ``rows`` on a low size estimate.
+    Spark from broadcasting ``rows`` on a low size estimate. ``parts`` is the number of tasks that share a shuffled join; without it
+    Spark decides.
     """
     keys = names(key)
     small = fits_broadcast(lookup) if small is None else small
@@ -109,9 +117,11 @@ def join_unique(
         return rows.join(F.broadcast(lookup), keys, how)
     hot = find_hot_keys(rows, keys) if hot is None else hot
     if not is_hot(hot):
-        return rows.hint("merge").join(lookup, keys, how)
-    salted = add_salt(rows, keys, hot, spread).hint("merge")
-    joined = salted.join(replicate(lookup, keys, hot), [*keys, SALT], how)
+        dealt = rows.repartition(parts, *keys) if parts else rows
+        return dealt.hint("merge").join(lookup, keys, how)
+    salted = add_salt(rows, keys, hot, spread)
+    salted = salted.repartition(parts, *keys, SALT) if parts else salted
+    joined = salted.hint("merge").join(replicate(lookup, keys, hot), [*keys, SALT], how)
     return joined if keep_salt else joined.drop(SALT)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from veritally.functions.rewards import RewardFn, binary_reward
 from veritally.operators.scoring import add_reward, attach_gold, group_advantage
-from veritally.operators.skew import Hot, Keys, find_hot_keys, names
+from veritally.operators.skew import NO_HOT, Hot, Keys, find_hot_keys, fits_broadcast, is_hot, names, tasks_for
 
 
 def score_rollouts(
@@ -30,10 +30,18 @@ def score_rollouts(
     problem table costs one exchange per side and a broadcast one costs one in all.
     ``small`` says whether the golds can be broadcast; None has their size checked.
     ``group`` names the columns that make a group, see ``group_advantage``; those that ``problems`` does not
-    have must be among ``carry``. ``unicode`` reads digits and spaces of all scripts. With more than the problem, hot groups are looked for apart from hot problems.
+    have must be among ``carry``. ``unicode`` reads digits and spaces of all scripts. With more than the problem, hot groups are looked for apart from hot problems,
+    among the rollouts where these have the group's columns, and as many tasks share the rows as need to hold a bounded number each.
     """
     if names(group) != ["problem_id"]:
-        paired = attach_gold(rollouts, problems, carry, problem_columns, small=small, unicode=unicode)
+        small = fits_broadcast(problems.select("problem_id", *problem_columns)) if small is None else small
+        hot_problems = NO_HOT if small else find_hot_keys(rollouts, "problem_id")
+        parts = tasks_for(rollouts)
+        if hot is None and set(names(group)) <= set(rollouts.columns):
+            hot = find_hot_keys(rollouts, group)
+        paired = attach_gold(rollouts, problems, carry, problem_columns, hot_problems, small=small, unicode=unicode, parts=parts)
+        if small or is_hot(hot_problems):
+            paired = paired.repartition(parts, *names(group))
         return group_advantage(add_reward(paired, reward_fn, gold_precision), group_size, hot, group)
     hot = find_hot_keys(rollouts, "problem_id") if hot is None else hot
     paired = attach_gold(
