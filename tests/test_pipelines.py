@@ -326,6 +326,25 @@ def test_last_ppo_epoch_of_each_batch(spark, arrays):
     assert found[0][1] == pytest.approx(first) and found[1][1] == pytest.approx(second)
 
 
+@pytest.mark.parametrize("late", [False, True])
+def test_sequences_meet_their_batch_only_if_last_ppo_epochs_differ(spark, monkeypatch, late):
+    """Sequence 11 has a later PPO epoch than 10, or the same; batch 2 has no token in the loss."""
+    scored = spark.createDataFrame(
+        [(10, 0, 0, 1.0, 0.5), (11, 0, 1, 0.0, -1.0), (12, 0, 2, 1.0, 1.0)],
+        "seq_id long, epoch int, batch_id long, reward double, advantage double",
+    )
+    old = spark.createDataFrame([(10, [-1.0, -2.0]), (11, [-1.0, -1.5]), (12, [-1.0])], "seq_id long, lps array<double>")
+    scores = [(0, 10, [-1.0, -5.0]), (1, 10, [-1.0, -2.1]), (1, 11, [-1.0, -1.4]), (1, 12, [-1.0])]
+    scores += [(4, 11, [-1.0, -1.5])] if late else []
+    new = spark.createDataFrame(scores, "ppo_epoch int, seq_id long, lps array<double>")
+    met = []
+    plain = training_plan._last_ppo_epochs
+    monkeypatch.setattr(training_plan, "_last_ppo_epochs", lambda *a: met.append(1) or plain(*a))
+    got = dict(rows(training_metrics_from_arrays(scored, old, new, F.lit(2)).select("batch_id", "loss")))
+    assert got[0] == pytest.approx(-math.exp(-0.1) * 0.5) and got[1] == pytest.approx(1.0 if late else math.exp(0.1))
+    assert got[2] is None and len(met) == late
+
+
 def test_earlier_ppo_epochs_stay_out_of_the_joins(spark, tmp_path, monkeypatch):
     """The filter on the PPO epoch is below the exchange; stored by PPO epoch it rules out folders."""
     spark.createDataFrame([(p, 1, i, -1.0) for p in range(3) for i in range(3)], "ppo_epoch int, seq_id long, pos int, lp double").write.partitionBy("ppo_epoch").parquet(f"{tmp_path}/new")

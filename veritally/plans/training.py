@@ -14,11 +14,12 @@ from veritally.functions.tokens import in_loss
 from veritally.operators.batching import seeded_batches
 from veritally.operators.metrics import batch_mean_reward, running_reward
 from veritally.operators.policy import align_arrays, align_logprobs, broadcast_advantage, policy_loss
-from veritally.operators.skew import Hot, Keys, fits_broadcast, names
+from veritally.operators.skew import Hot, Keys, fits_broadcast, names, tasks_for
 from veritally.plans.score import score_rollouts
 from veritally.workspace import materialize
 
 LISTED_PPO_EPOCHS = 64
+SEQUENCES_PER_TASK = 500_000
 
 
 def batched_scores(
@@ -83,6 +84,12 @@ def _stored_scores(scored: DataFrame, sequence: list[str]) -> DataFrame:
     return materialize(scored.select(*columns), "scores")
 
 
+def _one_last_ppo_epoch(per_sequence: DataFrame) -> int | None:
+    """The last PPO epoch if it is the same for every sequence, as it is where all of a run's epochs were scored."""
+    least, most, unknown = per_sequence.agg(F.min("ppo_epoch"), F.max("ppo_epoch"), F.max(F.col("ppo_epoch").isNull())).first()
+    return most if least == most and not unknown else None
+
+
 def _last_ppo_epochs(first_tokens: DataFrame, scored: DataFrame, sequence: list[str]) -> tuple[DataFrame, Column]:
     """Sequences with the last PPO epoch of their batch, and a filter on ``ppo_epoch`` that holds for all of these.
 
@@ -161,7 +168,14 @@ def training_metrics_from_arrays(
     scored = _stored_scores(scored, keys)
     start = F.greatest(prompt_length - 1, F.lit(0))
     starts = new.where(F.size("lps") > start).select(*keys, "ppo_epoch")
-    sequences, wanted = _last_ppo_epochs(starts, scored, keys)
+    starts = materialize(starts.groupBy(*keys).agg(F.max("ppo_epoch").alias("ppo_epoch")), "last-of-sequences")
+    last = _one_last_ppo_epoch(starts)
+    if last is None:
+        sequences, wanted = _last_ppo_epochs(starts, scored, keys)
+    else:  # of every batch: no sequence has to meet its batch to know
+        wanted = F.col("ppo_epoch") == last
+        sequences = scored.select(*dict.fromkeys([*keys, "epoch", "batch_id", "advantage"]), F.lit(last).alias("_last"))
+        sequences = sequences.repartition(tasks_for(sequences, SEQUENCES_PER_TASK), *keys)  # three tables meet in a task
     tokens = align_arrays(old, new.where(wanted), sequences, keys, start).where("ppo_epoch = _last")
     logged = partial(_logged_metrics, exact=True) if exact else _logged_metrics
     return logged(scored, tokens, clip_eps)
