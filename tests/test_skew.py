@@ -146,3 +146,8 @@ def test_groups_of_an_epoch_share_out_their_rows_by_number(spark, monkeypatch):
         assert got.count() == 2400 and got.where("reward = 1 and advantage = 0").count() == 2400
         assert got.rdd.getNumPartitions() == 24
     assert parts == [24, 24] and all("gt" not in columns for columns in looked)
+
+
+def test_a_task_gets_half_a_million_dealt_rows_at_most(spark):
+    slots = spark.sparkContext.defaultParallelism
+    assert skew.tasks_for(spark.range(slots * 500_000 + 1)) == slots + 1

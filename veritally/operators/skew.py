@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from veritally.workspace import materialize
 
 ROWS_PER_TASK = 2_000_000
+DEALT_ROWS = 500_000  # of one task where rows are dealt to a stated number of tasks: sorted twice there, about 250 bytes a row
 BROADCAST_ROWS = 200_000
 SAMPLE_ROWS = 4_000  # sampled rows of a key that is just hot: its count is then known within 5%
 SALT = "_salt"
@@ -53,7 +54,7 @@ def find_hot_keys(df: DataFrame, key: Keys, rows_per_task: int = ROWS_PER_TASK)
     return NO_HOT if found.isEmpty() else materialize(found, "hot-keys")  # nearly always nothing is found, nor stored
 
 
-def tasks_for(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> int:
+def tasks_for(df: DataFrame, rows_per_task: int = DEALT_ROWS) -> int:
     """As many tasks as ``df`` needs for at most ``rows_per_task`` rows each, and no fewer than run at once."""
     return max(df.sparkSession.sparkContext.defaultParallelism, ceil(df.count() / rows_per_task))
 
