@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import plan
 from veritally.llm import decontaminate
 
 LONGEST = max(map(len, decontaminate.MASKS))
@@ -97,3 +98,11 @@ def test_short_items(spark):
     assert found(1) == [(1, 1), (3, 2), (5, 3)]
     assert found(3) == [(5, 3)]
     assert found(20) == []
+
+
+def test_plan_does_not_spell_out_the_bitmap(spark):
+    docs, items = corpus(7)
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.find_leaks(*frames)
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == by_all_places(docs, items)
+    assert len(plan(found, "extended")) < 200_000

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import ctypes
-import json
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,9 +79,10 @@ def _places(key: Column, bits: int) -> list[Column]:
     return [F.pmod(k, F.lit(bits)) for k in (key, F.shiftright(key, 32))]
 
 
-def bitmap_literal(bitmap: np.ndarray) -> Column:
-    """A bitmap as a constant: it goes into the plan as one text that Spark reads once."""
-    return F.from_json(F.lit(json.dumps(bitmap.tolist())), "array<bigint>")
+def bitmap_value(spark: SparkSession, bitmap: np.ndarray) -> Column:
+    """A bitmap as a value: the plan refers to a table of one row that Spark reads once, and does not spell it out wherever it is
+    used. Lambdas cannot use it as it is, only a column that has it."""
+    return spark.createDataFrame(pa.table({"words": pa.array([bitmap], pa.list_(pa.int64()))})).scalar()
 
 
 def is_set(words: Column, bits: int, key: Column) -> Column:
@@ -139,6 +139,6 @@ def drop_listed(rows: DataFrame, listed: DataFrame, key: str) -> DataFrame:
     if is_small(listed):
         return rows.join(F.broadcast(listed), key, "left_anti")
     bitmap = bitmap_of(listed.select(F.xxhash64(key).alias("h")), "h")
-    maybe = F.col(key).isNotNull() & is_set(bitmap_literal(bitmap), BITMAP_BITS, F.xxhash64(F.col(key)))
+    maybe = F.col(key).isNotNull() & is_set(bitmap_value(rows.sparkSession, bitmap), BITMAP_BITS, F.xxhash64(F.col(key)))
     rest = rows.where(maybe).join(listed, key, "left_anti")
     return rows.where(~maybe).unionByName(rest)

@@ -20,7 +20,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veritally.llm.common import bitmap_literal, bitmap_of, drop_listed, is_set, unused_name
+from veritally.llm.common import bitmap_of, bitmap_value, drop_listed, is_set, unused_name
 from veritally.workspace import materialize
 
 # 1 keeps a word, 0 ignores it. Six words each, over windows of seven to nine.
@@ -131,9 +131,10 @@ def find_leaks(
     seeds = materialize(benchmark_seeds(items, item_text, item_key, masks, least), "seeds")
     held = seeds.agg(F.collect_set("mask"), F.sum(F.size("item_around") * 8 + ROW_BYTES)).first()
     shapes, size = sorted(held[0]) or list(masks), held[1] or 0
-    bitmap = bitmap_literal(bitmap_of(seeds, "seed", SEED_BITS))
-    likely = _windows(words(F.col(text)), shapes, lambda seed: is_set(bitmap, SEED_BITS, seed), REACH)
-    likely = docs.select(F.col(key).alias("doc_id"), F.explode(likely).alias("w")).select("doc_id", "w.*").drop("mask")
+    bitmap = bitmap_value(docs.sparkSession, bitmap_of(seeds, "seed", SEED_BITS))
+    texts = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("_text"), bitmap.alias("_held"))
+    likely = _windows(words(F.col("_text")), shapes, lambda seed: is_set(F.col("_held"), SEED_BITS, seed), REACH)
+    likely = texts.select("doc_id", F.explode(likely).alias("w")).select("doc_id", "w.*").drop("mask")
     seeds = seeds.drop("mask")
     hits = likely.join(F.broadcast(seeds) if size <= BROADCAST_BYTES else seeds.hint("merge"), "seed")
     # Word j of item_around lies beside word at - item_at + item_from + j of the text.

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veritally.llm.common import BITMAP_BITS, bitmap_literal, bitmap_of, is_set, is_small
+from veritally.llm.common import BITMAP_BITS, bitmap_of, bitmap_value, is_set, is_small
 from veritally.workspace import materialize
 
 CLAUSE_END = r"([.!?,;:]) "
@@ -165,7 +165,7 @@ def _rows_of(rows: DataFrame, heads: DataFrame) -> DataFrame:
     if is_small(listed):
         return rows.join(F.broadcast(listed), "_k", "left_semi")
     bitmap = bitmap_of(listed.select(F.xxhash64("_k").alias("h")), "h")
-    return rows.where(is_set(bitmap_literal(bitmap), BITMAP_BITS, F.xxhash64("_k"))).join(listed, "_k", "left_semi")
+    return rows.where(is_set(bitmap_value(rows.sparkSession, bitmap), BITMAP_BITS, F.xxhash64("_k"))).join(listed, "_k", "left_semi")
 
 
 def document_fingerprints(docs: DataFrame) -> DataFrame:
