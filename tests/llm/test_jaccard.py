@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 
+from veritally import workspace
 from veritally.llm import jaccard
 from veritally.llm.components import components
 
@@ -129,6 +130,35 @@ def test_sides_of_a_tree():
     assert sorted(seen) == [(i, j) for i in range(150) for j in range(i + 1, 150) if sides[i] != sides[j]]
 
 
+def test_few_files_for_few_rows(spark, tmp_path, monkeypatch):
+    """Stored tables of few rows have few files, whatever the number of shuffle partitions; every file costs an executor two
+    more processes on a local disk. Results stay the same."""
+    monkeypatch.setattr(workspace, "shared_dir", lambda _: str(tmp_path))
+    few = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in few}
+    docs = corpus(11, 120)
+    for k, v in few.items():
+        spark.conf.set(k, v)
+    try:
+        assert found(spark, docs, width=3, threshold=80, chunk_docs=3, large_run=2) == by_all_pairs(docs, 3, 80)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = {p.name: len(list(p.glob("part-*"))) for p in tmp_path.iterdir()}
+    assert {n.split("-")[0] for n in files} >= {"edges", "large", "small", "members", "links", "labelled"}
+    assert all(n == 1 for name, n in files.items() if name.split("-")[0] not in ("classes", "sets")), files
+
+
+@pytest.mark.parametrize("threshold", [1, 30, 50, 80, 85, 100])
+def test_bound_of_routed_rows(threshold):
+    rng = np.random.default_rng(threshold)
+    level = np.zeros(jaccard.CELLS, dtype=np.uint8)
+    for n in (1, 2, 63, 64, 65, 127, 128, 300, 5_000):
+        sets = [np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for _ in range(3)]
+        routed = sum(len(jaccard.part_rows(s, threshold, level)[0]) for s in sets)
+        assert routed <= jaccard._routed_most(3, sum(map(len, sets)), threshold)
+
+
 def test_odd_rows(spark):
     docs = [
         (3, None), (4, ""), (5, " \t\n"), (6, "one"), (2, "ONE"), (7, "one two"), (7, "one two"), (7, "other words here"),

@@ -2,7 +2,8 @@
 
 Each step gives every node's neighbours the smallest node among them; minima are combined before the shuffle
 and joined back, so a node with very many neighbours never meets them in one task (Spark splits the large
-side of the join). Steps are stored, which cuts the lineage and survives lost executors.
+side of the join). Steps are stored, which cuts the lineage and survives lost executors; in as many files as their rows
+call for, however many shuffle partitions there are.
 """
 
 from __future__ import annotations
@@ -27,17 +28,21 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
     return out.where("a <> b").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, component) for every node of ``edges`` (a, b), both long; the component is its smallest node."""
+def components(edges: DataFrame, most: int | None = None) -> DataFrame:
+    """(node, component) for every node of ``edges`` (a, b), both long; the component is its smallest node.
+
+    ``most``, where it is known, is a number of rows that ``edges`` does not exceed.
+    """
     ordered = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    state = materialize(ordered, "edges")
+    state = materialize(ordered, "edges", most)
     seen = None
     while True:
         figures = state.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
         if (figures["n"], figures["x"]) == seen or not figures["n"]:
             break
         seen = (figures["n"], figures["x"])
-        state = materialize(_star(materialize(_star(state, True), "large"), False), "small")
+        large = materialize(_star(state, True), "large", figures["n"])  # no step adds edges
+        state = materialize(_star(large, False), "small", figures["n"])
     roots = state.select(F.col("b").alias("node")).distinct()
     return state.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         roots.withColumn("component", F.col("node"))

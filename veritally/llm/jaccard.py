@@ -250,10 +250,18 @@ def part_counts(n: int, threshold: int) -> list[int]:
     return counts
 
 
-def _count_cells(docs: DataFrame, width: int) -> np.ndarray:
+def _routed_most(sets: int, shingles: int, threshold: int) -> int:
+    """A number that the rows of ``_route`` do not exceed, for so many sets with so many shingles in all: for each part count the
+    prefixes of the parts, of which a set has one, or one per ``PART`` shingles."""
+    counts = 1 + (-(-100 // threshold) - 1).bit_length()
+    return counts * (shingles * (100 - threshold) // 100 + shingles // PART + sets)
+
+
+def _count_cells(docs: DataFrame, width: int, total: int) -> np.ndarray:
     """How common the shingles of each cell are: 0, or 1 and up for cells with many more documents than the mean.
 
-    Counts run over all documents; the driver gets the cells above a multiple of the mean, at most ``CELLS / HOT_TIMES``.
+    Counts run over all documents, whose sets have ``total`` shingles in all; the driver gets the cells above a multiple of the
+    mean, at most ``CELLS / HOT_TIMES``.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,10 +275,8 @@ def _count_cells(docs: DataFrame, width: int) -> np.ndarray:
             yield _arrow(cell=some.astype(np.int32), n=counts[some])
 
     cells = in_arrow(docs, run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    stored = materialize(cells, "cells")
-    total = stored.agg(F.sum("n").alias("n")).first()["n"] or 0
     least = max(HOT_ROWS, HOT_TIMES * total / CELLS)
-    hot = stored.where(F.col("n") >= least).toArrow()
+    hot = cells.where(F.col("n") >= least).toArrow()
     level = np.zeros(CELLS, dtype=np.uint8)
     level[hot["cell"].to_numpy()] = 1 + np.log2(hot["n"].to_numpy() / least).astype(np.uint8)
     return level
@@ -486,12 +492,15 @@ def _meetings(piece: Column, pieces: Column, rest: Column, apart: Column) -> Col
     return F.when(apart, F.concat(with_apart, with_rest)).otherwise(of_rest)
 
 
-def _links(docs: DataFrame, sizes: DataFrame, groups: DataFrame, width: int, threshold: int, chunk_docs: int) -> DataFrame:
-    """Verified edges that connect exactly the classes that links connect."""
+def _links(
+    docs: DataFrame, sizes: DataFrame, groups: DataFrame, width: int, threshold: int, chunk_docs: int, most: int
+) -> tuple[DataFrame, int]:
+    """Verified edges that connect exactly the classes that links connect, and a number that they do not exceed; there are ``most``
+    classes or fewer."""
     members = sizes.join(groups.withColumnsRenamed({"node": "class_id", "component": "group"}), "class_id")
     load = F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s")
     loads = members.groupBy("group").agg(*load).where("n > 1").select("group", _pieces(chunk_docs).alias("chunks"))
-    members = materialize(members.select("class_id", "group", "n_shingles").join(loads, "group"), "members")
+    members = materialize(members.select("class_id", "group", "n_shingles").join(loads, "group"), "members", most)
     listed = members.drop("n_shingles")
     sets = _candidate_sets(docs, listed, width).join(F.broadcast(listed) if is_small(listed) else listed, "class_id")
     sets = materialize(sets, "sets")
@@ -500,29 +509,33 @@ def _links(docs: DataFrame, sizes: DataFrame, groups: DataFrame, width: int, thr
     dealt = sets.withColumn("round", F.explode(rounds))
     dealt = dealt.withColumn("tree", F.xxhash64("group", "round", chunk(F.col("round"), F.col("chunks"))))
     dealt = dealt.withColumns({"side": F.lit(0), "label": F.col("class_id")})
-    found = materialize(_group_edges(dealt, threshold), "links")
+    found = _group_edges(dealt, threshold)  # a class has one edge in a tree at most, and two rounds
     large = sets.where("chunks > 1")
     if large.isEmpty():
-        return found
+        return found, 2 * most
+    found = materialize(found.distinct(), "links", 2 * most)
 
     # Documents that are not in the largest connected part of a large group meet each other and that part.
-    parts = components(found).withColumnsRenamed({"node": "class_id", "component": "label"})
+    parts = components(found, 2 * most).withColumnsRenamed({"node": "class_id", "component": "label"})
     labelled = members.where("chunks > 1").join(parts, "class_id", "left").withColumn("label", F.coalesce("label", "class_id"))
     counts = labelled.groupBy("group", "label").agg(F.count(F.lit(1)).alias("n"))
     largest = counts.groupBy("group").agg(F.max_by("label", F.struct("n", "label")).alias("largest"))
     labelled = labelled.join(largest, "group").withColumn("apart", F.col("label") != F.col("largest"))
-    labelled = materialize(labelled.select("class_id", "group", "n_shingles", "label", "apart"), "labelled")
+    labelled = materialize(labelled.select("class_id", "group", "n_shingles", "label", "apart"), "labelled", most)
     loads = labelled.groupBy("group", "apart").agg(*load).withColumn("k", _pieces(chunk_docs)).groupBy("group")
-    loads = loads.agg(F.max(F.when(F.col("apart"), F.col("k"))).alias("pieces"), F.max(F.when(~F.col("apart"), F.col("k"))).alias("rest"))
+    of = lambda c, apart: F.max(F.when(F.col("apart") == F.lit(apart), F.col(c)))
+    loads = loads.agg(of("k", True).alias("pieces"), of("k", False).alias("rest"), of("n", True).alias("n"), of("n", False).alias("m"))
     loads = loads.where("pieces > 0")
-    if loads.isEmpty():
-        return found
+    met = loads.agg(F.sum(F.expr("n * (pieces + rest) + m * pieces")).alias("met")).first()["met"]
+    if met is None:
+        return found, 2 * most
+    loads = loads.drop("n", "m")
     own = F.when(F.col("apart"), F.col("pieces")).otherwise(F.col("rest"))
     again = labelled.join(loads, "group").select("class_id", "label", "pieces", "rest", "apart", chunk(F.lit(2), own).alias("piece"))
     meetings = F.explode(_meetings(F.col("piece"), F.col("pieces"), F.col("rest"), F.col("apart")))
     again = large.join(again, "class_id").withColumn("meeting", meetings).select("*", "meeting.*")
     more = _group_edges(again.withColumn("tree", F.xxhash64("group", "first", "second")), threshold)
-    return found.unionByName(materialize(more, "links"))
+    return found.unionByName(more), 2 * most + met
 
 
 def jaccard_components(
@@ -555,10 +568,11 @@ def jaccard_components(
     schema = ", ".join(f"`{c}` long" for c in ("doc_id", *keep, "n_shingles", "class_id"))
     rows = materialize(in_arrow(texts, measure, schema), "classes")
     only_text = texts.select("_text")
-    routed = _route(only_text, width, threshold, _count_cells(only_text, width))
-    groups = components(_bucket_edges(routed, threshold, large_run))
+    figures = rows.where("n_shingles > 0").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("n_shingles"), F.lit(0)).alias("s")).first()
+    routed = _route(only_text, width, threshold, _count_cells(only_text, width, figures["s"]))
+    groups = components(_bucket_edges(routed, threshold, large_run), _routed_most(figures["n"], figures["s"], threshold))
     sizes = rows.where("n_shingles > 0").groupBy("class_id").agg(F.first("n_shingles").alias("n_shingles"))
-    linked = components(_links(only_text, sizes, groups, width, threshold, chunk_docs))
+    linked = components(*_links(only_text, sizes, groups, width, threshold, chunk_docs, figures["n"]))
     named = linked.withColumnsRenamed({"node": "class_id"})
     labelled = rows.where("n_shingles > 0").join(named, "class_id", "left").withColumn("component", F.coalesce("component", "class_id"))
     least = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
@@ -581,10 +595,11 @@ def keep_representatives(docs: DataFrame, text: str = "text", key: str = "doc_id
     found = materialize(found.select("component", "doc_id", F.col(name).alias("row")), "found")
     first = F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
     groups = found.groupBy("component").agg(first, F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    members = materialize(found.join(groups, "component").select(F.col("row").alias(name), "first"), "members")
+    most = found.count()
+    members = materialize(found.join(groups, "component").select(F.col("row").alias(name), "first"), "members", most)
     kept = drop_listed(marked, members.where(F.col(name) != F.col("first")).select(name), name)
     repeated = members.where(F.col(name) == F.col("first")).groupBy(name).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    repeated = materialize(repeated.select(name), "repeated")
+    repeated = materialize(repeated.select(name), "repeated", most)
     if not repeated.isEmpty():
         columns = [F.col(f"`{c}`") for c in docs.columns]
         several = kept.join(repeated, name, "left_semi").groupBy(name).agg(F.first(F.struct(*columns)).alias("one"))

@@ -9,6 +9,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROWS_PER_FILE = 1 << 18  # of a few numbers each, where ``materialize`` is told how many rows come
+
 _scopes: list[list[str]] = []
 
 
@@ -43,12 +45,17 @@ def workspace(spark: SparkSession) -> Iterator[None]:
             folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def materialize(df: DataFrame, name: str = "table", most: int | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     What follows neither repeats the work nor depends on executors that may be lost,
     reads only the columns it needs, and Spark knows the true size for its joins.
+
+    ``most`` is a number of narrow rows that ``df`` does not exceed. Its last stage then has no more tasks than those call for,
+    since every file has its cost, on a local disk two more processes beside the executor's. Rows are all written in any case.
     """
+    if most is not None:
+        df = df.coalesce(max(1, -(-most // ROWS_PER_FILE)))
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
