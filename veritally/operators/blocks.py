@@ -26,7 +26,7 @@ Coded = tuple[np.ndarray, np.ndarray]  # the ids of tokens, and whether the head
 Head = Callable[[pa.Array], Coded]
 
 
-def _bound_batches(df: DataFrame) -> None:
+def bound_batches(df: DataFrame) -> None:
     """A batch is held by the JVM and by Python; a limit that is already lower stays."""
     conf = df.sparkSession.conf
     limit = int(conf.get(BATCH_LIMIT, str(BATCH_BYTES)).rstrip("b"))
@@ -58,7 +58,7 @@ def _cuts(starts: np.ndarray) -> Iterator[tuple[int, int]]:
 def code_blocks(df: DataFrame, parts: str, kept: Sequence[str], part_type: T.DataType, head: Head) -> DataFrame:
     """(*kept, _block, _codes, _parts_of_block, _open): the tokens of the array ``parts`` as codes. The first row of a block has the
     distinct tokens that the head lacks, the others have NULL; ``_open`` says whether the row has any of them."""
-    _bound_batches(df)
+    bound_batches(df)
     fields = [T.StructField(f.name, f.dataType) for f in df.select(*kept).schema.fields]
     schema = T.StructType(
         [
@@ -114,7 +114,7 @@ def _take(codes: np.ndarray, known: pa.Array | None, place: np.ndarray, found: p
 def fill_blocks(stored: DataFrame, found: DataFrame, value: str, kept: Sequence[str], known: pa.Array | None = None) -> DataFrame:
     """(*kept, _codes, known): codes as values. ``found`` is (_block, j, value) for every distinct token that the head lacks; a value may
     be NULL. Rows that the head settles stay where they are."""
-    _bound_batches(stored)
+    bound_batches(stored)
     kind = found.schema[value].dataType
     fields = [T.StructField(f.name, f.dataType) for f in stored.select(*kept, CODES).schema.fields]
     schema = T.StructType([*fields, T.StructField("known", T.ArrayType(kind))])

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from veritally import fixed_values as V
 from veritally.functions.surrogate import clipped_surrogate, importance_ratio
 from veritally.functions.tokens import gather_label, label_logprob
-from veritally.operators.skew import NO_HOT, ROWS_PER_TASK, SALTS, Hot, Keys, fits_broadcast, join_unique, names
+from veritally.operators.runs import can_pack, deal_runs, pack_runs, parts_by, unpack_runs
+from veritally.operators.skew import NO_HOT, ROWS_PER_TASK, SALTS, Hot, Keys, fits_broadcast, is_hot, join_unique, names, tasks_for
 from veritally.session import ALL_KEYS
 from veritally.workspace import materialize
 
 EXACT = "decimal(38,18)"
 EXACT_BELOW = 1e9  # sums of up to 10^11 such values fit
+TOKENS_PER_TASK = 300_000  # of the old scores, about; new ones come once per PPO epoch, and both are sorted
+SAMPLE_TOKENS = 4_000
 
 
 def align_logprobs(old: DataFrame, new: DataFrame, sequence: Keys = "seq_id", strict: bool = False) -> DataFrame:
@@ -25,12 +28,16 @@ def align_logprobs(old: DataFrame, new: DataFrame, sequence: Keys = "seq_id", st
     the advantage or the PPO epoch. Both sides have every token, so neither is ever worth a broadcast: the
     sort-merge hint keeps a low size estimate from choosing one. On tables that arrive partitioned by
     sequence the join stays so: the session's ``spark.sql.requireAllClusterKeysForCoPartition`` is turned off for that.
+    New scores are then brought there in runs of a sequence's tokens (``operators.runs``), unless they are there already.
     Otherwise both key columns are hashed, which spreads even one very long sequence.
 
     With ``strict`` a token that only one side has ends the query with an error instead of being left out.
     """
     old.sparkSession.conf.set(ALL_KEYS, "false")
     keys = [*names(sequence), "pos"]
+    parts = parts_by(old, sequence)
+    if parts and parts_by(new, sequence) is None:
+        new = deal_runs(new, sequence, parts)
     left, right = old.withColumnRenamed("lp", "old_lp").hint("merge"), new.withColumnRenamed("lp", "new_lp")
     if not strict:
         return left.join(right, keys)
@@ -54,13 +61,33 @@ def long_sequences(tokens: DataFrame, rows_per_task: int = ROWS_PER_TASK, sequen
     return NO_HOT if hot.isEmpty() else hot
 
 
+def token_tasks(tokens: DataFrame, sequences: DataFrame, sequence: Keys = "seq_id") -> int:
+    """How many tasks share ``tokens``, so that one can sort its share in memory: the number of ``sequences`` times the mean length
+    among the first tokens. It decides about the plan only."""
+    first = tokens.select(*names(sequence)).take(SAMPLE_TOKENS)
+    length = max(1.0, len(first) / max(1, len(set(first))))
+    return tasks_for(sequences, max(1, int(TOKENS_PER_TASK / length)))
+
+
 def broadcast_advantage(
-    tokens: DataFrame, advantages: DataFrame, hot: Hot | None = None, sequence: Keys = "seq_id"
+    tokens: DataFrame, advantages: DataFrame, hot: Hot | None = None, sequence: Keys = "seq_id", parts: int | None = None
 ) -> DataFrame:
     """Give each token the columns of its sequence. There are as many sequences as
-    rollouts, so they are never broadcast."""
+    rollouts, so they are never broadcast.
+
+    Tokens of a sequence that lie together are shuffled and joined as one row (``operators.runs``) and are rows again behind
+    the join; ``parts`` is the number of tasks that share them, by default that of ``token_tasks``. Tables that arrive partitioned by
+    sequence stay where they are, and tokens of long sequences are spread one by one.
+    """
     hot = long_sequences(tokens, sequence=sequence) if hot is None else hot
-    return join_unique(tokens, advantages, sequence, ["pos"], hot=hot, small=False)
+    if is_hot(hot) or not can_pack(tokens, sequence) or parts_by(tokens, sequence):
+        return join_unique(tokens, advantages, sequence, ["pos"], hot=hot, small=False)
+    keys = names(sequence)
+    parts = token_tasks(tokens, advantages, sequence) if parts is None else parts
+    rest = [c for c in tokens.columns if c not in keys]
+    more = [c for c in advantages.columns if c not in keys]
+    joined = join_unique(pack_runs(tokens, keys), advantages, keys, ["pos"], hot=hot, small=False, parts=parts)
+    return unpack_runs(joined, rest).select(*keys, *rest, *more)
 
 
 def align_arrays(
