@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from conftest import plan, rows
 from veritally.operators import policy, runs
+from veritally.sources import bucketed
+from veritally.workspace import fresh_path
 
 ODD = [(1, 0, None), (1, 0, 2.0), (1, 0, 2.0), (None, 1, 3.0), (None, 2, 4.0), (2, None, 5.0), (1, 1, float("nan")), (2, 3, -0.0)]
 
@@ -71,3 +73,13 @@ def test_long_sequences_are_still_spread(spark):
     assert runs.parts_by(weighted, "seq_id") is None
     found = policy.align_logprobs(weighted, new)
     assert "MapInArrow" not in plan(found) and found.count() == 720
+
+
+def test_buckets_are_filled_with_whole_runs(spark, monkeypatch):
+    _, new, _ = scores(spark)
+    packed = []
+    pack = runs.pack_runs
+    monkeypatch.setattr(runs, "pack_runs", lambda df, key: packed.append(pack(df, key)) or packed[-1])
+    stored = bucketed.write_bucketed(new, fresh_path(spark, "test-runs"), bucketed.Layout(["seq_id"], 4, ["pos"], ["ppo_epoch"]))
+    assert packed[0].count() == 41 and rows(stored) == rows(new) and stored.columns == new.columns
+    assert runs.parts_by(stored, "seq_id") == 4

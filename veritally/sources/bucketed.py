@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from veritally.operators.runs import deal_runs
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -35,9 +37,10 @@ def _name(path: str) -> str:
 
 
 def write_bucketed(df: DataFrame, path: str, layout: Layout) -> DataFrame:
-    """Store ``df`` and return the stored table. Rows are shuffled here, once, so that each bucket is one file per folder."""
+    """Store ``df`` and return the stored table. Rows are shuffled here, once, so that each bucket is one file per folder; rows of
+    numbers that lie together under one key are shuffled as one."""
     keys, order = list(layout.keys), [*layout.keys, *layout.order]
-    writer = df.repartition(layout.buckets, *keys).write.format("parquet").mode("overwrite").option("path", path)
+    writer = deal_runs(df, keys, layout.buckets).write.format("parquet").mode("overwrite").option("path", path)
     writer = writer.bucketBy(layout.buckets, keys[0], *keys[1:]).sortBy(order[0], *order[1:])
     if layout.folders:
         writer = writer.partitionBy(*layout.folders)
