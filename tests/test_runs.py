@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan, rows
 from veritally.operators import policy, runs
+from veritally.plans import training
 from veritally.sources import bucketed
 from veritally.workspace import fresh_path
 
@@ -75,6 +76,22 @@ def test_long_sequences_are_still_spread(spark):
     assert "MapInArrow" not in plan(found) and found.count() == 720
 
 
+def test_training_moves_sequences_of_each_epoch_as_one_row(spark, monkeypatch):
+    """Sequence numbers come again in each epoch."""
+    old, new, advantages = scores(spark)
+    twice = lambda df: df.crossJoin(spark.range(2).select(F.col("id").cast("int").alias("epoch"))).orderBy("epoch", "seq_id", "pos")
+    old, new = twice(old), twice(new)
+    scored = advantages.crossJoin(spark.range(2).select(F.col("id").cast("int").alias("epoch"))).withColumn("reward", F.lit(1.0))
+    plans = []
+    logged = training._logged_metrics
+    monkeypatch.setattr(training, "_logged_metrics", lambda s, t, *rest, **kw: plans.append(plan(t)) or logged(s, t, *rest, **kw))
+    found = rows(training.training_metrics(scored, old, new, F.lit(2), sequence=["epoch", "seq_id"], exact=True))
+    assert plans[0].count("MapInArrow") == 2 and plans[0].count("Exchange hashpartitioning(epoch") >= 3
+    for module in (runs, policy):
+        monkeypatch.setattr(module, "can_pack", lambda df, key: False)
+    assert found == rows(training.training_metrics(scored, old, new, F.lit(2), sequence=["epoch", "seq_id"], exact=True)) and len(found) == 20
+
+
 def test_buckets_are_filled_with_whole_runs(spark, monkeypatch):
     _, new, _ = scores(spark)
     packed = []
@@ -83,3 +100,20 @@ def test_buckets_are_filled_with_whole_runs(spark, monkeypatch):
     stored = bucketed.write_bucketed(new, fresh_path(spark, "test-runs"), bucketed.Layout(["seq_id"], 4, ["pos"], ["ppo_epoch"]))
     assert packed[0].count() == 41 and rows(stored) == rows(new) and stored.columns == new.columns
     assert runs.parts_by(stored, "seq_id") == 4
+
+
+@pytest.mark.parametrize("late", [False, True])
+def test_tokens_meet_their_batch_only_if_last_ppo_epochs_differ(spark, monkeypatch, late):
+    """Sequences 0 to 3 are batch 0; sequence 2 has a later PPO epoch than the others, or not."""
+    old, new, advantages = scores(spark, sequences=8, length=3)
+    if late:
+        new = new.unionByName(new.where("seq_id = 2 and ppo_epoch = 2").withColumns({"ppo_epoch": F.lit(5), "lp": F.col("lp") - 0.3}))
+    scored = advantages.withColumns({"reward": F.lit(1.0), "epoch": F.lit(0)})
+    met = []
+    plain = training._last_ppo_epochs
+    monkeypatch.setattr(training, "_last_ppo_epochs", lambda *a: met.append(1) or plain(*a))
+    found = rows(training.training_metrics(scored, old, new, F.lit(2), exact=True).select("batch_id", "loss"))
+    assert len(met) == late
+    monkeypatch.setattr(training, "_one_last_ppo_epoch", lambda _: None)
+    assert found == rows(training.training_metrics(scored, old, new, F.lit(2), exact=True).select("batch_id", "loss"))
+    assert [b for b, _ in found] == [0, 1] and all(x is not None for _, x in found)

@@ -13,7 +13,8 @@ from veritally.functions.rewards import RewardFn, binary_reward
 from veritally.functions.tokens import in_loss
 from veritally.operators.batching import seeded_batches
 from veritally.operators.metrics import batch_mean_reward, running_reward
-from veritally.operators.policy import align_arrays, align_logprobs, broadcast_advantage, policy_loss
+from veritally.operators.policy import align_arrays, align_logprobs, broadcast_advantage, policy_loss, token_tasks
+from veritally.operators.runs import can_pack, pack_runs, parts_by
 from veritally.operators.skew import Hot, Keys, fits_broadcast, names, tasks_for
 from veritally.plans.score import score_rollouts
 from veritally.workspace import materialize
@@ -84,6 +85,16 @@ def _stored_scores(scored: DataFrame, sequence: list[str]) -> DataFrame:
     return materialize(scored.select(*columns), "scores")
 
 
+def _last_of_sequences(first_tokens: DataFrame, scored: DataFrame, sequence: list[str]) -> DataFrame:
+    """(*sequence, ppo_epoch): the last one of each sequence. A sequence's PPO epochs become one row before the shuffle where they lie
+    together; grouping in the tasks instead would hold as many sequences there as the table has."""
+    found = first_tokens
+    if can_pack(found, sequence) and parts_by(found, sequence) is None:
+        packed = pack_runs(found, sequence).select(*sequence, F.array_max("ppo_epoch").alias("ppo_epoch"))
+        found = packed.repartition(tasks_for(scored, SEQUENCES_PER_TASK), *sequence)
+    return found.groupBy(*sequence).agg(F.max("ppo_epoch").alias("ppo_epoch"))
+
+
 def _one_last_ppo_epoch(per_sequence: DataFrame) -> int | None:
     """The last PPO epoch if it is the same for every sequence, as it is where all of a run's epochs were scored."""
     least, most, unknown = per_sequence.agg(F.min("ppo_epoch"), F.max("ppo_epoch"), F.max(F.col("ppo_epoch").isNull())).first()
@@ -138,15 +149,21 @@ def training_metrics(
     epoch, ``sequence`` is ("epoch", "seq_id").
 
     The loss is that of the last PPO epoch of each batch. Which one that is shows in the first token of each
-    sequence that counts, so the other PPO epochs never reach the joins; in a table stored in folders by
+    sequence that counts; sequences meet their batch for it only if it is not the same for all. So the other PPO epochs never reach the joins; in a table stored in folders by
     ``ppo_epoch`` their files are not read. Prompt tokens are dropped before the joins as well.
     """
     keys = names(sequence)
     scored = _stored_scores(scored, keys)
     counts = in_loss(F.col("pos"), prompt_length) == 1
     starts = new.where(F.col("pos") == F.greatest(prompt_length - 1, F.lit(0))).select(*keys, "ppo_epoch")
-    sequences, wanted = _last_ppo_epochs(starts, scored, keys)
-    weighted = broadcast_advantage(old.where(counts), sequences, hot_sequences, keys)
+    last = _one_last_ppo_epoch(_last_of_sequences(starts, scored, keys))
+    if last is None:
+        sequences, wanted = _last_ppo_epochs(starts, scored, keys)
+    else:  # of every batch: no sequence has to meet its batch to know
+        wanted = F.col("ppo_epoch") == last
+        sequences = scored.select(*dict.fromkeys([*keys, "epoch", "batch_id", "advantage"]), F.lit(last).alias("_last"))
+    counted = old.where(counts)
+    weighted = broadcast_advantage(counted, sequences, hot_sequences, keys, token_tasks(counted, scored, keys))
     tokens = align_logprobs(weighted, new.where(counts & wanted), keys).where("ppo_epoch = _last")
     logged = partial(_logged_metrics, exact=True) if exact else _logged_metrics
     return logged(scored, tokens, clip_eps)
